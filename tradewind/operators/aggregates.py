@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..settings import CUSTOMER, DEFAULTS, INVOICE, PAIR, PRODUCT
+from ..sources.stages import checkpointed
 
 
 def first_per_key(df: DataFrame, keys: list[str], cols: list[str], order: list[str]) -> DataFrame:
@@ -167,7 +168,7 @@ def category_codes(df: DataFrame, col: str) -> DataFrame:
     Distinct values are range-partitioned and fixed with a checkpoint; each partition numbers its
     own values and adds the sizes of the partitions before it, so no task sorts all values."""
     values = df.select(col).where(F.col(col).isNotNull()).distinct()
-    fixed = values.repartitionByRange(F.col(col)).select(col, F.spark_partition_id().alias("part")).checkpoint()
+    fixed = checkpointed(values.repartitionByRange(F.col(col)).select(col, F.spark_partition_id().alias("part")))
     sizes = fixed.groupBy("part").agg(F.count(F.lit(1)).alias("size"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("part", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("start"))

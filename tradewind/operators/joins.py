@@ -90,9 +90,13 @@ def inner_pair_join(a: DataFrame, b: DataFrame) -> DataFrame:
     return a.join(b, PAIR)
 
 
-def nearest_match(invoices: DataFrame, opps: DataFrame, tol_days: int = 90) -> DataFrame:
+def nearest_match(
+    invoices: DataFrame, opps: DataFrame, tol_days: int = 90, keep_unmatched: bool = False
+) -> DataFrame:
     """Each invoice with the closest-in-time opportunity of its pair, if within ``tol_days``.
 
+    ``keep_unmatched`` also returns the other invoices, with null opportunity columns.
+
     Ties go to the smaller ``opp_id``.  Invoices and opportunities are reduced to one row per pair
     and day; on a day only the smallest ``opp_id`` can win.  Two running windows then carry the
     latest earlier and the earliest later opportunity to every invoice day, instead of joining all
@@ -127,7 +131,7 @@ def nearest_match(invoices: DataFrame, opps: DataFrame, tol_days: int = 90) -> D
     own = [c for c in invoices.columns if c not in PAIR]
     return (
         invoices.withColumn("day", F.col("dtl_order_dt"))
-        .join(matched, [*PAIR, "day"])
+        .join(matched, [*PAIR, "day"], "left" if keep_unmatched else "inner")
         .select(
             *PAIR,
             *own,

@@ -145,6 +145,35 @@ CTES = {
         SELECT concat(customer_num, '_', definitive_id) AS unique_id,
                CASE WHEN customer_num = '' THEN concat('_', definitive_id) ELSE customer_num END AS customer_num, definitive_id, IN_CSD, IN_SFD, IN_EDD, customer_name
         FROM f_named""",
+    "f_prod": """
+        SELECT c.srp_2_desc, product_type, location, avg_order_amount
+        FROM f_curated c LEFT JOIN (SELECT srp_2_desc, avg(dtl_qty_ordered) AS avg_order_amount FROM f_before GROUP BY 1) a ON c.srp_2_desc = a.srp_2_desc""",
+    "f_buyers": "SELECT DISTINCT srp_2_desc, customer_num FROM f_before",
+    "f_buyer_n": "SELECT srp_2_desc, count(*) AS n FROM f_buyers GROUP BY 1",
+    "f_shared": """
+        SELECT a.srp_2_desc AS id_i, b.srp_2_desc AS id_j, count(*) AS s FROM f_buyers a JOIN f_buyers b
+        ON a.customer_num = b.customer_num AND a.srp_2_desc < b.srp_2_desc GROUP BY ALL""",
+    "f_ppairs": """
+        SELECT a.srp_2_desc AS id_i, b.srp_2_desc AS id_j,
+               CASE WHEN a.product_type = b.product_type THEN 0.0::DOUBLE ELSE 1.0::DOUBLE END AS product_type,
+               CASE WHEN a.location = b.location THEN 0.0::DOUBLE ELSE 1.0::DOUBLE END AS location,
+               coalesce(abs(a.avg_order_amount - b.avg_order_amount) / (1 + abs(a.avg_order_amount - b.avg_order_amount)), 1.0) AS avg_order_amount,
+               CASE WHEN na.n IS NULL OR nb.n IS NULL THEN 1.0 ELSE 1.0 - coalesce(s, 0)::DOUBLE / (na.n + nb.n - coalesce(s, 0)) END AS sales_list
+        FROM f_prod a JOIN f_prod b ON a.srp_2_desc < b.srp_2_desc
+        LEFT JOIN f_buyer_n na ON na.srp_2_desc = a.srp_2_desc LEFT JOIN f_buyer_n nb ON nb.srp_2_desc = b.srp_2_desc
+        LEFT JOIN f_shared ON id_i = a.srp_2_desc AND id_j = b.srp_2_desc""",
+    "f_pd": "SELECT id_i, id_j, (product_type + 2 * location + 3 * avg_order_amount + 4 * sales_list) / 10 AS d FROM f_ppairs",
+    "f_pmir": "SELECT id_i AS a, id_j AS b, d FROM f_pd UNION ALL SELECT id_j, id_i, d FROM f_pd",
+    "f_plabel": "SELECT srp_2_desc AS id, CAST(srp_2_code AS BIGINT) % 5 AS cluster FROM f_curated",
+    "f_cust": """
+        SELECT b.*, CAST(c_nationkey AS BIGINT) AS cluster FROM f_baseline b JOIN customer ON b.customer_num = CAST(c_custkey AS VARCHAR)""",
+    "f_cmir": """
+        SELECT a.customer_num AS a, b.customer_num AS b, a.cluster AS ca, b.cluster AS cb,
+               (CASE WHEN a.customer_class = b.customer_class THEN 0 ELSE 1 END + CASE WHEN a.customer_type = b.customer_type THEN 0 ELSE 2 END
+                + CASE WHEN a.active_cust_yn = b.active_cust_yn THEN 0 ELSE 3 END
+                + CASE WHEN a.customer_price_group = b.customer_price_group THEN 0 ELSE 2 END)::DOUBLE / 8 AS d
+        FROM f_cust a JOIN f_cust b ON a.customer_num <> b.customer_num""",
+    "f_lost": "SELECT DISTINCT customer_num FROM f_opps_before WHERE iswon = 'False'",
 }
 
 
@@ -162,7 +191,9 @@ def sql(statement: str) -> str:
     visit(statement)
     if not needed:
         return statement
-    return "WITH " + ", ".join(f"{n} AS ({CTES[n]})" for n in needed) + " " + statement
+    shared = ", ".join(f"{n} AS ({CTES[n]})" for n in needed)
+    own = re.match(r"\s*WITH\s+", statement)
+    return f"WITH {shared}, {statement[own.end():]}" if own else f"WITH {shared} {statement}"
 
 
 def _stat(name: str, frame: str) -> str:
@@ -286,7 +317,8 @@ RELATIONAL = {
     "mode_value": """SELECT customer_num, srp_2_desc, dtl_qty_ordered AS mode FROM (SELECT *, row_number() OVER (PARTITION BY customer_num, srp_2_desc ORDER BY n DESC, dtl_qty_ordered) AS rn
         FROM (SELECT customer_num, srp_2_desc, dtl_qty_ordered, count(*) AS n FROM f_sales GROUP BY ALL)) WHERE rn = 1""",
     "correlation_matrix": f"SELECT a, b, round(abs_corr, 6) AS abs_corr FROM ({_CORR})",
-    "feature_prune_by_corr": f"SELECT DISTINCT b AS column_name FROM ({_CORR}) WHERE abs_corr > 0.5",
+    "feature_prune_by_corr": f"""WITH high AS (SELECT a, b FROM ({_CORR}) WHERE abs_corr > 0.2)
+        SELECT DISTINCT b AS column_name FROM high WHERE a NOT IN (SELECT b FROM high)""",
     "lag_invoices": "SELECT * FROM f_lags",
     "day_gaps": """SELECT customer_num, srp_2_desc, dtl_invoice_num, CAST(gap_1 AS DOUBLE) AS gap_1, CAST(gap_2 AS DOUBLE) AS gap_2,
         CAST(gap_3 AS DOUBLE) AS gap_3, CAST(gap_4 AS DOUBLE) AS gap_4, CAST(gap_5 AS DOUBLE) AS gap_5 FROM f_gaps""",
@@ -310,7 +342,107 @@ RELATIONAL = {
     "sorted_dimension_lists": "SELECT DISTINCT updated FROM f_curated ORDER BY 1",
 }
 
-GROUPS = [RELATIONAL]
+
+def _quadrants(sales: str, opps: str, fill: str, keep: str) -> str:
+    by_customer = ["county", "customer_price_group"]
+    by_product = ["dtl_line_type", "dtl_value_package", "dtl_qty_ordered", "dtl_unit_cost", "dtl_unit_price", "family"]
+    pick = ", ".join("arg_min({0}, place) FILTER (WHERE {0} IS NOT NULL) AS x_{0}".format(c) for c in by_customer)
+    pick_p = ", ".join("arg_min({0}, place) FILTER (WHERE {0} IS NOT NULL) AS x_{0}".format(c) for c in by_product)
+    fam = """CASE t.srp_2_desc WHEN 'Brand#5' THEN 'COMMUNICATIONS' WHEN 'Brand#9' THEN 'TABLES' ELSE coalesce(family, x_family) END AS family"""
+    out = ", ".join(f"coalesce({c}, x_{c}) AS {c}" for c in by_customer + by_product if c not in ("family", "dtl_unit_price"))
+    whole = " AND ".join(f"{c} IS NOT NULL" for c in by_customer + by_product)
+    return f"""WITH s AS (SELECT *, CASE WHEN dtl_invoice_dt <= DATE '1999-12-31' THEN 'BEFORE' ELSE 'AFTER' END AS tag FROM {sales}),
+        o AS (SELECT *, CASE WHEN create_dt <= DATE '1999-12-31' THEN 'BEFORE' ELSE 'AFTER' END AS tag FROM {opps}),
+        inv AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY customer_num, srp_2_desc, dtl_invoice_num
+            ORDER BY dtl_line_num, dtl_line_type, dtl_value_package, dtl_qty_ordered, dtl_unit_cost, dtl_unit_price) AS rn FROM s) WHERE rn = 1),
+        near AS (SELECT * FROM (SELECT i.customer_num, i.srp_2_desc, i.dtl_invoice_num, o.family, abs(o.close_dt - i.dtl_order_dt) AS delta,
+            row_number() OVER (PARTITION BY i.customer_num, i.srp_2_desc, i.dtl_invoice_num ORDER BY abs(o.close_dt - i.dtl_order_dt), o.opp_id) AS rn
+            FROM inv i JOIN o ON i.customer_num = o.customer_num AND i.srp_2_desc = o.srp_2_desc AND o.iswon = 'True') WHERE rn = 1 AND delta <= 90),
+        total AS (SELECT concat_ws('|', 'sale', i.dtl_invoice_num, i.customer_num, i.srp_2_desc) AS place, i.tag, i.customer_num, i.srp_2_desc, county,
+                customer_price_group, dtl_line_type, dtl_value_package, dtl_qty_ordered, dtl_unit_cost, dtl_unit_price, family, 'True' AS iswon
+            FROM inv i LEFT JOIN near n ON i.customer_num = n.customer_num AND i.srp_2_desc = n.srp_2_desc AND i.dtl_invoice_num = n.dtl_invoice_num
+            UNION ALL SELECT concat_ws('|', 'opp', opp_id, customer_num, srp_2_desc), tag, customer_num, srp_2_desc, NULL, NULL, NULL, NULL, NULL, NULL, NULL, family, 'False'
+            FROM o WHERE iswon = 'False'),
+        fc AS (SELECT customer_num, {pick} FROM total WHERE {fill} GROUP BY 1),
+        fp AS (SELECT srp_2_desc, {pick_p} FROM total WHERE {fill} GROUP BY 1)
+        SELECT * FROM (SELECT t.customer_num, t.srp_2_desc, {out}, coalesce(dtl_unit_price, x_dtl_unit_price) AS dtl_unit_price, {fam}, iswon
+            FROM total t LEFT JOIN fc ON t.customer_num = fc.customer_num LEFT JOIN fp ON t.srp_2_desc = fp.srp_2_desc WHERE {keep}) WHERE {whole}"""
+
+
+def _sizes(name: str, frame: str, element: str) -> str:
+    return f"(SELECT srp_2_desc AS k, count(*) AS {name}_rows, count(DISTINCT {element}) AS {name}_items FROM {frame} GROUP BY 1) {name} ON {name}.k = c.srp_2_desc"
+
+
+_TRIALS = " UNION ALL ".join(
+    f"SELECT {i} AS trial, {i * 3 % 10 + 1} AS w1, {(i * 4 + 1) % 10 + 1} AS w2, {(i * 5 + 2) % 10 + 1} AS w3" for i in range(20)
+)
+
+_SILHOUETTE = """SELECT a AS id, ca AS cluster, round(CASE WHEN own IS NULL THEN 0 WHEN greatest(own, other) = 0 THEN 0 ELSE (other - own) / greatest(own, other) END, 6) AS score
+    FROM (SELECT a, ca, max(m) FILTER (WHERE ca = cb) AS own, min(m) FILTER (WHERE ca <> cb) AS other
+          FROM (SELECT a, ca, cb, avg(d) AS m FROM {pairs} GROUP BY ALL) GROUP BY ALL)"""
+_LABELLED_PAIRS = "(SELECT a, b, d, x.cluster AS ca, y.cluster AS cb FROM f_pmir JOIN f_plabel x ON a = x.id JOIN f_plabel y ON b = y.id)"
+_WCSS = """SELECT sum(s / 2 / n) AS wcss, count(*) AS n_clusters FROM (SELECT cluster, count(*) AS n FROM {labels} GROUP BY 1)
+    JOIN (SELECT ca AS cluster, sum(d * d) AS s FROM {pairs} WHERE ca = cb GROUP BY 1) USING (cluster)"""
+_P_WCSS = _WCSS.format(labels="f_plabel", pairs=_LABELLED_PAIRS)
+
+BUILDING = {
+    "customer_interactions": "SELECT * EXCLUDE (edd_name) FROM f_named",
+    "customer_details": """SELECT k.unique_id, k.customer_num, k.definitive_id, k.customer_name, active_cust_yn, customer_class, customer_price_group, customer_type,
+            staffed_beds, net_income, hospital_type, sales_list, salesforce_list, rental_list, purchase_per_year
+        FROM f_key k LEFT JOIN f_baseline b ON k.customer_num = b.customer_num LEFT JOIN f_external e ON k.definitive_id = e.definitive_id
+        LEFT JOIN (SELECT customer_num, string_agg(DISTINCT srp_2_desc, '|' ORDER BY srp_2_desc) AS sales_list,
+            round(sum(dtl_qty_ordered) / nullif(max(dtl_order_dt) - min(dtl_order_dt), 0) * 365, 6) AS purchase_per_year FROM f_before GROUP BY 1) s ON k.customer_num = s.customer_num
+        LEFT JOIN (SELECT customer_num, string_agg(DISTINCT srp_2_desc, '|' ORDER BY srp_2_desc) AS salesforce_list FROM f_opps_before WHERE iswon = 'True' GROUP BY 1) o ON k.customer_num = o.customer_num
+        LEFT JOIN (SELECT customer_num, string_agg(DISTINCT srp_2_desc, '|' ORDER BY srp_2_desc) AS rental_list FROM f_rentals WHERE billing_from_dt <= DATE '1999-12-31' GROUP BY 1) r ON k.customer_num = r.customer_num
+        WHERE IN_CSD OR IN_SFD OR IN_EDD""",
+    "product_details": f"""SELECT c.srp_2_code, c.srp_2_desc, replacement_srp_2_code AS new_srp_2_code, updated AS new_srp_2_desc, product_type, location, srp_3_desc,
+            * EXCLUDE (srp_2_code, srp_2_desc, product_type, active, replacement, replacement_srp_2_code, updated, location, srp_3_desc, k)
+        FROM (SELECT * FROM f_curated) c LEFT JOIN (SELECT srp_2_desc AS k, min(srp_3_desc) AS srp_3_desc FROM f_catalog GROUP BY 1) u ON u.k = c.srp_2_desc
+        LEFT JOIN {_sizes('sales_list', 'f_before', 'customer_num')} LEFT JOIN {_sizes('order_list', 'f_before', 'dtl_order_num')}
+        LEFT JOIN {_sizes('rental_list', 'f_rentals', 'customer_num')} LEFT JOIN {_sizes('salesforce_list', 'f_opps_before', 'customer_num')}
+        LEFT JOIN {_sizes('opp_won_list', "(SELECT * FROM f_opps_before WHERE iswon = 'True')", 'opp_id')}
+        LEFT JOIN {_sizes('opp_lost_list', "(SELECT * FROM f_opps_before WHERE iswon = 'False')", 'opp_id')}
+        LEFT JOIN (SELECT srp_2_desc AS k, round(avg(dtl_qty_ordered), 6) AS avg_order_amount,
+            round(sum(dtl_qty_ordered) / nullif(max(dtl_order_dt) - min(dtl_order_dt), 0) * 365, 6) AS avg_sales_per_year FROM f_before GROUP BY 1) a ON a.k = c.srp_2_desc""",
+    "prediction_train": _quadrants("f_before", "f_opps_before", "true", "true"),
+    "prediction_test": _quadrants("f_sales", "f_opps", "tag = 'BEFORE'", "tag = 'AFTER'"),
+    "propensity_train": """WITH inv AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY customer_num, srp_2_desc, dtl_invoice_num ORDER BY dtl_line_num, dtl_line_type,
+            dtl_qty_ordered, dtl_unit_cost, dtl_unit_price, dtl_value_package, total_discount, srp_1_desc, srp_3_desc) AS rn FROM f_before) WHERE rn = 1),
+        latest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY customer_num, srp_2_desc ORDER BY dtl_invoice_dt DESC, dtl_invoice_num DESC) AS rn FROM inv) WHERE rn = 1)
+        SELECT l.customer_num, l.srp_2_desc, dtl_invoice_dt, dtl_line_type, dtl_qty_ordered, dtl_unit_cost, dtl_unit_price, dtl_value_package, total_discount,
+            srp_1_desc, srp_3_desc, county, customer_price_group, round(gap_mean, 6) AS gap_mean, round(gap_std, 6) AS gap_std,
+            CAST(DATE '1999-12-31' - last_dt AS BIGINT) AS last_purchase_to_cutoff,
+            CAST(CASE WHEN coalesce(next_dt - last_dt, 5000) - (DATE '1999-12-31' - last_dt) <= 365 THEN 1 ELSE 0 END AS BIGINT) AS outcome
+        FROM latest l JOIN f_gap_stats g ON l.customer_num = g.customer_num AND l.srp_2_desc = g.srp_2_desc
+        JOIN f_last_next n ON l.customer_num = n.customer_num AND l.srp_2_desc = n.srp_2_desc WHERE gap_std IS NOT NULL""",
+    "propensity_test": "SELECT customer_num, srp_2_desc, CAST(CASE WHEN min(dtl_invoice_dt) <= DATE '1999-12-31' + 365 THEN 1 ELSE 0 END AS BIGINT) AS outcome FROM f_after GROUP BY ALL",
+    "dist_numeric": "SELECT id_i, id_j, round(avg_order_amount, 6) AS d FROM f_ppairs",
+    "dist_matching": "SELECT id_i, id_j, location AS d FROM f_ppairs",
+    "dist_jaccard": "SELECT id_i, id_j, round(sales_list, 6) AS d FROM f_ppairs",
+    "pairwise_features": "SELECT id_i, id_j, product_type, location, round(avg_order_amount, 6) AS avg_order_amount, round(sales_list, 6) AS sales_list FROM f_ppairs",
+    "weighted_distance": "SELECT id_i, id_j, round(d, 6) AS d FROM f_pd",
+    "nearest_entity": """SELECT a AS id, b AS nearest, round(d, 6) AS d FROM (SELECT a, b, d, row_number() OVER (PARTITION BY a ORDER BY d, b) AS rn FROM f_pmir
+        WHERE a IN (SELECT srp_2_desc FROM f_curated WHERE active = 'N') AND b IN (SELECT srp_2_desc FROM f_curated WHERE active = 'Y')) WHERE rn = 1""",
+    "nearest_by_profile": """SELECT a AS id, b AS nearest, round(d, 6) AS d FROM (SELECT a, b, d, row_number() OVER (PARTITION BY a ORDER BY d, b) AS rn FROM f_cmir
+        WHERE a NOT IN (FROM f_lost) AND b IN (FROM f_lost)) WHERE rn = 1""",
+    "affinity_weights": """SELECT a AS target, b AS source, round(1 / greatest(d, 0.000001) / sum(1 / greatest(d, 0.000001)) OVER (PARTITION BY a), 6) AS w FROM f_pmir
+        WHERE a IN (SELECT srp_2_desc FROM f_curated WHERE active = 'N') AND b IN (SELECT srp_2_desc FROM f_curated WHERE active = 'Y')""",
+    "wcss": f"SELECT round(wcss, 6) AS wcss, n_clusters FROM ({_P_WCSS})",
+    "silhouette": _SILHOUETTE.format(pairs=_LABELLED_PAIRS),
+    "silhouette_by_profile": _SILHOUETTE.format(pairs="f_cmir"),
+    "wcss_by_profile": f"SELECT round(wcss, 6) AS wcss, n_clusters FROM ({_WCSS.format(labels='f_cust', pairs='f_cmir')})",
+    "cluster_summary": f"""SELECT 'wcss' AS metric, round(wcss, 4) AS value FROM ({_P_WCSS}) UNION ALL SELECT 'n_clusters', CAST(n_clusters AS DOUBLE) FROM ({_P_WCSS})
+        UNION ALL SELECT 'silhouette', round(avg(score), 4) FROM ({_SILHOUETTE.format(pairs=_LABELLED_PAIRS)})
+        UNION ALL SELECT * FROM (VALUES ('cutoff', 2.0), ('weight product_type', 1.0), ('weight location', 2.0), ('weight avg_order_amount', 3.0), ('weight sales_list', 4.0))""",
+    "best_run_weights": f"""WITH best AS (SELECT w1, w2, w3 FROM (SELECT trial, w1, w2, w3, sum(d2 / n) AS wcss FROM (
+            SELECT trial, w1, w2, w3, x.cluster AS cluster, ((w1 * product_type + w2 * location + w3 * sales_list) / (w1 + w2 + w3)) ** 2 AS d2
+            FROM f_ppairs JOIN f_plabel x ON id_i = x.id JOIN f_plabel y ON id_j = y.id AND x.cluster = y.cluster, ({_TRIALS}))
+            JOIN (SELECT cluster, count(*) AS n FROM f_plabel GROUP BY 1) USING (cluster) GROUP BY ALL) ORDER BY wcss, trial LIMIT 1)
+        SELECT 'product_type' AS feature, CAST(w1 AS DOUBLE) AS weight FROM best UNION ALL SELECT 'location', w2 FROM best UNION ALL SELECT 'sales_list', w3 FROM best
+        UNION ALL SELECT 'avg_order_amount', round((w1 + w2 + w3) / 3.0, 6) FROM best""",
+}
+
+GROUPS = [RELATIONAL, BUILDING]
 
 
 def statements() -> dict[str, str]:

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import relational
+from . import building, relational
 
-MODULES = [relational]
+MODULES = [relational, building]
 
 
 def queries() -> dict:

@@ -483,7 +483,7 @@ def correlation_matrix(spark, root):
 
 @query
 def feature_prune_by_corr(spark, root):
-    return agg.feature_prune_by_corr(agg.correlation_matrix(*_corr_columns(spark, root)), 0.5)
+    return agg.feature_prune_by_corr(agg.correlation_matrix(*_corr_columns(spark, root)), 0.2)
 
 
 # windows

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,12 +10,30 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The folder all executors share: ``spark.checkpoint.dir``, or what the application set.
+
+    Only a local session that has neither gets one of its own; on a cluster it must be named."""
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not folder:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
+        folder = tempfile.mkdtemp(prefix="checkpoints-")
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(folder)
+    return folder.rstrip("/")
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """A new directory under the folder all executors share (``spark.checkpoint.dir``)."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    return f"{base.rstrip('/')}/stage-{uuid.uuid4().hex}"
+    """A new directory name under the shared folder."""
+    return f"{checkpoint_folder(spark)}/stage-{uuid.uuid4().hex}"
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` saved to the shared folder with its partitioning, its lineage cut."""
+    checkpoint_folder(df.sparkSession)
+    return df.checkpoint()
 
 
 def scan_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -56,3 +75,14 @@ def merge_stats(old: DataFrame, new: DataFrame) -> DataFrame:
     """``[name, metric, value]`` of two runs, the newer value winning where both have one."""
     runs = old.select("*", F.lit(0).alias("run")).unionByName(new.select("*", F.lit(1).alias("run")))
     return runs.groupBy("name", "metric").agg(F.max_by("value", "run").alias("value"))
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write an intermediate result once to the shared folder and read it back.
+
+    For results that several later steps read: they then scan only the columns they need, and a
+    lost executor costs a re-read and not a recomputation."""
+    spark = df.sparkSession
+    path = shared_folder(spark)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
