@@ -328,7 +328,7 @@ RELATIONAL = {
         FROM f_scored_pairs""",
     "cluster_max_score": """SELECT customer_num AS id, cluster, score, max(score) OVER (PARTITION BY cluster) AS cluster_max,
         row_number() OVER (PARTITION BY cluster ORDER BY score DESC, customer_num) AS pos
-        FROM (SELECT customer_num, CAST(c_nationkey AS BIGINT) AS cluster, round(avg(rating), 4) AS score FROM f_rating JOIN customer ON customer_num = CAST(c_custkey AS VARCHAR) GROUP BY ALL)""",
+        FROM (SELECT customer_num, CAST(c_nationkey AS BIGINT) AS cluster, CAST(sum(dtl_qty_ordered) AS DOUBLE) AS score FROM f_before JOIN customer ON customer_num = CAST(c_custkey AS VARCHAR) GROUP BY ALL)""",
     "sort_purchases": "SELECT * FROM f_inv_before ORDER BY customer_num, srp_2_desc, dtl_invoice_dt, dtl_invoice_num",
     "top_k_products": """SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY customer_num ORDER BY rating DESC, outcome DESC, imputed, srp_2_desc) AS pos FROM f_scored_pairs) WHERE pos <= 10""",
     "feature_ranking": """SELECT feature, weight, row_number() OVER (ORDER BY weight DESC, feature) AS pos
@@ -442,7 +442,117 @@ BUILDING = {
         UNION ALL SELECT 'avg_order_amount', round((w1 + w2 + w3) / 3.0, 6) FROM best""",
 }
 
-GROUPS = [RELATIONAL, BUILDING]
+
+CTES["f_propensity"] = BUILDING["propensity_train"]
+CTES["f_active"] = "SELECT srp_2_desc FROM f_curated WHERE active = 'Y'"
+CTES["f_train"] = """
+        SELECT customer_num, srp_2_desc, CASE WHEN predicted = 'True' THEN 1 ELSE 0 END AS v, win_prob, count(*) AS n
+        FROM f_scored WHERE srp_2_desc IN (FROM f_active) GROUP BY ALL"""
+CTES["f_near_c"] = """
+        SELECT a AS id, b AS nearest FROM (SELECT a, b, row_number() OVER (PARTITION BY a ORDER BY d, b) AS rn FROM f_cmir
+        WHERE a NOT IN (SELECT customer_num FROM f_train) AND b IN (SELECT customer_num FROM f_train)) WHERE rn = 1"""
+CTES["f_near_p"] = """
+        SELECT a AS id, b AS nearest FROM (SELECT a, b, row_number() OVER (PARTITION BY a ORDER BY d, b) AS rn FROM f_pmir
+        WHERE a NOT IN (FROM f_active) AND b IN (FROM f_active)) WHERE rn = 1"""
+CTES["f_even"] = """
+        SELECT CAST(c_nationkey AS BIGINT) AS cluster, customer_num, srp_2_desc, rating FROM f_rating JOIN customer ON customer_num = CAST(c_custkey AS VARCHAR)
+        WHERE c_custkey % 2 = 0"""
+CTES["f_recs"] = """
+        SELECT *, row_number() OVER (PARTITION BY customer_num ORDER BY rating DESC, outcome DESC, imputed, srp_2_desc) AS pos FROM (
+            SELECT customer_num, updated AS srp_2_desc, avg(round(rating, 6)) AS rating, CAST(substring(updated, 7) AS BIGINT) % 2 AS outcome,
+                   CAST(customer_num AS BIGINT) % 2 AS imputed
+            FROM f_rating r JOIN f_curated c ON r.srp_2_desc = c.srp_2_desc GROUP BY customer_num, updated) g
+        WHERE NOT EXISTS (SELECT 1 FROM (VALUES ('Brand#1', 'Brand#2'), ('Brand#3', 'Brand#2'), ('Brand#4', 'Brand#4')) m(product, service)
+            WHERE m.service = g.srp_2_desc AND NOT EXISTS (SELECT 1 FROM f_qty q WHERE q.customer_num = g.customer_num AND q.srp_2_desc = m.product))"""
+
+
+def _imputed(requests: str, value: str = "v") -> str:
+    """Outcome of every requested pair, by listing the rows of its customer or its product."""
+    return f"""(WITH req AS ({requests}),
+        r AS (SELECT q.customer_num AS c, q.srp_2_desc AS p, coalesce(tc.customer_num, nc.nearest) AS c2, coalesce(tp.srp_2_desc, np.nearest) AS p2
+            FROM req q LEFT JOIN (SELECT DISTINCT customer_num FROM f_train) tc ON q.customer_num = tc.customer_num LEFT JOIN f_near_c nc ON q.customer_num = nc.id
+            LEFT JOIN (SELECT DISTINCT srp_2_desc FROM f_train) tp ON q.srp_2_desc = tp.srp_2_desc LEFT JOIN f_near_p np ON q.srp_2_desc = np.id),
+        own AS (SELECT customer_num AS c, srp_2_desc AS p, val FROM (SELECT *, row_number() OVER (PARTITION BY customer_num, srp_2_desc ORDER BY n DESC, val) AS rn
+            FROM (SELECT customer_num, srp_2_desc, {value} AS val, sum(n) AS n FROM f_train GROUP BY ALL)) WHERE rn = 1),
+        cand AS (SELECT c, p, t.{value} AS val, n FROM r JOIN f_train t ON t.customer_num = c2 WHERE p2 IS NOT NULL
+            UNION ALL SELECT c, p, t.{value}, n FROM r JOIN f_train t ON t.srp_2_desc = p2 AND t.customer_num <> c2),
+        best AS (SELECT c, p, val FROM (SELECT *, row_number() OVER (PARTITION BY c, p ORDER BY n DESC, val) AS rn FROM (SELECT c, p, val, sum(n) AS n FROM cand GROUP BY ALL)) WHERE rn = 1)
+        SELECT r.c AS customer_num, r.p AS srp_2_desc,
+            coalesce(own.val, best.val, CASE WHEN c2 IS NULL THEN -1 ELSE 0 END + CASE WHEN p2 IS NULL THEN -2 ELSE 0 END) AS outcome,
+            CASE WHEN own.val IS NOT NULL THEN 0 WHEN c2 IS NOT NULL AND p2 IS NOT NULL THEN 1 ELSE -1 END AS imputed
+        FROM r LEFT JOIN own ON r.c = own.c AND r.p = own.p LEFT JOIN best ON r.c = best.c AND r.p = best.p)"""
+
+
+_ALL_REQUESTS = """SELECT CAST(c_custkey AS VARCHAR) AS customer_num, srp_2_desc FROM customer
+    CROSS JOIN (SELECT srp_2_desc FROM f_curated UNION SELECT srp_1_desc FROM f_catalog)"""
+_AFTER_PAIRS = "SELECT DISTINCT customer_num, srp_2_desc FROM f_after"
+_REMARK = """CASE outcome WHEN 1 THEN 'Near Sale' WHEN 0 THEN 'Far Sale' WHEN -1 THEN 'No Remark (Unknown Customer)' WHEN -2 THEN 'No Remark (Unknown Product)'
+    WHEN -3 THEN 'No Remark (Unknown Customer and Product)' END"""
+
+
+def _unseen(weight: str) -> str:
+    return f"""SELECT m.ca AS cluster, a AS customer_num, srp_2_desc, round(sum({weight} * rating) / sum({weight}), 6) AS rating
+        FROM f_cmir m JOIN f_even e ON e.customer_num = m.b WHERE m.ca = m.cb AND a NOT IN (SELECT customer_num FROM f_even) GROUP BY ALL"""
+
+
+def _class(c: int) -> str:
+    return f"""SELECT {c} AS c, count(*) FILTER (WHERE quality = {c}) AS support, count(*) FILTER (WHERE toxic = {c}) AS called,
+        count(*) FILTER (WHERE quality = {c} AND toxic = {c}) AS hits FROM labels"""
+
+
+_RATES = f"""(SELECT c, coalesce(hits / nullif(called, 0), 0) AS p, coalesce(hits / nullif(support, 0), 0) AS r, coalesce(2 * hits / nullif(called + support, 0), 0) AS f, support, hits
+    FROM ({_class(0)} UNION ALL {_class(1)}))"""
+
+MODELLING = {
+    "encode_features": """SELECT customer_num, srp_2_desc, dtl_invoice_num, dense_rank() OVER (ORDER BY srp_1_desc) - 1 AS srp_1_desc_code,
+        dense_rank() OVER (ORDER BY dtl_value_package) - 1 AS dtl_value_package_code, dense_rank() OVER (ORDER BY customer_num) - 1 AS customer_num_code FROM f_before""",
+    "train_test_split": """SELECT customer_num, srp_2_desc, opp_id, CASE WHEN ('0x' || substring(md5(concat_ws('|', customer_num, srp_2_desc, opp_id)), 1, 8))::BIGINT % 100 < 80
+        THEN 'train' ELSE 'test' END AS split FROM f_opps""",
+    "undersample": """SELECT customer_num, srp_2_desc, opp_id, iswon FROM (SELECT *, row_number() OVER (PARTITION BY iswon ORDER BY md5(concat_ws('|', customer_num, srp_2_desc, opp_id))) AS rn FROM f_opps)
+        WHERE rn <= (SELECT min(n) FROM (SELECT count(*) AS n FROM f_opps GROUP BY iswon))""",
+    "smote_upsample": """SELECT o AS outcome, (SELECT max(n) FROM (SELECT count(*) AS n FROM (SELECT CASE WHEN next_dt - DATE '1999-12-31' <= 365 THEN 1 ELSE 0 END AS o
+            FROM f_gap_stats g JOIN f_last_next l ON g.customer_num = l.customer_num AND g.srp_2_desc = l.srp_2_desc WHERE gap_std IS NOT NULL) GROUP BY o)) AS n
+        FROM (VALUES (CAST(0 AS BIGINT)), (CAST(1 AS BIGINT))) v(o)""",
+    "accuracy": "SELECT round(avg(CASE WHEN quality = toxic THEN 1 ELSE 0 END), 6) AS accuracy FROM labels",
+    "classification_report": f"""SELECT CAST(c AS VARCHAR) AS label, round(p, 6) AS precision, round(r, 6) AS recall, round(f, 6) AS f1, CAST(support AS BIGINT) AS support FROM {_RATES}
+        UNION ALL SELECT 'macro avg', round(avg(p), 6), round(avg(r), 6), round(avg(f), 6), CAST(sum(support) AS BIGINT) FROM {_RATES}
+        UNION ALL SELECT 'weighted avg', round(sum(p * support) / sum(support), 6), round(sum(r * support) / sum(support), 6), round(sum(f * support) / sum(support), 6), CAST(sum(support) AS BIGINT) FROM {_RATES}
+        UNION ALL SELECT 'accuracy', round(sum(hits) / sum(support), 6), round(sum(hits) / sum(support), 6), round(sum(hits) / sum(support), 6), CAST(sum(support) AS BIGINT) FROM {_RATES}""",
+    "confusion_matrix": """SELECT CAST(a AS BIGINT) AS label, CAST(b AS BIGINT) AS predicted, (SELECT count(*) FROM labels WHERE quality = a AND toxic = b) AS n
+        FROM (VALUES (0, 0), (0, 1), (1, 0), (1, 1)) g(a, b)""",
+    "impute_predict": f"SELECT customer_num, srp_2_desc, CAST(outcome AS BIGINT) AS outcome, CAST(imputed AS BIGINT) AS imputed FROM {_imputed(_ALL_REQUESTS)}",
+    "score_grid": f"""SELECT customer_num, srp_2_desc, CAST(outcome AS BIGINT) AS outcome, CAST(imputed AS BIGINT) AS imputed
+        FROM {_imputed("SELECT customer_num, srp_2_desc FROM (SELECT DISTINCT customer_num FROM f_after) CROSS JOIN f_active")}""",
+    "impute_accuracy": f"""SELECT round(avg(CASE WHEN outcome = truth THEN 1 ELSE 0 END), 6) AS accuracy FROM {_imputed(_AFTER_PAIRS)} i
+        JOIN (SELECT customer_num, srp_2_desc, max(CASE WHEN dtl_line_type = 'F' THEN 1 ELSE 0 END) AS truth FROM f_after GROUP BY ALL) USING (customer_num, srp_2_desc)""",
+    "cluster_ratings": """SELECT CAST(c_nationkey AS BIGINT) AS cluster, customer_num, srp_2_desc, round(avg(rating), 6) AS rating
+        FROM f_signed JOIN customer ON customer_num = CAST(c_custkey AS VARCHAR) GROUP BY ALL""",
+    "factorisation_rmse": """SELECT cluster, round(sqrt(avg(mse)), 6) AS rmse FROM (SELECT CAST(c_nationkey AS BIGINT) AS cluster, srp_2_desc, avg((a.r - rating) ** 2) AS mse
+        FROM (SELECT customer_num, srp_2_desc, avg(rating) AS r FROM f_signed GROUP BY ALL) a JOIN f_rating USING (customer_num, srp_2_desc)
+        JOIN customer ON customer_num = CAST(c_custkey AS VARCHAR) GROUP BY ALL) GROUP BY 1""",
+    "fill_unseen_customers": _unseen("(1 / greatest(d, 0.000001))"),
+    "fill_unseen_customers_by_distance": _unseen("greatest(d, 0.000001)"),
+    "fill_unseen_products": """SELECT CAST(c_nationkey AS BIGINT) AS cluster, customer_num, a AS srp_2_desc, round(sum(rating / d) / sum(1 / d), 6) AS rating
+        FROM f_rating JOIN f_pmir ON b = srp_2_desc JOIN f_plabel x ON x.id = a JOIN f_plabel y ON y.id = b AND x.cluster = y.cluster
+        JOIN customer ON customer_num = CAST(c_custkey AS VARCHAR) WHERE b IN (FROM f_active) AND a NOT IN (FROM f_active) GROUP BY ALL""",
+    "replacement_rollup": "SELECT customer_num, updated AS srp_2_desc, round(avg(rating), 6) AS rating FROM f_rating JOIN f_curated USING (srp_2_desc) GROUP BY ALL",
+    "recommend": "SELECT customer_num, srp_2_desc, round(rating, 6) AS rating, outcome, imputed, pos FROM f_recs",
+    "recommend_with_remark": f"""SELECT customer_num AS "Customer", srp_2_desc AS "Product", trunc(rating * 10000) / 10000 AS "Rating", {_REMARK} AS "Remark",
+        CASE WHEN imputed = 0 THEN 'Known Pair' ELSE 'New Pair' END AS "History", pos FROM f_recs WHERE pos <= 10""",
+    "mrr_rows": "SELECT customer_num, srp_2_desc, CAST(rank AS DOUBLE) AS rank, round(reciprocal_rank, 6) AS reciprocal_rank, location FROM f_mrr",
+    "mrr": "SELECT round(avg(reciprocal_rank), 6) AS mrr FROM f_mrr",
+    "mrr_by_location": "SELECT location, round(avg(reciprocal_rank), 6) AS mrr FROM f_mrr GROUP BY 1",
+    "precision_recall_at_k": """SELECT round(avg(hits / 10), 6) AS precision, round(avg(hits / n), 6) AS recall FROM (
+        SELECT customer_num, sum(hit) AS hits, count(*) AS n FROM (SELECT DISTINCT customer_num, srp_2_desc, CASE WHEN rank <= 10 THEN 1.0 ELSE 0.0 END AS hit FROM f_mrr) GROUP BY 1)""",
+    "customer_lookup": """SELECT s.customer_num, CASE WHEN b.customer_num IS NULL THEN 'No name found in record' ELSE b.customer_name END AS customer_name
+        FROM (SELECT DISTINCT customer_num FROM f_sales) s LEFT JOIN f_baseline b ON s.customer_num = b.customer_num""",
+    "propensity_lookup": f"""SELECT customer_num, srp_2_desc, CASE WHEN trunc(w.outcome * 100) / 100 < 0.5 THEN '' ELSE {_REMARK.replace("outcome", "n.outcome")} END AS "Remark",
+        CASE WHEN n.imputed = 0 THEN 'Known Pair' ELSE 'New Pair' END AS "History", trunc(w.outcome * 100) / 100 AS win_prob
+        FROM {_imputed(_AFTER_PAIRS)} n JOIN {_imputed(_AFTER_PAIRS, "win_prob")} w USING (customer_num, srp_2_desc)""",
+    "coverage_stats": "SELECT count(DISTINCT customer_num) AS n_customers, count(DISTINCT c_nationkey) AS n_clusters FROM f_signed JOIN customer ON customer_num = CAST(c_custkey AS VARCHAR)",
+}
+
+GROUPS = [RELATIONAL, BUILDING, MODELLING]
 
 
 def statements() -> dict[str, str]:

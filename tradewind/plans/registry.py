@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import building, relational
+from . import building, modelling, relational
 
-MODULES = [relational, building]
+MODULES = [relational, building, modelling]
 
 
 def queries() -> dict:

@@ -513,9 +513,9 @@ def rank_products(spark, root):
 @query
 def cluster_max_score(spark, root):
     scores = (
-        fr.pair_ratings(spark, root)
+        fr.sales_before(spark, root)
         .groupBy(CUSTOMER)
-        .agg(F.round(F.avg("rating"), 4).alias("score"))
+        .agg(F.sum("dtl_qty_ordered").cast("double").alias("score"))
         .join(fr.customer_clusters(spark, root), CUSTOMER)
         .withColumnRenamed(CUSTOMER, "id")
     )
