@@ -23,7 +23,7 @@ from pyspark.sql.window import Window
 
 from ..settings import CUSTOMER, PAIR, PRODUCT
 from ..sources.stages import materialize
-from .aggregates import category_codes, mode_value
+from .aggregates import category_codes
 
 LABEL = "label"
 
@@ -296,13 +296,15 @@ def impute_predict(requests: DataFrame, scored: DataFrame, near_customers: DataF
     its product, each replaced by the nearest trained one if needed (imputed 1).  Ids unknown
     altogether give -1 (customer), -2 (product) or -3 (imputed -1).
 
-    The rows are never listed per request.  Counts of each value by customer, by product and by
+    The rows are never listed per request; they are counted once, into a table that is written as
+    five steps read it.  Counts of each value by customer, by product and by
     pair give the count over "customer or product"; its maximum is reached by a value the customer
     has, or by the product's own most frequent value."""
-    counts = scored.groupBy(*PAIR, F.col("predicted").alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    counts = materialize(scored.groupBy(*PAIR, F.col("predicted").alias("v")).agg(F.count(F.lit(1)).alias("n")))
     by_c = counts.groupBy(CUSTOMER, "v").agg(F.sum("n").alias("n_c"))
     by_p = counts.groupBy(PRODUCT, "v").agg(F.sum("n").alias("n_p"))
-    pair_mode = mode_value(scored, PAIR, "predicted").withColumnRenamed("mode", "own")
+    most = F.min(F.struct((-F.col("n")).alias("neg"), "v")).alias("most")
+    pair_mode = counts.groupBy(*PAIR).agg(most).select(*PAIR, F.col("most.v").alias("own"))
 
     def resolve(df: DataFrame, col: str, trained: DataFrame, near: DataFrame, out: str) -> DataFrame:
         ids = trained.select(col).distinct().withColumn("trained", F.lit(True))

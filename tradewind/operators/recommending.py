@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.ml.recommendation import ALS
 from pyspark.sql import DataFrame
@@ -34,32 +36,54 @@ def cluster_ratings(ratings: DataFrame, labels: DataFrame) -> DataFrame:
     return means.join(labels.where(F.col("cluster").isNotNull()), CUSTOMER).select("cluster", *PAIR, "rating")
 
 
-def als_fill(ratings: DataFrame, rank: int = 50, iters: int = 30, seed: int = 0, max_clusters: int = 100) -> DataFrame:
+def als_fill(ratings: DataFrame, rank: int = 50, iters: int = 30, seed: int = 0, max_clusters: int = 100, parallelism: int = 4) -> DataFrame:
     """Dense predicted ratings per cluster, ``[cluster, customer, product, rating]``.
 
     One implicit factorisation per cluster, as clusters must not influence each other; each reads
-    its own partition directory.  The factors of a cluster's products, of which there are few, are
-    one array that every customer row of the cluster is scored against, so customers are not
-    shuffled again."""
+    its own partition directory, ``parallelism`` fits at a time.  A customer or product without any positive rating has a zero
+    factor whatever the others are, so it is left out of the fit (which could not solve for it) and
+    scored zero.  The factors of a cluster's products, of which there are few, are one array that
+    every customer row of the cluster is scored against, so customers are not shuffled again."""
     spark = ratings.sparkSession
     customers = category_codes(ratings, CUSTOMER).select(CUSTOMER, F.col("code").cast("int").alias("user"))
     products = category_codes(ratings, PRODUCT).select(PRODUCT, F.col("code").cast("int").alias("item"))
     coded = ratings.join(customers, CUSTOMER).join(products, PRODUCT).select("cluster", "user", "item", "rating")
     path = write_partitioned_matrix(coded, shared_folder(spark))
-    clusters = [r.cluster for r in scan_matrix(spark, path).select("cluster").distinct().limit(max_clusters + 1).collect()]
+    matrix = scan_matrix(spark, path)
+    clusters = [r.cluster for r in matrix.select("cluster").distinct().limit(max_clusters + 1).collect()]
     if len(clusters) > max_clusters:
         raise ValueError(f"more than {max_clusters} clusters to factorise one by one")
     als = ALS(rank=rank, maxIter=iters, implicitPrefs=True, seed=seed, userCol="user", itemCol="item", ratingCol="rating")
-    users, items = None, None
-    for cluster in sorted(clusters):
-        model = als.fit(scan_matrix(spark, path, cluster))
-        u = model.userFactors.select(F.lit(cluster).alias("cluster"), F.col("id").alias("user"), F.col("features").alias("uf"))
-        i = model.itemFactors.select(F.lit(cluster).alias("cluster"), F.col("id").alias("item"), F.col("features").alias("pf"))
-        users, items = (u, i) if users is None else (users.unionByName(u), items.unionByName(i))
-    shelves = items.join(products, "item").groupBy("cluster").agg(F.collect_list(F.struct(PRODUCT, "pf")).alias("shelf"))
-    scored = materialize(users).join(shelves, "cluster").select("cluster", "user", "uf", F.explode("shelf").alias("p"))
-    products_of = F.zip_with("uf", F.col("p.pf"), lambda x, y: x.cast("double") * y)
-    rating = F.aggregate(products_of, F.lit(0.0), lambda x, y: x + y)
+
+    def factors(cluster):
+        part = scan_matrix(spark, path, cluster)
+        liked = part.where("rating > 0")
+        fitted = part.join(liked.select("user").distinct(), "user", "left_semi").join(
+            liked.select("item").distinct(), "item", "left_semi"
+        )
+        model = als.fit(fitted)
+        named = lambda df, key, vector: df.select(F.lit(cluster).alias("cluster"), F.col("id").alias(key), F.col("features").alias(vector))
+        return named(model.userFactors, "user", "uf"), named(model.itemFactors, "item", "pf")
+
+    with ThreadPoolExecutor(parallelism) as pool:
+        found = list(pool.map(factors, sorted(clusters)))
+    users = reduce(DataFrame.unionByName, [u for u, _ in found])
+    items = reduce(DataFrame.unionByName, [i for _, i in found])
+    # The matrix directory types the cluster by what its names look like.
+    members = matrix.select(F.col("cluster").cast(ratings.schema["cluster"].dataType).alias("cluster"), "user", "item")
+    typed = lambda df: df.withColumn("cluster", F.col("cluster").cast(ratings.schema["cluster"].dataType))
+    rows = members.select("cluster", "user").distinct().join(materialize(typed(users)), ["cluster", "user"], "left")
+    shelves = (
+        members.select("cluster", "item")
+        .distinct()
+        .join(materialize(typed(items)), ["cluster", "item"], "left")
+        .join(products, "item")
+        .groupBy("cluster")
+        .agg(F.collect_list(F.struct(PRODUCT, "pf")).alias("shelf"))
+    )
+    scored = rows.join(shelves, "cluster").select("cluster", "user", "uf", F.explode("shelf").alias("p"))
+    terms = F.zip_with("uf", F.col("p.pf"), lambda x, y: x.cast("double") * y)
+    rating = F.coalesce(F.aggregate(terms, F.lit(0.0), lambda x, y: x + y), F.lit(0.0))
     return scored.join(customers, "user").select("cluster", CUSTOMER, F.col(f"p.{PRODUCT}").alias(PRODUCT), rating.alias("rating"))
 
 

@@ -152,13 +152,17 @@ def _scored(spark, root, value):
 
 
 def _near_ids(spark, root):
+    return _kept("near ids", spark, root, lambda: _find_near_ids(spark, root))
+
+
+def _find_near_ids(spark, root):
     trained = _scored(spark, root, F.lit(1)).select(CUSTOMER).distinct()
     base = t.baseline(spark, root)
     unknown, known = base.join(trained, CUSTOMER, "left_anti"), base.join(trained, CUSTOMER, "left_semi")
     products = fr.curated(spark, root)
     near_c = di.nearest_by_profile(unknown, known, CUSTOMER, CUSTOMER_WEIGHTS)
     near_p = di.nearest_entity(product_distances(spark, root), products.where("active = 'N'"), _active(spark, root), PRODUCT)
-    return near_c, near_p
+    return materialize(near_c), materialize(near_p)
 
 
 def _won(c="predicted"):
@@ -280,7 +284,7 @@ def replacement_rollup(spark, root):
 
 def _recommend_inputs(spark, root):
     curated = fr.curated(spark, root)
-    matrix = fr.pair_ratings(spark, root).withColumns(six("rating"))
+    matrix = fr.pair_ratings(spark, root)
     grid = jn.cross_score_grid(matrix, curated)
     propensity = grid.select(
         *PAIR,

@@ -459,7 +459,7 @@ CTES["f_even"] = """
         WHERE c_custkey % 2 = 0"""
 CTES["f_recs"] = """
         SELECT *, row_number() OVER (PARTITION BY customer_num ORDER BY rating DESC, outcome DESC, imputed, srp_2_desc) AS pos FROM (
-            SELECT customer_num, updated AS srp_2_desc, avg(round(rating, 6)) AS rating, CAST(substring(updated, 7) AS BIGINT) % 2 AS outcome,
+            SELECT customer_num, updated AS srp_2_desc, avg(rating) AS rating, CAST(substring(updated, 7) AS BIGINT) % 2 AS outcome,
                    CAST(customer_num AS BIGINT) % 2 AS imputed
             FROM f_rating r JOIN f_curated c ON r.srp_2_desc = c.srp_2_desc GROUP BY customer_num, updated) g
         WHERE NOT EXISTS (SELECT 1 FROM (VALUES ('Brand#1', 'Brand#2'), ('Brand#3', 'Brand#2'), ('Brand#4', 'Brand#4')) m(product, service)
