@@ -104,13 +104,17 @@ def train_test_split(df: DataFrame, key: Column, pct: int = 80) -> DataFrame:
     return df.withColumn("split", F.when(hashed(key) % 100 < pct, "train").otherwise("test"))
 
 
-def pick_by_hash(df: DataFrame, label: str, key: Column, wanted: DataFrame) -> DataFrame:
-    """Exactly ``wanted`` (``[label, n]``) rows of each class: those with the smallest key hash.
+def pick_by_hash(df: DataFrame, label: str, key: Column, wanted: DataFrame | None = None) -> DataFrame:
+    """Exactly ``wanted`` (``[label, n]``) rows of each class, those with the smallest key hash; by
+    default as many of each as the smallest class has.
 
     Rows are counted in 65,536 hash buckets per class; whole buckets are taken up to the one where
-    the quota ends, and only that bucket's rows are ranked."""
+    the quota ends, and a part of that one by rank."""
     rows = df.withColumn("hash", F.md5(key)).withColumn("bucket", F.substring("hash", 1, 4))
-    counts = rows.groupBy(label, "bucket").agg(F.count(F.lit(1)).alias("size"))
+    counts = materialize(rows.groupBy(label, "bucket").agg(F.count(F.lit(1)).alias("size")))
+    if wanted is None:
+        sizes = counts.groupBy(label).agg(F.sum("size").alias("n"))
+        wanted = sizes.select(label, sizes.agg(F.min("n").alias("n")).scalar().alias("n"))
     upto = Window.partitionBy(label).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     quota = (
         counts.withColumn("before", F.coalesce(F.sum("size").over(upto), F.lit(0)))
@@ -119,19 +123,16 @@ def pick_by_hash(df: DataFrame, label: str, key: Column, wanted: DataFrame) -> D
         .where("left > 0")
         .select(label, "bucket", F.when(F.col("left") < F.col("size"), F.col("left")).alias("part"))
     )
+    # A bucket holds a 65,536th of a class, so ranking within all of them is a spread-out sort, and
+    # the rows are read once.
     taken = rows.join(quota, [label, "bucket"])
-    whole = taken.where("part IS NULL")
-    ranked = taken.where("part IS NOT NULL").withColumn(
-        "rank", F.row_number().over(Window.partitionBy(label, "bucket").orderBy("hash"))
-    )
-    return whole.select(*df.columns).unionByName(ranked.where("rank <= part").select(*df.columns))
+    order = Window.partitionBy(label, "bucket").orderBy("hash")
+    return taken.withColumn("rank", F.row_number().over(order)).where("part IS NULL OR rank <= part").select(*df.columns)
 
 
 def undersample(df: DataFrame, label: str, key: Column) -> DataFrame:
     """Every class reduced to the size of the smallest one."""
-    sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("size"))
-    wanted = sizes.select(label, sizes.agg(F.min("size").alias("n")).scalar().alias("n"))
-    return pick_by_hash(df, label, key, wanted)
+    return pick_by_hash(df, label, key)
 
 
 def _neighbours(rows: DataFrame, cols: list[str], k: int, seed: int, looks: int, edges: int) -> DataFrame:

@@ -47,17 +47,17 @@ def product_details(spark, root):
 
 @query
 def prediction_train(spark, root):
-    return ds.prediction_train(t.sales(spark, root, geography=True), t.opportunities(spark, root))
+    return ds.prediction_train(t.sales(spark, root, geography=True), t.opportunities(spark, root), complete=True)
 
 
 @query
 def prediction_test(spark, root):
-    return ds.prediction_test(t.sales(spark, root, geography=True), t.opportunities(spark, root))
+    return ds.prediction_test(t.sales(spark, root, geography=True), t.opportunities(spark, root), complete=True)
 
 
 @query
 def propensity_train(spark, root):
-    df = ds.propensity_train(t.sales(spark, root, geography=True), literal=True)
+    df = ds.propensity_train(t.sales(spark, root, geography=True), literal=True, complete=True)
     return df.withColumns(six("gap_mean", "gap_std")).withColumn("outcome", F.col("outcome").cast("bigint"))
 
 

@@ -32,7 +32,7 @@ def opps_before(spark: SparkSession, root: str) -> DataFrame:
 
 
 def invoices_before(spark: SparkSession, root: str, cols: list[str] | None = None) -> DataFrame:
-    return invoices_of(sales_before(spark, root), cols or ["dtl_invoice_dt", "dtl_order_dt", "dtl_qty_ordered"])
+    return invoices_of(sales_before(spark, root), cols or ["dtl_invoice_dt", "dtl_order_dt", "dtl_qty_ordered"], complete=True)
 
 
 def invoice_dates(sales: DataFrame) -> DataFrame:

@@ -41,12 +41,12 @@ def _kept(name: str, spark, root, make):
 
 def _win_train(spark, root) -> DataFrame:
     return _kept(
-        "win train", spark, root, lambda: materialize(ds.prediction_train(t.sales(spark, root, True), t.opportunities(spark, root)))
+        "win train", spark, root, lambda: materialize(ds.prediction_train(t.sales(spark, root, True), t.opportunities(spark, root), complete=True))
     )
 
 
 def _propensity_rows(spark, root) -> DataFrame:
-    return _kept("propensity", spark, root, lambda: materialize(ds.propensity_train(t.sales(spark, root, True))))
+    return _kept("propensity", spark, root, lambda: materialize(ds.propensity_train(t.sales(spark, root, True), complete=True)))
 
 
 WIN_FEATURES = [c for c in ds.FEATURES if c != "iswon"]
@@ -102,7 +102,7 @@ def smote_upsample(spark, root):
 def win_model(spark, root):
     """Accuracy on the training rows and on the rows after the cutoff."""
     model = _win(spark, root)
-    test = ds.prediction_test(t.sales(spark, root, True), t.opportunities(spark, root))
+    test = ds.prediction_test(t.sales(spark, root, True), t.opportunities(spark, root), complete=True)
     parts = {"train": _win_train(spark, root), "test": test}
     results = []
     for name, rows in parts.items():
@@ -156,7 +156,7 @@ def _near_ids(spark, root):
 
 
 def _find_near_ids(spark, root):
-    trained = _scored(spark, root, F.lit(1)).select(CUSTOMER).distinct()
+    trained = materialize(_scored(spark, root, F.lit(1)).select(CUSTOMER).distinct())
     base = t.baseline(spark, root)
     unknown, known = base.join(trained, CUSTOMER, "left_anti"), base.join(trained, CUSTOMER, "left_semi")
     products = fr.curated(spark, root)

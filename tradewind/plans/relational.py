@@ -391,7 +391,7 @@ INVOICE_COLS = ["dtl_invoice_dt", "dtl_qty_ordered", "dtl_unit_cost", "dtl_line_
 
 @query
 def first_per_key(spark, root):
-    return agg.invoices_of(t.sales(spark, root), INVOICE_COLS)
+    return agg.invoices_of(t.sales(spark, root), INVOICE_COLS, complete=True)
 
 
 @query
