@@ -6,7 +6,7 @@ from __future__ import annotations
 import datetime as dt
 from itertools import combinations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -173,20 +173,25 @@ def mode_value(df: DataFrame, keys: list[str], val: str) -> DataFrame:
     )
 
 
-def category_codes(df: DataFrame, col: str) -> DataFrame:
-    """``[col, code]``: distinct values numbered from 0 in sorted order.
+def numbered(df: DataFrame, order: list[Column]) -> DataFrame:
+    """Add ``place``, the row's number from 0 in the given order over the whole table.
 
-    Distinct values are range-partitioned and fixed with a checkpoint; each partition numbers its
-    own values and adds the sizes of the partitions before it, so no task sorts all values."""
-    values = df.select(col).where(F.col(col).isNotNull()).distinct()
-    fixed = checkpointed(values.repartitionByRange(F.col(col)).select(col, F.spark_partition_id().alias("part")))
+    Rows are range-partitioned and fixed with a checkpoint; each partition numbers its own rows and
+    adds the sizes of the partitions before it, so no task sorts all rows.  The order should tell
+    rows apart, so that equal values can be split over partitions."""
+    fixed = checkpointed(df.repartitionByRange(*order).withColumn("part", F.spark_partition_id()))
     sizes = fixed.groupBy("part").agg(F.count(F.lit(1)).alias("size"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("part", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("start"))
-    place = F.row_number().over(Window.partitionBy("part").orderBy(col))
-    return fixed.select(col, "part", place.alias("place")).join(starts, "part").select(
-        col, (F.col("start") + F.col("place") - 1).cast("bigint").alias("code")
-    )
+    within = F.row_number().over(Window.partitionBy("part").orderBy(*order))
+    placed = fixed.withColumn("within", within).join(starts, "part")
+    return placed.select(*df.columns, (F.col("start") + F.col("within") - 1).cast("bigint").alias("place"))
+
+
+def category_codes(df: DataFrame, col: str) -> DataFrame:
+    """``[col, code]``: distinct values numbered from 0 in sorted order."""
+    values = df.select(col).where(F.col(col).isNotNull()).distinct()
+    return numbered(values, [F.col(col)]).withColumnRenamed("place", "code")
 
 
 def correlation_matrix(df: DataFrame, cols: list[str]) -> DataFrame:

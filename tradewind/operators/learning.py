@@ -151,7 +151,8 @@ def _neighbours(rows: DataFrame, cols: list[str], k: int, seed: int, looks: int,
             along = along + F.col(c) * a
         jitter = hashed(F.concat_ws("|", F.col("key"), F.lit(str(look)))) / float(2**32) * 1e-6
         lined = rows.select("key", values.alias("at"), (along + jitter).alias("along"))
-        cuts = lined.agg(F.percentile_approx("along", [i / edges for i in range(1, edges)], 10_000).alias("cuts")).scalar()
+        shares = [i / edges for i in range(1, edges)] or [1.0]
+        cuts = lined.agg(F.percentile_approx("along", shares, 10_000).alias("cuts")).scalar()
         placed = lined.withColumn("cuts", cuts).withColumn("range", F.size(F.filter("cuts", lambda c: c < F.col("along"))))
         line = Window.partitionBy("range").orderBy("along", "key")
         near = F.array(
@@ -169,16 +170,18 @@ def _neighbours(rows: DataFrame, cols: list[str], k: int, seed: int, looks: int,
 
 
 def smote_upsample(
-    df: DataFrame, label: str, cols: list[str], key: Column, k: int = 5, seed: int = 1, looks: int = 4, ranges: int = 64
+    df: DataFrame, label: str, cols: list[str], key: Column, k: int = 5, seed: int = 1, looks: int = 4, ranges: int | None = None
 ) -> DataFrame:
     """``[label, *cols]`` with the smaller of two classes raised to the size of the larger one.
 
     Each new row lies between a row of the smaller class and one of its k neighbours, at a share
-    drawn from a hash.  Neighbours are near ones, found along random directions."""
+    drawn from a hash.  Neighbours are near ones, found along random directions; ``ranges`` is the
+    number of value ranges searched apart, by default one per 5,000 rows up to 1,024."""
     sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("size")).orderBy("size", label).collect()
     if len(sizes) != 2:
         raise ValueError("two classes are needed")
     (small, few), (_, many) = [(r[label], r["size"]) for r in sizes]
+    ranges = ranges or min(1024, max(1, few // 5000))
     rows = df.where(F.col(label) == small).withColumn("key", key)
     each, extra = divmod(many - few, few)
     one_more = pick_by_hash(rows.withColumn("one", F.lit(1)), "one", F.col("key"), df.sparkSession.createDataFrame([(1, extra)], "one int, n long"))

@@ -12,6 +12,7 @@ from ..operators import joins as jn
 from ..operators import learning as ln
 from ..operators import ranking as rk
 from ..operators import recommending as rc
+from ..operators import windows as wn
 from ..settings import CUSTOMER, PAIR, PRODUCT
 from ..sources import tables as t
 from ..sources.stages import materialize
@@ -242,6 +243,17 @@ def als_fill(spark, root):
     )
 
 
+@query
+def rmse_delta(spark, root):
+    """Error of the factorisation for growing factor counts, and what each step gains."""
+    ratings = materialize(rc.cluster_ratings(_signed(spark, root), _regions(spark, root)))
+    tried = []
+    for factors in (2, 4, 8):
+        error = rc.factorisation_rmse(rc.als_fill(ratings, rank=factors, iters=5), ratings)
+        tried.append(error.agg(F.avg("rmse").alias("rmse")).select(F.lit(factors).alias("factors"), "rmse"))
+    return wn.rmse_delta(tried[0].unionByName(tried[1]).unionByName(tried[2]))
+
+
 @query
 def factorisation_rmse(spark, root):
     actual = rc.cluster_ratings(_signed(spark, root), fr.customer_clusters(spark, root))
