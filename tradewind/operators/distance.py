@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scoring
+from ..sources.stages import materialize
 from .joins import MAX_PAIRED, self_pairs
 
 NUMERIC, MATCHING, JACCARD = "numeric", "matching", "jaccard"
@@ -160,7 +161,7 @@ def profile_distances(profiled: DataFrame, weights: Mapping[str, float], limit:
 
     Two entities with the same profile are at distance 0 only if none of its values is missing."""
     cols = list(weights)
-    values = profiled.select("profile", *cols).distinct()
+    values = materialize(profiled.select("profile", *cols).distinct())
     pairs = pairwise_features(values, "profile", {c: MATCHING for c in cols}, limit=limit)
     own = values.select(
         F.col("profile").alias("a"), F.col("profile").alias("b"), *[scoring.matching_distance(F.col(c), F.col(c)).alias(c) for c in cols]

@@ -28,8 +28,8 @@ def presence_full_outer(sources: dict[str, DataFrame]) -> DataFrame:
 
     Full outer joins of five customer tables are one union and one grouped aggregate: a customer
     with very many rows in one source is folded to a single row before the shuffle.  Only the table
-    keyed by ``definitive_id`` is joined, and customers without that id skip the join so that their
-    null keys do not meet in one task."""
+    keyed by ``definitive_id`` is joined; a customer without that id joins under its own number, which
+    matches nothing, so that missing ids do not meet in one task."""
     keyed_by_customer = [s for s in SOURCES if s != "EDD"]
 
     def rows(name: str) -> DataFrame:
@@ -62,11 +62,14 @@ def presence_full_outer(sources: dict[str, DataFrame]) -> DataFrame:
         .agg(F.min(F.nullif(F.col("customer_name"), F.lit(""))).alias("name_EDD"))
         .withColumn("IN_EDD", F.lit(True))
     )
-    linked = known.where(F.col("definitive_id").isNotNull()).join(hospitals, "definitive_id", "full")
-    both = linked.unionByName(known.where(F.col("definitive_id").isNull()), allowMissingColumns=True)
+    no_id = F.col("definitive_id").isNull()
+    known = known.withColumn("unlinked", F.when(no_id, F.col(CUSTOMER)).otherwise("")).withColumn(
+        "definitive_id", F.coalesce("definitive_id", F.lit(""))
+    )
+    both = known.join(hospitals.withColumn("unlinked", F.lit("")), ["definitive_id", "unlinked"], "full")
     return both.select(
         F.coalesce(CUSTOMER, F.lit("")).alias(CUSTOMER),
-        F.coalesce("definitive_id", F.lit("")).alias("definitive_id"),
+        "definitive_id",
         *[F.coalesce(f"IN_{s}", F.lit(False)).alias(f"IN_{s}") for s in SOURCES],
         *[f"name_{s}" for s in NAME_ORDER],
     )

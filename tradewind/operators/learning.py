@@ -252,13 +252,9 @@ def accuracy(df: DataFrame) -> DataFrame:
     return df.agg(F.avg((F.col(LABEL) == F.col("predicted")).cast("int")).alias("accuracy"))
 
 
-def _cells(df: DataFrame) -> DataFrame:
-    return df.groupBy(LABEL, "predicted").agg(F.count(F.lit(1)).alias("n"))
-
-
 def confusion_matrix(df: DataFrame) -> DataFrame:
-    """``[label, predicted, n]`` including the empty cells."""
-    cells = _cells(df)
+    """``[label, predicted, n]`` including the empty cells; the rows are read once."""
+    cells = materialize(df.groupBy(LABEL, "predicted").agg(F.count(F.lit(1)).alias("n")))
     classes = cells.agg(F.array_distinct(F.concat(F.collect_set(LABEL), F.collect_set("predicted"))).alias("classes"))
     grid = classes.select("classes", F.explode("classes").alias(LABEL)).select(LABEL, F.explode("classes").alias("predicted"))
     return grid.join(cells, [LABEL, "predicted"], "left").select(LABEL, "predicted", F.coalesce("n", F.lit(0)).alias("n"))

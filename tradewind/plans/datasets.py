@@ -146,10 +146,10 @@ def propensity_train(
     next purchase came within ``near_sale_days``.
 
     With ``literal=True`` a pair that never bought again counts as buying ``max_days`` after its
-    last purchase, which labels long-silent pairs as near.  All parts are aggregates by pair, so
+    last purchase, which labels long-silent pairs as near.  Invoices are written once; all parts are aggregates by pair, so
     joining them needs no further shuffle."""
     before, _ = cl.cutoff_split(sales, "dtl_invoice_dt", settings.cutoff)
-    invoices = agg.invoices_of(before, PROPENSITY_COLS, complete)
+    invoices = materialize(agg.invoices_of(before, PROPENSITY_COLS, complete))
     latest = wn.last_row_per_pair(invoices)
     when = agg.last_next_purchase(sales, settings.cutoff)
     days = F.datediff("next_dt", F.lit(settings.cutoff))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..operators import cleaning
 from ..operators.aggregates import invoices_of
@@ -43,8 +44,8 @@ def invoice_dates(sales: DataFrame) -> DataFrame:
 def pair_ratings(spark: SparkSession, root: str) -> DataFrame:
     """Stand-in rating: a pair's share of the customer's best product quantity, in [-1, 1]."""
     qty = sales_before(spark, root).groupBy(*PAIR).agg(F.sum("dtl_qty_ordered").alias("qty"))
-    top = qty.groupBy(CUSTOMER).agg(F.max("qty").alias("top"))
-    return qty.join(top, CUSTOMER).select(*PAIR, (F.col("qty") / F.col("top") * 2 - 1).alias("rating"))
+    top = F.max("qty").over(Window.partitionBy(CUSTOMER))
+    return qty.select(*PAIR, (F.col("qty") / top * 2 - 1).alias("rating"))
 
 
 def customer_clusters(spark: SparkSession, root: str) -> DataFrame:

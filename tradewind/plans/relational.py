@@ -346,6 +346,7 @@ def group_fill(spark, root):
         fr.invoices_before(spark, root, ["dtl_qty_ordered"]).select(*PAIR, F.col("dtl_invoice_num").alias("doc"), "dtl_qty_ordered"),
         fr.opps_before(spark, root).select(*PAIR, F.concat(F.lit("opp"), "opp_id").alias("doc"), "family"),
     ).withColumn("place", F.concat_ws("|", "doc", *PAIR))
+    both = stages.materialize(both)
     return jn.group_fill(both, {CUSTOMER: ["dtl_qty_ordered"], PRODUCT: ["family"]}, "place").select(
         *PAIR, "doc", F.col("dtl_qty_ordered").cast("double").alias("dtl_qty_ordered"), "family"
     )
