@@ -166,3 +166,34 @@ def test_selection_and_search(spark):
     runs = cu.weight_search(pairs, ["f", "g"], 0.6, n_trials=3, seed=1)
     best = {r.feature: r.weight for r in cu.best_run_weights(runs, ["f", "g", "h"]).collect()}
     assert best["h"] == pytest.approx((best["f"] + best["g"]) / 2)
+
+
+def test_profiles_of_numbers_and_lists_equal_all_pairs(spark):
+    draw = random.Random(11)
+    lists = [["a", "b"], ["b", "a", None], ["b", "c"], [], None]
+    rows = [(f"e{i:02d}", draw.choice(["x", None]), draw.choice([1.0, 2.5, None]), draw.choice(lists), draw.randint(1, 2)) for i in range(40)]
+    at = {r[0]: r for r in rows}
+
+    def apart(a, b):
+        (_, f, n, items, _), (_, f2, n2, items2, _) = at[a], at[b]
+        match = 0.0 if f is not None and f == f2 else 1.0
+        number = 1.0 if n is None or n2 is None else abs(n - n2) / (1 + abs(n - n2))
+        if items is None or items2 is None:
+            shared = 1.0
+        else:
+            x, y = set(items) - {None}, set(items2) - {None}
+            shared = 1 - len(x & y) / len(x | y) if x | y else 0.0
+        return (match + 2 * number + 3 * shared) / 6
+
+    df = spark.createDataFrame(rows, "id string, f string, n double, items array<string>, cluster int")
+    weights, metrics = {"f": 1.0, "n": 2.0, "items": 3.0}, {"n": di.NUMERIC, "items": di.JACCARD}
+    pairs = pair_frame(spark, at, apart)
+    labels = df.select("id", "cluster")
+    assert cu.wcss_by_profile(df, weights, metrics).first().wcss == pytest.approx(cu.wcss(pairs, labels).first().wcss)
+    exact = {r.id: r.score for r in cu.silhouette(pairs, labels).collect()}
+    assert {r.id: r.score for r in cu.silhouette_by_profile(df, "id", weights, metrics).collect()} == pytest.approx(exact)
+    known, unknown = df.where("cluster = 1"), df.where("cluster = 2")
+    near = {r.id: (r.d, r.nearest) for r in di.nearest_by_profile(unknown, known, "id", weights, metrics).collect()}
+    for r in rows:
+        if r[4] == 2:
+            assert near[r[0]][0] == pytest.approx(min(apart(r[0], k[0]) for k in rows if k[4] == 1))

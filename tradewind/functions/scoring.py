@@ -56,6 +56,13 @@ def matching_distance(a: Column, b: Column) -> Column:
     return F.when(a == b, 0.0).otherwise(1.0)
 
 
+def list_distance(a: Column, b: Column) -> Column:
+    """Jaccard distance of two arrays; repeats and nulls in them do not count."""
+    x, y = F.array_distinct(F.array_compact(a)), F.array_distinct(F.array_compact(b))
+    sizes = [F.when(c.isNotNull(), F.size(d)) for c, d in ((a, x), (b, y))]
+    return jaccard_distance(F.size(F.array_intersect(x, y)), *sizes)
+
+
 def jaccard_distance(shared: Column, size_a: Column, size_b: Column) -> Column:
     """From set sizes; a null size is a missing list, at distance 1 from everything."""
     union = size_a + size_b - shared

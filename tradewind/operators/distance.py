@@ -5,9 +5,11 @@ Two ways to work with them:
 * **pair tables** ``[id_i, id_j, d]`` for bounded dimensions such as products (``joins.MAX_PAIRED``
   is checked inside the query).  List features (customers of a product) grow with the data; they
   are compared through counts of shared elements and never gathered per product.
-* **profiles** for customers, which are too many to pair.  Customers with equal categorical values
-  are one profile; distances are needed between profiles only, and every sum over customers is a
-  sum over profiles times counts.  The results equal the all-pairs ones exactly.
+* **profiles** for customers, which are too many to pair.  Customers with equal feature values are
+  one profile; distances are needed between profiles only, and every sum over customers is a sum
+  over profiles times counts.  The results equal the all-pairs ones exactly.  Categorical features
+  make few profiles whatever the number of customers; numbers and product lists can be used too,
+  as long as the distinct combinations stay within the same checked bound.
 """
 
 from __future__ import annotations
@@ -23,7 +25,11 @@ from .joins import MAX_PAIRED, self_pairs
 
 NUMERIC, MATCHING, JACCARD = "numeric", "matching", "jaccard"
 SMALLEST = 1e-6
-METRICS = {NUMERIC: scoring.numeric_distance, MATCHING: scoring.matching_distance}
+METRICS = {
+    NUMERIC: scoring.numeric_distance,
+    MATCHING: scoring.matching_distance,
+    JACCARD: scoring.list_distance,
+}
 
 
 def _with_values(pairs: DataFrame, entities: DataFrame, key: str, cols: list[str]) -> DataFrame:
@@ -60,8 +66,8 @@ def pairwise_features(
 ) -> DataFrame:
     """``[id_i, id_j, <one distance per feature>]`` over all pairs of a bounded dimension.
 
-    ``scalars`` maps a column to its metric; ``lists`` maps a feature to its distinct
-    ``[key, element]`` table."""
+    ``scalars`` maps a column to its metric (arrays of bounded length may use the list metric);
+    ``lists`` maps a feature with long lists to its distinct ``[key, element]`` table."""
     pairs = _with_values(self_pairs(entities, key, limit), entities, key, list(scalars))
     distances: dict[str, Column] = {
         c: METRICS[metric](F.col(f"{c}_i"), F.col(f"{c}_j")) for c, metric in scalars.items()
@@ -152,28 +158,34 @@ def affinity_weights(
 
 
 def with_profile(entities: DataFrame, cols: list[str]) -> DataFrame:
-    """Add ``profile``, a text key of the categorical values (nulls are kept apart)."""
+    """Add ``profile``, a text key of the feature values (nulls are kept apart)."""
     return entities.withColumn("profile", F.to_json(F.struct(*cols)))
 
 
-def profile_distances(profiled: DataFrame, weights: Mapping[str, float], limit: int = MAX_PAIRED) -> DataFrame:
+def profile_distances(
+    profiled: DataFrame, weights: Mapping[str, float], metrics: Mapping[str, str] | None = None, limit: int = MAX_PAIRED
+) -> DataFrame:
     """``[a, b, d]`` between all profiles in both directions, and of each profile with itself.
 
-    Two entities with the same profile are at distance 0 only if none of its values is missing."""
+    ``metrics`` names the metric of features that are not categorical.  Two entities with the same
+    profile are at distance 0 only if none of its values is missing."""
     cols = list(weights)
+    used = {c: (metrics or {}).get(c, MATCHING) for c in cols}
     values = materialize(profiled.select("profile", *cols).distinct())
-    pairs = pairwise_features(values, "profile", {c: MATCHING for c in cols}, limit=limit)
+    pairs = pairwise_features(values, "profile", used, limit=limit)
     own = values.select(
-        F.col("profile").alias("a"), F.col("profile").alias("b"), *[scoring.matching_distance(F.col(c), F.col(c)).alias(c) for c in cols]
+        F.col("profile").alias("a"), F.col("profile").alias("b"), *[METRICS[used[c]](F.col(c), F.col(c)).alias(c) for c in cols]
     )
     return mirrored(pairs).unionByName(own).select("a", "b", mean_distance(weights).alias("d"))
 
 
-def nearest_by_profile(unknown: DataFrame, known: DataFrame, key: str, weights: Mapping[str, float]) -> DataFrame:
+def nearest_by_profile(
+    unknown: DataFrame, known: DataFrame, key: str, weights: Mapping[str, float], metrics: Mapping[str, str] | None = None
+) -> DataFrame:
     """``nearest_entity`` for many entities: one comparison per pair of profiles."""
     cols = list(weights)
     unknown, known = with_profile(unknown, cols), with_profile(known, cols)
-    d = profile_distances(unknown.select("profile", *cols).unionByName(known.select("profile", *cols)), weights)
+    d = profile_distances(unknown.select("profile", *cols).unionByName(known.select("profile", *cols)), weights, metrics)
     picks = known.groupBy(F.col("profile").alias("b")).agg(F.min(key).alias("nearest"))
     best = d.join(picks, "b").groupBy(F.col("a").alias("profile")).agg(F.min(F.struct("d", "nearest")).alias("best"))
     return unknown.join(best, "profile").select(F.col(key).alias("id"), "best.nearest", "best.d")

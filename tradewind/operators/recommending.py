@@ -96,7 +96,11 @@ def factorisation_rmse(predicted: DataFrame, actual: DataFrame) -> DataFrame:
 
 
 def fill_unseen_customers(
-    ratings: DataFrame, customers: DataFrame, features: Mapping[str, float], weighting: str = "inverse"
+    ratings: DataFrame,
+    customers: DataFrame,
+    features: Mapping[str, float],
+    weighting: str = "inverse",
+    metrics: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Ratings for cluster members that have none: the mean of the cluster's rated members weighted
     by closeness (``"inverse"``) or by distance (``"distance"``), ``[cluster, customer, product, rating]``.
@@ -107,7 +111,7 @@ def fill_unseen_customers(
     cells = with_profile(customers, list(features))
     rated = ratings.select(CUSTOMER).distinct()
     targets = cells.join(rated, CUSTOMER, "left_anti")
-    d = profile_distances(cells, features)
+    d = profile_distances(cells, features, metrics)
     near = F.greatest(F.col("d"), F.lit(SMALLEST))
     weights = d.select("a", "b", (1 / near if weighting == "inverse" else near).alias("w"))
     sums = (
