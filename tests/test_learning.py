@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tradewind.operators import learning as ln
 from tradewind.operators import recommending as rc
+from tradewind.operators.logistic import logistic_mf
 
 PAIRS = "customer_num string, srp_2_desc string"
 
@@ -116,6 +117,24 @@ def test_als_scores_every_cell_and_beats_the_mean(spark):
     assert means[True] > means[False] + 0.5
 
 
+def test_logistic_factors_tell_bought_from_not(spark):
+    draw = random.Random(4)
+    rows = []
+    for i in range(60):
+        for j in range(8):
+            if (i // 2 + j) % 2 and draw.random() < 0.8:
+                rows.append((i % 2, f"c{i:02d}", f"p{j}", 1.0))
+            elif draw.random() < 0.2:
+                rows.append((i % 2, f"c{i:02d}", f"p{j}", -0.5))
+    ratings = spark.createDataFrame(rows, "cluster int, customer_num string, srp_2_desc string, rating double")
+    scored = logistic_mf(ratings, rank=4, iters=8)
+    assert scored.count() == 60 * 8
+    fits = (F.substring("customer_num", 2, 2).cast("int") / 2).cast("int") + F.substring("srp_2_desc", 2, 1).cast("int")
+    means = {r.odd: r.m for r in scored.groupBy((fits % 2).alias("odd")).agg(F.avg("rating").alias("m")).collect()}
+    # A pair with rating r settles at odds of r to 1, so bought pairs lie near 0 and others far below.
+    assert means[1] > means[0] + 1
+
+
 def test_recommend_without_remark_and_for_one_customer(spark):
     matrix = spark.createDataFrame([("a", "old", 0.2), ("a", "new", 0.6), ("a", "other", 0.9), ("b", "new", 0.1)], PAIRS + ", rating double")
     curated = spark.createDataFrame([("old", "new"), ("new", "new")], "srp_2_desc string, updated string")

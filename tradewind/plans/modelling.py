@@ -10,6 +10,7 @@ from ..operators import cleaning as cl
 from ..operators import distance as di
 from ..operators import joins as jn
 from ..operators import learning as ln
+from ..operators import logistic
 from ..operators import ranking as rk
 from ..operators import recommending as rc
 from ..operators import windows as wn
@@ -243,6 +244,17 @@ def als_fill(spark, root):
     )
 
 
+@query
+def logistic_mf(spark, root):
+    """Mean score of positively and of negatively rated pairs per cluster."""
+    ratings = rc.cluster_ratings(_signed(spark, root), _regions(spark, root))
+    scored = logistic.logistic_mf(ratings)
+    both = scored.withColumnRenamed("rating", "score").join(ratings, ["cluster", *PAIR])
+    return both.groupBy("cluster", (F.col("rating") > 0).alias("liked")).agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.avg("score"), 4).alias("mean_score")
+    )
+
+
 @query
 def rmse_delta(spark, root):
     """Error of the factorisation for growing factor counts, and what each step gains."""
