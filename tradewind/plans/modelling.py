@@ -64,7 +64,7 @@ def _opp_key():
 
 
 def _win(spark, root) -> ln.Classifier:
-    return _kept("win", spark, root, lambda: ln.win_model(_win_train(spark, root), WIN_FEATURES, iterations=20))
+    return _kept("win", spark, root, lambda: ln.win_model(_win_train(spark, root), WIN_FEATURES))
 
 
 def _halves(spark, root):
@@ -73,7 +73,7 @@ def _halves(spark, root):
 
 
 def _near(spark, root) -> ln.Classifier:
-    return _kept("near", spark, root, lambda: ln.propensity_model(_halves(spark, root)[0], PROPENSITY_FEATURES, trees=100, depth=10))
+    return _kept("near", spark, root, lambda: ln.propensity_model(_halves(spark, root)[0], PROPENSITY_FEATURES, trees=100))
 
 
 @query
@@ -207,7 +207,7 @@ def permutation_importance(spark, root):
 @query
 def model_comparison(spark, root):
     features = ["dtl_qty_ordered", "dtl_unit_cost", "dtl_unit_price", "gap_mean", "gap_std", "last_purchase_to_cutoff", "dtl_line_type"]
-    return ln.model_comparison(_propensity_rows(spark, root), F.col("outcome"), features, _row_key(), k=3)
+    return ln.model_comparison(_propensity_rows(spark, root), F.col("outcome"), features, _row_key(), k=5)
 
 
 # recommendations
