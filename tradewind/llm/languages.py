@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tradewind.llm import buffers as B
 
@@ -140,12 +141,12 @@ def _predict(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.Rec
         )
 
 
-def predict(docs: DataFrame, model: Model) -> DataFrame:
-    """[doc_id, text, lang_pred, score, known]: score is the language's part of all languages' true n-grams, known
-    the part of the document's n-grams that it holds."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        partial(_predict, model=model), "doc_id long, text string, lang_pred string, score double, known double"
-    )
+def predict(docs: DataFrame, model: Model, columns: tuple[str, ...] = ("doc_id", "text")) -> DataFrame:
+    """``columns`` of ``docs`` (text among them) and [lang_pred, score, known]: score is the language's part of all
+    languages' true n-grams, known the part of the document's n-grams that it holds."""
+    rows = docs.select(*columns)
+    schema = T.StructType([*rows.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("known", T.DoubleType())])
+    return rows.mapInArrow(partial(_predict, model=model), schema)
 
 
 def held_out() -> Column:
@@ -153,6 +154,6 @@ def held_out() -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def identify(docs: DataFrame, **options) -> DataFrame:
+def identify(docs: DataFrame, columns: tuple[str, ...] = ("doc_id", "text"), **options) -> DataFrame:
     """``predict`` for every row of ``docs``, learned from its rows that are not held out."""
-    return predict(docs, fit(docs.where(~held_out()), **options))
+    return predict(docs, fit(docs.where(~held_out()), **options), columns)

@@ -28,10 +28,11 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tradewind.llm import buffers as B
 from tradewind.llm.grouped import whole_groups
-from tradewind.llm.tables import id_back, keyed
+from tradewind.llm.tables import id_key
 from tradewind.sources.stages import materialize
 
 DEPTH, GRAM = 100, 32
@@ -175,8 +176,8 @@ def _each_suffix(batches: Iterator[pa.RecordBatch], depth: int) -> Iterator[pa.R
 
 
 def repeated_spans(texts: DataFrame, depth: int = DEPTH, gram: int = GRAM) -> DataFrame:
-    """[d, h, low, high]: byte spans (they may overlap) of texts [d, h, text] that repeat an earlier start."""
-    runs = texts.mapInArrow(partial(_run_rows, depth=depth, gram=gram), RUN)
+    """[d, h, low, high]: byte spans (they may overlap) of texts [d, h, text, row] that repeat an earlier start."""
+    runs = texts.select("d", "h", "text").mapInArrow(partial(_run_rows, depth=depth, gram=gram), RUN)
     often = runs.groupBy("g").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("g")
     runs = materialize(runs.join(often, "g", "left_semi"))
     firsts = materialize(runs.groupBy("g", "c").agg(F.min(F.struct("d", F.shiftright("p", 16).alias("s"), "h", "p")).alias("f")))
@@ -217,25 +218,26 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept = [data[a:b][~gone[a:b]].tobytes() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
         yield pa.record_batch(
             [
-                rows.column("d"),
-                rows.column("h"),
+                rows.column("row"),
                 pa.array(np.diff(offsets)),
                 pa.array(B.span_sums(gone, offsets)),
                 pa.array(B.span_sums(opens, offsets)),
                 pa.array([hashlib.sha256(x).hexdigest() for x in kept], pa.string()),
                 pa.array([x.decode("utf-8", "ignore") for x in kept], pa.string()),
             ],
-            names=["d", "h", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text"],
+            names=["row", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text"],
         )
 
 
-def remove_repeated(docs: DataFrame, depth: int = DEPTH, gram: int = GRAM) -> DataFrame:
-    """[doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept_text] for every row of ``docs``.
+def remove_repeated(docs: DataFrame, depth: int = DEPTH, gram: int = GRAM, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """The ``carry`` columns and [n_bytes, n_removed, n_spans, kept_sha256, kept_text] for every row of ``docs``.
 
     Every byte covered by a ``depth``-byte string that also starts earlier is removed. kept_text is what
     remains as text; a character that lost some of its bytes is left out of it (not out of the digest)."""
-    texts = keyed(docs).withColumn("h", F.hash("text"))
+    row = F.struct(*(F.col(c) for c in carry))
+    texts = docs.select(id_key().alias("d"), F.coalesce("text", F.lit("")).alias("text"), row.alias("row")).withColumn("h", F.hash("text"))
     spans = repeated_spans(texts, depth, gram).groupBy("d", "h").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
-    joined = texts.repartition("d", "h").join(spans, ["d", "h"], "left").select("d", "h", "text", "spans")
-    out = joined.mapInArrow(_cut, "d long, h int, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text string")
-    return out.select(id_back("d").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text")
+    joined = texts.repartition("d", "h").join(spans, ["d", "h"], "left").select("row", "text", "spans")
+    schema = T.StructType([texts.schema["row"]]).add("n_bytes", "long").add("n_removed", "long").add("n_spans", "long")
+    out = joined.mapInArrow(_cut, schema.add("kept_sha256", "string").add("kept_text", "string"))
+    return out.select("row.*", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text")
