@@ -6,10 +6,10 @@ _WORD = r"[\x20\x09-\x0D]+"
 
 NEAR_DUPLICATES = rf"""
 WITH RECURSIVE words AS (
-  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_WORD}'), x -> x <> '') AS w
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_WORD}'), lambda x: x <> '') AS w
   FROM documents
 ), sets AS (
-  SELECT doc_id, CASE WHEN len(w) >= 3 THEN list_distinct(list_transform(range(1, len(w) - 1), i -> w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))
+  SELECT doc_id, CASE WHEN len(w) >= 3 THEN list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))
     WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s
   FROM words
 ), shingles AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM sets),
@@ -42,24 +42,24 @@ WITH RECURSIVE counted AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS tokens FROM documents
 ), sizes AS (SELECT source, CAST(sum(tokens) AS BIGINT) AS tokens FROM counted GROUP BY source),
 total AS (SELECT CAST(sum(tokens) AS DOUBLE) AS total, list_sort(list(CAST(tokens AS DOUBLE)) FILTER (tokens > 0)) AS l FROM sizes),
-shares AS (SELECT total, list_transform(l, t -> t / total) AS p, len(l) AS n FROM total),
+shares AS (SELECT total, list_transform(l, lambda t: t / total) AS p, len(l) AS n FROM total),
 even AS (
   SELECT 0 AS i, CAST(0 AS DOUBLE) AS low, CAST(1 AS DOUBLE) AS high, p, n FROM shares UNION ALL
   SELECT i + 1, CASE WHEN h >= 0.97 * ln(n) THEN mid ELSE low END, CASE WHEN h >= 0.97 * ln(n) THEN high ELSE mid END, p, n FROM (
-    SELECT *, (low + high) / 2 AS mid, ln(list_sum(list_transform(p, q -> pow(q, (low + high) / 2))))
-      - (low + high) / 2 * list_sum(list_transform(p, q -> pow(q, (low + high) / 2) * ln(q))) / list_sum(list_transform(p, q -> pow(q, (low + high) / 2))) AS h
+    SELECT *, (low + high) / 2 AS mid, ln(list_sum(list_transform(p, lambda q: pow(q, (low + high) / 2))))
+      - (low + high) / 2 * list_sum(list_transform(p, lambda q: pow(q, (low + high) / 2) * ln(q))) / list_sum(list_transform(p, lambda q: pow(q, (low + high) / 2))) AS h
     FROM even WHERE i < 50)
 ), often AS (
   SELECT 0 AS i, CAST(0 AS DOUBLE) AS low, CAST(1 AS DOUBLE) AS high, p FROM shares UNION ALL
   SELECT i + 1, CASE WHEN r > 4 THEN mid ELSE low END, CASE WHEN r > 4 THEN high ELSE mid END, p FROM (
-    SELECT *, (low + high) / 2 AS mid, pow(p[1], (low + high) / 2) / list_sum(list_transform(p, q -> pow(q, (low + high) / 2))) / p[1] AS r
+    SELECT *, (low + high) / 2 AS mid, pow(p[1], (low + high) / 2) / list_sum(list_transform(p, lambda q: pow(q, (low + high) / 2))) / p[1] AS r
     FROM often WHERE i < 50)
 ), exponent AS (
   SELECT greatest(
-    CASE WHEN -list_sum(list_transform(s.p, q -> q * ln(q))) >= 0.97 * ln(s.n) THEN 1 ELSE (SELECT low FROM even WHERE i = 50) END,
+    CASE WHEN -list_sum(list_transform(s.p, lambda q: q * ln(q))) >= 0.97 * ln(s.n) THEN 1 ELSE (SELECT low FROM even WHERE i = 50) END,
     CASE WHEN 1.0 / s.n / s.p[1] <= 4 THEN 0 ELSE (SELECT high FROM often WHERE i = 50) END) AS x, s.p, s.total FROM shares s
 ), weights AS (
-  SELECT z.source, z.tokens, CASE WHEN z.tokens > 0 THEN pow(z.tokens / e.total, e.x) / list_sum(list_transform(e.p, q -> pow(q, e.x))) ELSE 0 END AS weight, e.total
+  SELECT z.source, z.tokens, CASE WHEN z.tokens > 0 THEN pow(z.tokens / e.total, e.x) / list_sum(list_transform(e.p, lambda q: pow(q, e.x))) ELSE 0 END AS weight, e.total
   FROM sizes z, exponent e
 ), plan AS (
   SELECT *, CAST(ceil(weight * total) AS BIGINT) AS target, CASE WHEN tokens > 0 THEN CAST(floor(ceil(weight * total) / tokens) AS BIGINT) ELSE 1 END AS whole FROM weights
