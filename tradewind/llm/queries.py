@@ -5,10 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm import languages, mixing, near_duplicates, packing, repeated_spans
+from tradewind.llm import fuzzy_hashes, languages, line_quality, mixing, near_duplicates, packing, piece_counts, repeated_spans, sharding, token_files
 from tradewind.llm.tables import documents
 
 
+def op1_line_quality(spark: SparkSession, root: str) -> DataFrame:
+    docs = documents(spark, root)
+    return line_quality.judge(docs, line_quality.fit(docs, spark.read.parquet(f"{root}/labels.parquet"))).drop("line_labels")
+
+
 def op2_minhash_near_dedup(spark: SparkSession, root: str) -> DataFrame:
     return near_duplicates.near_duplicates(documents(spark, root), words=3, percent=85)
 
@@ -17,17 +22,39 @@ def op3_packing(spark: SparkSession, root: str) -> DataFrame:
     return packing.pack(documents(spark, root))
 
 
+def op4_sharding(spark: SparkSession, root: str) -> DataFrame:
+    return sharding.shard(documents(spark, root))
+
+
 def op5_suffix_array_dedup(spark: SparkSession, root: str) -> DataFrame:
     return repeated_spans.remove_repeated(documents(spark, root)).drop("kept_text")
 
 
+def op6_token_counts(spark: SparkSession, root: str) -> DataFrame:
+    return piece_counts.piece_counts(documents(spark, root))
+
+
 def op7_mixing(spark: SparkSession, root: str) -> DataFrame:
     return mixing.mix(documents(spark, root))
 
 
+def op8_token_files(spark: SparkSession, root: str) -> DataFrame:
+    return token_files.round_trip(documents(spark, root))
+
+
+def op9_fingerprints(spark: SparkSession, root: str) -> DataFrame:
+    return fuzzy_hashes.fingerprint_documents(documents(spark, root))
+
+
 def op10_language_id(spark: SparkSession, root: str) -> DataFrame:
     told = languages.identify(documents(spark, root))
     return told.select("doc_id", languages.held_out().alias("held_out"), "lang_pred", F.round("score", 6).alias("score"))
 
 
-QUERIES = {f.__name__: f for f in (op2_minhash_near_dedup, op3_packing, op5_suffix_array_dedup, op7_mixing, op10_language_id)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_line_quality, op2_minhash_near_dedup, op3_packing, op4_sharding, op5_suffix_array_dedup, op6_token_counts, op7_mixing, op8_token_files,
+        op9_fingerprints, op10_language_id,
+    )
+}
