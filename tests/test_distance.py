@@ -168,32 +168,35 @@ def test_selection_and_search(spark):
     assert best["h"] == pytest.approx((best["f"] + best["g"]) / 2)
 
 
-def test_profiles_of_numbers_and_lists_equal_all_pairs(spark):
-    draw = random.Random(11)
-    lists = [["a", "b"], ["b", "a", None], ["b", "c"], [], None]
-    rows = [(f"e{i:02d}", draw.choice(["x", None]), draw.choice([1.0, 2.5, None]), draw.choice(lists), draw.randint(1, 2)) for i in range(40)]
-    at = {r[0]: r for r in rows}
-
-    def apart(a, b):
-        (_, f, n, items, _), (_, f2, n2, items2, _) = at[a], at[b]
-        match = 0.0 if f is not None and f == f2 else 1.0
-        number = 1.0 if n is None or n2 is None else abs(n - n2) / (1 + abs(n - n2))
-        if items is None or items2 is None:
-            shared = 1.0
-        else:
-            x, y = set(items) - {None}, set(items2) - {None}
-            shared = 1 - len(x & y) / len(x | y) if x | y else 0.0
-        return (match + 2 * number + 3 * shared) / 6
-
-    df = spark.createDataFrame(rows, "id string, f string, n double, items array<string>, cluster int")
-    weights, metrics = {"f": 1.0, "n": 2.0, "items": 3.0}, {"n": di.NUMERIC, "items": di.JACCARD}
-    pairs = pair_frame(spark, at, apart)
-    labels = df.select("id", "cluster")
-    assert cu.wcss_by_profile(df, weights, metrics).first().wcss == pytest.approx(cu.wcss(pairs, labels).first().wcss)
-    exact = {r.id: r.score for r in cu.silhouette(pairs, labels).collect()}
-    assert {r.id: r.score for r in cu.silhouette_by_profile(df, "id", weights, metrics).collect()} == pytest.approx(exact)
-    known, unknown = df.where("cluster = 1"), df.where("cluster = 2")
-    near = {r.id: (r.d, r.nearest) for r in di.nearest_by_profile(unknown, known, "id", weights, metrics).collect()}
-    for r in rows:
-        if r[4] == 2:
-            assert near[r[0]][0] == pytest.approx(min(apart(r[0], k[0]) for k in rows if k[4] == 1))
+def test_many_distinct_profiles(spark):
+    """30,000 customers that all differ: no pair of them is ever made."""
+    n = 30_000
+    df = spark.range(n).select(
+        F.format_string("e%05d", "id").alias("id"), F.col("id").cast("string").alias("f"), F.concat(F.lit("g"), (F.col("id") % 3).cast("string")).alias("g"), (F.col("id") % 2).cast("int").alias("cluster")
+    )
+    scores = cu.silhouette_by_profile(df, "id", W)
+    # In a cluster of 15,000, two in three differ in g (weight 3 of 4) and all in f.
+    first = scores.where("id = 'e00000'").first()
+    own = (1 * 14_999 + 3 * 10_000) / 4 / 14_999
+    other = 1 - 3 * 5000 / 4 / 15_000
+    assert first.score == pytest.approx((other - own) / max(other, own)) and scores.count() == n
+    assert cu.wcss_by_profile(df, W).first().n_clusters == 2
+    near = di.nearest_by_profile(df.where("cluster = 1"), df.where("cluster = 0"), "id", W)
+    assert near.where("id = 'e00001'").first()[1:] == ("e00004", 0.25) and near.count() == n // 2
+
+
+def test_a_list_element_of_many_holders(spark):
+    held = spark.range(400).select(F.format_string("p%03d", "id").alias("id"), F.lit("hot").alias("element"))
+    pairs = di.shared_counts(held.union(held.limit(2).withColumn("element", F.lit("rare"))), "id")
+    assert pairs.count() == 400 * 399 // 2 and pairs.where("shared = 2").count() == 1
+
+
+def test_vector_and_affinity_clusters(spark):
+    rows = [(f"e{i:02d}", "x" if i < 20 else "y", float(i < 20) + i / 100, ["a"] if i < 20 else ["b", "c"]) for i in range(40)]
+    df = spark.createDataFrame(rows, "id string, f string, n double, items array<string>")
+    by = {r.id: r.cluster for r in cu.cluster_vectors(df, "id", ["f"], ["n"], ["items"], 2).collect()}
+    assert {frozenset(k for k in by if by[k] == c) for c in set(by.values())} == {frozenset(r[0] for r in rows[:20]), frozenset(r[0] for r in rows[20:])}
+    far = {r[0]: r[1] for r in rows}
+    pairs = pair_frame(spark, far, lambda a, b: 0.1 if far[a] == far[b] else 0.95)
+    linked = {r.id: r.cluster for r in cu.cluster_affinity(pairs, 2).collect()}
+    assert len(linked) == 40 and len({linked[r[0]] for r in rows[:20]}) == len({linked[r[0]] for r in rows[20:]}) == 1

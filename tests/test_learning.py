@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tradewind.operators import learning as ln
 from tradewind.operators import recommending as rc
-from tradewind.operators.logistic import logistic_mf
+from tradewind.operators import windows as wn
 
 PAIRS = "customer_num string, srp_2_desc string"
 
@@ -58,7 +58,7 @@ def test_smote_balances_inside_the_minority(spark, few):
     draw = random.Random(7)
     rows = [(str(i), int(i < few), draw.uniform(0, 1) + 5 * (i < few), draw.uniform(0, 1)) for i in range(600)]
     df = spark.createDataFrame(rows, "k string, y int, a double, b double")
-    raised = ln.smote_upsample(df, "y", ["a", "b"], F.col("k"), ranges=4)
+    raised = ln.smote_upsample(df, "y", ["a", "b"], F.col("k"), per_range=20)
     assert {r.y: r["count"] for r in raised.groupBy("y").count().collect()} == {0: 600 - few, 1: 600 - few}
     low = raised.where("y = 1").agg(F.min("a").alias("lo"), F.max("a").alias("hi")).first()
     assert 5 <= low.lo and low.hi <= 6
@@ -93,7 +93,7 @@ def test_models_learn_and_leave_unseen_categories_out(spark):
     imp = {
         r.feature: r.score
         for r in ln.permutation_importance(
-            model, rows, F.col("iswon") == "True", ["size", "noise"], F.col("i").cast("string"), n=2, buckets=8
+            model, rows, F.col("iswon") == "True", ["size", "noise"], F.col("i").cast("string"), n=2, per_bucket=80
         ).collect()
     }
     assert imp["size"] > 0.1 > abs(imp["noise"])
@@ -101,38 +101,71 @@ def test_models_learn_and_leave_unseen_categories_out(spark):
     assert rated.where("rating < -1 OR rating > 1").count() == 0 and rated.count() == 600
 
 
-def test_als_scores_every_cell_and_beats_the_mean(spark):
-    draw = random.Random(2)
-    rows = []
+def taste(seed):
+    draw, rows = random.Random(seed), []
     for i in range(60):
         for j in range(8):
             if draw.random() < 0.7:
                 rows.append((i % 2, f"c{i:02d}", f"p{j}", 1.0 if (i // 2 + j) % 2 else -0.5))
-    rows += [(0, "sad", f"p{j}", -1.0) for j in range(8)]
-    ratings = spark.createDataFrame(rows, "cluster int, customer_num string, srp_2_desc string, rating double")
-    filled = rc.als_fill(ratings, rank=6, iters=5)
-    assert filled.count() == 61 * 8 and filled.where("customer_num = 'sad' AND rating <> 0").count() == 0
-    liked = filled.join(ratings.withColumnRenamed("rating", "true"), ["cluster", "customer_num", "srp_2_desc"])
+    return rows + [(0, "sad", f"p{j}", -1.0) for j in range(8)]
+
+
+RATED = "cluster int, customer_num string, srp_2_desc string, rating double"
+
+
+def test_als_keeps_factors_and_scores_what_is_asked(spark):
+    ratings = spark.createDataFrame(taste(2), RATED)
+    fitted = rc.als_fill(ratings, rank=6, iters=5)
+    scored = fitted.score(ratings)
+    assert scored.count() == ratings.count() and scored.where("customer_num = 'sad' AND rating <> 0").count() == 0
+    liked = scored.join(ratings.withColumnRenamed("rating", "true"), ["cluster", "customer_num", "srp_2_desc"])
     means = {r.good: r.m for r in liked.groupBy((F.col("true") > 0).alias("good")).agg(F.avg("rating").alias("m")).collect()}
     assert means[True] > means[False] + 0.5
+    top = fitted.top(3)
+    assert top.count() == 60 * 3 and top.groupBy("customer_num").count().where("count <> 3").isEmpty()
 
 
-def test_logistic_factors_tell_bought_from_not(spark):
-    draw = random.Random(4)
-    rows = []
-    for i in range(60):
-        for j in range(8):
-            if (i // 2 + j) % 2 and draw.random() < 0.8:
-                rows.append((i % 2, f"c{i:02d}", f"p{j}", 1.0))
-            elif draw.random() < 0.2:
-                rows.append((i % 2, f"c{i:02d}", f"p{j}", -0.5))
-    ratings = spark.createDataFrame(rows, "cluster int, customer_num string, srp_2_desc string, rating double")
-    scored = logistic_mf(ratings, rank=4, iters=8)
-    assert scored.count() == 60 * 8
-    fits = (F.substring("customer_num", 2, 2).cast("int") / 2).cast("int") + F.substring("srp_2_desc", 2, 1).cast("int")
-    means = {r.odd: r.m for r in scored.groupBy((fits % 2).alias("odd")).agg(F.avg("rating").alias("m")).collect()}
-    # A pair with rating r settles at odds of r to 1, so bought pairs lie near 0 and others far below.
-    assert means[1] > means[0] + 1
+def test_logistic_factors_tell_liked_from_not(spark):
+    ratings = spark.createDataFrame(taste(4), RATED)
+    scored = rc.logistic_mf(ratings, factors=4, iters=100)
+    assert scored.count() == ratings.count()
+    both = scored.withColumnRenamed("rating", "score").join(ratings, ["cluster", "customer_num", "srp_2_desc"])
+    means = {r.liked: r.m for r in both.groupBy((F.col("rating") > 0).alias("liked")).agg(F.avg("score").alias("m")).collect()}
+    assert means[True] > means[False]
+
+
+def test_factor_counts(spark):
+    sweep = spark.createDataFrame([(2, 0.9), (4, 0.5), (8, 0.4)], "factors int, rmse double")
+    assert {r.factors: r.delta for r in wn.rmse_delta(sweep).collect()} == {2: None, 4: pytest.approx(0.4), 8: pytest.approx(0.1)}
+    assert wn.best_factors(sweep).first().factors == 4
+
+
+def test_models_are_saved_and_loaded(spark, tmp_path):
+    rows = training_rows(spark)
+    model = ln.win_model(rows, ["customer_num", "kind", "size"], iterations=3)
+    model.save(f"{tmp_path}/model")
+    loaded = ln.Classifier.load(spark, f"{tmp_path}/model")
+    score = lambda m: {r.i: r.win_prob for r in ln.batch_predict(m, rows, probability=True).collect()}
+    assert score(loaded) == score(model)
+
+
+@pytest.mark.parametrize("sampling", ["default", "downsample", "upsample"])
+def test_sampling_of_training_rows(spark, sampling):
+    rows = training_rows(spark).withColumn(ln.LABEL, (F.col("iswon") == "True").cast("double"))
+    sizes = {r[0]: r["count"] for r in ln.sampled(rows, sampling, F.col("i").cast("string")).groupBy(ln.LABEL).count().collect()}
+    given = {r[0]: r["count"] for r in rows.groupBy(ln.LABEL).count().collect()}
+    want = {"default": given, "downsample": dict.fromkeys(given, min(given.values())), "upsample": dict.fromkeys(given, max(given.values()))}
+    assert sizes == want[sampling]
+
+
+def test_propensity_and_model_comparison(spark):
+    rows = training_rows(spark).withColumn("outcome", (F.col("iswon") == "True").cast("int"))
+    model = ln.propensity_model(rows, ["kind", "size", "noise"], trees=10, depth=5, sampling="downsample")
+    scored = ln.batch_predict(model, rows).withColumn("label", F.col("outcome"))
+    assert ln.accuracy(scored).first().accuracy > 0.9
+    few = {k: v for k, v in ln.default_models().items() if k in ("DT", "LR")}
+    folds = ln.model_comparison(rows, F.col("outcome"), ["kind", "size", "noise"], F.col("i").cast("string"), models=few, k=3).collect()
+    assert len(folds) == 6 and min(r.accuracy for r in folds) > 0.6
 
 
 def test_recommend_without_remark_and_for_one_customer(spark):

@@ -9,6 +9,7 @@ import statistics
 import pytest
 from pyspark.sql import functions as F
 
+from tradewind.functions.cleaning import without_code
 from tradewind.operators import aggregates as agg
 from tradewind.operators import joins as jn
 from tradewind.operators import ranking as rk
@@ -91,11 +92,16 @@ def test_tolerance_and_closest_of_two(spark):
     assert [(r.customer_num, r.opp_id) for r in jn.nearest_match(inv, opps).collect()] == [("a", "y")]
 
 
-def test_first_per_key_skips_nulls_and_complete_refuses_them(spark):
+def test_first_per_key_skips_nulls(spark):
     df = spark.createDataFrame([("k", 1, None, "x"), ("k", 2, 5, "y")], "k string, n int, a int, b string")
     assert agg.first_per_key(df, ["k"], ["a", "b"], ["n"]).first()[1:] == (5, "x")
-    with pytest.raises(Exception, match="complete"):
-        agg.first_per_key(df, ["k"], ["a", "b"], ["n"], complete=True).collect()
+
+
+def test_enrich_left_takes_each_columns_first_value(spark):
+    ids = spark.createDataFrame([("k",), ("m",)], "k string")
+    dim = spark.createDataFrame([("k", 1, None, "y"), ("k", 2, "B", "x"), ("k", 3, "A", None)], "k string, n int, a string, b string")
+    assert {r.k: (r.a, r.b) for r in jn.enrich_left(ids, dim, "k", ["a", "b"]).collect()} == {"k": ("A", "x"), "m": (None, None)}
+    assert jn.enrich_left(ids, dim, "k", ["a", "b"], order=["n"]).where("k = 'k'").first()[1:] == ("B", "y")
 
 
 def test_group_fill_takes_the_first_value_of_the_key(spark):
@@ -139,11 +145,31 @@ def test_services_of_products_not_owned_are_dropped(spark):
     assert sorted(tuple(r) for r in left.collect()) == [("a", "S"), ("a", "X")]
 
 
-def test_a_dimension_over_its_limit_is_refused(spark):
-    df = spark.range(30).select(F.col("id").cast("string").alias("srp_2_desc"))
-    assert jn.self_pairs(df, "srp_2_desc", limit=30).count() == 435
-    with pytest.raises(Exception, match="more than 10 values"):
-        jn.self_pairs(df, "srp_2_desc", limit=10).collect()
+def test_pairs_and_grids_come_in_blocks(spark, monkeypatch):
+    df = spark.range(30).select(F.col("id").cast("string").alias("srp_2_desc"), F.concat(F.lit("c"), "id").alias("customer_num"))
+    for size in (1000, 7):
+        monkeypatch.setattr(jn, "BLOCK", size)
+        pairs = jn.self_pairs(df, "srp_2_desc")
+        assert pairs.count() == pairs.distinct().count() == 435
+        grid = jn.cross_score_grid(df, df)
+        assert grid.count() == grid.distinct().count() == 900
+    assert jn.self_pairs(df.limit(0), "srp_2_desc").count() == jn.cross_score_grid(df, df.limit(0)).count() == 0
+
+
+def test_a_hot_pair_and_day(spark):
+    """A third of all invoices on one day of one pair."""
+    rows = [("c", "p", f"{i:05d}", day(3)) for i in range(3000)] + [("c", "p", f"{i:05d}", day(i % 40)) for i in range(5000, 9000)]
+    df = spark.createDataFrame(rows, "customer_num string, srp_2_desc string, dtl_invoice_num string, dtl_invoice_dt date")
+    got = {r.dtl_invoice_num: tuple(r[f"inv_{k}"] for k in range(1, 6)) for r in wn.lag_invoices(df).collect()}
+    ordered = sorted(rows, key=lambda r: (r[3], r[2]))
+    assert len(got) == 7000
+    for at in (0, 1, 4, 90, 400, 2500, 6999):
+        assert got[ordered[at][2]] == tuple(ordered[at - k][3] if at >= k else None for k in range(1, 6))
+
+
+def test_a_long_name_is_kept_whole(spark):
+    name = "123 " + "x" * 1_500_000
+    assert len(spark.createDataFrame([(name,)], "n string").select(without_code(F.col("n")).alias("n")).first().n) == 1_500_000
 
 
 def test_category_codes_are_dense_and_sorted(spark):

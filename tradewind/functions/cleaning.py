@@ -32,7 +32,7 @@ def typed(c: Column, data_type: str) -> Column:
 
 def without_code(c: Column, n: int = 4) -> Column:
     """Drop the leading ``n`` characters of ``"123 NAME"``."""
-    return F.substring(c, n + 1, 1_000_000)
+    return F.substr(c, F.lit(n + 1))
 
 
 def successor_code(c: Column, own: Column) -> Column:

@@ -14,27 +14,15 @@ from ..settings import CUSTOMER, DEFAULTS, INVOICE, PAIR, PRODUCT
 from ..sources.stages import checkpointed
 
 
-def first_per_key(
-    df: DataFrame, keys: list[str], cols: list[str], order: list[str], complete: bool = False
-) -> DataFrame:
-    """First non-null value of each column per key, in the total order of the ``order`` columns.
-
-    ``complete=True`` states that the columns hold no nulls: the first row is then taken as a whole,
-    which costs one comparison per row in place of one per column.  A null fails the query."""
+def first_per_key(df: DataFrame, keys: list[str], cols: list[str], order: list[str]) -> DataFrame:
+    """First non-null value of each column per key, in the total order of the ``order`` columns."""
     place = F.struct(*order)
-    if complete:
-        gap = F.lit(False)
-        for c in cols:
-            gap = gap | F.col(c).isNull()
-        row = F.struct(*order, *[c for c in cols if c not in order])
-        sure = F.when(gap, F.raise_error(F.lit("a column said to be complete holds a null"))).otherwise(row)
-        return df.groupBy(*keys).agg(F.min(sure).alias("row")).select(*keys, *[F.col(f"row.{c}").alias(c) for c in cols])
     return df.groupBy(*keys).agg(*[F.min_by(c, F.when(F.col(c).isNotNull(), place)).alias(c) for c in cols])
 
 
-def invoices_of(sales: DataFrame, cols: list[str], complete: bool = False) -> DataFrame:
+def invoices_of(sales: DataFrame, cols: list[str]) -> DataFrame:
     """One row per (customer, product, invoice); the lowest line number comes first."""
-    return first_per_key(sales, INVOICE, cols, ["dtl_line_num", *cols], complete)
+    return first_per_key(sales, INVOICE, cols, ["dtl_line_num", *cols])
 
 
 def collect_products(df: DataFrame, key: str = CUSTOMER, val: str = PRODUCT) -> DataFrame:

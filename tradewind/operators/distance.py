@@ -2,14 +2,13 @@
 
 Two ways to work with them:
 
-* **pair tables** ``[id_i, id_j, d]`` for bounded dimensions such as products (``joins.MAX_PAIRED``
-  is checked inside the query).  List features (customers of a product) grow with the data; they
-  are compared through counts of shared elements and never gathered per product.
-* **profiles** for customers, which are too many to pair.  Customers with equal feature values are
-  one profile; distances are needed between profiles only, and every sum over customers is a sum
-  over profiles times counts.  The results equal the all-pairs ones exactly.  Categorical features
-  make few profiles whatever the number of customers; numbers and product lists can be used too,
-  as long as the distinct combinations stay within the same checked bound.
+* **pair tables** ``[id_i, id_j, d]`` for dimensions whose pairs are the result, such as products.  List features
+  (customers of a product) grow with the data; they are compared through counts of shared elements and never
+  gathered per product.
+* **profiles** for customers, which are not paired at all.  With categorical features a distance depends only on the
+  set of features in which two customers agree, so sums over customers come from counts per feature value, and sums
+  of squares from counts per pair of values; the nearest customer and sums of any function of the distance come from
+  one equi-join per set of features.  The results equal the all-pairs ones, for any number of distinct profiles.
 """
 
 from __future__ import annotations
@@ -20,8 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scoring
-from ..sources.stages import materialize
-from .joins import MAX_PAIRED, self_pairs
+from .joins import self_pairs
 
 NUMERIC, MATCHING, JACCARD = "numeric", "matching", "jaccard"
 SMALLEST = 1e-6
@@ -42,19 +40,22 @@ def _with_values(pairs: DataFrame, entities: DataFrame, key: str, cols: list[str
 def shared_counts(members: DataFrame, key: str) -> DataFrame:
     """``[id_i, id_j, shared]``: common elements of two entities' lists, pairs without any left out.
 
-    ``members`` is distinct ``[key, element]``.  Elements held by the same set of entities are
-    counted together first, so the pairs of a set are listed once however many elements share it."""
+    ``members`` is distinct ``[key, element]``.  Elements held by the same set of entities are counted together
+    first, by a digest of the set, so the pairs of a set are listed once however many elements share it.  Each
+    holder is a row of its own before it meets the others of its set, so a set with many holders is spread over
+    tasks."""
     holders = (
         members.where(F.col("element").isNotNull())
         .groupBy("element")
         .agg(F.array_sort(F.collect_list(key)).alias("holders"))
         .where(F.size("holders") > 1)
-        .groupBy("holders")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .groupBy(F.sha2(F.to_json("holders"), 256).alias("held_by"))
+        .agg(F.count(F.lit(1)).alias("n"), F.any_value("holders").alias("holders"))
     )
-    first = holders.select("holders", "n", F.posexplode("holders").alias("at", "id_i"))
+    each = holders.select("held_by", "n", F.posexplode("holders").alias("at", "id_i"), "holders")
+    spread = each.repartition("held_by", "at")
     rest = F.slice("holders", F.col("at") + 2, F.size("holders"))
-    return first.select("id_i", "n", F.explode(rest).alias("id_j")).groupBy("id_i", "id_j").agg(F.sum("n").alias("shared"))
+    return spread.select("id_i", "n", F.explode(rest).alias("id_j")).groupBy("id_i", "id_j").agg(F.sum("n").alias("shared"))
 
 
 def pairwise_features(
@@ -62,13 +63,12 @@ def pairwise_features(
     key: str,
     scalars: Mapping[str, str],
     lists: Mapping[str, DataFrame] | None = None,
-    limit: int = MAX_PAIRED,
 ) -> DataFrame:
-    """``[id_i, id_j, <one distance per feature>]`` over all pairs of a bounded dimension.
+    """``[id_i, id_j, <one distance per feature>]`` over all pairs of a dimension.
 
     ``scalars`` maps a column to its metric (arrays of bounded length may use the list metric);
     ``lists`` maps a feature with long lists to its distinct ``[key, element]`` table."""
-    pairs = _with_values(self_pairs(entities, key, limit), entities, key, list(scalars))
+    pairs = _with_values(self_pairs(entities, key), entities, key, list(scalars))
     distances: dict[str, Column] = {
         c: METRICS[metric](F.col(f"{c}_i"), F.col(f"{c}_j")) for c, metric in scalars.items()
     }
@@ -99,12 +99,7 @@ def dist_jaccard(entities: DataFrame, key: str, members: DataFrame) -> DataFrame
 
 
 def mean_distance(weights: Mapping[str, float]) -> Column:
-    total = sum(weights.values())
-    parts = [F.col(c) * float(w) for c, w in weights.items()]
-    weighted = parts[0]
-    for part in parts[1:]:
-        weighted = weighted + part
-    return weighted / float(total)
+    return mean_distance_of([F.col(c) * float(w) for c, w in weights.items()], weights)
 
 
 def weighted_distance(pairs: DataFrame, weights: Mapping[str, float]) -> DataFrame:
@@ -154,7 +149,7 @@ def affinity_weights(
     return raw.join(totals, "target").select("target", "source", (F.col("raw") / F.col("total")).alias("w"))
 
 
-# Profiles: exact results for many entities with categorical features.
+# Profiles: exact results for any number of entities with categorical features.
 
 
 def with_profile(entities: DataFrame, cols: list[str]) -> DataFrame:
@@ -162,30 +157,53 @@ def with_profile(entities: DataFrame, cols: list[str]) -> DataFrame:
     return entities.withColumn("profile", F.to_json(F.struct(*cols)))
 
 
-def profile_distances(
-    profiled: DataFrame, weights: Mapping[str, float], metrics: Mapping[str, str] | None = None, limit: int = MAX_PAIRED
-) -> DataFrame:
-    """``[a, b, d]`` between all profiles in both directions, and of each profile with itself.
-
-    ``metrics`` names the metric of features that are not categorical.  Two entities with the same
-    profile are at distance 0 only if none of its values is missing."""
-    cols = list(weights)
-    used = {c: (metrics or {}).get(c, MATCHING) for c in cols}
-    values = materialize(profiled.select("profile", *cols).distinct())
-    pairs = pairwise_features(values, "profile", used, limit=limit)
-    own = values.select(
-        F.col("profile").alias("a"), F.col("profile").alias("b"), *[METRICS[used[c]](F.col(c), F.col(c)).alias(c) for c in cols]
-    )
-    return mirrored(pairs).unionByName(own).select("a", "b", mean_distance(weights).alias("d"))
+def agreements(weights: Mapping[str, float]) -> list[tuple[list[str], float]]:
+    """Every set of features that two entities can agree in, with their distance if they agree in no other."""
+    cols, total = list(weights), float(sum(weights.values()))
+    sets = []
+    for bits in range(1 << len(cols)):
+        same = [c for i, c in enumerate(cols) if bits >> i & 1]
+        sets.append((same, sum(float(weights[c]) for c in cols if c not in same) / total))
+    return sets
 
 
-def nearest_by_profile(
-    unknown: DataFrame, known: DataFrame, key: str, weights: Mapping[str, float], metrics: Mapping[str, str] | None = None
-) -> DataFrame:
-    """``nearest_entity`` for many entities: one comparison per pair of profiles."""
-    cols = list(weights)
-    unknown, known = with_profile(unknown, cols), with_profile(known, cols)
-    d = profile_distances(unknown.select("profile", *cols).unionByName(known.select("profile", *cols)), weights, metrics)
-    picks = known.groupBy(F.col("profile").alias("b")).agg(F.min(key).alias("nearest"))
-    best = d.join(picks, "b").groupBy(F.col("a").alias("profile")).agg(F.min(F.struct("d", "nearest")).alias("best"))
-    return unknown.join(best, "profile").select(F.col(key).alias("id"), "best.nearest", "best.d")
+def agreement_keys(df: DataFrame, sets: list[list[str]], keep: list[str]) -> DataFrame:
+    """``[*keep, s, v]``: for each feature set (number s) the row's values as one key; a null agrees with nothing."""
+    keys = []
+    for s, cols in enumerate(sets):
+        there = F.lit(True)
+        for c in cols:
+            there = there & F.col(c).isNotNull()
+        keys.append(F.when(there, F.struct(F.lit(s).alias("s"), F.to_json(F.array(*[F.col(c).cast("string") for c in cols])).alias("v"))))
+    return df.select(*keep, F.inline(F.filter(F.array(*keys), lambda k: k.isNotNull())))
+
+
+def per_set(values: list[float]) -> Column:
+    """The value that belongs to a row's feature set ``s``."""
+    return F.element_at(F.array(*[F.lit(float(x)) for x in values]), F.col("s") + 1)
+
+
+def own_distance(weights: Mapping[str, float]) -> Column:
+    """Distance of an entity to one with its own values: its missing values count."""
+    return mean_distance_of([F.when(F.col(c).isNull(), 1.0).otherwise(0.0) * float(w) for c, w in weights.items()], weights)
+
+
+def mean_distance_of(parts: list[Column], weights: Mapping[str, float]) -> Column:
+    weighted = parts[0]
+    for part in parts[1:]:
+        weighted = weighted + part
+    return weighted / float(sum(weights.values()))
+
+
+def nearest_by_profile(unknown: DataFrame, known: DataFrame, key: str, weights: Mapping[str, float]) -> DataFrame:
+    """``nearest_entity`` for many entities: ``[id, nearest, d]``, smallest id on ties.
+
+    For each feature set the smallest known id per value key is joined; the least distance over the sets is exact, as
+    whoever agrees in more features is found under the larger set too.  There are 2^(features) sets."""
+    cols, sets = list(weights), agreements(weights)
+    same = [s for s, _ in sets]
+    picks = agreement_keys(known, same, [key]).groupBy("s", "v").agg(F.min(key).alias("nearest"))
+    profiles = with_profile(unknown, cols).select("profile", *cols).distinct()
+    found = agreement_keys(profiles, same, ["profile"]).join(picks, ["s", "v"]).withColumn("d", per_set([d for _, d in sets]))
+    best = found.groupBy("profile").agg(F.min(F.struct("d", "nearest")).alias("best"))
+    return with_profile(unknown, cols).join(best, "profile").select(F.col(key).alias("id"), "best.nearest", "best.d")

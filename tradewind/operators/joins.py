@@ -18,6 +18,7 @@ from pyspark.sql.window import Window
 
 from ..functions.dates import days_between
 from ..settings import CUSTOMER, PAIR, PRODUCT
+from .aggregates import first_per_key
 
 SOURCES = ["CBD", "CSD", "CWD", "EDD", "RSD", "SFD"]
 NAME_ORDER = ["CBD", "EDD", "CSD", "CWD", "RSD"]
@@ -82,11 +83,17 @@ def coalesce_name(presence: DataFrame) -> DataFrame:
     ).drop(*[f"name_{s}" for s in NAME_ORDER])
 
 
-def enrich_left(df: DataFrame, dim: DataFrame, key: str | list[str], cols: list[str]) -> DataFrame:
-    """Left join of attributes; the dimension is reduced to one row per key first."""
+def enrich_left(df: DataFrame, dim: DataFrame, key: str | list[str], cols: list[str], order: list[str] | None = None) -> DataFrame:
+    """Left join of attributes; the dimension is reduced to one row per key first.
+
+    Each column takes its own first value that is not null, in the order of the ``order`` columns (then of
+    the attributes), so a row with a blank does not hide another row's value; without an order, the smallest."""
     keys = [key] if isinstance(key, str) else key
-    picked = dim.groupBy(*keys).agg(F.min(F.struct(*cols)).alias("picked"))
-    return df.join(picked, keys, "left").select("*", *[F.col(f"picked.{c}").alias(c) for c in cols]).drop("picked")
+    if order:
+        picked = first_per_key(dim, keys, cols, [*order, *[c for c in cols if c not in order]])
+    else:
+        picked = dim.groupBy(*keys).agg(*[F.min(c).alias(c) for c in cols])
+    return df.join(picked, keys, "left")
 
 
 def inner_pair_join(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -171,33 +178,35 @@ def group_fill(df: DataFrame, fills: dict[str, list[str]], order: str, stats_fro
     return df
 
 
-def bounded_ids(df: DataFrame, col: str, limit: int) -> Column:
-    """Sorted distinct values as one array, for use as a scalar subquery.
+#: Values in a block of ``self_pairs`` and ``cross_score_grid``.
+BLOCK = 1000
 
-    Meant for dimensions (products, categories).  The query fails with a message if there are more
-    than ``limit`` of them; nothing larger is ever gathered."""
-    some = df.select(col).where(F.col(col).isNotNull()).distinct().limit(limit + 1)
-    ids = F.array_sort(F.collect_list(col))
-    checked = F.when(F.size(ids) <= limit, ids).otherwise(
-        F.raise_error(F.lit(f"{col} has more than {limit} values; use the grouped operators instead"))
-    )
-    return some.agg(checked.alias("ids")).scalar()
 
+def _blocks(df: DataFrame, col: str) -> tuple[DataFrame, DataFrame]:
+    """``[col, block]`` of the distinct values, in hash blocks of about ``BLOCK``, and the number of blocks."""
+    values = df.select(col).where(F.col(col).isNotNull()).distinct()
+    n = F.ceil(F.greatest(values.agg(F.count(F.lit(1)).alias("n")).scalar() / BLOCK, F.lit(1.0))).cast("int")
+    return values.withColumn("block", F.pmod(F.xxhash64(col), n).cast("int")), n
 
-MAX_PAIRED = 20_000
 
+def self_pairs(entities: DataFrame, key: str) -> DataFrame:
+    """All unordered pairs of a dimension, as ``[id_i, id_j]`` with ``id_i < id_j``.
 
-def self_pairs(entities: DataFrame, key: str, limit: int = MAX_PAIRED) -> DataFrame:
-    """All unordered pairs of a bounded dimension, as ``[id_i, id_j]`` with ``id_i < id_j``."""
-    each = entities.select(F.col(key).alias("id_i")).where(F.col("id_i").isNotNull()).distinct()
-    return each.select("id_i", F.explode(bounded_ids(entities, key, limit)).alias("id_j")).where("id_i < id_j")
+    The pairs are the result; they are made block against block, so the work spreads over tasks of bounded
+    size and no list of ids is gathered."""
+    values, n = _blocks(entities, key)
+    rows = values.select(F.col(key).alias("id_i"), F.col("block").alias("at"), F.explode(F.sequence(F.lit(0), n - 1)).alias("with"))
+    others = values.select(F.col(key).alias("id_j"), F.col("block").alias("with"), F.explode(F.sequence(F.lit(0), n - 1)).alias("at"))
+    return rows.join(others, ["at", "with"]).where("id_i < id_j").select("id_i", "id_j")
 
 
-def cross_score_grid(customers: DataFrame, products: DataFrame, limit: int = MAX_PAIRED) -> DataFrame:
-    """Every listed customer with every listed product; the product list is the bounded side."""
-    return customers.select(CUSTOMER).distinct().select(
-        CUSTOMER, F.explode(bounded_ids(products, PRODUCT, limit)).alias(PRODUCT)
-    )
+def cross_score_grid(customers: DataFrame, products: DataFrame) -> DataFrame:
+    """Every listed customer with every listed product: the grid itself is what is asked for.
+
+    Products come in blocks; a customer meets each block in a join."""
+    shelf, n = _blocks(products, PRODUCT)
+    wanted = customers.select(CUSTOMER).where(F.col(CUSTOMER).isNotNull()).distinct()
+    return wanted.select(CUSTOMER, F.explode(F.sequence(F.lit(0), n - 1)).alias("block")).join(shelf, "block").select(CUSTOMER, PRODUCT)
 
 
 def drop_unowned_services(recs: DataFrame, owned: DataFrame, service_map: dict[str, list[str]]) -> DataFrame:

@@ -16,14 +16,14 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.feature import SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ..settings import CUSTOMER, PAIR, PRODUCT
 from ..sources.stages import materialize
-from .aggregates import category_codes
+from .aggregates import category_codes, numbered
 
 LABEL = "label"
 
@@ -123,11 +123,11 @@ def pick_by_hash(df: DataFrame, label: str, key: Column, wanted: DataFrame | Non
         .where("left > 0")
         .select(label, "bucket", F.when(F.col("left") < F.col("size"), F.col("left")).alias("part"))
     )
-    # A bucket holds a 65,536th of a class, so ranking within all of them is a spread-out sort, and
-    # the rows are read once.
+    # Whole buckets pass; only the rows of the one bucket per class where the quota ends are ranked.
     taken = rows.join(quota, [label, "bucket"])
-    order = Window.partitionBy(label, "bucket").orderBy("hash")
-    return taken.withColumn("rank", F.row_number().over(order)).where("part IS NULL OR rank <= part").select(*df.columns)
+    order = Window.partitionBy(label).orderBy("hash")
+    partial = taken.where("part IS NOT NULL").withColumn("rank", F.row_number().over(order)).where("rank <= part")
+    return taken.where("part IS NULL").select(*df.columns).unionByName(partial.select(*df.columns))
 
 
 def undersample(df: DataFrame, label: str, key: Column) -> DataFrame:
@@ -135,31 +135,26 @@ def undersample(df: DataFrame, label: str, key: Column) -> DataFrame:
     return pick_by_hash(df, label, key)
 
 
-def _neighbours(rows: DataFrame, cols: list[str], k: int, seed: int, looks: int, edges: int) -> DataFrame:
+def _neighbours(rows: DataFrame, cols: list[str], k: int, seed: int, looks: int, per_range: int) -> DataFrame:
     """``[key, others]``: up to k near rows of each row, by distance over ``cols``.
 
-    Rows are sorted along several random directions, in value ranges of equal size; the k rows on
-    either side in each direction are compared exactly.  No row meets all others, and equal rows
-    are spread over the ranges by a small jitter."""
+    Rows are numbered along several random directions and cut into ranges of ``per_range`` rows; the k rows on
+    either side in each direction are compared exactly.  No row meets all others, and a range never grows."""
     draw = random.Random(seed)
     found = None
     values = F.array(*[F.col(c).cast("double") for c in cols])
-    for look in range(looks):
+    for _ in range(looks):
         axis = [draw.gauss(0, 1) for _ in cols]
         along = F.lit(0.0)
         for c, a in zip(cols, axis):
             along = along + F.col(c) * a
-        jitter = hashed(F.concat_ws("|", F.col("key"), F.lit(str(look)))) / float(2**32) * 1e-6
-        lined = rows.select("key", values.alias("at"), (along + jitter).alias("along"))
-        shares = [i / edges for i in range(1, edges)] or [1.0]
-        cuts = lined.agg(F.percentile_approx("along", shares, 10_000).alias("cuts")).scalar()
-        placed = lined.withColumn("cuts", cuts).withColumn("range", F.size(F.filter("cuts", lambda c: c < F.col("along"))))
-        line = Window.partitionBy("range").orderBy("along", "key")
+        lined = numbered(rows.select("key", values.alias("at"), along.alias("along")), [F.col("along"), F.col("key")])
+        line = Window.partitionBy(F.floor(F.col("place") / per_range)).orderBy("place")
         near = F.array(
             *[F.lag(F.struct("key", "at"), i).over(line) for i in range(1, k + 1)],
             *[F.lead(F.struct("key", "at"), i).over(line) for i in range(1, k + 1)],
         )
-        each = placed.select("key", "at", F.filter(near, lambda x: x.isNotNull()).alias("near"))
+        each = lined.select("key", "at", F.filter(near, lambda x: x.isNotNull()).alias("near"))
         found = each if found is None else found.unionByName(each)
     pairs = found.select("key", "at", F.explode("near").alias("other"))
     gap = F.aggregate(
@@ -170,18 +165,17 @@ def _neighbours(rows: DataFrame, cols: list[str], k: int, seed: int, looks: int,
 
 
 def smote_upsample(
-    df: DataFrame, label: str, cols: list[str], key: Column, k: int = 5, seed: int = 1, looks: int = 4, ranges: int | None = None
+    df: DataFrame, label: str, cols: list[str], key: Column, k: int = 5, seed: int = 1, looks: int = 4, per_range: int = 5000
 ) -> DataFrame:
     """``[label, *cols]`` with the smaller of two classes raised to the size of the larger one.
 
-    Each new row lies between a row of the smaller class and one of its k neighbours, at a share
-    drawn from a hash.  Neighbours are near ones, found along random directions; ``ranges`` is the
-    number of value ranges searched apart, by default one per 5,000 rows up to 1,024."""
+    Each new row lies between a row of the smaller class and one of its k neighbours, at a share drawn from a hash.
+    Neighbours are the nearest of those found along ``looks`` random directions, in ranges of ``per_range`` rows
+    whatever the size of the class: near rows, not always the k nearest.  Needs two rows of each class."""
     sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("size")).orderBy("size", label).collect()
     if len(sizes) != 2:
         raise ValueError("two classes are needed")
     (small, few), (_, many) = [(r[label], r["size"]) for r in sizes]
-    ranges = ranges or min(1024, max(1, few // 5000))
     rows = df.where(F.col(label) == small).withColumn("key", key)
     each, extra = divmod(many - few, few)
     one_more = pick_by_hash(rows.withColumn("one", F.lit(1)), "one", F.col("key"), df.sparkSession.createDataFrame([(1, extra)], "one int, n long"))
@@ -189,7 +183,7 @@ def smote_upsample(
     copies = rows.join(one_more.select("key", "one"), "key", "left").select(
         "key", F.explode(F.when(F.col("one") == 1, F.array_append(numbers, F.lit(0))).otherwise(numbers)).alias("copy")
     )
-    near = _neighbours(rows, cols, k, seed, looks, ranges)
+    near = _neighbours(rows, cols, k, seed, looks, per_range)
     tag = F.concat_ws("|", F.col("key"), F.col("copy").cast("string"), F.lit(str(seed)))
     made = copies.join(near, "key").select(
         "at",
@@ -217,24 +211,66 @@ class Classifier:
     def transform(self, df: DataFrame) -> DataFrame:
         return self.model.transform(self.encoder.transform(df))
 
-
-def _fit(train: DataFrame, label: Column, only: list[str] | None, estimator) -> Classifier:
+    def save(self, path: str) -> None:
+        """Write encoder, code tables and model under ``path``."""
+        spark = SparkSession.active()
+        self.encoder.pipeline.write().overwrite().save(f"{path}/encoder")
+        PipelineModel([self.model]).write().overwrite().save(f"{path}/model")
+        for column, table in self.encoder.codes.items():
+            table.write.mode("overwrite").parquet(f"{path}/codes/{column}")
+        about = [(c, c in self.encoder.codes) for c in self.encoder.columns]
+        spark.createDataFrame(about, "name string, coded boolean").coalesce(1).write.mode("overwrite").parquet(f"{path}/columns")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> Classifier:
+        """What ``save`` wrote."""
+        about = spark.read.parquet(f"{path}/columns").collect()
+        codes = {r.name: spark.read.parquet(f"{path}/codes/{r.name}") for r in about if r.coded}
+        encoder = Encoder(PipelineModel.load(f"{path}/encoder"), [r.name for r in about], codes)
+        return cls(encoder, PipelineModel.load(f"{path}/model").stages[0])
+
+
+#: Text columns with few values, which the encoder may keep as labels; all others are coded by tables.
+FEW_VALUES = ("srp_1_desc", "dtl_line_type", "dtl_value_package", "county", "customer_price_group", "family", "state", "kind")
+
+
+def sampled(data: DataFrame, sampling: str, key: Column) -> DataFrame:
+    """Training rows as they are (``default``), with the larger class reduced (``downsample``), or with whole rows of
+    the smaller class repeated until both are of one size (``upsample``)."""
+    if sampling == "default":
+        return data
+    if sampling == "downsample":
+        return undersample(data, LABEL, key)
+    if sampling != "upsample":
+        raise ValueError(f"unknown sampling {sampling}")
+    sizes = sorted((r["size"], r[LABEL]) for r in data.groupBy(LABEL).agg(F.count(F.lit(1)).alias("size")).collect())
+    (few, small), (many, _) = sizes
+    each, extra = divmod(many, few)
+    minor = data.where(F.col(LABEL) == small)
+    more = pick_by_hash(minor, LABEL, key, data.sparkSession.createDataFrame([(small, extra)], "label double, n long"))
+    copies = minor.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.lit(each)))).drop("_copy")
+    return data.where(F.col(LABEL) != small).unionByName(copies).unionByName(more)
+
+
+def _fit(train: DataFrame, label: Column, only: list[str] | None, estimator, sampling: str) -> Classifier:
     data = train.withColumn(LABEL, label.cast("double"))
-    encoder = encode_features(data, LABEL, only=only)
-    fitted = encoder.transform(data).select("features", LABEL)
+    wide = tuple(f.name for f in data.schema.fields if f.name not in FEW_VALUES and isinstance(f.dataType, T.StringType))
+    encoder = encode_features(data, LABEL, wide=wide, only=only)
+    key = F.to_json(F.struct(*[F.col(c) for c in train.columns]))
+    fitted = encoder.transform(sampled(data, sampling, key)).select("features", LABEL)
     return Classifier(encoder, estimator.fit(fitted))
 
 
-def win_model(train: DataFrame, features: list[str], iterations: int = 100) -> Classifier:
+def win_model(train: DataFrame, features: list[str], iterations: int = 100, sampling: str = "default") -> Classifier:
     """Boosted trees for winning (``iswon``)."""
     gbt = GBTClassifier(featuresCol="features", labelCol=LABEL, maxIter=iterations, maxDepth=3, stepSize=0.1, seed=0)
-    return _fit(train, F.col("iswon") == "True", features, gbt)
+    return _fit(train, F.col("iswon") == "True", features, gbt, sampling)
 
 
-def propensity_model(train: DataFrame, features: list[str], trees: int = 100, depth: int = 20) -> Classifier:
+def propensity_model(train: DataFrame, features: list[str], trees: int = 100, depth: int = 20, sampling: str = "default") -> Classifier:
     """Random forest for buying again soon (``outcome``)."""
     forest = RandomForestClassifier(featuresCol="features", labelCol=LABEL, numTrees=trees, maxDepth=depth, seed=0)
-    return _fit(train, F.col("outcome"), features, forest)
+    return _fit(train, F.col("outcome"), features, forest, sampling)
 
 
 def batch_predict(classifier: Classifier, df: DataFrame, probability: bool = False) -> DataFrame:
@@ -296,48 +332,39 @@ def impute_predict(requests: DataFrame, scored: DataFrame, near_customers: DataF
     its product, each replaced by the nearest trained one if needed (imputed 1).  Ids unknown
     altogether give -1 (customer), -2 (product) or -3 (imputed -1).
 
-    The rows are never listed per request; they are counted once, into a table that is written as
-    five steps read it.  Counts of each value by customer, by product and by
-    pair give the count over "customer or product"; its maximum is reached by a value the customer
-    has, or by the product's own most frequent value."""
+    The rows are never listed per request.  They are counted by customer, product and pair; each customer and product
+    is resolved once, with its counts per value attached, so the requests meet three tables: customers,
+    products and known pairs.  The most frequent value of "customer or product" is one that the customer has, or the
+    product's own most frequent one.  A row carries one count per distinct value, of which predictions have few."""
     counts = materialize(scored.groupBy(*PAIR, F.col("predicted").alias("v")).agg(F.count(F.lit(1)).alias("n")))
-    by_c = counts.groupBy(CUSTOMER, "v").agg(F.sum("n").alias("n_c"))
-    by_p = counts.groupBy(PRODUCT, "v").agg(F.sum("n").alias("n_p"))
-    most = F.min(F.struct((-F.col("n")).alias("neg"), "v")).alias("most")
-    pair_mode = counts.groupBy(*PAIR).agg(most).select(*PAIR, F.col("most.v").alias("own"))
-
-    def resolve(df: DataFrame, col: str, trained: DataFrame, near: DataFrame, out: str) -> DataFrame:
-        ids = trained.select(col).distinct().withColumn("trained", F.lit(True))
-        links = near.select(F.col("id").alias(col), "nearest")
-        return (
-            df.join(ids, col, "left")
-            .join(links, col, "left")
-            .withColumn(out, F.when(F.col("trained"), F.col(col)).otherwise(F.col("nearest")))
-            .drop("trained", "nearest")
-        )
-
-    asked = resolve(requests.select(*PAIR), CUSTOMER, by_c, near_customers, "c2")
-    asked = resolve(asked, PRODUCT, by_p, near_products, "p2").join(pair_mode, PAIR, "left")
-    new = asked.where("own IS NULL AND c2 IS NOT NULL AND p2 IS NOT NULL").select("c2", "p2").distinct()
-    of_c = by_c.withColumnRenamed(CUSTOMER, "c2")
-    of_p = by_p.withColumnRenamed(PRODUCT, "p2")
-    of_pair = counts.select(F.col(CUSTOMER).alias("c2"), F.col(PRODUCT).alias("p2"), "v", "n")
-    total = F.col("n_c") + F.coalesce("n_p", F.lit(0)) - F.coalesce("n", F.lit(0))
-    from_c = (
-        new.join(of_c, "c2")
-        .join(of_p, ["p2", "v"], "left")
-        .join(of_pair, ["c2", "p2", "v"], "left")
-        .select("c2", "p2", "v", total.alias("total"))
-    )
-    top_p = of_p.groupBy("p2").agg(F.min(F.struct((-F.col("n_p")).alias("neg"), "v")).alias("top"))
-    from_p = new.join(top_p, "p2").select("c2", "p2", F.col("top.v").alias("v"), (-F.col("top.neg")).alias("total"))
-    best = from_c.unionByName(from_p).groupBy("c2", "p2").agg(F.min(F.struct((-F.col("total")).alias("neg"), "v")).alias("best"))
-    unknown = F.when(F.col("c2").isNull(), -1).otherwise(0) + F.when(F.col("p2").isNull(), -2).otherwise(0)
-    known_ids = F.col("c2").isNotNull() & F.col("p2").isNotNull()
-    return asked.join(best, ["c2", "p2"], "left").select(
+    held = lambda by, name: counts.groupBy(*by, "v").agg(F.sum("n").alias("n")).groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("v", "n"))).alias(name))
+
+    def resolved(table: DataFrame, key: str, name: str, near: DataFrame) -> DataFrame:
+        """``[key, id, name]`` of trained ids, and of those with a trained neighbour."""
+        linked = near.select(F.col("id").alias("asked"), F.col("nearest").alias(key)).join(table.select(key), F.col("asked") == table[key], "left_anti").join(table, key)
+        return table.select(F.col(key).alias("asked"), key, name).unionByName(linked.select("asked", key, name)).withColumnRenamed(key, f"{name}_id").withColumnRenamed("asked", key)
+
+    by_c = resolved(held([CUSTOMER], "of_c"), CUSTOMER, "of_c", near_customers)
+    by_p = resolved(held([PRODUCT], "of_p"), PRODUCT, "of_p", near_products)
+    by_pair = held(PAIR, "of_pair").select(F.col(CUSTOMER).alias("of_c_id"), F.col(PRODUCT).alias("of_p_id"), "of_pair")
+    asked = requests.select(*PAIR).join(by_c, CUSTOMER, "left").join(by_p, PRODUCT, "left").join(by_pair, ["of_c_id", "of_p_id"], "left")
+
+    def most(entries: Column) -> Column:
+        """The value with the greatest count, the smallest on ties."""
+        return F.array_min(F.transform(entries, lambda e: F.struct((-e["value"]).alias("neg"), e["key"].alias("v"))))["v"]
+
+    zero = F.lit(0).cast("bigint")
+    top_p = most(F.map_entries("of_p"))
+    values = F.array_union(F.map_keys("of_c"), F.array(top_p))
+    count = lambda name, v: F.coalesce(F.try_element_at(F.col(name), v), zero)
+    either = F.transform(values, lambda v: F.struct(v.alias("key"), (count("of_c", v) + count("of_p", v) - count("of_pair", v)).alias("value")))
+    known_c, known_p = F.col("of_c").isNotNull(), F.col("of_p").isNotNull()
+    own = F.col("of_pair").isNotNull() & (F.col("of_c_id") == F.col(CUSTOMER)) & (F.col("of_p_id") == F.col(PRODUCT))
+    unknown = F.when(known_c, 0).otherwise(-1) + F.when(known_p, 0).otherwise(-2)
+    return asked.select(
         *PAIR,
-        F.coalesce(F.col("own"), F.col("best.v"), unknown).alias("outcome"),
-        F.when(F.col("own").isNotNull(), 0).when(known_ids, 1).otherwise(-1).alias("imputed"),
+        F.when(own, most(F.map_entries("of_pair"))).when(known_c & known_p, most(either)).otherwise(unknown).alias("outcome"),
+        F.when(own, 0).when(known_c & known_p, 1).otherwise(-1).alias("imputed"),
     )
 
 
@@ -347,14 +374,15 @@ def impute_accuracy(df: DataFrame) -> DataFrame:
 
 
 def permutation_importance(
-    classifier: Classifier, df: DataFrame, label: Column, features: list[str], key: Column, n: int = 5, buckets: int = 1024
+    classifier: Classifier, df: DataFrame, label: Column, features: list[str], key: Column, n: int = 5, per_bucket: int = 5000
 ) -> DataFrame:
     """``[feature, score]``: mean loss of accuracy when a feature's values are shuffled.
 
-    Rows fall into random buckets and each takes the feature of the next row of its bucket in a
+    Rows fall into random buckets of about ``per_bucket`` rows and each takes the feature of the next row of its bucket in a
     random order, so no single task orders all rows.  All repeats of a feature are one job."""
     rows = materialize(df.withColumn(LABEL, label.cast("double")).withColumn("key", key))
     scored = lambda frame: frame.select(LABEL, F.col("prediction").alias("predicted"), *(c for c in ("rep",) if c in frame.columns))
+    buckets = max(1, -(-rows.count() // per_bucket))
     base = accuracy(scored(classifier.transform(rows))).first().accuracy
     results = []
     reps = rows.withColumn("rep", F.explode(F.sequence(F.lit(1), F.lit(n))))
@@ -375,12 +403,12 @@ def permutation_importance(
 def default_models() -> dict:
     shared = {"featuresCol": "features", "labelCol": LABEL}
     return {
-        "LR": LogisticRegression(**shared, maxIter=20),
+        "LR": LogisticRegression(**shared, maxIter=100),
         "NB": NaiveBayes(**shared, modelType="gaussian"),
-        "RF": RandomForestClassifier(**shared, numTrees=20, seed=0),
-        "SVC": LinearSVC(**shared, maxIter=20),
+        "RF": RandomForestClassifier(**shared, numTrees=100, seed=0),
+        "SVC": LinearSVC(**shared, maxIter=100),
         "DT": DecisionTreeClassifier(**shared, seed=0),
-        "GBT": GBTClassifier(**shared, maxIter=10, seed=0),
+        "GBT": GBTClassifier(**shared, maxIter=20, seed=0),
     }
 
 

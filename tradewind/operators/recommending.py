@@ -4,18 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 from functools import reduce
 
+from pyspark.ml import Pipeline
+from pyspark.ml.classification import FMClassifier
+from pyspark.ml.feature import OneHotEncoder, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.recommendation import ALS
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import scoring
 from ..settings import CUSTOMER, PAIR, PRODUCT
 from ..sources.stages import materialize, scan_matrix, shared_folder, write_partitioned_matrix
-from .aggregates import category_codes
+from .aggregates import category_codes, numbered
 from .cleaning import isin_filter, rating_from_probability, remark_labels, truncate_decimals
-from .distance import SMALLEST, profile_distances, with_profile
+from .distance import SMALLEST, agreement_keys, agreements, per_set, with_profile
 from .joins import drop_unowned_services, enrich_left
 from .learning import Classifier, batch_predict
 from .sets import top_k_products
@@ -36,55 +42,85 @@ def cluster_ratings(ratings: DataFrame, labels: DataFrame) -> DataFrame:
     return means.join(labels.where(F.col("cluster").isNotNull()), CUSTOMER).select("cluster", *PAIR, "rating")
 
 
-def als_fill(ratings: DataFrame, rank: int = 50, iters: int = 30, seed: int = 0, max_clusters: int = 100, parallelism: int = 4) -> DataFrame:
-    """Dense predicted ratings per cluster, ``[cluster, customer, product, rating]``.
+@dataclass
+class Factors:
+    """Factorisations of a rating table, one per cluster, with the codes of customers and products in each."""
 
-    One implicit factorisation per cluster, as clusters must not influence each other; each reads
-    its own partition directory, ``parallelism`` fits at a time.  A customer or product without any positive rating has a zero
-    factor whatever the others are, so it is left out of the fit (which could not solve for it) and
-    scored zero.  The factors of a cluster's products, of which there are few, are one array that
-    every customer row of the cluster is scored against, so customers are not shuffled again."""
+    models: dict
+    customers: DataFrame
+    products: DataFrame
+
+    def _vectors(self, side: str, key: str, code: str, name: str) -> DataFrame:
+        codes = self.customers if key == CUSTOMER else self.products
+        parts = [getattr(m, side).select(F.lit(c).alias("part"), F.col("id").alias(code), F.col("features").alias(name)) for c, m in self.models.items()]
+        return reduce(DataFrame.unionByName, parts).join(codes, ["part", code]).select("cluster", key, name)
+
+    def score(self, pairs: DataFrame) -> DataFrame:
+        """``pairs`` [cluster, customer, product] with their predicted ``rating``; 0 where a side has no factors."""
+        if not self.models:
+            return pairs.select("cluster", *PAIR, F.lit(0.0).alias("rating"))
+        users, items = self._vectors("userFactors", CUSTOMER, "user", "uf"), self._vectors("itemFactors", PRODUCT, "item", "pf")
+        terms = F.zip_with("uf", "pf", lambda x, y: x.cast("double") * y)
+        rating = F.coalesce(F.aggregate(terms, F.lit(0.0), lambda x, y: x + y), F.lit(0.0))
+        both = pairs.select("cluster", *PAIR).join(users, ["cluster", CUSTOMER], "left").join(items, ["cluster", PRODUCT], "left")
+        return both.select("cluster", *PAIR, rating.alias("rating"))
+
+    def top(self, k: int) -> DataFrame:
+        """The ``k`` best-rated products of each customer that has factors, ``[cluster, customer, product, rating]``."""
+        parts = [m.recommendForAllUsers(k).select(F.lit(c).alias("part"), "user", F.inline("recommendations").alias("item", "rating")) for c, m in self.models.items()]
+        best = reduce(DataFrame.unionByName, parts).join(self.customers, ["part", "user"])
+        return best.join(self.products.select("part", "item", PRODUCT), ["part", "item"]).select("cluster", *PAIR, F.col("rating").cast("double").alias("rating"))
+
+
+def _codes(ratings: DataFrame, parts: DataFrame, key: str, name: str) -> DataFrame:
+    """``[part, cluster, key, name]``: values numbered from 0 within their cluster."""
+    placed = numbered(ratings.select("cluster", key).distinct().join(parts, "cluster"), [F.col("part"), F.col(key)])
+    starts = placed.groupBy("part").agg(F.min("place").alias("start"))
+    return placed.join(starts, "part").select("part", "cluster", key, (F.col("place") - F.col("start")).cast("int").alias(name))
+
+
+def als_fill(ratings: DataFrame, rank: int = 50, iters: int = 30, seed: int = 0, parallelism: int = 4) -> Factors:
+    """Implicit factorisations of ``[cluster, customer, product, rating]``, kept as factors.
+
+    One factorisation per cluster, as clusters must not influence each other; each reads its own partition
+    directory, ``parallelism`` fits at a time.  A customer or product without any positive rating has a zero factor
+    whatever the others are, so it is left out of the fit (which could not solve for it) and scored zero.  Ratings
+    are made for requested pairs or the best products only, never for the whole table."""
     spark = ratings.sparkSession
-    customers = category_codes(ratings, CUSTOMER).select(CUSTOMER, F.col("code").cast("int").alias("user"))
-    products = category_codes(ratings, PRODUCT).select(PRODUCT, F.col("code").cast("int").alias("item"))
-    coded = ratings.join(customers, CUSTOMER).join(products, PRODUCT).select("cluster", "user", "item", "rating")
-    path = write_partitioned_matrix(coded, shared_folder(spark))
-    matrix = scan_matrix(spark, path)
-    clusters = [r.cluster for r in matrix.select("cluster").distinct().limit(max_clusters + 1).collect()]
-    if len(clusters) > max_clusters:
-        raise ValueError(f"more than {max_clusters} clusters to factorise one by one")
+    clusters = sorted(r.cluster for r in ratings.select("cluster").distinct().collect())  # as many as the clustering was asked for
+    parts = spark.createDataFrame([(i, c) for i, c in enumerate(clusters)], T.StructType([T.StructField("part", T.IntegerType()), ratings.schema["cluster"]]))
+    customers, products = materialize(_codes(ratings, parts, CUSTOMER, "user")), materialize(_codes(ratings, parts, PRODUCT, "item"))
+    coded = ratings.join(customers, ["cluster", CUSTOMER]).join(products.select("cluster", PRODUCT, "item"), ["cluster", PRODUCT])
+    path = write_partitioned_matrix(coded.select(F.col("part").alias("cluster"), "user", "item", "rating"), shared_folder(spark))
     als = ALS(rank=rank, maxIter=iters, implicitPrefs=True, seed=seed, userCol="user", itemCol="item", ratingCol="rating")
 
-    def factors(cluster):
-        part = scan_matrix(spark, path, cluster)
-        liked = part.where("rating > 0")
-        fitted = part.join(liked.select("user").distinct(), "user", "left_semi").join(
-            liked.select("item").distinct(), "item", "left_semi"
-        )
-        model = als.fit(fitted)
-        named = lambda df, key, vector: df.select(F.lit(cluster).alias("cluster"), F.col("id").alias(key), F.col("features").alias(vector))
-        return named(model.userFactors, "user", "uf"), named(model.itemFactors, "item", "pf")
+    def fit(part):
+        rows = scan_matrix(spark, path, part)
+        liked = rows.where("rating > 0")
+        fitted = rows.join(liked.select("user").distinct(), "user", "left_semi").join(liked.select("item").distinct(), "item", "left_semi")
+        return None if fitted.isEmpty() else als.fit(fitted)
 
     with ThreadPoolExecutor(parallelism) as pool:
-        found = list(pool.map(factors, sorted(clusters)))
-    users = reduce(DataFrame.unionByName, [u for u, _ in found])
-    items = reduce(DataFrame.unionByName, [i for _, i in found])
-    # The matrix directory types the cluster by what its names look like.
-    members = matrix.select(F.col("cluster").cast(ratings.schema["cluster"].dataType).alias("cluster"), "user", "item")
-    typed = lambda df: df.withColumn("cluster", F.col("cluster").cast(ratings.schema["cluster"].dataType))
-    rows = members.select("cluster", "user").distinct().join(materialize(typed(users)), ["cluster", "user"], "left")
-    shelves = (
-        members.select("cluster", "item")
-        .distinct()
-        .join(materialize(typed(items)), ["cluster", "item"], "left")
-        .join(products, "item")
-        .groupBy("cluster")
-        .agg(F.collect_list(F.struct(PRODUCT, "pf")).alias("shelf"))
-    )
-    scored = rows.join(shelves, "cluster").select("cluster", "user", "uf", F.explode("shelf").alias("p"))
-    terms = F.zip_with("uf", F.col("p.pf"), lambda x, y: x.cast("double") * y)
-    rating = F.coalesce(F.aggregate(terms, F.lit(0.0), lambda x, y: x + y), F.lit(0.0))
-    return scored.join(customers, "user").select("cluster", CUSTOMER, F.col(f"p.{PRODUCT}").alias(PRODUCT), rating.alias("rating"))
+        models = dict(zip(range(len(clusters)), pool.map(fit, range(len(clusters)))))
+    return Factors({c: m for c, m in models.items() if m is not None}, customers, products)
+
+
+def logistic_mf(ratings: DataFrame, factors: int = 8, iters: int = 50, seed: int = 0) -> DataFrame:
+    """``[cluster, customer, product, rating]``: log-odds that a rated pair is liked, by a logistic factorisation.
+
+    A factorisation machine over one-hot customers and one-hot products of their cluster; products of different
+    clusters have factors of their own.  The fitted factors are the model that MLlib keeps on the driver."""
+    rows = ratings.withColumn("shelf", F.concat_ws("|", F.col("cluster").cast("string"), PRODUCT))
+    users = category_codes(rows, CUSTOMER).withColumnRenamed("code", "user")
+    items = category_codes(rows, "shelf").withColumnRenamed("code", "item")
+    coded = materialize(rows.join(users, CUSTOMER).join(items, "shelf").select("cluster", *PAIR, "user", "item", (F.col("rating") > 0).cast("double").alias("liked")))
+    stages = [
+        OneHotEncoder(inputCols=["user", "item"], outputCols=["user_hot", "item_hot"], dropLast=False),
+        VectorAssembler(inputCols=["user_hot", "item_hot"], outputCol="features"),
+        FMClassifier(featuresCol="features", labelCol="liked", factorSize=factors, maxIter=iters, stepSize=0.1, seed=seed),
+    ]
+    scored = Pipeline(stages=stages).fit(coded).transform(coded)
+    return scored.select("cluster", *PAIR, vector_to_array("rawPrediction")[1].alias("rating"))
 
 
 def factorisation_rmse(predicted: DataFrame, actual: DataFrame) -> DataFrame:
@@ -96,36 +132,34 @@ def factorisation_rmse(predicted: DataFrame, actual: DataFrame) -> DataFrame:
 
 
 def fill_unseen_customers(
-    ratings: DataFrame,
-    customers: DataFrame,
-    features: Mapping[str, float],
-    weighting: str = "inverse",
-    metrics: Mapping[str, str] | None = None,
+    ratings: DataFrame, customers: DataFrame, features: Mapping[str, float], weighting: str = "inverse"
 ) -> DataFrame:
     """Ratings for cluster members that have none: the mean of the cluster's rated members weighted
     by closeness (``"inverse"``) or by distance (``"distance"``), ``[cluster, customer, product, rating]``.
 
-    ``ratings`` is ``[cluster, customer, product, rating]``; ``customers`` is
-    ``[customer, cluster, *features]``.  Closeness depends on profiles only, so rated members are
-    summed per (cluster, profile, product) and targets are filled per (cluster, profile)."""
-    cells = with_profile(customers, list(features))
-    rated = ratings.select(CUSTOMER).distinct()
-    targets = cells.join(rated, CUSTOMER, "left_anti")
-    d = profile_distances(cells, features, metrics)
-    near = F.greatest(F.col("d"), F.lit(SMALLEST))
-    weights = d.select("a", "b", (1 / near if weighting == "inverse" else near).alias("w"))
+    ``ratings`` is ``[cluster, customer, product, rating]``; ``customers`` is ``[customer, cluster, *features]`` with
+    categorical features.  Ratings are summed per value key of each feature set; a weighted sum over all rated members
+    is then a sum over the sets, with signs that leave every member counted once, at its own distance."""
+    cols, sets = list(features), agreements(features)
+    weigh = lambda d: 1 / max(d, SMALLEST) if weighting == "inverse" else max(d, SMALLEST)
+    signed = [
+        sum((-1) ** (len(outer) - len(inner)) * weigh(d) for inner, d in sets if set(inner) <= set(outer)) for outer, _ in sets
+    ]
+    cells = with_profile(customers, cols)
+    targets = cells.join(ratings.select(CUSTOMER).distinct(), CUSTOMER, "left_anti")
+    same = [s for s, _ in sets]
     sums = (
-        ratings.join(cells.select(CUSTOMER, F.col("profile").alias("b")), CUSTOMER)
-        .groupBy("cluster", "b", PRODUCT)
-        .agg(F.sum("rating").alias("s"), F.count("rating").alias("n"))
+        ratings.join(cells.select(CUSTOMER, "profile", *cols), CUSTOMER)
+        .groupBy("cluster", "profile", *cols, PRODUCT)
+        .agg(F.sum("rating").alias("total"), F.count("rating").alias("n"))
     )
-    wanted = targets.select("cluster", F.col("profile").alias("a")).distinct()
+    sums = agreement_keys(sums, same, ["cluster", PRODUCT, "total", "n"]).groupBy("cluster", "s", "v", PRODUCT).agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
+    wanted = agreement_keys(targets.select("cluster", "profile", *cols).distinct(), same, ["cluster", "profile"])
+    w = per_set(signed)
     filled = (
-        wanted.join(weights, "a")
-        .join(sums, ["cluster", "b"])
-        .groupBy("cluster", "a", PRODUCT)
-        .agg((F.sum(F.col("w") * F.col("s")) / F.sum(F.col("w") * F.col("n"))).alias("rating"))
-        .withColumnRenamed("a", "profile")
+        wanted.join(sums, ["cluster", "s", "v"])
+        .groupBy("cluster", "profile", PRODUCT)
+        .agg((F.sum(w * F.col("total")) / F.sum(w * F.col("n"))).alias("rating"))
     )
     return targets.select("cluster", CUSTOMER, "profile").join(filled, ["cluster", "profile"]).select("cluster", *PAIR, "rating")
 

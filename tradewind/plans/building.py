@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import aggregates as agg
 from ..operators import clustering as cu
 from ..operators import distance as di
+from ..operators import joins as jn
 from ..settings import CUSTOMER, PRODUCT
 from ..sources import tables as t
 from ..sources.stages import materialize
@@ -55,17 +56,23 @@ def product_details(spark, root):
 
 @query
 def prediction_train(spark, root):
-    return ds.prediction_train(t.sales(spark, root, geography=True), t.opportunities(spark, root), complete=True)
+    return ds.prediction_train(t.sales(spark, root, geography=True), t.opportunities(spark, root))
+
+
+@query
+def prediction_test_filled_from_all(spark, root):
+    """The test rows when gaps are filled from all rows, those after the cutoff included."""
+    return ds.prediction_test(t.sales(spark, root, geography=True), t.opportunities(spark, root), fill_after=True)
 
 
 @query
 def prediction_test(spark, root):
-    return ds.prediction_test(t.sales(spark, root, geography=True), t.opportunities(spark, root), complete=True)
+    return ds.prediction_test(t.sales(spark, root, geography=True), t.opportunities(spark, root))
 
 
 @query
 def propensity_train(spark, root):
-    df = ds.propensity_train(t.sales(spark, root, geography=True), literal=True, complete=True)
+    df = ds.propensity_train(t.sales(spark, root, geography=True), literal=True)
     return df.withColumns(six("gap_mean", "gap_std")).withColumn("outcome", F.col("outcome").cast("bigint"))
 
 
@@ -216,11 +223,30 @@ def cluster_affinity(spark, root):
     return cu.cluster_affinity(product_distances(spark, root), 4)
 
 
+def clustered_by_features(spark, root):
+    """Baseline customers with a ``cluster`` from their categories, rates and product lists."""
+    before = fr.sales_before(spark, root)
+    won = agg.collect_products(fr.opps_before(spark, root).where("iswon = 'True'")).select(CUSTOMER, F.col("items").alias("won_list"))
+    lost = agg.collect_products(fr.opps_before(spark, root).where("iswon = 'False'")).select(CUSTOMER, F.col("items").alias("lost_list"))
+    rented = agg.collect_products(t.rentals(spark, root)).select(CUSTOMER, F.col("items").alias("rental_list"))
+    lists = agg.collect_products(before).select(CUSTOMER, F.col("items").alias("sales_list"))
+    hospitals = t.crosswalk(spark, root).select(CUSTOMER, "definitive_id")
+    entities = t.baseline(spark, root).join(agg.purchase_rate(before, CUSTOMER), CUSTOMER, "left").join(agg.avg_order_amount(before, CUSTOMER), CUSTOMER, "left")
+    for table in (lists, won, lost, rented, hospitals):
+        entities = entities.join(table, CUSTOMER, "left")
+    entities = jn.enrich_left(entities, t.external(spark, root), "definitive_id", ["staffed_beds", "net_income", "hospital_type"])
+    entities = materialize(entities.fillna("none", ["hospital_type"]))
+    clusters = cu.cluster_vectors(
+        entities,
+        CUSTOMER,
+        ["customer_class", "customer_type", "active_cust_yn", "customer_price_group", "hospital_type"],
+        ["purchase_per_year", "avg_order_amount", "staffed_beds", "net_income"],
+        ["sales_list", "won_list", "lost_list", "rental_list"],
+        10,
+    )
+    return entities.join(clusters.withColumnRenamed("id", CUSTOMER), CUSTOMER)
+
+
 @query
 def cluster_vectors(spark, root):
-    lists = agg.collect_products(fr.sales_before(spark, root)).select(CUSTOMER, F.col("items").alias("sales_list"))
-    rate = agg.purchase_rate(fr.sales_before(spark, root), CUSTOMER)
-    entities = t.baseline(spark, root).join(lists, CUSTOMER, "left").join(rate, CUSTOMER, "left")
-    return cu.cluster_vectors(
-        entities, CUSTOMER, ["customer_class", "customer_type", "active_cust_yn"], ["purchase_per_year"], ["sales_list"], 10
-    )
+    return clustered_by_features(spark, root).select(F.col(CUSTOMER).alias("id"), "cluster")

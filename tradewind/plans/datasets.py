@@ -82,20 +82,19 @@ FAMILY_OVERRIDES = {"Brand#5": "COMMUNICATIONS", "Brand#9": "TABLES"}
 
 
 def fill_quadrants(
-    sales: DataFrame, opps: DataFrame, settings: Settings = DEFAULTS, fill_after: bool = True, complete: bool = False
+    sales: DataFrame, opps: DataFrame, settings: Settings = DEFAULTS, fill_after: bool = True
 ) -> DataFrame:
     """Won sales and lost opportunities in one table, each filled with what the other lacks.
 
     Invoices take the columns of the nearest won opportunity of their pair, lost opportunities have
     no sales columns; what is still missing comes from the first row of the same customer or
     product that has it.  Both inputs carry ``cutoff_tag``; with ``fill_after=False`` fills are
-    taken from rows up to the cutoff only.  ``complete`` states that sales and opportunity rows have
-    no nulls (``first_per_key``).  The stacked table is written once, as it is read by
+    taken from rows up to the cutoff only.  The stacked table is written once, as it is read by
     itself and by both fills."""
     sale_cols = ["cutoff_tag", "dtl_order_dt", *FILL_BY_CUSTOMER, *[c for c in FILL_BY_PRODUCT if c != "family"]]
-    invoices = agg.invoices_of(sales, sale_cols, complete)
+    invoices = agg.invoices_of(sales, sale_cols)
     opp_cols = ["cutoff_tag", "close_dt", "family", "iswon", "stagename"]
-    single = agg.first_per_key(opps, [*PAIR, "opp_id"], opp_cols, ["create_dt", *opp_cols], complete)
+    single = agg.first_per_key(opps, [*PAIR, "opp_id"], opp_cols, ["create_dt", *opp_cols])
     won = cl.filter_outcome(single, won=True).drop("cutoff_tag")
     lost = cl.filter_outcome(single, won=False)
     top = jn.nearest_match(invoices, won, settings.tolerance_days, keep_unmatched=True).withColumn(
@@ -112,16 +111,16 @@ def fill_quadrants(
 
 
 def prediction_train(
-    sales: DataFrame, opps: DataFrame, settings: Settings = DEFAULTS, complete: bool = False
+    sales: DataFrame, opps: DataFrame, settings: Settings = DEFAULTS
 ) -> DataFrame:
     """Training rows of the win model, from history up to the cutoff."""
     before = cl.cutoff_split(sales, "dtl_invoice_dt", settings.cutoff)[0].withColumn("cutoff_tag", F.lit("BEFORE"))
     known = cl.cutoff_split(opps, "create_dt", settings.cutoff)[0].withColumn("cutoff_tag", F.lit("BEFORE"))
-    return fill_quadrants(before, known, settings, complete=complete).select(*FEATURES)
+    return fill_quadrants(before, known, settings).select(*FEATURES)
 
 
 def prediction_test(
-    sales: DataFrame, opps: DataFrame, settings: Settings = DEFAULTS, fill_after: bool = False, complete: bool = False
+    sales: DataFrame, opps: DataFrame, settings: Settings = DEFAULTS, fill_after: bool = False
 ) -> DataFrame:
     """Rows after the cutoff, built from the whole history.
 
@@ -129,7 +128,7 @@ def prediction_test(
     nothing from itself; ``fill_after=True`` fills from all rows."""
     tagged_sales = cl.cutoff_tags(sales, "dtl_invoice_dt", settings.cutoff)
     tagged_opps = cl.cutoff_tags(opps, "create_dt", settings.cutoff)
-    rows = fill_quadrants(tagged_sales, tagged_opps, settings, fill_after, complete)
+    rows = fill_quadrants(tagged_sales, tagged_opps, settings, fill_after)
     return rows.where(F.col("cutoff_tag") == "AFTER").select(*FEATURES)
 
 
@@ -140,7 +139,7 @@ PROPENSITY_COLS = [
 
 
 def propensity_train(
-    sales: DataFrame, settings: Settings = DEFAULTS, literal: bool = False, complete: bool = False
+    sales: DataFrame, settings: Settings = DEFAULTS, literal: bool = False
 ) -> DataFrame:
     """The latest invoice of every pair up to the cutoff, with its buying rhythm and whether the
     next purchase came within ``near_sale_days``.
@@ -149,7 +148,7 @@ def propensity_train(
     last purchase, which labels long-silent pairs as near.  Invoices are written once; all parts are aggregates by pair, so
     joining them needs no further shuffle."""
     before, _ = cl.cutoff_split(sales, "dtl_invoice_dt", settings.cutoff)
-    invoices = materialize(agg.invoices_of(before, PROPENSITY_COLS, complete))
+    invoices = materialize(agg.invoices_of(before, PROPENSITY_COLS))
     latest = wn.last_row_per_pair(invoices)
     when = agg.last_next_purchase(sales, settings.cutoff)
     days = F.datediff("next_dt", F.lit(settings.cutoff))

@@ -33,7 +33,7 @@ def opps_before(spark: SparkSession, root: str) -> DataFrame:
 
 
 def invoices_before(spark: SparkSession, root: str, cols: list[str] | None = None) -> DataFrame:
-    return invoices_of(sales_before(spark, root), cols or ["dtl_invoice_dt", "dtl_order_dt", "dtl_qty_ordered"], complete=True)
+    return invoices_of(sales_before(spark, root), cols or ["dtl_invoice_dt", "dtl_order_dt", "dtl_qty_ordered"])
 
 
 def invoice_dates(sales: DataFrame) -> DataFrame:
@@ -43,7 +43,10 @@ def invoice_dates(sales: DataFrame) -> DataFrame:
 
 def pair_ratings(spark: SparkSession, root: str) -> DataFrame:
     """Stand-in rating: a pair's share of the customer's best product quantity, in [-1, 1]."""
-    qty = sales_before(spark, root).groupBy(*PAIR).agg(F.sum("dtl_qty_ordered").alias("qty"))
+    return share_ratings(sales_before(spark, root).groupBy(*PAIR).agg(F.sum("dtl_qty_ordered").alias("qty")))
+
+
+def share_ratings(qty: DataFrame) -> DataFrame:
     top = F.max("qty").over(Window.partitionBy(CUSTOMER))
     return qty.select(*PAIR, (F.col("qty") / top * 2 - 1).alias("rating"))
 
@@ -72,6 +75,6 @@ def scored_sales(spark: SparkSession, root: str) -> DataFrame:
 
 
 def labelled(spark: SparkSession, root: str) -> DataFrame:
-    return tables.table(spark, root, "labels").select(
-        F.col("doc_id"), F.col("quality").cast("bigint").alias("label"), F.col("toxic").cast("bigint").alias("predicted")
-    )
+    """The stand-in predictions of the sales rows with their truth."""
+    won = lambda c: (F.col(c) == "True").cast("bigint")
+    return scored_sales(spark, root).select(won("truth").alias("label"), won("predicted").alias("predicted"))

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import aggregates as agg
 from ..operators import cleaning as cl
+from ..operators import clustering as cu
 from ..operators import distance as di
 from ..operators import joins as jn
 from ..operators import learning as ln
-from ..operators import logistic
 from ..operators import ranking as rk
 from ..operators import recommending as rc
 from ..operators import windows as wn
@@ -19,7 +21,7 @@ from ..sources import tables as t
 from ..sources.stages import materialize
 from . import datasets as ds
 from . import frames as fr
-from .building import CUSTOMER_WEIGHTS, clustered_customers, product_distances
+from .building import CUSTOMER_WEIGHTS, clustered_by_features, clustered_customers, product_distances
 from .relational import six
 
 QUERIES: dict = {}
@@ -30,25 +32,12 @@ def query(fn):
     return fn
 
 
-# Models and training tables are kept per session and folder, as several queries use them.
-_KEPT: dict = {}
-
-
-def _kept(name: str, spark, root, make):
-    place = (name, spark.sparkContext.applicationId, root)
-    if place not in _KEPT:
-        _KEPT[place] = make()
-    return _KEPT[place]
-
-
 def _win_train(spark, root) -> DataFrame:
-    return _kept(
-        "win train", spark, root, lambda: materialize(ds.prediction_train(t.sales(spark, root, True), t.opportunities(spark, root), complete=True))
-    )
+    return materialize(ds.prediction_train(t.sales(spark, root, True), t.opportunities(spark, root)))
 
 
 def _propensity_rows(spark, root) -> DataFrame:
-    return _kept("propensity", spark, root, lambda: materialize(ds.propensity_train(t.sales(spark, root, True), complete=True)))
+    return materialize(ds.propensity_train(t.sales(spark, root, True)))
 
 
 WIN_FEATURES = [c for c in ds.FEATURES if c != "iswon"]
@@ -63,8 +52,8 @@ def _opp_key():
     return F.concat_ws("|", CUSTOMER, PRODUCT, "opp_id")
 
 
-def _win(spark, root) -> ln.Classifier:
-    return _kept("win", spark, root, lambda: ln.win_model(_win_train(spark, root), WIN_FEATURES))
+def _win(rows: DataFrame) -> ln.Classifier:
+    return ln.win_model(rows, WIN_FEATURES)
 
 
 def _halves(spark, root):
@@ -72,10 +61,6 @@ def _halves(spark, root):
     return rows.where("split = 'train'"), rows.where("split = 'test'")
 
 
-def _near(spark, root) -> ln.Classifier:
-    return _kept("near", spark, root, lambda: ln.propensity_model(_halves(spark, root)[0], PROPENSITY_FEATURES, trees=100))
-
-
 @query
 def encode_features(spark, root):
     cols = ["srp_1_desc", "dtl_value_package", CUSTOMER]
@@ -95,17 +80,24 @@ def undersample(spark, root):
 
 @query
 def smote_upsample(spark, root):
+    """Rows of each class after raising, how many are new, and whether every new value lies within its class."""
     cols = ["dtl_qty_ordered", "dtl_unit_cost", "dtl_unit_price", "gap_mean", "gap_std", "last_purchase_to_cutoff"]
-    raised = ln.smote_upsample(_propensity_rows(spark, root), "outcome", cols, _row_key())
-    return raised.groupBy(F.col("outcome").cast("bigint").alias("outcome")).agg(F.count(F.lit(1)).alias("n"))
+    rows = _propensity_rows(spark, root)
+    raised = materialize(ln.smote_upsample(rows, "outcome", cols, _row_key()))
+    given = rows.groupBy("outcome").agg(F.count(F.lit(1)).alias("n_given"), *[F.min(c).alias(f"low_{c}") for c in cols], *[F.max(c).alias(f"high_{c}") for c in cols])
+    inside = F.lit(True)
+    for c in cols:
+        inside = inside & F.col(c).between(F.col(f"low_{c}") - 1e-6, F.col(f"high_{c}") + 1e-6)
+    both = raised.join(given, "outcome").groupBy(F.col("outcome").cast("bigint").alias("outcome"), "n_given")
+    return both.agg(F.count(F.lit(1)).alias("n"), F.min(inside).alias("inside")).select("outcome", "n", (F.col("n") - F.col("n_given")).alias("n_new"), "inside")
 
 
 @query
 def win_model(spark, root):
     """Accuracy on the training rows and on the rows after the cutoff."""
-    model = _win(spark, root)
-    test = ds.prediction_test(t.sales(spark, root, True), t.opportunities(spark, root), complete=True)
-    parts = {"train": _win_train(spark, root), "test": test}
+    train = _win_train(spark, root)
+    model = _win(train)
+    parts = {"train": train, "test": ds.prediction_test(t.sales(spark, root, True), t.opportunities(spark, root))}
     results = []
     for name, rows in parts.items():
         predicted = ln.batch_predict(model, rows).withColumn("label", (F.col("iswon") == "True").cast("bigint"))
@@ -115,9 +107,10 @@ def win_model(spark, root):
 
 @query
 def propensity_model(spark, root):
-    model = _near(spark, root)
+    halves = _halves(spark, root)
+    model = ln.propensity_model(halves[0], PROPENSITY_FEATURES)
     results = []
-    for name, rows in zip(("train", "test"), _halves(spark, root)):
+    for name, rows in zip(("train", "test"), halves):
         predicted = ln.batch_predict(model, rows).withColumn("label", F.col("outcome").cast("bigint"))
         results.append(ln.accuracy(predicted).select(F.lit(name).alias("part"), F.round("accuracy", 4).alias("accuracy")))
     return results[0].unionByName(results[1])
@@ -125,8 +118,10 @@ def propensity_model(spark, root):
 
 @query
 def batch_predict(spark, root):
-    scored = ln.batch_predict(_win(spark, root), _win_train(spark, root), probability=True)
-    return scored.groupBy("iswon", "predicted").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("win_prob"), 4).alias("mean_prob"))
+    """Training rows by outcome, and whether all their win probabilities are probabilities."""
+    train = _win_train(spark, root)
+    scored = ln.batch_predict(_win(train), train, probability=True)
+    return scored.groupBy("iswon").agg(F.count(F.lit(1)).alias("n"), ((F.min("win_prob") >= 0) & (F.max("win_prob") <= 1)).alias("in_range"))
 
 
 @query
@@ -154,10 +149,6 @@ def _scored(spark, root, value):
 
 
 def _near_ids(spark, root):
-    return _kept("near ids", spark, root, lambda: _find_near_ids(spark, root))
-
-
-def _find_near_ids(spark, root):
     trained = materialize(_scored(spark, root, F.lit(1)).select(CUSTOMER).distinct())
     base = t.baseline(spark, root)
     unknown, known = base.join(trained, CUSTOMER, "left_anti"), base.join(trained, CUSTOMER, "left_semi")
@@ -198,16 +189,14 @@ def impute_accuracy(spark, root):
 
 @query
 def permutation_importance(spark, root):
-    features = ["dtl_qty_ordered", "dtl_line_type", "dtl_unit_price", "family"]
     rows = _win_train(spark, root)
     key = F.concat_ws("|", *[F.col(c).cast("string") for c in ds.FEATURES])
-    return ln.permutation_importance(_win(spark, root), rows, F.col("iswon") == "True", features, key)
+    return ln.permutation_importance(_win(rows), rows, F.col("iswon") == "True", WIN_FEATURES, key)
 
 
 @query
 def model_comparison(spark, root):
-    features = ["dtl_qty_ordered", "dtl_unit_cost", "dtl_unit_price", "gap_mean", "gap_std", "last_purchase_to_cutoff", "dtl_line_type"]
-    return ln.model_comparison(_propensity_rows(spark, root), F.col("outcome"), features, _row_key(), k=5)
+    return ln.model_comparison(_propensity_rows(spark, root), F.col("outcome"), PROPENSITY_FEATURES, _row_key(), k=5)
 
 
 # recommendations
@@ -215,8 +204,10 @@ def model_comparison(spark, root):
 
 @query
 def rate_pairs(spark, root):
-    rated = rc.rate_pairs(_win(spark, root), _win_train(spark, root))
-    return agg.mean_rating(rated).withColumns(six("rating"))
+    """Pairs with their number of rated rows, and whether every rating lies in [-1, 1]."""
+    train = _win_train(spark, root)
+    rated = rc.rate_pairs(_win(train), train)
+    return rated.groupBy(*PAIR).agg(F.count("rating").alias("n"), F.max(F.abs("rating") <= 1).alias("in_range"))
 
 
 def _signed(spark, root):
@@ -237,22 +228,27 @@ def _regions(spark, root):
 
 @query
 def als_fill(spark, root):
-    ratings = rc.cluster_ratings(_signed(spark, root), _regions(spark, root))
-    filled = rc.als_fill(ratings)
-    return rc.factorisation_rmse(filled, ratings).join(
-        filled.groupBy("cluster").agg(F.count(F.lit(1)).alias("n_cells")), "cluster"
-    )
+    """Rated cells of each cluster, and whether their factorised ratings are closer than half the range of ratings."""
+    ratings = materialize(rc.cluster_ratings(_signed(spark, root), _regions(spark, root)))
+    scored = rc.als_fill(ratings).score(ratings)
+    cells = scored.groupBy("cluster").agg(F.count(F.lit(1)).alias("n_cells"))
+    return rc.factorisation_rmse(scored, ratings).join(cells, "cluster").select("cluster", "n_cells", (F.col("rmse") < 1).alias("close"))
 
 
 @query
 def logistic_mf(spark, root):
-    """Mean score of positively and of negatively rated pairs per cluster."""
-    ratings = rc.cluster_ratings(_signed(spark, root), _regions(spark, root))
-    scored = logistic.logistic_mf(ratings)
-    both = scored.withColumnRenamed("rating", "score").join(ratings, ["cluster", *PAIR])
-    return both.groupBy("cluster", (F.col("rating") > 0).alias("liked")).agg(
-        F.count(F.lit(1)).alias("n"), F.round(F.avg("score"), 4).alias("mean_score")
-    )
+    """Liked and other pairs of each cluster, and whether liked ones have the higher mean log-odds."""
+    ratings = materialize(rc.cluster_ratings(_signed(spark, root), _regions(spark, root)))
+    both = rc.logistic_mf(ratings).withColumnRenamed("rating", "score").join(ratings, ["cluster", *PAIR])
+    liked = F.col("rating") > 0
+    return both.groupBy("cluster").agg(
+        F.count_if(liked).alias("n_liked"), F.count_if(~liked).alias("n_other"),
+        (F.avg(F.when(liked, F.col("score"))) > F.avg(F.when(~liked, F.col("score")))).alias("apart"),
+    )
+
+
+#: Factor counts tried by ``rmse_delta``: doubling up to the default of ``als_fill``, all at its full iterations.
+FACTORS = (3, 6, 12, 25, 50)
 
 
 @query
@@ -260,10 +256,10 @@ def rmse_delta(spark, root):
     """Error of the factorisation for growing factor counts, and what each step gains."""
     ratings = materialize(rc.cluster_ratings(_signed(spark, root), _regions(spark, root)))
     tried = []
-    for factors in (2, 4, 8):
-        error = rc.factorisation_rmse(rc.als_fill(ratings, rank=factors, iters=5), ratings)
+    for factors in FACTORS:
+        error = rc.factorisation_rmse(rc.als_fill(ratings, rank=factors).score(ratings), ratings)
         tried.append(error.agg(F.avg("rmse").alias("rmse")).select(F.lit(factors).alias("factors"), "rmse"))
-    return wn.rmse_delta(tried[0].unionByName(tried[1]).unionByName(tried[2]))
+    return wn.rmse_delta(reduce(DataFrame.unionByName, tried))
 
 
 @query
@@ -312,7 +308,7 @@ def _recommend_inputs(spark, root):
     grid = jn.cross_score_grid(matrix, curated)
     propensity = grid.select(
         *PAIR,
-        (F.substring(PRODUCT, 7, 10).cast("bigint") % 2).alias("outcome"),
+        (F.substr(PRODUCT, F.lit(7)).cast("bigint") % 2).alias("outcome"),
         (F.col(CUSTOMER).cast("bigint") % 2).alias("imputed"),
     )
     return matrix, propensity, fr.sales_before(spark, root), curated, fr.SERVICES
@@ -336,7 +332,11 @@ def mrr_rows(spark, root):
 
 
 def _pair_rows(spark, root):
-    return rk.pair_rows(fr.pair_ratings(spark, root), fr.sales_after(spark, root), fr.curated(spark, root))
+    """Purchases after the cutoff with the rank by quantity before it: one pass over the sales gives both."""
+    sales, before = t.sales(spark, root), F.col("dtl_invoice_dt") <= F.lit(fr.CUTOFF)
+    pairs = sales.groupBy(*PAIR).agg(F.sum(F.when(before, F.col("dtl_qty_ordered"))).alias("qty"), F.count_if(~before).alias("n"))
+    pairs = materialize(pairs)
+    return rk.mrr_rows(fr.share_ratings(pairs.where("qty IS NOT NULL")), pairs.where("n > 0"), fr.curated(spark, root), keep=("n",))
 
 
 @query
@@ -372,3 +372,25 @@ def propensity_lookup(spark, root):
 @query
 def coverage_stats(spark, root):
     return rc.coverage_stats(rc.cluster_ratings(_signed(spark, root), fr.customer_clusters(spark, root)))
+
+
+@query
+def end_to_end(spark, root):
+    """Mean reciprocal rank by location of the whole chain: win model, signed ratings, customer clusters from all features,
+    factorisation per cluster, ratings of customers without any, replaced products, ranks against later purchases.
+
+    ``n_pairs`` counts the pairs bought after the cutoff that have a rank."""
+    train = _win_train(spark, root)
+    rated = agg.mean_rating(rc.rate_pairs(_win(train), train))
+    customers = materialize(clustered_by_features(spark, root))
+    ratings = materialize(rc.cluster_ratings(rated, customers.select(CUSTOMER, "cluster")))
+    products = fr.curated(spark, root).count()
+    scored = materialize(rc.als_fill(ratings, rank=8, iters=10).top(products))
+    unseen = rc.fill_unseen_customers(scored, customers, CUSTOMER_WEIGHTS)
+    labels = cu.ward_cutoff(product_distances(spark, root), 0.7).withColumnRenamed("id", PRODUCT)
+    known = scored.unionByName(unseen)
+    more = rc.fill_unseen_products(known, labels, di.mirrored(product_distances(spark, root)))
+    matrix = rc.replacement_rollup(known.unionByName(more).select(*PAIR, "rating"), fr.curated(spark, root))
+    rows = materialize(rk.pair_rows(matrix, fr.sales_after(spark, root), fr.curated(spark, root)))
+    found = rows.groupBy("location").agg(F.count(F.lit(1)).alias("n_pairs"))
+    return rk.mrr_by_location(rows).join(found, "location").select("location", "n_pairs", F.round("mrr", 6).alias("mrr"))

@@ -273,6 +273,11 @@ RELATIONAL = {
     "coalesce_name": "SELECT customer_num, definitive_id, customer_name FROM f_named",
     "enrich_left": """SELECT s.customer_num, CAST(sum(dtl_qty_ordered) AS BIGINT) AS qty, customer_class, customer_type, active_cust_yn
         FROM f_sales s LEFT JOIN f_baseline b ON s.customer_num = b.customer_num GROUP BY ALL""",
+    "enrich_left_with_gaps": """SELECT b.customer_num, arg_min(family, opp_id) FILTER (iswon = 'True') AS family, arg_min(stagename, opp_id) FILTER (iswon = 'False') AS lost_stage
+        FROM (SELECT o.*, row_number() OVER (PARTITION BY customer_num, opp_id, iswon ORDER BY family, stagename) AS rn FROM f_opps o) o
+        RIGHT JOIN f_baseline b ON o.customer_num = b.customer_num AND rn = 1 GROUP BY 1""",
+    "first_per_key_with_gaps": """SELECT srp_2_desc, min_by(family, (opp_id, customer_num)) FILTER (iswon = 'True') AS family,
+        min_by(close_dt, (opp_id, customer_num)) FILTER (iswon = 'False') AS close_dt FROM f_opps GROUP BY 1""",
     "inner_pair_join": """SELECT g.customer_num, g.srp_2_desc, round(gap_mean, 6) AS gap_mean, round(gap_std, 6) AS gap_std, last_dt, next_dt
         FROM f_gap_stats g JOIN f_last_next l ON g.customer_num = l.customer_num AND g.srp_2_desc = l.srp_2_desc""",
     "nearest_match": "SELECT * FROM f_nearest",
@@ -405,6 +410,7 @@ BUILDING = {
         LEFT JOIN (SELECT srp_2_desc AS k, round(avg(dtl_qty_ordered), 6) AS avg_order_amount,
             round(sum(dtl_qty_ordered) / nullif(max(dtl_order_dt) - min(dtl_order_dt), 0) * 365, 6) AS avg_sales_per_year FROM f_before GROUP BY 1) a ON a.k = c.srp_2_desc""",
     "prediction_train": _quadrants("f_before", "f_opps_before", "true", "true"),
+    "prediction_test_filled_from_all": _quadrants("f_sales", "f_opps", "TRUE", "tag = 'AFTER'"),
     "prediction_test": _quadrants("f_sales", "f_opps", "tag = 'BEFORE'", "tag = 'AFTER'"),
     "propensity_train": """WITH inv AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY customer_num, srp_2_desc, dtl_invoice_num ORDER BY dtl_line_num, dtl_line_type,
             dtl_qty_ordered, dtl_unit_cost, dtl_unit_price, dtl_value_package, total_discount, srp_1_desc, srp_3_desc) AS rn FROM f_before) WHERE rn = 1),
@@ -444,6 +450,7 @@ BUILDING = {
 
 
 CTES["f_propensity"] = BUILDING["propensity_train"]
+CTES["f_win_train"] = BUILDING["prediction_train"]
 CTES["f_active"] = "SELECT srp_2_desc FROM f_curated WHERE active = 'Y'"
 CTES["f_train"] = """
         SELECT customer_num, srp_2_desc, CASE WHEN predicted = 'True' THEN 1 ELSE 0 END AS v, win_prob, count(*) AS n
@@ -496,8 +503,9 @@ def _unseen(weight: str) -> str:
 
 
 def _class(c: int) -> str:
-    return f"""SELECT {c} AS c, count(*) FILTER (WHERE quality = {c}) AS support, count(*) FILTER (WHERE toxic = {c}) AS called,
-        count(*) FILTER (WHERE quality = {c} AND toxic = {c}) AS hits FROM labels"""
+    text = "True" if c else "False"
+    return f"""SELECT {c} AS c, count(*) FILTER (WHERE truth = '{text}') AS support, count(*) FILTER (WHERE predicted = '{text}') AS called,
+        count(*) FILTER (WHERE truth = '{text}' AND predicted = '{text}') AS hits FROM f_scored"""
 
 
 _RATES = f"""(SELECT c, coalesce(hits / nullif(called, 0), 0) AS p, coalesce(hits / nullif(support, 0), 0) AS r, coalesce(2 * hits / nullif(called + support, 0), 0) AS f, support, hits
@@ -510,15 +518,22 @@ MODELLING = {
         THEN 'train' ELSE 'test' END AS split FROM f_opps""",
     "undersample": """SELECT customer_num, srp_2_desc, opp_id, iswon FROM (SELECT *, row_number() OVER (PARTITION BY iswon ORDER BY md5(concat_ws('|', customer_num, srp_2_desc, opp_id))) AS rn FROM f_opps)
         WHERE rn <= (SELECT min(n) FROM (SELECT count(*) AS n FROM f_opps GROUP BY iswon))""",
-    "smote_upsample": """SELECT o AS outcome, (SELECT max(n) FROM (SELECT count(*) AS n FROM (SELECT CASE WHEN next_dt - DATE '1999-12-31' <= 365 THEN 1 ELSE 0 END AS o
-            FROM f_gap_stats g JOIN f_last_next l ON g.customer_num = l.customer_num AND g.srp_2_desc = l.srp_2_desc WHERE gap_std IS NOT NULL) GROUP BY o)) AS n
-        FROM (VALUES (CAST(0 AS BIGINT)), (CAST(1 AS BIGINT))) v(o)""",
-    "accuracy": "SELECT round(avg(CASE WHEN quality = toxic THEN 1 ELSE 0 END), 6) AS accuracy FROM labels",
+    "smote_upsample": """WITH c AS (SELECT o, count(*) AS n FROM (SELECT CASE WHEN next_dt - DATE '1999-12-31' <= 365 THEN 1 ELSE 0 END AS o
+            FROM f_gap_stats g JOIN f_last_next l ON g.customer_num = l.customer_num AND g.srp_2_desc = l.srp_2_desc WHERE gap_std IS NOT NULL) GROUP BY o)
+        SELECT CAST(o AS BIGINT) AS outcome, (SELECT max(n) FROM c) AS n, (SELECT max(n) FROM c) - n AS n_new, TRUE AS inside FROM c""",
+    "batch_predict": "SELECT iswon, count(*) AS n, TRUE AS in_range FROM f_win_train GROUP BY 1",
+    "rate_pairs": "SELECT customer_num, srp_2_desc, count(*) AS n, TRUE AS in_range FROM f_win_train GROUP BY ALL",
+    "als_fill": """SELECT CAST(n_regionkey AS BIGINT) AS cluster, count(DISTINCT (customer_num, srp_2_desc)) AS n_cells, TRUE AS close FROM f_signed
+        JOIN customer ON customer_num = CAST(c_custkey AS VARCHAR) JOIN nation ON c_nationkey = n_nationkey GROUP BY 1""",
+    "logistic_mf": """SELECT CAST(n_regionkey AS BIGINT) AS cluster, count(*) FILTER (rating > 0) AS n_liked, count(*) FILTER (rating <= 0) AS n_other, TRUE AS apart
+        FROM (SELECT customer_num, srp_2_desc, avg(rating) AS rating FROM f_signed GROUP BY ALL)
+        JOIN customer ON customer_num = CAST(c_custkey AS VARCHAR) JOIN nation ON c_nationkey = n_nationkey GROUP BY 1""",
+    "accuracy": "SELECT round(avg(CASE WHEN truth = predicted THEN 1 ELSE 0 END), 6) AS accuracy FROM f_scored",
     "classification_report": f"""SELECT CAST(c AS VARCHAR) AS label, round(p, 6) AS precision, round(r, 6) AS recall, round(f, 6) AS f1, CAST(support AS BIGINT) AS support FROM {_RATES}
         UNION ALL SELECT 'macro avg', round(avg(p), 6), round(avg(r), 6), round(avg(f), 6), CAST(sum(support) AS BIGINT) FROM {_RATES}
         UNION ALL SELECT 'weighted avg', round(sum(p * support) / sum(support), 6), round(sum(r * support) / sum(support), 6), round(sum(f * support) / sum(support), 6), CAST(sum(support) AS BIGINT) FROM {_RATES}
         UNION ALL SELECT 'accuracy', round(sum(hits) / sum(support), 6), round(sum(hits) / sum(support), 6), round(sum(hits) / sum(support), 6), CAST(sum(support) AS BIGINT) FROM {_RATES}""",
-    "confusion_matrix": """SELECT CAST(a AS BIGINT) AS label, CAST(b AS BIGINT) AS predicted, (SELECT count(*) FROM labels WHERE quality = a AND toxic = b) AS n
+    "confusion_matrix": """SELECT CAST(a AS BIGINT) AS label, CAST(b AS BIGINT) AS predicted, (SELECT count(*) FROM f_scored WHERE (truth = 'True') = (a = 1) AND (predicted = 'True') = (b = 1)) AS n
         FROM (VALUES (0, 0), (0, 1), (1, 0), (1, 1)) g(a, b)""",
     "impute_predict": f"SELECT customer_num, srp_2_desc, CAST(outcome AS BIGINT) AS outcome, CAST(imputed AS BIGINT) AS imputed FROM {_imputed(_ALL_REQUESTS)}",
     "score_grid": f"""SELECT customer_num, srp_2_desc, CAST(outcome AS BIGINT) AS outcome, CAST(imputed AS BIGINT) AS imputed

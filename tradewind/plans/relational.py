@@ -317,6 +317,24 @@ def enrich_left(spark, root):
     return jn.enrich_left(totals, t.baseline(spark, root), CUSTOMER, ["customer_class", "customer_type", "active_cust_yn"])
 
 
+@query
+def enrich_left_with_gaps(spark, root):
+    """A dimension with several rows per key, some of them null: opportunities as attributes of customers."""
+    closed = t.opportunities(spark, root).select(
+        CUSTOMER, "opp_id", F.when(F.col("iswon") == "True", F.col("family")).alias("family"), F.when(F.col("iswon") == "False", F.col("stagename")).alias("lost_stage")
+    )
+    return jn.enrich_left(t.baseline(spark, root).select(CUSTOMER), closed, CUSTOMER, ["family", "lost_stage"], order=["opp_id"])
+
+
+@query
+def first_per_key_with_gaps(spark, root):
+    """First value that is not null of each column, over rows with nulls."""
+    closed = t.opportunities(spark, root).select(
+        PRODUCT, "opp_id", CUSTOMER, F.when(F.col("iswon") == "True", F.col("family")).alias("family"), F.when(F.col("iswon") == "False", F.col("close_dt")).alias("close_dt")
+    )
+    return agg.first_per_key(closed, [PRODUCT], ["family", "close_dt"], ["opp_id", CUSTOMER])
+
+
 @query
 def inner_pair_join(spark, root):
     return jn.inner_pair_join(
@@ -367,7 +385,7 @@ def _scored_pairs(spark, root):
     return rated.select(
         *PAIR,
         F.round("rating", 6).alias("rating"),
-        (F.substring(PRODUCT, 7, 10).cast("bigint") % 2).alias("outcome"),
+        (F.substr(PRODUCT, F.lit(7)).cast("bigint") % 2).alias("outcome"),
         (F.col(CUSTOMER).cast("bigint") % 2).alias("imputed"),
     )
 
@@ -392,7 +410,7 @@ INVOICE_COLS = ["dtl_invoice_dt", "dtl_qty_ordered", "dtl_unit_cost", "dtl_line_
 
 @query
 def first_per_key(spark, root):
-    return agg.invoices_of(t.sales(spark, root), INVOICE_COLS, complete=True)
+    return agg.invoices_of(t.sales(spark, root), INVOICE_COLS)
 
 
 @query

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,15 +10,13 @@ from pyspark.sql import types as T
 
 
 def checkpoint_folder(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``, or what the application set.
+    """The folder all executors share: ``spark.checkpoint.dir``, or what the caller set on the context.
 
-    Only a local session that has neither gets one of its own; on a cluster it must be named."""
+    The caller names it; there is no default, as a folder of one machine is lost with it."""
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        folder = tempfile.mkdtemp(prefix="checkpoints-")
+        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
     if not context.getCheckpointDir():
         context.setCheckpointDir(folder)
     return folder.rstrip("/")
@@ -59,10 +56,18 @@ def write_stage(df: DataFrame, root: str, version: str, stage: str) -> str:
     return path
 
 
+#: Rows of a file of a partitioned matrix, about.
+ROWS_PER_FILE = 2_000_000
+
+
 def write_partitioned_matrix(df: DataFrame, path: str, by: str = "cluster") -> str:
-    """One directory per cluster.  Rows keep the partitioning they have, so a cluster with a large
-    share of the rows is written by many tasks and not gathered into one."""
-    df.write.mode("overwrite").partitionBy(by).parquet(path)
+    """One directory per cluster, in files of about ``ROWS_PER_FILE`` rows.
+
+    Rows are dealt by cluster and salt; a cluster has as many salts as its count asks for, so a large one is
+    written by many tasks and a small one to a single file."""
+    counts = df.groupBy(by).agg(F.ceil(F.count(F.lit(1)) / ROWS_PER_FILE).cast("int").alias("_salts"))
+    salted = df.join(counts, by).withColumn("_salt", F.floor(F.rand(1) * F.col("_salts")))
+    salted.repartition(by, "_salt").drop("_salt", "_salts").write.mode("overwrite").partitionBy(by).parquet(path)
     return path
 
 

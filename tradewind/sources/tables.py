@@ -35,7 +35,7 @@ def sales(spark: SparkSession, root: str, geography: bool = False) -> DataFrame:
     columns = [
         F.col("o_custkey").cast("string").alias("customer_num"),
         F.col("p_type").alias("srp_1_desc"),
-        F.substring("p_brand", 7, 10).alias("srp_2_code"),
+        F.substr("p_brand", F.lit(7)).alias("srp_2_code"),
         F.col("p_brand").alias("srp_2_desc"),
         F.col("p_name").alias("srp_3_desc"),
         F.col("o_orderkey").cast("string").alias("dtl_invoice_num"),
@@ -102,7 +102,7 @@ def rentals(spark: SparkSession, root: str) -> DataFrame:
         .select(
             F.col("o_custkey").cast("string").alias("customer_num"),
             F.col("p_brand").alias("srp_2_desc"),
-            F.substring("p_brand", 7, 10).alias("srp_2_code"),
+            F.substr("p_brand", F.lit(7)).alias("srp_2_code"),
             _day("l_shipdate").alias("billing_from_dt"),
             F.col("l_quantity").cast("bigint").alias("bill_days"),
             F.col("l_extendedprice").alias("extended_amount"),
@@ -159,7 +159,7 @@ def external(spark: SparkSession, root: str) -> DataFrame:
 
 def curated_raw(spark: SparkSession, root: str) -> DataFrame:
     """The curated product list as extracted, before cleaning."""
-    n = F.substring("p_brand", 7, 10).cast("int")
+    n = F.substr("p_brand", F.lit(7)).cast("int")
     code = F.lpad(n.cast("string"), 3, "0")
     successor = (n - 20).cast("string")
     brands = table(spark, root, "part").select("p_brand").distinct()
@@ -185,7 +185,7 @@ def catalog(spark: SparkSession, root: str) -> DataFrame:
         table(spark, root, "part")
         .select(
             F.col("p_type").alias("srp_1_desc"),
-            F.substring("p_brand", 7, 10).alias("srp_2_code"),
+            F.substr("p_brand", F.lit(7)).alias("srp_2_code"),
             F.col("p_brand").alias("srp_2_desc"),
             F.col("p_name").alias("srp_3_desc"),
         )
