@@ -36,10 +36,12 @@ from tradewind.llm.tables import id_key
 from tradewind.sources.stages import materialize
 
 DEPTH, GRAM = 100, 32
-#: Runs under one piece up to which pass 3 sorts them together.
-GROUP_LIMIT = 500
+#: Runs under one piece up to which pass 3 sorts them together (about 35 strings each).
+GROUP_LIMIT = 50_000
 #: Long texts are hashed in parts of so many strings.
-PART = 1 << 21
+PART = 1 << 20
+#: The bits that hold a place within a slice of texts.
+_PLACE = np.uint64((1 << 22) - 1)
 
 
 def _sliding_least(x: np.ndarray, width: int) -> np.ndarray:
@@ -55,36 +57,32 @@ def _sliding_least(x: np.ndarray, width: int) -> np.ndarray:
 def _runs(data: np.ndarray, offsets: np.ndarray, depth: int, gram: int) -> tuple[np.ndarray, ...]:
     """Runs of neighbouring strings with the same first digit: text, start, strings, place of the piece in the
     first string, hash of the piece, hash of all bytes."""
-    none = tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.int64, np.uint64, np.uint64))
     n = len(data) - depth + 1
     if n <= 0:
-        return none
+        return tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.int64, np.uint64, np.uint64))
     prefix = B.prefix_hashes(data)
-    at = np.arange(len(data) - gram + 1)
-    pieces = B.mixed(B.span_hashes(prefix, at, at + gram))
-    width = depth - gram + 1
-    least = _sliding_least(pieces, width)
-    text = np.searchsorted(offsets, np.arange(n), "right") - 1 if len(offsets) > 2 else np.zeros(n, np.int64)
-    inside = np.arange(n) + depth <= offsets[text + 1]
-    # The piece of string s is the leftmost i >= s with pieces[i] == least[s]: found from the next such place.
-    greatest = ~_sliding_least(~np.concatenate([np.zeros(width - 1, np.uint64), least, np.zeros(width - 1, np.uint64)]), width)
-    places = np.flatnonzero(greatest == pieces)
-    first = np.searchsorted(places, np.arange(n))
-    piece = places[first]
-    wrong = pieces[piece] != least
-    while wrong.any():  # a hit of an earlier string that is not the least of this one
-        first[wrong] += 1
-        piece = places[first]
-        wrong = pieces[piece] != least
+    pieces = (prefix[gram:] - prefix[:-gram]) * B.powers(len(prefix))[1][: len(data) - gram + 1]
+    pieces ^= pieces >> np.uint64(29)
+    pieces *= np.uint64(0xBF58476D1CE4E5B9)
+    # High bits of the hash, then the place: the least of a window tells its piece, leftmost on ties.
+    marked = pieces & ~_PLACE
+    marked |= np.arange(len(pieces), dtype=np.uint64)
+    piece = (_sliding_least(marked, depth - gram + 1) & _PLACE).astype(np.int64)
     change = np.ones(n, bool)
-    change[1:] = (piece[1:] != piece[:-1]) | (inside[1:] != inside[:-1]) | (text[1:] != text[:-1])
+    np.not_equal(piece[1:], piece[:-1], out=change[1:])
+    # Strings that run over the end of a text are runs of their own, and left out.
+    lasts = np.maximum(offsets[1:] - depth + 1, offsets[:-1])
+    for edge in (lasts, offsets[1:]):
+        change[edge[edge < n]] = True
     start = np.flatnonzero(change)
     count = np.diff(np.append(start, n))
-    keep = inside[start]
-    start, count = start[keep], count[keep]
-    offset = piece[start] - start
-    whole = B.mixed(B.span_hashes(prefix, start, start + count + depth - 1) + (count * 256 + offset).astype(np.uint64), 9)
-    return text[start], start - offsets[text[start]], count, offset, pieces[piece[start]], whole
+    text = np.searchsorted(offsets, start, "right") - 1
+    keep = start + depth <= offsets[text + 1]
+    start, count, text = start[keep], count[keep], text[keep]
+    at = piece[start]
+    place = at - start
+    whole = B.mixed(B.span_hashes(prefix, start, start + count + depth - 1) + (count * 256 + place).astype(np.uint64), 9)
+    return text, start - offsets[text], count, place, pieces[at], whole
 
 
 RUN = "g long, c long, d long, h int, p long"
@@ -178,7 +176,7 @@ def _each_suffix(batches: Iterator[pa.RecordBatch], depth: int) -> Iterator[pa.R
 def repeated_spans(texts: DataFrame, depth: int = DEPTH, gram: int = GRAM) -> DataFrame:
     """[d, h, low, high]: byte spans (they may overlap) of texts [d, h, text, row] that repeat an earlier start."""
     runs = texts.select("d", "h", "text").mapInArrow(partial(_run_rows, depth=depth, gram=gram), RUN)
-    often = runs.groupBy("g").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("g")
+    often = materialize(runs.groupBy("g").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("g"))
     runs = materialize(runs.join(often, "g", "left_semi"))
     firsts = materialize(runs.groupBy("g", "c").agg(F.min(F.struct("d", F.shiftright("p", 16).alias("s"), "h", "p")).alias("f")))
     again = runs.join(firsts, ["g", "c"]).where("d <> f.d or shiftright(p, 16) <> f.s")
