@@ -74,8 +74,11 @@ def product_details(
     return df.join(rate, CODE_AND_NAME, "left")
 
 
-FILL_BY_CUSTOMER = ["county", "customer_price_group"]
-FILL_BY_PRODUCT = ["dtl_line_type", "dtl_value_package", "dtl_qty_ordered", "dtl_unit_cost", "dtl_unit_price", "family"]
+FILL_BY_CUSTOMER = ["customer_name", "state", "county", "customer_price_group"]
+FILL_BY_PRODUCT = [
+    "dtl_line_type", "dtl_value_package", "dtl_qty_ordered", "dtl_unit_cost", "dtl_unit_price", "dtl_extended_price", "total_discount",
+    "dtl_actual_ship_dt", "srp_1_desc", "srp_3_desc", "family",
+]
 FEATURES = [*PAIR, *FILL_BY_CUSTOMER, *FILL_BY_PRODUCT, "iswon"]
 # Families set by hand for products whose opportunities carry none.
 FAMILY_OVERRIDES = {"Brand#5": "COMMUNICATIONS", "Brand#9": "TABLES"}

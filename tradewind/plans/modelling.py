@@ -40,7 +40,8 @@ def _propensity_rows(spark, root) -> DataFrame:
     return materialize(ds.propensity_train(t.sales(spark, root, True)))
 
 
-WIN_FEATURES = [c for c in ds.FEATURES if c != "iswon"]
+# A name stands for its customer, and a ship date for no kind of row.
+WIN_FEATURES = [c for c in ds.FEATURES if c not in ("iswon", "customer_name", "dtl_actual_ship_dt")]
 PROPENSITY_FEATURES = [*PAIR, *ds.PROPENSITY_COLS, "gap_mean", "gap_std", "last_purchase_to_cutoff"]
 
 

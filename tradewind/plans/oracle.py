@@ -11,7 +11,7 @@ CTES = {
                substring(p_brand, 7) AS srp_2_code, p_brand AS srp_2_desc, p_name AS srp_3_desc,
                CAST(o_orderkey AS VARCHAR) AS dtl_invoice_num, CAST(o_orderkey AS VARCHAR) AS dtl_order_num,
                l_linenumber AS dtl_line_num, CAST(o_orderdate AS DATE) AS dtl_invoice_dt,
-               CAST(o_orderdate AS DATE) AS dtl_order_dt, CAST(l_quantity AS BIGINT) AS dtl_qty_ordered,
+               CAST(o_orderdate AS DATE) AS dtl_order_dt, CAST(l_shipdate AS DATE) AS dtl_actual_ship_dt, CAST(l_quantity AS BIGINT) AS dtl_qty_ordered,
                l_extendedprice AS dtl_extended_price, l_extendedprice / l_quantity AS dtl_unit_price,
                p_retailprice AS dtl_unit_cost, l_discount + 0.0 AS total_discount, l_linestatus AS dtl_line_type,
                l_returnflag AS dtl_value_package, n_name AS state, r_name AS county,
@@ -349,28 +349,31 @@ RELATIONAL = {
 
 
 def _quadrants(sales: str, opps: str, fill: str, keep: str) -> str:
-    by_customer = ["county", "customer_price_group"]
-    by_product = ["dtl_line_type", "dtl_value_package", "dtl_qty_ordered", "dtl_unit_cost", "dtl_unit_price", "family"]
+    by_customer = ["customer_name", "state", "county", "customer_price_group"]
+    by_product = ["dtl_line_type", "dtl_value_package", "dtl_qty_ordered", "dtl_unit_cost", "dtl_unit_price", "dtl_extended_price", "total_discount",
+        "dtl_actual_ship_dt", "srp_1_desc", "srp_3_desc", "family"]
+    own = ", ".join(by_customer + by_product[:-1])
+    lines = ", ".join(by_product[:-1])
+    none = ", ".join("NULL" for _ in by_customer + by_product[:-1])
     pick = ", ".join("arg_min({0}, place) FILTER (WHERE {0} IS NOT NULL) AS x_{0}".format(c) for c in by_customer)
     pick_p = ", ".join("arg_min({0}, place) FILTER (WHERE {0} IS NOT NULL) AS x_{0}".format(c) for c in by_product)
     fam = """CASE t.srp_2_desc WHEN 'Brand#5' THEN 'COMMUNICATIONS' WHEN 'Brand#9' THEN 'TABLES' ELSE coalesce(family, x_family) END AS family"""
-    out = ", ".join(f"coalesce({c}, x_{c}) AS {c}" for c in by_customer + by_product if c not in ("family", "dtl_unit_price"))
+    out = ", ".join(f"coalesce({c}, x_{c}) AS {c}" for c in by_customer + by_product if c != "family")
     whole = " AND ".join(f"{c} IS NOT NULL" for c in by_customer + by_product)
     return f"""WITH s AS (SELECT *, CASE WHEN dtl_invoice_dt <= DATE '1999-12-31' THEN 'BEFORE' ELSE 'AFTER' END AS tag FROM {sales}),
         o AS (SELECT *, CASE WHEN create_dt <= DATE '1999-12-31' THEN 'BEFORE' ELSE 'AFTER' END AS tag FROM {opps}),
         inv AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY customer_num, srp_2_desc, dtl_invoice_num
-            ORDER BY dtl_line_num, dtl_line_type, dtl_value_package, dtl_qty_ordered, dtl_unit_cost, dtl_unit_price) AS rn FROM s) WHERE rn = 1),
+            ORDER BY dtl_line_num, {lines}) AS rn FROM s) WHERE rn = 1),
         near AS (SELECT * FROM (SELECT i.customer_num, i.srp_2_desc, i.dtl_invoice_num, o.family, abs(o.close_dt - i.dtl_order_dt) AS delta,
             row_number() OVER (PARTITION BY i.customer_num, i.srp_2_desc, i.dtl_invoice_num ORDER BY abs(o.close_dt - i.dtl_order_dt), o.opp_id) AS rn
             FROM inv i JOIN o ON i.customer_num = o.customer_num AND i.srp_2_desc = o.srp_2_desc AND o.iswon = 'True') WHERE rn = 1 AND delta <= 90),
-        total AS (SELECT concat_ws('|', 'sale', i.dtl_invoice_num, i.customer_num, i.srp_2_desc) AS place, i.tag, i.customer_num, i.srp_2_desc, county,
-                customer_price_group, dtl_line_type, dtl_value_package, dtl_qty_ordered, dtl_unit_cost, dtl_unit_price, family, 'True' AS iswon
+        total AS (SELECT concat_ws('|', 'sale', i.dtl_invoice_num, i.customer_num, i.srp_2_desc) AS place, i.tag, i.customer_num, i.srp_2_desc, {own}, family, 'True' AS iswon
             FROM inv i LEFT JOIN near n ON i.customer_num = n.customer_num AND i.srp_2_desc = n.srp_2_desc AND i.dtl_invoice_num = n.dtl_invoice_num
-            UNION ALL SELECT concat_ws('|', 'opp', opp_id, customer_num, srp_2_desc), tag, customer_num, srp_2_desc, NULL, NULL, NULL, NULL, NULL, NULL, NULL, family, 'False'
+            UNION ALL SELECT concat_ws('|', 'opp', opp_id, customer_num, srp_2_desc), tag, customer_num, srp_2_desc, {none}, family, 'False'
             FROM o WHERE iswon = 'False'),
         fc AS (SELECT customer_num, {pick} FROM total WHERE {fill} GROUP BY 1),
         fp AS (SELECT srp_2_desc, {pick_p} FROM total WHERE {fill} GROUP BY 1)
-        SELECT * FROM (SELECT t.customer_num, t.srp_2_desc, {out}, coalesce(dtl_unit_price, x_dtl_unit_price) AS dtl_unit_price, {fam}, iswon
+        SELECT * FROM (SELECT t.customer_num, t.srp_2_desc, {out}, {fam}, iswon
             FROM total t LEFT JOIN fc ON t.customer_num = fc.customer_num LEFT JOIN fp ON t.srp_2_desc = fp.srp_2_desc WHERE {keep}) WHERE {whole}"""
 
 
