@@ -25,12 +25,12 @@ def invoices_of(sales: DataFrame, cols: list[str]) -> DataFrame:
     return first_per_key(sales, INVOICE, cols, ["dtl_line_num", *cols])
 
 
-def collect_products(df: DataFrame, key: str = CUSTOMER, val: str = PRODUCT) -> DataFrame:
-    """Sorted distinct products per customer, with the number of rows behind them.
+def collect_products(df: DataFrame, key: str = CUSTOMER, val: str = PRODUCT, rows: str | None = None) -> DataFrame:
+    """Sorted distinct products per customer, with the number of rows behind them (``rows``: a column that counts them).
 
     Rows are counted per (customer, product) first, so the array holds at most one entry per
     product and a customer with very many rows is folded before it is gathered."""
-    counted = df.where(F.col(key).isNotNull()).groupBy(key, val).agg(F.count(F.lit(1)).alias("n"))
+    counted = df.where(F.col(key).isNotNull()).groupBy(key, val).agg((F.sum(rows) if rows else F.count(F.lit(1))).alias("n"))
     return counted.groupBy(key).agg(
         F.array_sort(F.collect_list(val)).alias("items"),
         F.sum("n").alias("n_rows"),
@@ -52,10 +52,14 @@ def member_counts(df: DataFrame, key: str, element: str) -> DataFrame:
     return counted.groupBy(key).agg(F.sum("n").alias("n_rows"), F.count(element).alias("n_distinct"))
 
 
-def purchase_rate(df: DataFrame, key: str | list[str], qty: str = "dtl_qty_ordered", date: str = "dtl_order_dt") -> DataFrame:
-    """Quantity per year between the first and the last order; null for a single order day."""
+def purchase_rate(
+    df: DataFrame, key: str | list[str], qty: str = "dtl_qty_ordered", date: str = "dtl_order_dt", last: str | None = None
+) -> DataFrame:
+    """Quantity per year between the first and the last order; null for a single order day.
+
+    Folded rows carry their first day in ``date`` and their last in ``last``."""
     keys = [key] if isinstance(key, str) else key
-    days = F.datediff(F.max(date), F.min(date))
+    days = F.datediff(F.max(last or date), F.min(date))
     return df.groupBy(*keys).agg((F.try_divide(F.sum(qty), days) * 365).alias("purchase_per_year"))
 
 

@@ -33,24 +33,14 @@ def customer_interactions(spark, root):
 
 @query
 def customer_details(spark, root):
-    sources = _sources(spark, root)
-    sales_columns = [CUSTOMER, PRODUCT, "customer_name", "dtl_qty_ordered", "dtl_order_dt"]
-    staged = {
-        "CSD": materialize(sources["CSD"].select(*sales_columns)),
-        "SFD": materialize(sources["SFD"].select(CUSTOMER, PRODUCT, "iswon")),
-        "RSD": materialize(sources["RSD"].select(CUSTOMER, PRODUCT)),
-    }
-    df = ds.customer_details(sources | staged)
+    df = ds.customer_details(_sources(spark, root))
     lists = ["sales_list", "salesforce_list", "rental_list"]
     return df.withColumns({c: F.array_join(c, "|") for c in lists} | six("purchase_per_year")).drop(*[f"{c}_rows" for c in lists])
 
 
 @query
 def product_details(spark, root):
-    sales_columns = [CUSTOMER, "srp_2_code", PRODUCT, "dtl_order_num", "dtl_qty_ordered", "dtl_order_dt"]
-    sales = materialize(fr.sales_before(spark, root).select(*sales_columns))
-    opps = materialize(fr.opps_before(spark, root).select(CUSTOMER, PRODUCT, "opp_id", "iswon"))
-    df = ds.product_details(fr.curated(spark, root), t.catalog(spark, root), sales, opps, t.rentals(spark, root))
+    df = ds.product_details(fr.curated(spark, root), t.catalog(spark, root), fr.sales_before(spark, root), fr.opps_before(spark, root), t.rentals(spark, root))
     return df.withColumns(six("avg_order_amount", "avg_sales_per_year"))
 
 

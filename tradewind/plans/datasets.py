@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import aggregates as agg
@@ -21,22 +21,36 @@ def customer_interactions(sources: dict[str, DataFrame]) -> DataFrame:
     return jn.coalesce_name(jn.presence_full_outer(sources))
 
 
+def folded(facts: DataFrame, by: list[str]) -> DataFrame:
+    """One row per ``by`` with its number of rows ``n``, and of sales also quantity, first and last order day and a name.
+
+    A fact table is read once for it; all that is said about customers follows from this small table, which is written."""
+    has, sums = set(facts.columns), [F.count(F.lit(1)).alias("n")]
+    if "dtl_order_dt" in has:
+        sums += [F.sum("dtl_qty_ordered").alias("dtl_qty_ordered"), F.min("dtl_order_dt").alias("first_dt"), F.max("dtl_order_dt").alias("last_dt")]
+    if "customer_name" in has:
+        sums.append(F.min(F.nullif("customer_name", F.lit(""))).alias("customer_name"))
+    return materialize(facts.groupBy(*by).agg(*sums))
+
+
 def customer_details(sources: dict[str, DataFrame]) -> DataFrame:
     """One row per interacting customer: attributes, product lists, purchase rate and unique key.
 
-    Facts are folded per customer before they are joined, so every join is one row to one row on
-    ``customer_num`` and the fact aggregates already carry that partitioning."""
-    sales, opps, rentals = sources["CSD"], sources["SFD"], sources["RSD"]
-    df = cl.filter_interacted(customer_interactions(sources)).select("definitive_id", CUSTOMER, "customer_name")
+    Each fact table is folded once to one row per customer and product, from which presence, names, lists and rates are
+    made; every join is one row to one row on ``customer_num``."""
+    sales, opps, rentals = folded(sources["CSD"], PAIR), folded(sources["SFD"], [*PAIR, "iswon"]), folded(sources["RSD"], PAIR)
+    known = customer_interactions(sources | {"CSD": sales, "SFD": opps, "RSD": rentals})
+    df = cl.filter_interacted(known).select("definitive_id", CUSTOMER, "customer_name")
     df = jn.enrich_left(
         df, sources["CBD"], CUSTOMER, ["active_cust_yn", "customer_class", "customer_price_group", "customer_type"]
     )
     df = jn.enrich_left(df, sources["EDD"], "definitive_id", ["staffed_beds", "net_income", "hospital_type"])
     won = cl.filter_outcome(opps, won=True).where(F.col(PRODUCT).isNotNull())
     for name, facts in (("sales_list", sales), ("salesforce_list", won), ("rental_list", rentals)):
-        lists = agg.collect_products(facts).select(CUSTOMER, F.col("items").alias(name), F.col("n_rows").alias(f"{name}_rows"))
+        lists = agg.collect_products(facts, rows="n").select(CUSTOMER, F.col("items").alias(name), F.col("n_rows").alias(f"{name}_rows"))
         df = df.join(lists, CUSTOMER, "left")
-    return cl.composite_key(df.join(agg.purchase_rate(sales, CUSTOMER), CUSTOMER, "left"))
+    rate = agg.purchase_rate(sales, CUSTOMER, date="first_dt", last="last_dt")
+    return cl.composite_key(df.join(rate, CUSTOMER, "left"))
 
 
 def product_details(
@@ -44,8 +58,9 @@ def product_details(
 ) -> DataFrame:
     """One row per curated product: attributes, list sizes, average order amount and sales rate.
 
-    The lists themselves (customers, orders, opportunities of a product) grow with the data; they
-    stay long tables (``aggregates.members``) and only their sizes are kept here."""
+    The lists themselves (customers, orders, opportunities of a product) grow with the data; they stay long tables
+    (``aggregates.members``) and only their sizes are kept here.  Each fact table is read in one aggregate, whose
+    distinct counts are spread over (product, element) before they meet per product."""
     df = curated.select(
         *CODE_AND_NAME,
         F.col("replacement_srp_2_code").alias("new_srp_2_code"),
@@ -55,23 +70,25 @@ def product_details(
     )
     df = jn.enrich_left(df, catalog, CODE_AND_NAME, ["srp_3_desc"])
 
-    def sizes(name: str, facts: DataFrame, keys: list[str], element: str) -> DataFrame:
-        counted = facts.groupBy(*keys, element).agg(F.count(F.lit(1)).alias("n"))
-        return counted.groupBy(*keys).agg(F.sum("n").alias(f"{name}_rows"), F.count(element).alias(f"{name}_items"))
-
-    won, lost = cl.filter_outcome(opps, True), cl.filter_outcome(opps, False)
-    for name, facts, keys, element in (
-        ("sales_list", sales, CODE_AND_NAME, CUSTOMER),
-        ("order_list", sales, CODE_AND_NAME, "dtl_order_num"),
-        ("rental_list", rentals, CODE_AND_NAME, CUSTOMER),
-        ("salesforce_list", opps, [PRODUCT], CUSTOMER),
-        ("opp_won_list", won, [PRODUCT], "opp_id"),
-        ("opp_lost_list", lost, [PRODUCT], "opp_id"),
-    ):
-        df = df.join(sizes(name, facts, keys, element), keys, "left")
-    df = df.join(agg.avg_order_amount(sales, CODE_AND_NAME), CODE_AND_NAME, "left")
-    rate = agg.purchase_rate(sales, CODE_AND_NAME).withColumnRenamed("purchase_per_year", "avg_sales_per_year")
-    return df.join(rate, CODE_AND_NAME, "left")
+    def sizes(name: str, element: str, of: Column | None = None) -> list[Column]:
+        """Rows and distinct elements of a list; null if the product has no such rows."""
+        inside = F.lit(True) if of is None else of
+        n = F.count_if(inside)
+        return [F.nullif(n, F.lit(0)).alias(f"{name}_rows"), F.when(n > 0, F.count_distinct(F.when(inside, F.col(element)))).alias(f"{name}_items")]
+
+    days = F.datediff(F.max("dtl_order_dt"), F.min("dtl_order_dt"))
+    from_sales = sales.groupBy(*CODE_AND_NAME).agg(
+        *sizes("sales_list", CUSTOMER),
+        *sizes("order_list", "dtl_order_num"),
+        F.avg("dtl_qty_ordered").alias("avg_order_amount"),
+        (F.try_divide(F.sum("dtl_qty_ordered"), days) * 365).alias("avg_sales_per_year"),
+    )
+    from_rentals = rentals.groupBy(*CODE_AND_NAME).agg(*sizes("rental_list", CUSTOMER))
+    won = F.col("iswon") == "True"
+    from_opps = opps.groupBy(PRODUCT).agg(
+        *sizes("salesforce_list", CUSTOMER), *sizes("opp_won_list", "opp_id", won), *sizes("opp_lost_list", "opp_id", F.col("iswon") == "False")
+    )
+    return df.join(from_sales, CODE_AND_NAME, "left").join(from_rentals, CODE_AND_NAME, "left").join(from_opps, PRODUCT, "left")
 
 
 FILL_BY_CUSTOMER = ["customer_name", "state", "county", "customer_price_group"]
