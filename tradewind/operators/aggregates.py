@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..settings import CUSTOMER, DEFAULTS, INVOICE, PAIR, PRODUCT
-from ..sources.stages import checkpointed
+from ..sources.stages import checkpointed, materialize
 
 
 def first_per_key(df: DataFrame, keys: list[str], cols: list[str], order: list[str]) -> DataFrame:
@@ -145,15 +145,17 @@ def rank_histogram(df: DataFrame, by: str = "location") -> DataFrame:
 
 
 def value_histogram(df: DataFrame, col: str, bins: int) -> DataFrame:
-    """Counts in equal-width bins between the smallest and the largest value."""
-    edges = df.agg(F.struct(F.min(col).alias("lo"), F.max(col).alias("hi")).alias("edge")).scalar()
+    """Counts in equal-width bins between the smallest and the largest value.
+
+    Equal values are counted together first, in a table that bounds and bins are both taken from."""
+    counts = materialize(df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("n")))
+    edges = counts.agg(F.struct(F.min(col).alias("lo"), F.max(col).alias("hi")).alias("edge")).scalar()
     lo, hi = edges.getField("lo"), edges.getField("hi")
     place = F.floor(F.try_divide((F.col(col) - lo) * bins, hi - lo))
     return (
-        df.where(F.col(col).isNotNull())
-        .select(F.least(F.coalesce(place, F.lit(0)), F.lit(bins - 1)).cast("bigint").alias("bin"))
+        counts.select(F.least(F.coalesce(place, F.lit(0)), F.lit(bins - 1)).cast("bigint").alias("bin"), "n")
         .groupBy("bin")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.sum("n").alias("n"))
     )
 
 
