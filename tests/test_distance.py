@@ -163,6 +163,7 @@ def test_selection_and_search(spark):
     pairs = spark.createDataFrame(rows, "id_i string, id_j string, f double, g double")
     steps = cu.forward_feature_selection(pairs, ["f", "g"], 0.6).collect()
     assert [s.step for s in steps] == [1, 2] and {s.feature for s in steps} == {"f", "g"}
+    assert [tuple(s) for s in cu.forward_feature_selection(pairs, ["f", "g"], 0.6, top_feature=1).collect()] == [tuple(steps[0])]
     runs = cu.weight_search(pairs, ["f", "g"], 0.6, n_trials=3, seed=1)
     best = {r.feature: r.weight for r in cu.best_run_weights(runs, ["f", "g", "h"]).collect()}
     assert best["h"] == pytest.approx((best["f"] + best["g"]) / 2)

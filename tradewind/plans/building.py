@@ -204,7 +204,11 @@ def forward_feature_selection(spark, root):
 
 @query
 def weight_search(spark, root):
-    runs = cu.weight_search(product_pairs(spark, root), list(PRODUCT_WEIGHTS), 0.7, n_trials=10, seed=1)
+    """Weights tried for the three features that are selected first."""
+    pairs = product_pairs(spark, root)
+    steps = cu.forward_feature_selection(pairs, list(PRODUCT_WEIGHTS), 0.7, top_feature=3)
+    features = [r.feature for r in steps.orderBy("step").collect()]
+    runs = cu.weight_search(pairs, features, 0.7, n_trials=10, seed=1)
     return runs.select("trial", F.to_json("weights").alias("weights"), "wcss", "n_clusters")
 
 
