@@ -145,17 +145,17 @@ def _active(spark, root):
 
 
 def _scored(spark, root, value):
-    """Training rows of active products with the value to be imputed."""
-    return fr.scored_sales(spark, root).join(_active(spark, root).select(PRODUCT), PRODUCT, "left_semi").select(*PAIR, value.alias("predicted"))
+    """Training rows with the value to be imputed."""
+    return fr.scored_sales(spark, root).select(*PAIR, value.alias("predicted"))
 
 
 def _near_ids(spark, root):
-    trained = materialize(_scored(spark, root, F.lit(1)).select(CUSTOMER).distinct())
-    base = t.baseline(spark, root)
-    unknown, known = base.join(trained, CUSTOMER, "left_anti"), base.join(trained, CUSTOMER, "left_semi")
-    products = fr.curated(spark, root)
-    near_c = di.nearest_by_profile(unknown, known, CUSTOMER, CUSTOMER_WEIGHTS)
-    near_p = di.nearest_entity(product_distances(spark, root), products.where("active = 'N'"), _active(spark, root), PRODUCT)
+    """The nearest trained customer and product of each one without training rows."""
+    trained = materialize(_scored(spark, root, F.lit(1)).select(*PAIR).distinct())
+    base, products = t.baseline(spark, root), fr.curated(spark, root)
+    customers, bought = trained.select(CUSTOMER).distinct(), trained.select(PRODUCT).distinct()
+    near_c = di.nearest_by_profile(base.join(customers, CUSTOMER, "left_anti"), base.join(customers, CUSTOMER, "left_semi"), CUSTOMER, CUSTOMER_WEIGHTS)
+    near_p = di.nearest_entity(product_distances(spark, root), products.join(bought, PRODUCT, "left_anti"), products.join(bought, PRODUCT, "left_semi"), PRODUCT)
     return materialize(near_c), materialize(near_p)
 
 
@@ -270,28 +270,29 @@ def factorisation_rmse(spark, root):
     return rc.factorisation_rmse(predicted, actual).withColumns(six("rmse"))
 
 
-def _crosswalk_ratings(spark, root):
-    """Ratings of the customers that have an external id, with their cluster."""
-    rated = fr.pair_ratings(spark, root).join(fr.customer_clusters(spark, root), CUSTOMER)
-    return rated.join(t.crosswalk(spark, root).select(CUSTOMER), CUSTOMER, "left_semi")
+def _cell_ratings(spark, root):
+    """Ratings of all rated pairs, with their customers' clusters."""
+    return fr.pair_ratings(spark, root).join(fr.customer_clusters(spark, root), CUSTOMER)
 
 
 @query
 def fill_unseen_customers(spark, root):
+    """Ratings of the customers that have none."""
     customers = clustered_customers(spark, root)
-    return rc.fill_unseen_customers(_crosswalk_ratings(spark, root), customers, CUSTOMER_WEIGHTS).withColumns(six("rating"))
+    return rc.fill_unseen_customers(_cell_ratings(spark, root), customers, CUSTOMER_WEIGHTS).withColumns(six("rating"))
 
 
 @query
 def fill_unseen_customers_by_distance(spark, root):
     filled = rc.fill_unseen_customers(
-        _crosswalk_ratings(spark, root), clustered_customers(spark, root), CUSTOMER_WEIGHTS, weighting="distance"
+        _cell_ratings(spark, root), clustered_customers(spark, root), CUSTOMER_WEIGHTS, weighting="distance"
     )
     return filled.withColumns(six("rating"))
 
 
 @query
 def fill_unseen_products(spark, root):
+    """Ratings of inactive products from the active ones: which products count as rated is the query's parameter."""
     rated = fr.pair_ratings(spark, root).join(fr.customer_clusters(spark, root), CUSTOMER)
     rated = rated.join(_active(spark, root).select(PRODUCT), PRODUCT, "left_semi")
     pairs = di.mirrored(product_distances(spark, root))

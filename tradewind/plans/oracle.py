@@ -457,16 +457,15 @@ CTES["f_win_train"] = BUILDING["prediction_train"]
 CTES["f_active"] = "SELECT srp_2_desc FROM f_curated WHERE active = 'Y'"
 CTES["f_train"] = """
         SELECT customer_num, srp_2_desc, CASE WHEN predicted = 'True' THEN 1 ELSE 0 END AS v, win_prob, count(*) AS n
-        FROM f_scored WHERE srp_2_desc IN (FROM f_active) GROUP BY ALL"""
+        FROM f_scored GROUP BY ALL"""
 CTES["f_near_c"] = """
         SELECT a AS id, b AS nearest FROM (SELECT a, b, row_number() OVER (PARTITION BY a ORDER BY d, b) AS rn FROM f_cmir
         WHERE a NOT IN (SELECT customer_num FROM f_train) AND b IN (SELECT customer_num FROM f_train)) WHERE rn = 1"""
 CTES["f_near_p"] = """
         SELECT a AS id, b AS nearest FROM (SELECT a, b, row_number() OVER (PARTITION BY a ORDER BY d, b) AS rn FROM f_pmir
-        WHERE a NOT IN (FROM f_active) AND b IN (FROM f_active)) WHERE rn = 1"""
-CTES["f_even"] = """
-        SELECT CAST(c_nationkey AS BIGINT) AS cluster, customer_num, srp_2_desc, rating FROM f_rating JOIN customer ON customer_num = CAST(c_custkey AS VARCHAR)
-        WHERE c_custkey % 2 = 0"""
+        WHERE a NOT IN (SELECT srp_2_desc FROM f_train) AND b IN (SELECT srp_2_desc FROM f_train)) WHERE rn = 1"""
+CTES["f_rated"] = """
+        SELECT CAST(c_nationkey AS BIGINT) AS cluster, customer_num, srp_2_desc, rating FROM f_rating JOIN customer ON customer_num = CAST(c_custkey AS VARCHAR)"""
 CTES["f_recs"] = """
         SELECT *, row_number() OVER (PARTITION BY customer_num ORDER BY rating DESC, outcome DESC, imputed, srp_2_desc) AS pos FROM (
             SELECT customer_num, updated AS srp_2_desc, avg(rating) AS rating, CAST(substring(updated, 7) AS BIGINT) % 2 AS outcome,
@@ -502,7 +501,7 @@ _REMARK = """CASE outcome WHEN 1 THEN 'Near Sale' WHEN 0 THEN 'Far Sale' WHEN -1
 
 def _unseen(weight: str) -> str:
     return f"""SELECT m.ca AS cluster, a AS customer_num, srp_2_desc, round(sum({weight} * rating) / sum({weight}), 6) AS rating
-        FROM f_cmir m JOIN f_even e ON e.customer_num = m.b WHERE m.ca = m.cb AND a NOT IN (SELECT customer_num FROM f_even) GROUP BY ALL"""
+        FROM f_cmir m JOIN f_rated e ON e.customer_num = m.b WHERE m.ca = m.cb AND a NOT IN (SELECT customer_num FROM f_rated) GROUP BY ALL"""
 
 
 def _class(c: int) -> str:
