@@ -63,9 +63,10 @@ def source_weights(sizes: DataFrame, evenness: float = EVENNESS, repeats: float
     even = F.when(entropy(F.lit(1.0)) >= evenness * F.ln(n.cast("double")), 1.0).otherwise(_bisect(lambda x: entropy(x) >= evenness * F.ln(n.cast("double")), True))
     limit = F.when(repeated(F.lit(0.0)) <= repeats, 0.0).otherwise(_bisect(lambda x: repeated(x) > repeats, False))
     total = total.withColumn("x", F.greatest(even, limit)).withColumn("norm", _total(shares, lambda p: F.pow(p, F.col("x"))))
-    share = F.pow(F.col("tokens") / F.col("total"), F.col("x")) / F.col("norm")
+    whole = total.select(F.struct("total", "x", "norm").alias("whole")).scalar()
+    share = F.pow(F.col("tokens") / whole["total"], whole["x"]) / whole["norm"]
     weight = F.when(F.col("tokens") > 0, share).otherwise(0.0)
-    return sizes.join(F.broadcast(total.select("total", "x", "norm")), F.lit(True)).select("s", "tokens", weight.alias("weight"), F.ceil(weight * F.col("total") * budget).alias("target"))
+    return sizes.select("s", "tokens", weight.alias("weight"), F.ceil(weight * whole["total"] * budget).alias("target"))
 
 
 def source_key() -> Column:
@@ -97,7 +98,8 @@ def block_plan(counted: DataFrame, evenness: float = EVENNESS, repeats: float =
     inner = keyed.join(crossed.select("s", "prefix", (F.col("sum") - F.col("part")).alias("before")), ["s", "prefix"])
     along = Window.partitionBy("s").orderBy("key").rangeBetween(Window.unboundedPreceding, 0)
     ends = inner.withColumn("sum", F.col("before") + F.sum("tokens").over(along)).where("sum >= rest").groupBy("s").agg(F.min("key").alias("last_key"))
-    return plan.join(ends, "s", "left").select("s", "weight", "target", "whole", "last_key")
+    # Written, so that its size is known to the joins with documents: a row per source.
+    return materialize(plan.join(ends, "s", "left").select("s", "weight", "target", "whole", "last_key"))
 
 
 def _given_out(rows: DataFrame, plan: DataFrame, seed: int) -> DataFrame:
