@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import functools
+import tempfile
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -45,12 +49,25 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return packing.pack(docs, with_ids=True)
 
 
+def _with_folder(stage: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """The stage in a session that names a folder for intermediate results: only a local session without one gets one."""
+
+    @functools.wraps(stage)
+    def run_stage(spark: SparkSession, *args) -> DataFrame:
+        context = spark.sparkContext
+        if context.master.split("[")[0] == "local" and not (spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()):
+            context.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoints-"))
+        return stage(spark, *args)
+
+    return run_stage
+
+
 STAGES = [
-    ("language_id", language_id),
-    ("minhash_near_dedup", near_dedup),
-    ("suffix_array_dedup", suffix_array_dedup),
-    ("mix_sources", mix_sources),
-    ("pack_sequences", pack_sequences),
+    ("language_id", _with_folder(language_id)),
+    ("minhash_near_dedup", _with_folder(near_dedup)),
+    ("suffix_array_dedup", _with_folder(suffix_array_dedup)),
+    ("mix_sources", _with_folder(mix_sources)),
+    ("pack_sequences", _with_folder(pack_sequences)),
 ]
 
 #: SQL expresses neither the trained language model nor the tokenizer; tests compare with a plain Python version.
@@ -61,5 +78,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents; each result but the last is written and read again."""
     docs = documents(spark, sf_dir)
     for _, stage in STAGES[:-1]:
+        # Written and read again, as each stage's output is the next one's table.
         docs = materialize(stage(spark, docs, sf_dir))
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -25,7 +25,7 @@ from tradewind.llm.grouped import whole_groups
 from tradewind.llm.tables import id_back, keyed
 from tradewind.sources.stages import materialize
 
-VOCABULARY, END_ID, LENGTH, GROUP = "word_bpe_49k.json", 1, 2048, 20_000
+VOCABULARY, END_ID, LENGTH, GROUP = "word_bpe_49k.json", 1, 2048, 5_000
 PIECE = "d long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
