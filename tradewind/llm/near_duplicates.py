@@ -238,7 +238,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     texts = keyed(docs)
     sigs = materialize(signatures(texts, words, coordinates, coordinates - least + 1))
     own = ["n", "k1", "k2"]
-    classes = sigs.where("n > 0").groupBy(*own).agg(F.min("d").alias("rep"))
+    classes = materialize(sigs.where("n > 0").groupBy(*own).agg(F.min("d").alias("rep")))
     members = materialize(sigs.select("d", *own).join(classes, own, "left").select("d", "n", F.coalesce("rep", "d").alias("rep")))
     reps = sigs.join(classes.select(F.col("rep").alias("d"), *own), ["d", *own], "left_semi").dropDuplicates(["d", *own])
     clusters = components(candidate_ties(reps, least, percent))
