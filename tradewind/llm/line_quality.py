@@ -24,8 +24,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradewind.llm import buffers as B
+from tradewind.sources.stages import materialize
 
-SAMPLE, TRAIN_LINES, LEAST_CONTENT = 1500, 100, 0.5
+SAMPLE, TRAIN_LINES, LEAST_CONTENT = 1000, 100, 0.5
 LEAST_WORDS, MOST_REPEATED = 50, 50
 #: The counted symbols.
 SYMBOLS = b"#*$%&|<>"
@@ -218,7 +219,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Field:
     """Train on ``docs`` [doc_id, text] whose ``labels`` [doc_id, quality] are drawn."""
     order = Window.partitionBy("quality").orderBy(F.xxhash64("doc_id"), "doc_id")
     known = labels.where("doc_id is not null and quality in (0, 1)").groupBy("doc_id").agg(F.min("quality").cast("int").alias("quality"))
-    drawn = known.withColumn("r", F.row_number().over(order)).where(F.col("r") <= sample).drop("r")
+    drawn = materialize(known.withColumn("r", F.row_number().over(order)).where(F.col("r") <= sample).drop("r"))
     rows = docs.select("doc_id", "text").where("text is not null").join(drawn, "doc_id")
     read = rows.mapInArrow(partial(_sampled, most=TRAIN_LINES), "doc_id long, quality int, bins array<int>").where("size(bins) > 0")
     table = read.toPandas().sort_values("doc_id")  # bounded by the sample
