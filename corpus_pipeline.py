@@ -6,7 +6,7 @@ import functools
 import tempfile
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewind.llm import languages, mixing, near_duplicates, packing, repeated_spans
@@ -24,13 +24,15 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest id of each group; of rows with one id, the one whose text sorts first."""
-    groups = near_duplicates.near_duplicates(docs)
-    kept = groups.where("kept").groupBy(id_key().alias("d")).agg((F.count(F.lit(1)) > 1).alias("several"))
-    held = docs.select(*DOCUMENT, id_key().alias("d")).join(kept, "d")
-    order = Window.partitionBy("d").orderBy("text", "lang", "source", "n_chars")
-    first = held.where("several").withColumn("r", F.row_number().over(order)).where("r = 1")
-    return held.where("not several").select(*DOCUMENT).union(first.select(*DOCUMENT))
+    """Keep one document of each group of near copies: the one with the smallest id (null below all), of several with
+    one id the one with the least hash of its other columns. Rows without near copies stay, whatever their ids are."""
+    # Numbered and written, as a row keeps its number only then.
+    rows = materialize(docs.select(*DOCUMENT, F.monotonically_increasing_id().alias("row")))
+    groups = near_duplicates.near_duplicates(rows.select(F.col("row").alias("doc_id"), "text"))
+    order = F.struct(id_key().alias("d"), F.xxhash64("text", "lang", "source", "n_chars").alias("h"), "row")
+    ranked = rows.select("row", order.alias("rank")).join(groups.select(F.col("doc_id").alias("row"), "component_id"), "row")
+    kept = ranked.groupBy("component_id").agg(F.min("rank").alias("rank")).select("rank.row")
+    return rows.join(kept, "row").select(*DOCUMENT)
 
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,7 +3,8 @@
 Each document's ids and an end id are cut into full sequences and a remainder. Pieces are dealt at random into
 groups of about ``group`` pieces; in each group pieces go in order of decreasing length into the first sequence
 with room, which a tournament tree over the sequences' free room finds in logarithmic time. A task holds one
-group, however many documents there are.
+group, however many documents there are: a piece is dealt by its id, start, crc32 and a number of its own, so rows
+that share an id, or are equal, spread over all groups.
 
 Rows: a null or empty text is its end id alone. A very long text is many full sequences. Repeated rows are
 packed each on their own; a null doc_id is packed like any other. Ties go by doc_id and start."""
@@ -107,9 +108,11 @@ def pack(
     offset], and with ``with_ids`` the ids (little-endian unsigned 32-bit). A sequence is its pieces by offset,
     padded to ``length``."""
     schema = PIECE + ", ids binary" * with_ids
-    pieces = materialize(keyed(docs).mapInArrow(partial(_pieces, vocabulary=vocabulary, end_id=end_id, length=length, with_ids=with_ids), schema))
+    pieces = keyed(docs).mapInArrow(partial(_pieces, vocabulary=vocabulary, end_id=end_id, length=length, with_ids=with_ids), schema)
+    # Numbered before it is written, so that a piece keeps its number.
+    pieces = materialize(pieces.withColumn("piece", F.monotonically_increasing_id()))
     groups = max(1, -(-pieces.count() // group))
-    dealt = pieces.withColumn("grp", F.pmod(F.xxhash64("d", "start", F.lit(seed)), F.lit(groups)))
+    dealt = pieces.withColumn("grp", F.pmod(F.xxhash64("d", "start", "ids_crc32", "piece", F.lit(seed)), F.lit(groups))).drop("piece")
     dealt = dealt.repartition("grp").sortWithinPartitions("grp")
     packed = dealt.mapInArrow(partial(_pack, length=length, groups=groups), schema + ", sequence_id long, offset long")
     ids = ["ids"] * with_ids
