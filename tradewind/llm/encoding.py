@@ -28,18 +28,23 @@ class Encoder:
     Pre-tokens never go past a blank or line feed between two visible characters, so texts are cut there. With
     ``blanks`` the blank belongs to the word after it (byte-level vocabularies); a text in which white space
     meets white space or an end is then encoded in one piece. Without, white space is dropped and letters are
-    lower-cased. Letters followed by signs are two pre-tokens, so letters are encoded once for all signs."""
+    lower-cased. Letters followed by signs are two pre-tokens, so letters are encoded once for all signs. A text that
+    holds the literal of a special token, which the tokenizer takes out before all else, is encoded in one piece."""
 
     def __init__(self, path: str, blanks: bool):
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.blanks = blanks
         self.known: dict[str, bytes] = {}
+        literals = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(map(re.escape, literals)) or r"(?!)", re.IGNORECASE)  # any case: words are lower-cased
+        self.opening = re.match(r"[^\w\s]*", os.path.commonprefix(literals))[0]  # found faster than the rest
         vocabulary = self.tokenizer.get_vocab()
         self.edge = np.zeros(max(vocabulary.values()) + 1, bool)
         self.edge[[i for t, i in vocabulary.items() if (t.startswith("\u0120") if blanks else t.endswith("</w>"))]] = True
 
     def _pieces(self, text: str) -> list[str]:
+        if self.opening in text and self.added.search(text):
+            return [text]
         if not self.blanks:
             if text.isascii() or _latin(text):  # lower case is then the same by any rule, letter by letter
                 text = text.lower()
