@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import random
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -23,7 +22,8 @@ from pyspark.sql.window import Window
 
 from ..settings import CUSTOMER, PAIR, PRODUCT
 from ..sources.stages import materialize
-from .aggregates import category_codes, numbered
+from .aggregates import category_codes
+from .neighbours import nearest_rows
 
 LABEL = "label"
 
@@ -135,43 +135,14 @@ def undersample(df: DataFrame, label: str, key: Column) -> DataFrame:
     return pick_by_hash(df, label, key)
 
 
-def _neighbours(rows: DataFrame, cols: list[str], k: int, seed: int, looks: int, per_range: int) -> DataFrame:
-    """``[key, others]``: up to k near rows of each row, by distance over ``cols``.
-
-    Rows are numbered along several random directions and cut into ranges of ``per_range`` rows; the k rows on
-    either side in each direction are compared exactly.  No row meets all others, and a range never grows."""
-    draw = random.Random(seed)
-    found = None
-    values = F.array(*[F.col(c).cast("double") for c in cols])
-    for _ in range(looks):
-        axis = [draw.gauss(0, 1) for _ in cols]
-        along = F.lit(0.0)
-        for c, a in zip(cols, axis):
-            along = along + F.col(c) * a
-        lined = numbered(rows.select("key", values.alias("at"), along.alias("along")), [F.col("along"), F.col("key")])
-        line = Window.partitionBy(F.floor(F.col("place") / per_range)).orderBy("place")
-        near = F.array(
-            *[F.lag(F.struct("key", "at"), i).over(line) for i in range(1, k + 1)],
-            *[F.lead(F.struct("key", "at"), i).over(line) for i in range(1, k + 1)],
-        )
-        each = lined.select("key", "at", F.filter(near, lambda x: x.isNotNull()).alias("near"))
-        found = each if found is None else found.unionByName(each)
-    pairs = found.select("key", "at", F.explode("near").alias("other"))
-    gap = F.aggregate(
-        F.zip_with("at", F.col("other.at"), lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda x, y: x + y
-    )
-    nearest = F.slice(F.array_sort(F.collect_set(F.struct(gap.alias("gap"), F.col("other.key").alias("key"), F.col("other.at").alias("at")))), 1, k)
-    return pairs.groupBy("key", "at").agg(nearest.alias("others"))
-
-
 def smote_upsample(
-    df: DataFrame, label: str, cols: list[str], key: Column, k: int = 5, seed: int = 1, looks: int = 4, per_range: int = 5000
+    df: DataFrame, label: str, cols: list[str], key: Column, k: int = 5, seed: int = 1, per_range: int = 5000
 ) -> DataFrame:
     """``[label, *cols]`` with the smaller of two classes raised to the size of the larger one.
 
     Each new row lies between a row of the smaller class and one of its k neighbours, at a share drawn from a hash.
-    Neighbours are the nearest of those found along ``looks`` random directions, in ranges of ``per_range`` rows
-    whatever the size of the class: near rows, not always the k nearest.  Needs two rows of each class."""
+    Neighbours are the k nearest of the whole class, sought in blocks of ``per_range`` rows.  Needs two rows of each
+    class."""
     sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("size")).orderBy("size", label).collect()
     if len(sizes) != 2:
         raise ValueError("two classes are needed")
@@ -183,15 +154,17 @@ def smote_upsample(
     copies = rows.join(one_more.select("key", "one"), "key", "left").select(
         "key", F.explode(F.when(F.col("one") == 1, F.array_append(numbers, F.lit(0))).otherwise(numbers)).alias("copy")
     )
-    near = _neighbours(rows, cols, k, seed, looks, per_range)
+    near = nearest_rows(rows, cols, k, per_range)
     tag = F.concat_ws("|", F.col("key"), F.col("copy").cast("string"), F.lit(str(seed)))
+    width = len(cols)
+    taken = (hashed(tag) % (F.size("others") / width).cast("bigint")).cast("int")
     made = copies.join(near, "key").select(
         "at",
-        F.element_at("others", (hashed(tag) % F.size("others") + 1).cast("int")).alias("to"),
+        F.slice("others", taken * width + 1, F.lit(width)).alias("to"),
         (hashed(F.concat(tag, F.lit("|share"))) / float(2**32)).alias("share"),
     )
     cells = [
-        (F.get("at", F.lit(i)) + F.col("share") * (F.get("to.at", F.lit(i)) - F.get("at", F.lit(i)))).alias(c)
+        (F.get("at", F.lit(i)) + F.col("share") * (F.get("to", F.lit(i)) - F.get("at", F.lit(i)))).alias(c)
         for i, c in enumerate(cols)
     ]
     new = made.select(F.lit(small).alias(label), *cells)
