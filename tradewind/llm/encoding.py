@@ -19,7 +19,7 @@ JOINED = 200
 _EDGES = re.compile(r"\s\s|\A\s|\s\Z|\x01")
 #: ASCII signs other than the apostrophe: after letters they are a pre-token of their own.
 _SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
-_encoders: dict[tuple[str, bool], Encoder] = {}
+_encoders: dict[tuple[str, bool, bool], Encoder] = {}
 
 
 class Encoder:
@@ -29,20 +29,23 @@ class Encoder:
     ``blanks`` the blank belongs to the word after it (byte-level vocabularies); a text in which white space
     meets white space or an end is then encoded in one piece. Without, white space is dropped and letters are
     lower-cased. Letters followed by signs are two pre-tokens, so letters are encoded once for all signs. A text that
-    holds the literal of a special token, which the tokenizer takes out before all else, is encoded in one piece."""
+    holds the literal of a special token, which the tokenizer takes out before all else, is encoded in one piece; with
+    ``plain`` these literals are ordinary text."""
 
-    def __init__(self, path: str, blanks: bool):
+    def __init__(self, path: str, blanks: bool, plain: bool = False):
         self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = plain
         self.blanks = blanks
         self.known: dict[str, bytes] = {}
-        literals = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        literals = [] if plain else [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.added = re.compile("|".join(map(re.escape, literals)) or r"(?!)", re.IGNORECASE)  # any case: words are lower-cased
         self.opening = re.match(r"[^\w\s]*", os.path.commonprefix(literals))[0]  # found faster than the rest
         vocabulary = self.tokenizer.get_vocab()
         self.edge = np.zeros(max(vocabulary.values()) + 1, bool)
         self.edge[[i for t, i in vocabulary.items() if (t.startswith("\u0120") if blanks else t.endswith("</w>"))]] = True
 
-    def _pieces(self, text: str) -> list[str]:
+    def pieces(self, text: str) -> list[str]:
+        """The parts of a text that are encoded each on their own; joined, their ids are those of the text."""
         if self.opening in text and self.added.search(text):
             return [text]
         if not self.blanks:
@@ -91,7 +94,7 @@ class Encoder:
             known[word] = known[stem] + known[sign]
 
     def encode(self, texts: Iterable[str]) -> list[bytes]:
-        pieces = [self._pieces(t) for t in texts]
+        pieces = [self.pieces(t) for t in texts]
         if len(self.known) > CACHE_WORDS:
             self.known.clear()
         known = self.known
@@ -119,9 +122,10 @@ def _packed(ids: list[int]) -> bytes:
     return b"".join([i.to_bytes(4, "little") for i in ids])
 
 
-def encoder(name: str, blanks: bool) -> Encoder:
+def encoder(name: str, blanks: bool, plain: bool = False) -> Encoder:
     """The worker's encoder for a vocabulary file of the public tokenizers, or for a path."""
     path = name if os.path.sep in name else public_tokenizers.path(name)
-    if (path, blanks) not in _encoders:
-        _encoders[path, blanks] = Encoder(path, blanks)
-    return _encoders[path, blanks]
+    key = path, blanks, plain
+    if key not in _encoders:
+        _encoders[key] = Encoder(*key)
+    return _encoders[key]

@@ -5,7 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm import fuzzy_hashes, languages, line_quality, mixing, near_duplicates, packing, piece_counts, repeated_spans, sharding, token_files
+from tradewind.llm import (
+    alignment,
+    fuzzy_hashes,
+    languages,
+    line_quality,
+    mixing,
+    near_duplicates,
+    packing,
+    piece_counts,
+    repeated_spans,
+    sharding,
+    token_files,
+    word_table,
+)
 from tradewind.llm.tables import documents
 
 
@@ -51,10 +64,18 @@ def op10_language_id(spark: SparkSession, root: str) -> DataFrame:
     return told.select("doc_id", languages.held_out().alias("held_out"), "lang_pred", F.round("score", 6).alias("score"))
 
 
+def op12_alignment(spark: SparkSession, root: str) -> DataFrame:
+    return alignment.align(documents(spark, root))
+
+
+def op13_word_table(spark: SparkSession, root: str) -> DataFrame:
+    return word_table.round_trip(documents(spark, root))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_line_quality, op2_minhash_near_dedup, op3_packing, op4_sharding, op5_suffix_array_dedup, op6_token_counts, op7_mixing, op8_token_files,
-        op9_fingerprints, op10_language_id,
+        op9_fingerprints, op10_language_id, op12_alignment, op13_word_table,
     )
 }
