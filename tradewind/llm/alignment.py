@@ -22,6 +22,7 @@ import hashlib
 import re
 from collections.abc import Iterator
 from functools import partial
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -34,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradewind.llm import buffers as B
-from tradewind.llm.encoding import encoder
+from tradewind.llm.encoding import SIGNS, encoder
 from tradewind.llm.grouped import whole_groups
 from tradewind.llm.packed import pack_numbers, unpack_numbers
 from tradewind.llm.tables import id_back, keyed
@@ -42,14 +43,13 @@ from tradewind.sources.stages import materialize
 
 BYTE_VOCABULARY, PIECE_MODEL = "byte_bpe_50k.json", "piece_bpe_32k.model"
 #: Bytes of a range of a long document, fragments that are composed at once, links of a chunk.
-FRAGMENT, FAN, CHUNK = 1 << 16, 8, 4_000_000
-#: Distinct units a worker keeps; beyond that it starts anew.
-CACHE_UNITS = 300_000
+FRAGMENT, FAN, CHUNK = 1 << 16, 8, 1_500_000
+#: Distinct units a worker keeps (beyond that it starts anew), and how many it learns at once.
+CACHE_UNITS, BATCH = 200_000, 10_000
 FRAGMENTS = (
     "row long, d long, k long, ok boolean, closed boolean, prefix_a array<int>, prefix_b array<int>, groups binary, links binary, "
     "suffix_a array<int>, suffix_b array<int>, n_a long, n_b long"
 )
-ALIGNED = "d long, n_a long, n_b long, groups binary, links binary"
 SPLIT = (
     "chunk long, number int, a int, b int, n long, d array<long>, n_a array<long>, n_b array<long>, n_links array<long>, "
     "groups_sha256 array<string>, groups array<string>, places binary"
@@ -141,39 +141,78 @@ class Aligner:
         self.pieces = sentencepiece.SentencePieceProcessor(model_file=path)
         names = [self.pieces.id_to_piece(i) for i in range(self.pieces.vocab_size())]
         self.bytes_b = [bytes([int(t[3:5], 16)]) if self.pieces.is_byte(i) else t.replace("▁", " ").encode() for i, t in enumerate(names)]
+        self.size_a, self.size_b = (np.fromiter(map(len, x), np.int64, len(x)) for x in (self.bytes_a, self.bytes_b))
+        self.joined = {t[i : i + 2] for t in names for i in range(len(t) - 1)}
+        self.written = [b"%d%c" % (i, sign) for i in range(max(len(self.bytes_a), len(names))) for sign in b",|;"]
         self.known: dict[str, tuple[bytes, bytes, int, int]] = {}
         self.bad: set[str] = set()
 
-    def tokens(self, found: list[str]) -> list[tuple[list[int], list[int]]]:
+    def tokens(self, found: list[str]) -> tuple[list[bytes], list[list[int]]]:
         """The ids of both tokenizers for each unit. The second adds a blank before a text: a unit's own first blank
-        makes way for it, and before a line feed it is a token of its own, which is taken off."""
-        a = [e.ids for e in self.encoder.tokenizer.encode_batch_fast(found, add_special_tokens=False)]
-        b = self.pieces.encode([u[1:] if u[0] == " " else u for u in found], num_threads=1)
+        makes way for it; before anything else stands a line feed, whose two tokens are taken off."""
+        a = self.encoder.encode(found)
+        self.encoder.known.clear()  # a unit is asked for once
+        b = self.pieces.encode([u[1:] if u[0] == " " else "\n" + u for u in found], num_threads=1)
         blank = [self.pieces.piece_to_id("▁")]  # an empty text gets no blank
-        return [(x, (y or blank) if u[0] == " " else y[1:]) for u, x, y in zip(found, a, b, strict=True)]
-
-    def bounds(self, found: list[str]) -> Iterator[tuple[str, list[int], list[int], list[int] | None, list[int] | None]]:
-        """For each unit both lists of ids, and the ends of its tokens; None if a tokenizer changes its bytes."""
-        for unit, (a, b) in zip(found, self.tokens(found), strict=True):
-            parts_a, parts_b, data = [self.bytes_a[i] for i in a], [self.bytes_b[i] for i in b], unit.encode()
-            same = b"".join(parts_a) == data and b"".join(parts_b) == data
-            yield unit, a, b, _ends(parts_a) if same else None, _ends(parts_b) if same else None
+        return a, [(y or blank) if u[0] == " " else y[2:] for u, y in zip(found, b, strict=True)]
+
+    def flat(self, found: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Both tokenizers' ids of all units, one after the other, how many of each a unit has, and which units keep their bytes."""
+        a, b = self.tokens(found)
+        n_a, n_b = np.fromiter(map(len, a), np.int64, len(a)) // 4, np.fromiter(map(len, b), np.int64, len(b))
+        ids_a, ids_b = np.frombuffer(b"".join(a), "<u4").astype(np.int64), np.fromiter(chain.from_iterable(b), np.int64, int(n_b.sum()))
+        same = np.ones(len(found), bool)
+        whole = "".join(found).encode()
+        if b"".join(map(self.bytes_a.__getitem__, ids_a.tolist())) != whole or b"".join(map(self.bytes_b.__getitem__, ids_b.tolist())) != whole:
+            for k, (u, x, y) in enumerate(zip(found, a, b, strict=True)):
+                data = u.encode()
+                same[k] = b"".join(self.bytes_a[i] for i in np.frombuffer(x, "<u4")) == data == b"".join(self.bytes_b[i] for i in y)
+        return ids_a, n_a, ids_b, n_b, same
 
     def learn(self, wanted: set[str]) -> None:
-        for unit, a, b, ends_a, ends_b in self.bounds(list(wanted)):
-            if ends_a is None:
+        """Letters and the signs after them are learned apart where neither tokenizer joins the two."""
+        plain, parts = set(), []
+        for unit in wanted:
+            stem = unit.rstrip(SIGNS)
+            if len(stem) < len(unit) and stem[:1] == " " and stem[1:].isalpha() and stem[-1] + unit[len(stem)] not in self.joined:
+                parts.append((unit, stem, unit[len(stem) :]))
+                plain.update(parts[-1][1:])
+            else:
+                plain.add(unit)
+        rest = list(plain.difference(self.known))
+        for at in range(0, len(rest), BATCH):
+            self._learn(rest[at : at + BATCH])
+        for unit, stem, sign in parts:
+            x, y = self.known[stem], self.known[sign]
+            self.known[unit] = x[0] + b";" + y[0], x[1] + y[1], x[2] + y[2], x[3] + y[3]
+            if stem in self.bad or sign in self.bad:
                 self.bad.add(unit)
-                self.known[unit] = b"", b"", 0, 0
-                continue
-            text, links, i, j = [], [], 0, 0
-            common = set(ends_a).intersection(ends_b)
-            cuts_a = [k + 1 for k, e in enumerate(ends_a) if e in common]
-            cuts_b = [k + 1 for k, e in enumerate(ends_b) if e in common]
-            for p, q in zip(cuts_a, cuts_b, strict=True):
-                text.append(",".join(map(str, a[i:p])) + "|" + ",".join(map(str, b[j:q])))
-                links += a[p - 1], b[q - 1]
-                i, j = p, q
-            self.known[unit] = ";".join(text).encode(), np.array(links, "<u4").tobytes(), len(a), len(b)
+
+    def _learn(self, found: list[str]) -> None:
+        ids_a, n_a, ids_b, n_b, same = self.flat(found)
+        if not same.all():
+            changed = [u for u, good in zip(found, same.tolist(), strict=True) if not good]
+            self.bad.update(changed)
+            self.known.update(dict.fromkeys(changed, (b"", b"", 0, 0)))
+            found = [u for u, good in zip(found, same.tolist(), strict=True) if good]
+            if not found:
+                return
+            ids_a, n_a, ids_b, n_b, _ = self.flat(found)
+        ends_a, ends_b = np.cumsum(self.size_a[ids_a]), np.cumsum(self.size_b[ids_b])
+        common = np.intersect1d(ends_a, ends_b, assume_unique=True)
+        group_a, group_b = np.searchsorted(common, ends_a), np.searchsorted(common, ends_b)
+        last_a, last_b = common[group_a] == ends_a, common[group_b] == ends_b
+        codes = np.concatenate([3 * ids_a + last_a, 3 * ids_b + 2 * last_b])[np.argsort(np.concatenate([2 * group_a, 2 * group_b + 1]), kind="stable")]
+        written = list(map(self.written.__getitem__, codes.tolist()))
+        text = b"".join(written)
+        sizes = np.concatenate([[0], np.cumsum(np.fromiter(map(len, written), np.int64, len(written)))])
+        text_ends = sizes[np.cumsum(n_a + n_b)].tolist()
+        links = np.stack([ids_a[last_a], ids_b[last_b]], 1).astype("<u4").tobytes()
+        link_ends = (8 * (np.searchsorted(common, ends_a[np.cumsum(n_a) - 1]) + 1)).tolist()
+        start = first = 0
+        for unit, end, last, x, y in zip(found, text_ends, link_ends, n_a.tolist(), n_b.tolist(), strict=True):
+            self.known[unit] = text[start : end - 1], links[first:last], x, y
+            start, first = end, last
 
     def documents(self, texts: list[str]) -> list[tuple[int, int, bytes, bytes]]:
         """Each text as a whole fragment, finished."""
@@ -193,37 +232,23 @@ class Aligner:
 
     def fragment(self, window: str, start: int, low: int, high: int) -> Fragment:
         """The fragment of the bytes (low, high] from a window of text that begins at ``start`` and holds them."""
-        ids, ends, at, ok = ([], []), ([], []), start, True
-        for unit, a, b, ends_a, ends_b in self.bounds(units(window)):
-            size = len(unit.encode())
-            if ends_a is None:  # whose range reports it does not matter, as long as one does
-                ok = ok and not (at < high and at + size > low)
-            else:
-                for side, (own, stops) in enumerate(((a, ends_a), (b, ends_b))):
-                    ids[side].extend(own)
-                    ends[side].extend([at + e for e in stops])
-            at += size
-        (a, ends_a), (b, ends_b) = (_within(np.array(i, np.int64), np.array(e, np.int64), low, high) for i, e in zip(ids, ends, strict=True))
+        ids_a, _, ids_b, _, same = self.flat(units(window))
+        if not same.all():  # the whole document has no tokens then
+            return Fragment(False, False, [], [], b"", b"", [], [], 0, 0)
+        a, ends_a = _within(ids_a, start + np.cumsum(self.size_a[ids_a]), low, high)
+        b, ends_b = _within(ids_b, start + np.cumsum(self.size_b[ids_b]), low, high)
         common = np.intersect1d(ends_a, ends_b, assume_unique=True)
         if not len(common):
-            return Fragment(ok, False, a.tolist(), b.tolist(), b"", b"", [], [], len(a), len(b))
+            return Fragment(True, False, a.tolist(), b.tolist(), b"", b"", [], [], len(a), len(b))
         cuts_a, cuts_b = (np.searchsorted(common, e, "left") for e in (ends_a, ends_b))  # the group of each token
         split_a, split_b = (np.split(x, np.searchsorted(c, np.arange(1, len(common) + 1))) for x, c in ((a, cuts_a), (b, cuts_b)))
         groups = [_group(x.tolist(), y.tolist()) for x, y in zip(split_a[1:-1], split_b[1:-1], strict=True)]
         return Fragment(
-            ok, True, split_a[0].tolist(), split_b[0].tolist(), b";".join(g for g, _ in groups), b"".join(x for _, x in groups), split_a[-1].tolist(),
+            True, True, split_a[0].tolist(), split_b[0].tolist(), b";".join(g for g, _ in groups), b"".join(x for _, x in groups), split_a[-1].tolist(),
             split_b[-1].tolist(), len(a), len(b),
         )
 
 
-def _ends(parts: list[bytes]) -> list[int]:
-    out, at = [], 0
-    for p in parts:
-        at += len(p)
-        out.append(at)
-    return out
-
-
 def _within(ids: np.ndarray, ends: np.ndarray, low: int, high: int) -> tuple[np.ndarray, np.ndarray]:
     own = (ends > low) & (ends <= high)
     return ids[own], ends[own]
@@ -285,22 +310,15 @@ def _compose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield _record([(rows[0]["row"], rows[0]["d"], rows[0]["parent"])], [compose_all(own)])
 
 
-def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for r in batch.to_pylist():
-            n_a, n_b, groups, links = finish(Fragment(*(r[f] for f in Fragment._fields)))
-            yield pa.record_batch([pa.array([r["d"]], pa.int64()), pa.array([n_a]), pa.array([n_b]), pa.array([groups]), pa.array([links])], names=["d", "n_a", "n_b", "groups", "links"])
-
-
 def long_documents(texts: DataFrame, size: int, names: tuple[str, str]) -> DataFrame:
-    """[d, n_a, n_b, groups, links] of long texts [row, d, text], their ranges dealt out over all tasks."""
+    """A whole fragment [row, d, k, ...] for each of the long texts [row, d, text], whose ranges are dealt out over all tasks."""
     cut = texts.mapInArrow(partial(_cut, size=size), "row long, d long, k long, low long, high long, start long, window string")
     parts = materialize(cut.repartition("row", "k").mapInArrow(partial(_fragments, names=names), FRAGMENTS))
     most = (parts.agg(F.max("k")).first()[0] or 0) + 1
     while most > 1:
         grouped = parts.withColumn("parent", F.expr(f"k div {FAN}")).repartition("row", "parent").sortWithinPartitions("row", "parent")
         parts, most = grouped.mapInArrow(_compose, FRAGMENTS), -(-most // FAN)
-    return parts.mapInArrow(_finish, ALIGNED)
+    return parts
 
 
 class _Chunks:
@@ -324,7 +342,7 @@ class _Chunks:
         pairs = np.frombuffer(b"".join(links), "<u8")  # the first id is the lower half
         distinct, at, n = np.unique(pairs, return_inverse=True, return_counts=True)
         order = np.argsort(-n, kind="stable")
-        rank = np.empty(len(order), np.int64)
+        rank = np.empty(len(order), np.uint32)
         rank[order] = np.arange(len(order))
         distinct, n = distinct[order], n[order]
         whole = [pa.array([list(x)], t) for x, t in zip(columns, [pa.list_(pa.int64())] * 4 + [pa.list_(pa.string())] * 2, strict=True)]
@@ -350,7 +368,7 @@ def _chunked(batches: Iterator[pa.RecordBatch], limit: int, with_groups: bool) -
     chunks = _Chunks(limit, with_groups)
     for batch in batches:
         for r in batch.to_pylist():
-            yield from chunks.add(r["d"], r["n_a"], r["n_b"], r["groups"], r["links"])
+            yield from chunks.add(r["d"], *finish(Fragment(*(r[f] for f in Fragment._fields))))
     yield from chunks.rows()
 
 

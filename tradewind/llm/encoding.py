@@ -18,7 +18,7 @@ CACHE_WORDS = 500_000
 JOINED = 200
 _EDGES = re.compile(r"\s\s|\A\s|\s\Z|\x01")
 #: ASCII signs other than the apostrophe: after letters they are a pre-token of their own.
-_SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 _encoders: dict[tuple[str, bool, bool], Encoder] = {}
 
 
@@ -79,7 +79,7 @@ class Encoder:
     def _learn(self, words: set[str]) -> None:
         known, parts, letters, plain = self.known, [], set(), []
         for word in words:
-            stem = word.rstrip(_SIGNS)
+            stem = word.rstrip(SIGNS)
             if (stem[1:] if stem[:1] == " " else stem).isalpha() and (stem[:1] == " " or not self.blanks):
                 letters.add(stem)
                 if len(stem) < len(word):
