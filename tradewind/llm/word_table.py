@@ -1,7 +1,7 @@
 """Token ids of documents by a table of distinct words, and texts back from ids by a join with the vocabulary.
 
-1. Each task splits the texts of its rows into words and numbers the distinct ones of every ``CHUNK`` bytes of text, the
-   most frequent first. Written once: the documents as lists of these numbers (their words by position), and the words
+1. Each task splits the texts of its rows into words (letters and the signs after them apart) and numbers the distinct
+   ones of every ``CHUNK`` bytes of text, the most frequent first. Written once: the documents as lists of these numbers (their words by position), and the words
    themselves in lists by hash bucket.
 2. The lists of one bucket meet in one task, so every distinct word of the corpus is encoded once. A frequent word comes
    once from each chunk, however often it stands there. The ids of the distinct words are rows that join the table of
@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradewind.llm import buffers as B
-from tradewind.llm.encoding import encoder
+from tradewind.llm.encoding import SIGNS, encoder
 from tradewind.llm.grouped import whole_groups
 from tradewind.llm.packed import pack_numbers, pack_texts, unpack_numbers, unpack_texts
 from tradewind.llm.tables import id_back, keyed
@@ -38,8 +38,10 @@ from tradewind.sources.stages import materialize
 
 VOCABULARY = "word_bpe_49k.json"
 #: Bytes of text whose distinct words are numbered together, and bytes of text for each bucket of words.
-CHUNK, BUCKET = 16 << 20, 32 << 20
+CHUNK, BUCKET = 32 << 20, 32 << 20
 BUCKETS = 64
+#: Words of the documents in one list of a chunk, about.
+LIST = 100_000
 SPLIT = "chunk long, bucket int, words binary, d array<long>, counts array<long>, places binary, buckets binary"
 WORDS = "bucket int, word int, at int, id int, chunk long, words binary"
 SPELLED = "chunk long, bucket int, spelled binary, d array<long>, counts array<long>, places binary, buckets binary"
@@ -73,17 +75,39 @@ def _split(batches: Iterator[pa.RecordBatch], vocabulary: str, buckets: int, lim
     """The chunks of a task: one row with the documents of each, and a row for each bucket of its words."""
     pieces = encoder(vocabulary, blanks=False).pieces
     chunk = TaskContext.get().partitionId() << 32
-    numbers, places, d, counts, held = _Numbers(), [], [], [], 0
+    numbers, places, d, held = _Numbers(), [], [], 0
 
     def rows() -> Iterator[pa.RecordBatch]:
-        at = np.concatenate(places)
-        order = np.argsort(-np.bincount(at, minlength=len(numbers)), kind="stable")
-        rank = np.empty(len(order), np.int64)
+        stems, signs = _Numbers(), np.full(len(numbers), -1, np.int32)
+        first = np.empty(len(numbers), np.int32)
+        for word, k in numbers.items():
+            stem = word.rstrip(SIGNS)
+            apart = len(stem) < len(word) and stem.isalpha()
+            first[k] = stems[stem if apart else word]
+            if apart:
+                signs[k] = stems[word[len(stem) :]]
+        numbers.clear()  # room for the arrays
+        sizes = np.array([np.count_nonzero(signs[p] >= 0) + len(p) for p in places], np.int64)
+        for k, p in enumerate(places):
+            own = np.stack([first[p], signs[p]], 1).ravel()
+            places[k] = own[own >= 0]
+        ends = np.cumsum(sizes)
+        cuts = [0, *(np.flatnonzero(np.diff(ends // LIST)) + 1).tolist(), len(d)]
+        parts = [np.concatenate(places[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+        places.clear()
+        often = np.zeros(len(stems), np.int64)
+        for part in parts:
+            often += np.bincount(part, minlength=len(stems))
+        order = np.argsort(-often, kind="stable")
+        rank = np.empty(len(order), np.uint32)
         rank[order] = np.arange(len(order))
-        words = list(numbers)
+        words = list(stems)
         words = [words[i].encode() for i in order.tolist()]
+        stems.clear()
         where = np.fromiter((zlib.crc32(w) % buckets for w in words), np.int64, len(words))
-        yield _rows(_SPLIT, chunk=[chunk], d=[d], counts=[counts], places=[pack_numbers(rank[at])], buckets=[pack_numbers(where)])
+        for a, b, part in zip(cuts[:-1], cuts[1:], parts, strict=True):
+            yield _rows(_SPLIT, chunk=[chunk], d=[d[a:b]], counts=[sizes[a:b]], places=[pack_numbers(rank[part])])
+        yield _rows(_SPLIT, chunk=[chunk], buckets=[pack_numbers(where)])
         by = np.argsort(where, kind="stable")
         found, starts = np.unique(where[by], return_index=True)
         lists = [pack_texts([words[i] for i in part.tolist()]) for part in np.split(by, starts[1:])]
@@ -91,26 +115,25 @@ def _split(batches: Iterator[pa.RecordBatch], vocabulary: str, buckets: int, lim
 
     for rows_in, data, _ in B.slices(batches):
         for i, text in zip(rows_in.column("d").to_pylist(), rows_in.column("text").to_pylist(), strict=True):
-            own = list(map(numbers.__getitem__, pieces(text or "")))
-            places.append(np.array(own, np.int64))
+            places.append(np.array(list(map(numbers.__getitem__, pieces(text or ""))), np.int32))
             d.append(i)
-            counts.append(len(own))
         held += len(data)
         if held >= limit:
             yield from rows()
-            numbers, places, d, counts, held, chunk = _Numbers(), [], [], [], 0, chunk + 1
+            numbers, places, d, held, chunk = _Numbers(), [], [], 0, chunk + 1
     if d:
         yield from rows()
 
 
 def _encode(batches: Iterator[pa.RecordBatch], vocabulary: str) -> Iterator[pa.RecordBatch]:
     """For each bucket, the ids of its distinct words, a row for an id, and then the words of each chunk by number."""
-    encode = encoder(vocabulary, blanks=False).encode
+    tool = encoder(vocabulary, blanks=False)
     for table, starts in whole_groups(batches, ["bucket"]):
         for first, last in zip(starts[:-1], starts[1:], strict=True):
             bucket, numbers = table.column("bucket")[first].as_py(), _Numbers()
             lists = [np.array(list(map(numbers.__getitem__, unpack_texts(x.as_py()))), np.int64) for x in table.column("words")[first:last]]
-            found = encode([w.decode() for w in numbers])
+            found = tool.encode([w.decode() for w in numbers])
+            tool.known.clear()  # a word is asked for once
             sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
             ids = np.frombuffer(b"".join(found), "<u4").astype(np.int32)
             at = B.ranges(np.zeros(len(sizes), np.int64), sizes)
@@ -127,12 +150,11 @@ def pieces(spark, vocabulary: str = VOCABULARY) -> DataFrame:
 
 def _spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """For each chunk and bucket, the ids (decimal) and the decoded text of its words."""
-    held, bucket, decimal, decoded = [], None, [], []
+    held, bucket, spellings = [], None, []
 
     def learn() -> None:
         """The words of a bucket from their rows of ids and pieces."""
-        decimal.clear()
-        decoded.clear()
+        spellings.clear()
         if not held:
             return
         rows = pa.Table.from_batches(held)
@@ -142,10 +164,9 @@ def _spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             raise RuntimeError("ids of a word are not together")
         ends = [*first[1:].tolist(), len(at)]
         numbers, texts = list(map(str, rows.column("id").to_pylist())), rows.column("piece").to_pylist()
-        decimal.extend([b""] * (int(word[-1]) + 1))
-        decoded.extend([b""] * (int(word[-1]) + 1))
+        spellings.extend([b""] * (int(word[-1]) + 1))
         for w, a, b in zip(word[first].tolist(), first.tolist(), ends, strict=True):
-            decimal[w], decoded[w] = " ".join(numbers[a:b]).encode(), " ".join(texts[a:b]).encode()
+            spellings[w] = (" ".join(numbers[a:b]) + "\t" + " ".join(texts[a:b])).encode()
         held.clear()
 
     for batch in batches:
@@ -153,8 +174,6 @@ def _spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         places = np.flatnonzero(batch.column("id").is_null().to_numpy(zero_copy_only=False)).tolist()
         for at in [*places, batch.num_rows]:
             if at > start:
-                if batch.column("bucket")[start].as_py() != bucket:
-                    decimal.clear()
                 held.append(batch.slice(start, at - start))
             if at < batch.num_rows:
                 own = batch.column("bucket")[at].as_py()
@@ -162,8 +181,8 @@ def _spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     learn()
                     bucket = own
                 words = unpack_numbers(batch.column("words")[at].as_py()).tolist()
-                n = len(decimal)  # words at the end may have no ids
-                spelled = [decimal[w] if w < n else b"" for w in words] + [decoded[w] if w < n else b"" for w in words]
+                n = len(spellings)  # words at the end may have no ids
+                spelled = [spellings[w] if w < n else b"" for w in words]
                 yield pa.record_batch([pa.array([batch.column("chunk")[at].as_py()], pa.int64()), pa.array([own], pa.int32()), pa.array([pack_texts(spelled)], pa.binary())], names=["chunk", "bucket", "spelled"])
             start = at + 1
 
@@ -172,34 +191,39 @@ def _join(batches: Iterator[pa.RecordBatch], with_texts: bool) -> Iterator[pa.Re
     """The documents of each chunk with the ids and decoded words in the place of their numbers."""
     for table, starts in whole_groups(batches, ["chunk"]):
         for first, last in zip(starts[:-1], starts[1:], strict=True):
-            by_bucket = {}
+            by_bucket, lists = {}, []
             for r in table.slice(first, last - first).to_batches():
                 for bucket, spelled, d, counts, places, buckets in zip(*(r.column(c).to_pylist() for c in ("bucket", "spelled", "d", "counts", "places", "buckets")), strict=True):
-                    if bucket is None:
-                        documents = d, counts, unpack_numbers(places), unpack_numbers(buckets)
-                    else:
+                    if spelled is not None:
                         by_bucket[bucket] = spelled
-            d, counts, places, buckets = documents
-            order = np.argsort(buckets, kind="stable")
+                    elif places is not None:
+                        lists.append((d, counts, places))
+                    else:
+                        where = unpack_numbers(buckets)
+            order = np.argsort(where, kind="stable")
             decimal, decoded = [b""] * len(order), [b""] * len(order)
-            for part in np.split(order, np.flatnonzero(np.diff(buckets[order])) + 1) if len(order) else []:
-                texts = unpack_texts(by_bucket[int(buckets[part[0]])])
-                for number, ids, text in zip(part.tolist(), texts[: len(part)], texts[len(part) :], strict=True):
-                    decimal[number], decoded[number] = ids, text
+            for part in np.split(order, np.flatnonzero(np.diff(where[order])) + 1):
+                for number, spelling in zip(part.tolist(), unpack_texts(by_bucket.pop(int(where[part[0]]))), strict=True):
+                    decimal[number], _, decoded[number] = spelling.partition(b"\t")
             tokens = np.array([x.count(b" ") + 1 if x else 0 for x in decimal], np.int64)
-            spoken = tokens[places] > 0
-            bounds = np.concatenate([[0], np.cumsum(counts)])
-            totals = B.span_sums(tokens[places], bounds)
-            out = []
-            for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
-                own = places[a:b][spoken[a:b]].tolist()
-                ids, text = b" ".join(map(decimal.__getitem__, own)), b" ".join(map(decoded.__getitem__, own))
-                out.append((hashlib.sha256(ids).hexdigest(), hashlib.sha256(text).hexdigest(), *((ids, text) if with_texts else ())))
-            columns = list(zip(*out, strict=True))
-            arrays = [pa.array(d, pa.int64()), pa.array(totals), pa.array(columns[0]), pa.array(columns[1])]
-            if with_texts:
-                arrays += [pa.array([list(map(int, x.split())) for x in columns[2]], pa.list_(pa.int32())), pa.array([x.decode() for x in columns[3]], pa.string())]
-            yield pa.record_batch(arrays, names=["d", "n_tokens", "ids_sha256", "decoded_sha256", "ids", "decoded"][: len(arrays)])
+            for d, counts, places in lists:
+                yield _documents(d, counts, unpack_numbers(places), decimal, decoded, tokens, with_texts)
+
+
+def _documents(d: list, counts: list, places: np.ndarray, decimal: list, decoded: list, tokens: np.ndarray, with_texts: bool) -> pa.RecordBatch:
+    sizes = tokens[places]
+    spoken = sizes > 0
+    bounds = np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)
+    out = []
+    for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+        own = places[a:b][spoken[a:b]].tolist()
+        ids, text = b" ".join(map(decimal.__getitem__, own)), b" ".join(map(decoded.__getitem__, own))
+        out.append((hashlib.sha256(ids).hexdigest(), hashlib.sha256(text).hexdigest(), *((ids, text) if with_texts else ())))
+    columns = list(zip(*out, strict=True))
+    arrays = [pa.array(d, pa.int64()), pa.array(B.span_sums(sizes, bounds)), pa.array(columns[0]), pa.array(columns[1])]
+    if with_texts:
+        arrays += [pa.array([list(map(int, x.split())) for x in columns[2]], pa.list_(pa.int32())), pa.array([x.decode() for x in columns[3]], pa.string())]
+    return pa.record_batch(arrays, names=["d", "n_tokens", "ids_sha256", "decoded_sha256", "ids", "decoded"][: len(arrays)])
 
 
 def round_trip(docs: DataFrame, vocabulary: str = VOCABULARY, chunk: int = CHUNK, buckets: int | None = None, with_texts: bool = False) -> DataFrame:
