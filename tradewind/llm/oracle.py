@@ -75,4 +75,27 @@ SELECT doc_id, source, CAST(n_tokens AS BIGINT) AS n_tokens, round(weight, 9) AS
 WHERE block < whole OR (target > whole * tokens AND upto - own < target - whole * tokens)
 """
 
-SQL = {"op2_minhash_near_dedup": NEAR_DUPLICATES, "op5_suffix_array_dedup": REPEATED, "op7_mixing": MIXING}
+COLLOCATIONS = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents
+), split AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[ \t]+'), lambda w: w <> '') AS w FROM pieces),
+placed AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM split),
+grams AS (SELECT lang, w[i:i + k - 1] AS p, k FROM placed, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE i + k - 1 <= len(w)),
+counted AS (SELECT lang, p, k, count(*) AS f FROM grams GROUP BY lang, p, k HAVING count(*) >= 30),
+cuts AS (
+  SELECT c.lang, c.p, c.k, c.f AS a, j, x.f AS l, y.f AS r, CAST(2000000::HUGEINT * c.f // (x.f + y.f) AS BIGINT) AS score
+  FROM (SELECT *, unnest(range(1, k)) AS j FROM counted WHERE k > 1) c
+  JOIN counted x ON x.lang = c.lang AND x.p = c.p[1:j] JOIN counted y ON y.lang = c.lang AND y.p = c.p[j + 1:]
+), best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, j) = 1),
+inner_parts AS (
+  SELECT lang, p[s:s + m - 1] AS p, max(f) AS longer
+  FROM (SELECT *, unnest(range(1, k - m + 2)) AS s FROM (SELECT *, unnest(range(2, k)) AS m FROM counted WHERE k > 2)) GROUP BY 1, 2
+), kept AS (
+  SELECT b.lang, array_to_string(b.p, ' ') AS phrase, b.a, b.l, b.r, b.score FROM best b LEFT JOIN inner_parts i ON i.lang = b.lang AND i.p = b.p
+  WHERE i.longer IS NULL OR 100::HUGEINT * i.longer < 80::HUGEINT * b.a
+), ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT r.lang, r.rank, r.phrase, r.a, r.l, r.r, n.n, r.score
+FROM ranked r JOIN (SELECT lang, count(*) AS n FROM placed GROUP BY lang) n ON n.lang = r.lang WHERE r.rank <= 2000
+"""
+
+SQL = {"op11_collocations": COLLOCATIONS, "op2_minhash_near_dedup": NEAR_DUPLICATES, "op5_suffix_array_dedup": REPEATED, "op7_mixing": MIXING}

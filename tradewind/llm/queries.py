@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tradewind.llm import (
     alignment,
+    collocations,
     fuzzy_hashes,
     languages,
     line_quality,
@@ -64,6 +65,10 @@ def op10_language_id(spark: SparkSession, root: str) -> DataFrame:
     return told.select("doc_id", languages.held_out().alias("held_out"), "lang_pred", F.round("score", 6).alias("score"))
 
 
+def op11_collocations(spark: SparkSession, root: str) -> DataFrame:
+    return collocations.collocations(documents(spark, root))
+
+
 def op12_alignment(spark: SparkSession, root: str) -> DataFrame:
     return alignment.align(documents(spark, root))
 
@@ -76,6 +81,6 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_line_quality, op2_minhash_near_dedup, op3_packing, op4_sharding, op5_suffix_array_dedup, op6_token_counts, op7_mixing, op8_token_files,
-        op9_fingerprints, op10_language_id, op12_alignment, op13_word_table,
+        op9_fingerprints, op10_language_id, op11_collocations, op12_alignment, op13_word_table,
     )
 }
