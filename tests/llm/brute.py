@@ -133,18 +133,18 @@ def best_fit(sizes: list[float], rooms: list[float]) -> list[int]:
 
 
 def mixed(rows: list[tuple], weights: dict, budget: float, seed: int) -> Counter:
-    """(doc_id, source, block) of every document given out; rows are (doc_id, source, tokens)."""
-    total, out = sum(t for *_, t in rows), Counter()
+    """(doc_id, source, block) of every document given out; rows are (doc_id, source, tokens, text)."""
+    total, out = sum(t for _, _, t, _ in rows), Counter()
     by = defaultdict(list)
-    for i, s, t in rows:
-        by[s].append((i, t))
+    for i, s, t, text in rows:
+        by[s].append((i, t, hashlib.md5((text or "").encode()).hexdigest()))
     for s, docs in by.items():
-        tokens = sum(t for _, t in docs)
+        tokens = sum(t for _, t, _ in docs)
         target = -int(-(weights[s] * total * budget) // 1)
         whole = target // tokens if tokens else 1
         rest = target - whole * tokens
         for block in range(whole + 1):
-            keyed = sorted((hashlib.md5(f"{seed}:{block}:{'null' if i is None else i}".encode()).hexdigest(), i, t) for i, t in docs)
+            keyed = sorted((hashlib.md5(f"{seed}:{block}:{'null' if i is None else i}:{digest}".encode()).hexdigest(), i, t) for i, t, digest in docs)
             used = Counter()
             for key, _, t in keyed:
                 used[key] += t

@@ -23,7 +23,6 @@ from tradewind.llm.encoding import Encoder
 
 def whole_ids(name, texts, end):
     t = Tokenizer.from_file(public_tokenizers.path(name))
-    t.encode_special_tokens = True
     return [np.array(t.encode(x or "", add_special_tokens=False).ids + [end], "<u4") for x in texts]
 
 
@@ -118,11 +117,11 @@ def test_mixing_against_brute_force(spark, awkward, monkeypatch):
         weights = {r.source: r.weight for r in got}
         exact = {r.s: r.weight for r in M.block_plan(M.counted_documents(docs), **options).collect()}
         weights = {s: exact["n" if s is None else f"s{s}"] for s in [*sizes, "empty"]}
-        counted = [(i, s, len((t or "").split())) for i, t, s in rows]
+        counted = [(i, s, len((t or "").split()), t) for i, t, s in rows]
         assert Counter((r.doc_id, r.source, r.block) for r in got) == brute.mixed(counted, weights, options.get("budget", 1.0), M.SEED)
         assert abs(sum(weights.values()) - 1) < 1e-9 and M.mixed_documents(docs, **options).count() == len(got)
         share = Counter()
-        for _, s, t in counted:
+        for _, s, t, _ in counted:
             share[s] += t
         p = np.array([v for v in share.values() if v]) / sum(share.values())
         w = np.array([weights[s] for s, v in share.items() if v])

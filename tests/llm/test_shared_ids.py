@@ -4,9 +4,13 @@ from __future__ import annotations
 
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline as P
 from tests.llm import brute
+from tradewind.llm import mixing as M
 from tradewind.llm import packing as K
+from tradewind.llm import repeated_spans as R
 from tradewind.llm.tables import DOCUMENT
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -36,3 +40,22 @@ def test_pieces_that_share_an_id_spread_over_groups(spark):
     groups = -(-len(rows) // 50)
     sizes = Counter(r.sequence_id % groups for r in packed)
     assert len(packed) == len(rows) and len(sizes) == groups and max(sizes.values()) < 100
+
+
+def test_texts_of_one_id_are_told_apart(spark):
+    """Two texts with one 32-bit hash under one id, one of them repeated elsewhere: the other keeps all its bytes."""
+    texts = spark.range(300_000).selectExpr("concat(md5(cast(id as string)), sha2(cast(id as string), 256), md5(cast(-id as string)), 'abcdefgh') as text")
+    alike = texts.selectExpr("text", "hash(text) as h").groupBy("h").agg(F.collect_list("text").alias("texts")).where("size(texts) = 2").first().texts
+    for own in (5, None):
+        rows = [(-9, alike[0]), (own, alike[0]), (own, alike[1])] if own else [(None, alike[0]), (None, alike[1]), (3, alike[0])]
+        found = R.remove_repeated(spark.createDataFrame(rows, "doc_id long, text string"), carry=("doc_id", "text")).collect()
+        gone = {(r.doc_id, r.text): r.n_removed for r in found}
+        assert gone[own, alike[1]] == 0 and sum(gone.values()) == len(alike[0]) == gone[own if own else 3, alike[0]]
+
+
+def test_rows_without_an_id_keep_the_budget(spark):
+    rows = [(None if i % 3 == 0 else i, brute.words_text(i, i % 17), "ab"[i % 5 == 0]) for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    given = M.mix(docs, budget=0.5).groupBy("source").agg(F.sum("n_tokens").alias("given"), F.max("target").alias("target")).collect()
+    assert len(given) == 2 and all(r.target <= r.given < r.target + 17 for r in given)
+    assert M.mixed_documents(docs, budget=0.5).count() == M.mix(docs, budget=0.5).count()

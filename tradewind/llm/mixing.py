@@ -6,14 +6,15 @@ repeated more than ``repeats`` times; then it is the least that keeps that limit
 inside one expression over the sources' totals.
 
 A source's budget (weight times all tokens to give out) is realised in blocks. Each block is a permutation of
-all the source's documents, by a hash of block number and id; every block but the last is whole, and the last
+all the source's documents, by a hash of block number, id and text; every block but the last is whole, and the last
 ends with the document that reaches the budget. Where a block ends comes from token sums by hash prefix, then
 from the rows of one prefix, so a source with a third of all rows is never gathered. Only DataFrame functions
 are used. One value per source is gathered in one row: sources are a dimension.
 
 Tokens are words. Rows: a null source is a source of its own. Texts that are null or have no words use no budget;
-a source that has only such is given out once. Repeated rows stand or fall together. A null doc_id is permuted
-like any other."""
+a source that has only such is given out once. Rows without an id, and rows that share one, have places of their own by
+their texts; rows that agree in id, source and text are alike, and stand or fall together. A very long text is a row with many tokens,
+and may end a block. An empty table gives an empty table; columns with other names are carried and not read."""
 
 from __future__ import annotations
 
@@ -74,8 +75,12 @@ def source_key() -> Column:
 
 
 def order_key(seed: int, block: Column) -> Column:
-    """The place of a document in a block's permutation."""
-    return F.md5(F.concat_ws(":", F.lit(str(seed)), block.cast("string"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
+    """The place of a document in a block's permutation: by its id and its text, as rows may share an id or have none."""
+    return F.md5(F.concat_ws(":", F.lit(str(seed)), block.cast("string"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), "digest"))
+
+
+def text_digest() -> Column:
+    return F.md5(F.coalesce("text", F.lit("")).cast("binary"))
 
 
 def word_count() -> Column:
@@ -84,7 +89,7 @@ def word_count() -> Column:
 
 def block_plan(counted: DataFrame, evenness: float = EVENNESS, repeats: float = REPEATS, budget: float = BUDGET, seed: int = SEED) -> DataFrame:
     """[s, weight, target, whole, last_key]: whole blocks of each source, and the last key of the block after them
-    (null: none of it). ``counted`` has [doc_id, s, tokens]."""
+    (null: none of it). ``counted`` has [doc_id, s, tokens, digest]."""
     sizes = counted.groupBy("s").agg(F.sum("tokens").alias("tokens"))
     weights = source_weights(sizes, evenness, repeats, budget)
     whole = F.when(F.col("tokens") > 0, F.floor(F.col("target") / F.col("tokens"))).otherwise(1).alias("whole")
@@ -110,8 +115,8 @@ def _given_out(rows: DataFrame, plan: DataFrame, seed: int) -> DataFrame:
 
 
 def counted_documents(docs: DataFrame) -> DataFrame:
-    """[doc_id, source, s, tokens] of every row, written once."""
-    return materialize(docs.select("doc_id", "source", source_key().alias("s"), word_count().alias("tokens")))
+    """[doc_id, source, s, tokens, digest] of every row, written once."""
+    return materialize(docs.select("doc_id", "source", source_key().alias("s"), word_count().alias("tokens"), text_digest().alias("digest")))
 
 
 def mix(docs: DataFrame, evenness: float = EVENNESS, repeats: float = REPEATS, budget: float = BUDGET, seed: int = SEED) -> DataFrame:
@@ -129,6 +134,6 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` themselves, each as often as it is given out; texts are not shuffled."""
     plan = block_plan(counted_documents(docs), **options)
     names = ["_mix_" + str(i) for i in range(len(docs.columns))]
-    held = docs.select(source_key().alias("s"), "doc_id", *(F.col(c).alias(n) for c, n in zip(docs.columns, names, strict=True)))
+    held = docs.select(source_key().alias("s"), "doc_id", text_digest().alias("digest"), *(F.col(c).alias(n) for c, n in zip(docs.columns, names, strict=True)))
     out = _given_out(held, plan, options.get("seed", SEED))
     return out.select(*(F.col(n).alias(c) for c, n in zip(docs.columns, names, strict=True)))

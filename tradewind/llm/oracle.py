@@ -39,7 +39,7 @@ FROM pieces p JOIN bytes b ON p.doc_id = b.doc_id GROUP BY p.doc_id
 
 MIXING = r"""
 WITH RECURSIVE counted AS (
-  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS tokens FROM documents
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS tokens, md5(coalesce(text, '')) AS digest FROM documents
 ), sizes AS (SELECT source, CAST(sum(tokens) AS BIGINT) AS tokens FROM counted GROUP BY source),
 total AS (SELECT CAST(sum(tokens) AS DOUBLE) AS total, list_sort(list(CAST(tokens AS DOUBLE)) FILTER (tokens > 0)) AS l FROM sizes),
 shares AS (SELECT total, list_transform(l, lambda t: t / total) AS p, len(l) AS n FROM total),
@@ -64,9 +64,9 @@ even AS (
 ), plan AS (
   SELECT *, CAST(ceil(weight * total) AS BIGINT) AS target, CASE WHEN tokens > 0 THEN CAST(floor(ceil(weight * total) / tokens) AS BIGINT) ELSE 1 END AS whole FROM weights
 ), given AS (
-  SELECT c.doc_id, c.source, c.tokens AS n_tokens, p.weight, p.target, p.whole, p.tokens, unnest(range(0, p.whole + 1)) AS block
+  SELECT c.doc_id, c.digest, c.source, c.tokens AS n_tokens, p.weight, p.target, p.whole, p.tokens, unnest(range(0, p.whole + 1)) AS block
   FROM counted c JOIN plan p ON c.source IS NOT DISTINCT FROM p.source
-), placed AS (SELECT *, md5('7:' || block || ':' || coalesce(CAST(doc_id AS VARCHAR), 'null')) AS key FROM given),
+), placed AS (SELECT *, md5('7:' || block || ':' || coalesce(CAST(doc_id AS VARCHAR), 'null') || ':' || digest) AS key FROM given),
 summed AS (
   SELECT *, coalesce(sum(n_tokens) OVER (PARTITION BY source, block ORDER BY key RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0) AS upto,
     sum(n_tokens) OVER (PARTITION BY source, block, key) AS own FROM placed

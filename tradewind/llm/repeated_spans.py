@@ -15,7 +15,11 @@ suffixes are folded before the shuffle; the others are sorted group by group.
 
 Rows: null and empty texts have no strings and are kept empty. A string "starts earlier" at a smaller doc_id, or
 in the same doc_id at a smaller byte; rows that share a doc_id are judged by these positions only, so a repeated
-row is not removed by its twin. A null doc_id counts as an id below all others."""
+row is not removed by its twin. A null doc_id counts as an id below all others. Within one id a text is known by a 64-bit
+hash, so rows that share the id and the text are one document. Strings are compared by 64-bit hashes too; these are not
+checked against the bytes. A very long text is worked on in one task, of which it fills a slice of its own. An empty
+table gives an empty table; columns that are not carried, whatever their names, do not matter. ``GROUP_LIMIT`` only chooses
+between two ways to the same result."""
 
 from __future__ import annotations
 
@@ -85,7 +89,7 @@ def _runs(data: np.ndarray, offsets: np.ndarray, depth: int, gram: int) -> tuple
     return text, start - offsets[text], count, place, pieces[at], whole
 
 
-RUN = "g long, c long, d long, h int, p long"
+RUN = "g long, c long, d long, h long, p long"
 
 
 def _run_rows(batches: Iterator[pa.RecordBatch], depth: int, gram: int) -> Iterator[pa.RecordBatch]:
@@ -137,7 +141,7 @@ def _suffixes(table: pa.Table, depth: int) -> tuple[np.ndarray, ...]:
 def _merged(d: np.ndarray, h: np.ndarray, start: np.ndarray, depth: int) -> pa.RecordBatch:
     """Byte spans of strings, neighbours of one text joined; strings come by text and start."""
     if not len(d):
-        return pa.record_batch([pa.array([], pa.int64()), pa.array([], pa.int32()), pa.array([], pa.int64()), pa.array([], pa.int64())], names=["d", "h", "low", "high"])
+        return pa.record_batch([pa.array([], pa.int64()), pa.array([], pa.int64()), pa.array([], pa.int64()), pa.array([], pa.int64())], names=["d", "h", "low", "high"])
     new = np.ones(len(d), bool)
     new[1:] = (d[1:] != d[:-1]) | (h[1:] != h[:-1]) | (start[1:] > start[:-1] + depth) | (start[1:] < start[:-1])
     first = np.flatnonzero(new)
@@ -188,11 +192,11 @@ def repeated_spans(texts: DataFrame, depth: int = DEPTH, gram: int = GRAM) -> Da
     def held(runs: DataFrame) -> DataFrame:
         """The bytes of these runs. ``texts`` is dealt out by the same keys each time, which Spark does once."""
         listed = runs.groupBy("f.d", "f.h").agg(F.collect_list(F.struct("g", "f.p", "k")).alias("runs"))
-        return texts.repartition("d", "h").join(listed, ["d", "h"]).mapInArrow(byte_rows, "g long, k long, d long, h int, p long, bytes binary")
+        return texts.repartition("d", "h").join(listed, ["d", "h"]).mapInArrow(byte_rows, "g long, k long, d long, h long, p long, bytes binary")
 
     few = held(open_.where(F.col("k") <= GROUP_LIMIT)).repartition("g").sortWithinPartitions("g")
-    spans = few.mapInArrow(partial(_sorted_groups, depth=depth), "d long, h int, low long, high long")
-    each = held(open_.where(F.col("k") > GROUP_LIMIT)).mapInArrow(partial(_each_suffix, depth=depth), "g long, w long, d long, h int, start long")
+    spans = few.mapInArrow(partial(_sorted_groups, depth=depth), "d long, h long, low long, high long")
+    each = held(open_.where(F.col("k") > GROUP_LIMIT)).mapInArrow(partial(_each_suffix, depth=depth), "g long, w long, d long, h long, start long")
     each = materialize(each)
     earliest = each.groupBy("g", "w").agg(F.min(F.struct("d", "start")).alias("e"))
     later = each.join(earliest, ["g", "w"]).where("d <> e.d or start <> e.start")
@@ -233,7 +237,7 @@ def remove_repeated(docs: DataFrame, depth: int = DEPTH, gram: int = GRAM, carry
     Every byte covered by a ``depth``-byte string that also starts earlier is removed. kept_text is what
     remains as text; a character that lost some of its bytes is left out of it (not out of the digest)."""
     row = F.struct(*(F.col(c) for c in carry))
-    texts = docs.select(id_key().alias("d"), F.coalesce("text", F.lit("")).alias("text"), row.alias("row")).withColumn("h", F.hash("text"))
+    texts = docs.select(id_key().alias("d"), F.coalesce("text", F.lit("")).alias("text"), row.alias("row")).withColumn("h", F.xxhash64("text"))
     spans = repeated_spans(texts, depth, gram).groupBy("d", "h").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
     joined = texts.repartition("d", "h").join(spans, ["d", "h"], "left").select("row", "text", "spans")
     schema = T.StructType([texts.schema["row"]]).add("n_bytes", "long").add("n_removed", "long").add("n_spans", "long")
