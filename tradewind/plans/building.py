@@ -8,6 +8,7 @@ from ..operators import aggregates as agg
 from ..operators import clustering as cu
 from ..operators import distance as di
 from ..operators import joins as jn
+from ..operators import mixed
 from ..settings import CUSTOMER, PRODUCT
 from ..sources import tables as t
 from ..sources.stages import materialize
@@ -217,8 +218,17 @@ def cluster_affinity(spark, root):
     return cu.cluster_affinity(product_distances(spark, root), 4)
 
 
-def clustered_by_features(spark, root):
-    """Baseline customers with a ``cluster`` from their categories, rates and product lists."""
+#: Every customer feature that the tables supply, with its metric, and its weight in the registered queries.
+CUSTOMER_FEATURES = {
+    "customer_class": di.MATCHING, "customer_type": di.MATCHING, "active_cust_yn": di.MATCHING, "customer_price_group": di.MATCHING, "hospital_type": di.MATCHING,
+    "purchase_per_year": di.NUMERIC, "avg_order_amount": di.NUMERIC, "staffed_beds": di.NUMERIC, "net_income": di.NUMERIC,
+    "sales_list": di.JACCARD, "won_list": di.JACCARD, "lost_list": di.JACCARD, "rental_list": di.JACCARD,
+}
+ALL_WEIGHTS = {c: 1.0 + i % 4 for i, c in enumerate(CUSTOMER_FEATURES)}
+
+
+def customer_features(spark, root):
+    """Baseline customers with categories, rates, hospital figures and product lists."""
     before = fr.sales_before(spark, root)
     won = agg.collect_products(fr.opps_before(spark, root).where("iswon = 'True'")).select(CUSTOMER, F.col("items").alias("won_list"))
     lost = agg.collect_products(fr.opps_before(spark, root).where("iswon = 'False'")).select(CUSTOMER, F.col("items").alias("lost_list"))
@@ -229,7 +239,19 @@ def clustered_by_features(spark, root):
     for table in (lists, won, lost, rented, hospitals):
         entities = entities.join(table, CUSTOMER, "left")
     entities = jn.enrich_left(entities, t.external(spark, root), "definitive_id", ["staffed_beds", "net_income", "hospital_type"])
-    entities = materialize(entities.fillna("none", ["hospital_type"]))
+    return materialize(entities.fillna("none", ["hospital_type"]))
+
+
+@query
+def silhouette_mixed(spark, root):
+    """Silhouette of customers over all features, categories, numbers and lists."""
+    entities = customer_features(spark, root).join(fr.customer_clusters(spark, root), CUSTOMER)
+    return mixed.silhouette_mixed(entities, CUSTOMER, ALL_WEIGHTS, CUSTOMER_FEATURES).withColumns(six("score"))
+
+
+def clustered_by_features(spark, root):
+    """Baseline customers with a ``cluster`` from their categories, rates and product lists."""
+    entities = customer_features(spark, root)
     clusters = cu.cluster_vectors(
         entities,
         CUSTOMER,

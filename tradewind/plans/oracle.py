@@ -173,6 +173,25 @@ CTES = {
                 + CASE WHEN a.active_cust_yn = b.active_cust_yn THEN 0 ELSE 3 END
                 + CASE WHEN a.customer_price_group = b.customer_price_group THEN 0 ELSE 2 END)::DOUBLE / 8 AS d
         FROM f_cust a JOIN f_cust b ON a.customer_num <> b.customer_num""",
+    "f_features": """
+        SELECT c.*, purchase_per_year, avg_order_amount, staffed_beds, net_income, coalesce(hospital_type, 'none') AS hospital_type, sales_list, won_list, lost_list, rental_list
+        FROM f_cust c
+        LEFT JOIN (SELECT customer_num, sum(dtl_qty_ordered) / nullif(max(dtl_order_dt) - min(dtl_order_dt), 0) * 365 AS purchase_per_year,
+                   avg(dtl_qty_ordered) AS avg_order_amount, list_sort(list(DISTINCT srp_2_desc)) AS sales_list FROM f_before GROUP BY 1) s USING (customer_num)
+        LEFT JOIN (SELECT customer_num, list_sort(list(DISTINCT srp_2_desc)) AS won_list FROM f_opps_before WHERE iswon = 'True' GROUP BY 1) w USING (customer_num)
+        LEFT JOIN (SELECT customer_num, list_sort(list(DISTINCT srp_2_desc)) AS lost_list FROM f_opps_before WHERE iswon = 'False' GROUP BY 1) l USING (customer_num)
+        LEFT JOIN (SELECT customer_num, list_sort(list(DISTINCT srp_2_desc)) AS rental_list FROM f_rentals GROUP BY 1) r USING (customer_num)
+        LEFT JOIN f_crosswalk k USING (customer_num) LEFT JOIN f_external e ON k.definitive_id = e.definitive_id""",
+    "f_fmir": "SELECT x.customer_num AS a, y.customer_num AS b, x.cluster AS ca, y.cluster AS cb, ("
+    + " + ".join(
+        f"{1 + i % 4} * " + text.format(c=c)
+        for i, (c, text) in enumerate(
+            [(c, "CASE WHEN x.{c} = y.{c} THEN 0 ELSE 1 END") for c in ("customer_class", "customer_type", "active_cust_yn", "customer_price_group", "hospital_type")]
+            + [(c, "coalesce(abs(x.{c} - y.{c}) / (abs(x.{c} - y.{c}) + 1), 1)") for c in ("purchase_per_year", "avg_order_amount", "staffed_beds", "net_income")]
+            + [(c, "coalesce(1 - len(list_intersect(x.{c}, y.{c})) / (len(x.{c}) + len(y.{c}) - len(list_intersect(x.{c}, y.{c}))), 1)") for c in ("sales_list", "won_list", "lost_list", "rental_list")]
+        )
+    )
+    + ")::DOUBLE / 31 AS d FROM f_features x JOIN f_features y ON x.customer_num <> y.customer_num",
     "f_lost": "SELECT DISTINCT customer_num FROM f_opps_before WHERE iswon = 'False'",
 }
 
@@ -439,6 +458,7 @@ BUILDING = {
     "wcss": f"SELECT round(wcss, 6) AS wcss, n_clusters FROM ({_P_WCSS})",
     "silhouette": _SILHOUETTE.format(pairs=_LABELLED_PAIRS),
     "silhouette_by_profile": _SILHOUETTE.format(pairs="f_cmir"),
+    "silhouette_mixed": _SILHOUETTE.format(pairs="f_fmir"),
     "wcss_by_profile": f"SELECT round(wcss, 6) AS wcss, n_clusters FROM ({_WCSS.format(labels='f_cust', pairs='f_cmir')})",
     "cluster_summary": f"""SELECT 'wcss' AS metric, round(wcss, 4) AS value FROM ({_P_WCSS}) UNION ALL SELECT 'n_clusters', CAST(n_clusters AS DOUBLE) FROM ({_P_WCSS})
         UNION ALL SELECT 'silhouette', round(avg(score), 4) FROM ({_SILHOUETTE.format(pairs=_LABELLED_PAIRS)})
