@@ -1,4 +1,12 @@
-"""Exact nearest neighbours, block against block."""
+"""Exact nearest neighbours in a k-d partition.
+
+A k-d tree of medians, made from a bounded sample, deals the rows to blocks; every split is along the column that spreads most
+in its part, so blocks are about as wide in all columns that matter. In the first pass each row finds its k nearest inside its
+own block; the k-th distance bounds what others could improve. Only the blocks whose boxes are nearer than that are asked in the
+second pass, row by row, and their answers are merged. The result is that of all pairs. As rows grow, blocks shrink and a
+row asks about as many blocks as before, so the share of rows and blocks that meet falls.
+
+A row with a value that is not a number is at the same, greatest distance from all others."""
 
 from __future__ import annotations
 
@@ -7,61 +15,78 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.stages import materialize
-from .aggregates import numbered
 
-#: Rows of a block that are compared at once with another block.
-CHUNK = 500
+#: Rows that are compared at once with a block; rows in the sample that the tree is made from; blocks at most, as their boxes are sent out.
+CHUNK, SAMPLE, MOST_BLOCKS = 500, 50_000, 100_000
 #: The distance to a row with a value that is not a number: beyond all others.
 UNKNOWN = np.finfo(np.float64).max
-BLOCK = "block long, places binary, vectors binary, low array<double>, high array<double>, reach double"
-
-
-class _Running:
-    """The k nearest rows found so far for each row of a block."""
-
-    def __init__(self, own: np.ndarray, k: int):
-        self.own, self.k = own, k
-        self.gaps = np.full((len(own), k), np.inf)
-        self.others = np.zeros((len(own), k, own.shape[1]))
-
-    def meet(self, block: np.ndarray, same: bool) -> None:
-        low, high = block.min(0), block.max(0)
-        least = np.zeros(len(self.own))
-        for c in range(block.shape[1]):
-            least += np.maximum(np.maximum(low[c] - self.own[:, c], self.own[:, c] - high[c]), 0) ** 2
-        open_rows = np.flatnonzero(~(least >= self.gaps[:, -1]))
-        for at in range(0, len(open_rows), CHUNK):
-            rows = open_rows[at : at + CHUNK]
-            gaps = np.zeros((len(rows), len(block)))
-            for c in range(block.shape[1]):
-                gaps += (self.own[rows, c, None] - block[None, :, c]) ** 2
-            gaps[np.isnan(gaps)] = UNKNOWN
-            if same:
-                gaps[np.arange(len(rows)), rows] = np.inf
-            near = np.argpartition(gaps, self.k - 1, axis=1)[:, : self.k] if len(block) > self.k else np.tile(np.arange(len(block)), (len(rows), 1))
-            both = np.concatenate([self.gaps[rows], np.take_along_axis(gaps, near, 1)], axis=1)
-            values = np.concatenate([self.others[rows], block[near]], axis=1)
-            first = np.argsort(both, axis=1, kind="stable")[:, : self.k]
-            self.gaps[rows] = np.take_along_axis(both, first, 1)
-            self.others[rows] = np.take_along_axis(values, first[:, :, None], 1)
-
-
-def _blocks(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
-    """Rows of whole blocks, which arrive sorted, as one row each with its box and the greatest k-th distance inside it."""
+BLOCK = "block long, places binary, vectors binary, low array<double>, high array<double>"
+FOUND = "place long, near array<struct<gap: double, at: array<double>>>"
+
+
+class Tree:
+    """Splits of a k-d tree by rows of four arrays: column (-1: a leaf), value, and the two children."""
+
+    def __init__(self, points: np.ndarray, leaves: int):
+        self.column, self.value, self.left, self.right = [], [], [], []
+        self._grow(points, leaves)
+        self.column, self.value, self.left, self.right = (np.array(x) for x in (self.column, self.value, self.left, self.right))
+
+    def _grow(self, points: np.ndarray, leaves: int) -> int:
+        node = len(self.column)
+        for part, x in ((self.column, -1), (self.value, 0.0), (self.left, -1), (self.right, -1)):
+            part.append(x)
+        if leaves < 2 or len(points) < 2:
+            return node
+        spread = points.std(0)
+        c = int(spread.argmax())
+        split = float(np.median(points[:, c]))
+        below = points[:, c] <= split
+        if below.all():  # the median is the greatest value: it goes above
+            split = float(np.nextafter(split, -np.inf))
+            below = points[:, c] <= split
+        if not spread[c] > 0 or below.all() or not below.any():
+            return node
+        self.column[node], self.value[node] = c, split
+        self.left[node] = self._grow(points[below], leaves // 2)
+        self.right[node] = self._grow(points[~below], leaves - leaves // 2)
+        return node
+
+    def leaf(self, points: np.ndarray) -> np.ndarray:
+        """The leaf of each point, -1 for points with a value that is not a number."""
+        node = np.zeros(len(points), np.int64)
+        while (inner := self.column[node] >= 0).any():
+            own = node[inner]
+            below = points[inner, self.column[own]] <= self.value[own]
+            node[inner] = np.where(below, self.left[own], self.right[own])
+        node[np.isnan(points).any(1)] = -1
+        return node
+
+
+def _vectors(column: pa.Array, width: int) -> np.ndarray:
+    return np.array(column.flatten().to_numpy(zero_copy_only=False), np.float64).reshape(-1, width)
+
+
+def _leaves(batches: Iterator[pa.RecordBatch], tree: Broadcast, width: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield batch.append_column("leaf", pa.array(tree.value.leaf(_vectors(batch.column("at"), width))))
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+    """Rows of whole blocks, which arrive sorted, as one row each with its box."""
     held: list[pa.RecordBatch] = []
 
     def packed() -> pa.RecordBatch:
         table = pa.Table.from_batches(held)
-        own = np.array(table.column("at").combine_chunks().flatten().to_numpy(zero_copy_only=False), np.float64).reshape(table.num_rows, -1)
-        running = _Running(own, k)
-        running.meet(own, True)
-        reach = running.gaps[:, -1].max()
-        values = [[table.column("block")[0].as_py()], [table.column("place").to_numpy().tobytes()], [own.tobytes()], [own.min(0).tolist()], [own.max(0).tolist()], [float(reach if reach < UNKNOWN else np.inf)]]
-        return pa.record_batch([pa.array(x, t) for x, t in zip(values, (pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.float64()), pa.list_(pa.float64()), pa.float64()), strict=True)], names=["block", "places", "vectors", "low", "high", "reach"])
+        own = _vectors(table.column("at").combine_chunks(), width)
+        values = [[table.column("block")[0].as_py()], [table.column("place").to_numpy().tobytes()], [own.tobytes()], [own.min(0).tolist()], [own.max(0).tolist()]]
+        types = (pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.float64()), pa.list_(pa.float64()))
+        return pa.record_batch([pa.array(x, t) for x, t in zip(values, types, strict=True)], names=["block", "places", "vectors", "low", "high"])
 
     for batch in batches:
         blocks = batch.column("block").to_numpy()
@@ -75,54 +100,110 @@ def _blocks(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatc
         yield packed()
 
 
-def _nearest(batches: Iterator[pa.RecordBatch], k: int, width: int) -> Iterator[pa.RecordBatch]:
-    """The k nearest of each row of block i, which arrives first and then the other blocks that can hold some."""
-    current, places, running = None, None, None
-
-    def found() -> pa.RecordBatch:
-        known = (running.gaps < np.inf).sum(1)
-        flat = running.others[np.arange(k)[None, :] < known[:, None]].reshape(-1)
-        ends = np.append(0, np.cumsum(known * width)).astype(np.int32)
-        own = pa.ListArray.from_arrays(pa.array(np.arange(len(places) + 1, dtype=np.int32) * width), pa.array(running.own.reshape(-1)))
-        return pa.record_batch([pa.array(places), own, pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], names=["place", "at", "others"])
-
+def _nearest(rows: np.ndarray, block: np.ndarray, k: int, own: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Distances (squared) to the up to k nearest of a block, and where they are in it; ``own`` is each row's place in it."""
+    k = min(k, len(block))
+    gaps = np.zeros((len(rows), len(block)))
+    for c in range(block.shape[1]):
+        gaps += (rows[:, c, None] - block[None, :, c]) ** 2
+    gaps[np.isnan(gaps)] = UNKNOWN
+    if own is not None:
+        gaps[np.arange(len(rows)), own] = np.inf
+    near = np.argpartition(gaps, k - 1, axis=1)[:, :k]
+    return np.take_along_axis(gaps, near, 1), near
+
+
+def _box_gaps(rows: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """The least squared distance of each row to each box; a box with a side that is not a number is at the greatest."""
+    out = np.zeros((len(rows), len(low)))
+    for c in range(rows.shape[1]):
+        out += np.maximum(np.maximum(low[None, :, c] - rows[:, c, None], rows[:, c, None] - high[None, :, c]), 0) ** 2
+    out[np.isnan(out)] = UNKNOWN
+    return out
+
+
+def _answer(places: np.ndarray, gaps: np.ndarray, at: list[np.ndarray]) -> pa.RecordBatch:
+    """A row for each place with the near rows among ``gaps`` that are below infinity."""
+    there = gaps < np.inf
+    ends = np.append(0, np.cumsum(there.sum(1))).astype(np.int32)
+    flat = np.concatenate([a[t] for a, t in zip(at, there, strict=True)]) if len(places) else np.zeros((0, 1))
+    width = flat.shape[1]
+    vectors = pa.ListArray.from_arrays(pa.array(np.arange(len(flat) + 1, dtype=np.int32) * width), pa.array(flat.reshape(-1)))
+    near = pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays([pa.array(gaps[there]), vectors], ["gap", "at"]))
+    return pa.record_batch([pa.array(places), near], names=["place", "near"])
+
+
+def _first(batches: Iterator[pa.RecordBatch], boxes: Broadcast, k: int, width: int) -> Iterator[pa.RecordBatch]:
+    """Inside each block: the nearest of each row, its bound, and the other blocks that could hold nearer ones."""
+    numbers, low, high = boxes.value
+    for batch in batches:
+        for block, places, vectors in zip(*(batch.column(c).to_pylist() for c in ("block", "places", "vectors")), strict=True):
+            own, places = np.frombuffer(vectors).reshape(-1, width), np.frombuffer(places, np.int64)
+            for at in range(0, len(own), CHUNK):
+                rows = own[at : at + CHUNK]
+                gaps, near = _nearest(rows, own, k, np.arange(at, at + len(rows)))
+                bound = gaps.max(1) if gaps.shape[1] == k else np.full(len(rows), np.inf)
+                # Blocks near enough to the box of the rows, then row by row.
+                apart = np.maximum(np.maximum(low - rows.max(0), rows.min(0) - high), 0)
+                close = np.flatnonzero(~((apart**2).sum(1) >= bound.max()))
+                asked = (_box_gaps(rows, low[close], high[close]) < bound[:, None]) & (numbers[close] != block)[None, :]
+                out = _answer(places[at : at + len(rows)], gaps, [own[x] for x in near])
+                visits = [numbers[close[x]].tolist() for x in asked]
+                yield out.append_column("at", pa.array(rows.tolist(), pa.list_(pa.float64()))).append_column("bound", pa.array(bound)).append_column("visits", pa.array(visits, pa.list_(pa.int64())))
+
+
+def _second(batches: Iterator[pa.RecordBatch], k: int, width: int) -> Iterator[pa.RecordBatch]:
+    """The answers of each block, which arrives first and then the rows that ask it."""
+    block = np.zeros((0, width))
     for batch in batches:
-        for x in range(batch.num_rows):
-            i, block = batch.column("i")[x].as_py(), np.frombuffer(batch.column("vectors")[x].as_py()).reshape(-1, width)
-            if i != current:
-                if running is not None:
-                    yield found()
-                current, places, running = i, np.frombuffer(batch.column("places")[x].as_py(), np.int64), _Running(block, k)
-                running.meet(block, True)
-            else:
-                running.meet(block, False)
-    if running is not None:
-        yield found()
+        vectors = batch.column("vectors")
+        marks = np.flatnonzero(vectors.is_valid().to_numpy(zero_copy_only=False)).tolist()
+        for first, last in zip([0, *marks], [*marks, batch.num_rows], strict=True):
+            if first in marks:
+                block, first = np.frombuffer(vectors[first].as_py()).reshape(-1, width), first + 1
+            for at in range(first, last, CHUNK):
+                part = batch.slice(at, min(CHUNK, last - at))
+                gaps, near = _nearest(_vectors(part.column("at"), width), block, k)
+                gaps[gaps >= part.column("bound").to_numpy()[:, None]] = np.inf
+                yield _answer(part.column("place").to_numpy(), gaps, [block[x] for x in near])
+
+
+def partition(rows: DataFrame, cols: list[str], block: int) -> tuple[DataFrame, DataFrame]:
+    """``[place, key, at, block]`` of all rows, and the blocks with their boxes; both written."""
+    values = F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(float("nan"))) for c in cols])
+    lined = materialize(rows.select(F.monotonically_increasing_id().alias("place"), "key", values.alias("at")))
+    count = lined.count()
+    block = max(block, -(-count // MOST_BLOCKS))
+    drawn = lined.select("at").where(F.xxhash64("key", "place") % max(1, -(-count // SAMPLE)) == 0).collect() if count else []
+    points = np.array([r["at"] for r in drawn], np.float64).reshape(-1, len(cols))
+    tree = rows.sparkSession.sparkContext.broadcast(Tree(points[np.isfinite(points).all(1)], -(-count // block)))
+    dealt = lined.mapInArrow(partial(_leaves, tree=tree, width=len(cols)), "place long, key string, at array<double>, leaf long")
+    dealt = materialize(dealt)
+    # A leaf that grew beyond a block (equal rows cannot be split) is dealt to several by hash.
+    parts = dealt.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / block).alias("parts"))
+    own = dealt.join(parts, "leaf").select("place", "key", "at", (F.col("leaf") * 1_000_000 + F.pmod(F.xxhash64("key", "place"), F.col("parts"))).alias("block"))
+    ordered = own.repartition(max(1, -(-count // block)), "block").sortWithinPartitions("block", "place")
+    return lined, materialize(ordered.mapInArrow(partial(_blocks, width=len(cols)), BLOCK))
+
+
+def first_pass(blocks: DataFrame, k: int, width: int) -> DataFrame:
+    """``[place, near, at, bound, visits]`` of all rows, written."""
+    boxes = blocks.select("block", "low", "high").collect()  # at most about MOST_BLOCKS
+    low, high = (np.array([r[c] for r in boxes], np.float64).reshape(-1, width) for c in ("low", "high"))
+    sent = blocks.sparkSession.sparkContext.broadcast((np.array([r.block for r in boxes], np.int64), low, high))
+    return materialize(blocks.mapInArrow(partial(_first, boxes=sent, k=k, width=width), FOUND + ", at array<double>, bound double, visits array<long>"))
 
 
 def nearest_rows(rows: DataFrame, cols: list[str], k: int, block: int) -> DataFrame:
-    """``[key, at, others]``: each row's ``cols`` as an array, and those of its k nearest other rows one after another.
-
-    Rows are numbered along the column that spreads most and cut into blocks of ``block`` rows. A row's k-th distance
-    inside its own block bounds how far its neighbours can be, so a block meets only the blocks whose boxes are that
-    near, with a running k nearest per row. The result is that of all pairs; a task holds two blocks."""
-    spread = rows.agg(*[F.coalesce(F.nanvl(F.stddev(F.col(c).cast("double")), F.lit(0.0)), F.lit(0.0)).alias(c) for c in cols]).first()
-    widest = max(cols, key=lambda c: spread[c])
-    values = F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(float("nan"))) for c in cols])
-    lined = numbered(rows.select("key", values.alias("at"), F.col(widest).cast("double").alias("along")), [F.col("along"), F.col("key")])
-    dealt = lined.select("place", F.floor(F.col("place") / block).alias("block"), "at")
-    count = max(1, -(-lined.count() // block))
-    blocks = dealt.repartition(count, "block").sortWithinPartitions("block", "place").mapInArrow(partial(_blocks, k=k), BLOCK)
-    blocks = materialize(blocks)
-    boxes = blocks.select("block", "low", "high", "reach")
-    one, other = boxes.select(*[F.col(c).alias(f"{c}_i") for c in boxes.columns]), boxes.select(*[F.col(c).alias(f"{c}_j") for c in boxes.columns])
-    below = F.zip_with("low_j", "high_i", lambda x, y: x - y)
-    above = F.zip_with("low_i", "high_j", lambda x, y: x - y)
-    apart = F.zip_with(below, above, lambda x, y: F.greatest(x, y, F.lit(0.0)))
-    least = F.aggregate(apart, F.lit(0.0), lambda s, x: s + x * x)
-    pairs = one.crossJoin(other).where((F.col("block_i") == F.col("block_j")) | F.isnan(least) | (least <= F.col("reach_i")))
-    pairs = pairs.select(F.col("block_i").alias("i"), F.col("block_j").alias("block"))
-    met = pairs.join(blocks.select("block", "places", "vectors"), "block").withColumn("far", F.abs(F.col("i") - F.col("block")))
-    met = met.repartition(count, "i").sortWithinPartitions("i", "far", "block").select("i", "places", "vectors")
-    near = met.mapInArrow(partial(_nearest, k=k, width=len(cols)), "place long, at array<double>, others array<double>")
-    return lined.select("place", "key").join(near, "place").select("key", "at", "others")
+    """``[key, at, others]``: each row's ``cols`` as an array, and those of its k nearest other rows one after another, for
+    rows with a text ``key``. A task holds one block of about ``block`` rows."""
+    lined, blocks = partition(rows, cols, block)
+    first = first_pass(blocks, k, len(cols))
+    asking = first.select(F.explode("visits").alias("block"), "place", "at", "bound")
+    both = asking.unionByName(blocks.select("block", "vectors"), allowMissingColumns=True)
+    # Blocks before rows: their place is null.
+    both = both.repartition("block").sortWithinPartitions("block", F.col("place").asc_nulls_first())
+    second = both.select("place", "at", "bound", "vectors").mapInArrow(partial(_second, k=k, width=len(cols)), FOUND)
+    merged = first.select("place", "near").unionByName(second).groupBy("place").agg(F.flatten(F.collect_list("near")).alias("near"))
+    best = F.slice(F.array_sort("near"), 1, k)
+    return lined.join(merged, "place").select("key", "at", F.flatten(F.transform(best, lambda x: x["at"])).alias("others"))
