@@ -9,6 +9,7 @@ from ..operators import clustering as cu
 from ..operators import distance as di
 from ..operators import joins as jn
 from ..operators import mixed
+from ..operators import similar
 from ..settings import CUSTOMER, PRODUCT
 from ..sources import tables as t
 from ..sources.stages import materialize
@@ -242,6 +243,14 @@ def customer_features(spark, root):
     return materialize(entities.fillna("none", ["hospital_type"]))
 
 
+@query
+def approx_similar_pairs(spark, root):
+    """The five customers that are most like each by the kinds of goods they bought and rented."""
+    bought = fr.sales_before(spark, root).select(CUSTOMER, F.concat(F.lit("bought "), "srp_1_desc").alias("element"))
+    rented = t.rentals(spark, root).select(CUSTOMER, F.concat(F.lit("rented "), PRODUCT).alias("element"))
+    return similar.approx_similar_pairs(bought.union(rented), CUSTOMER).withColumns(six("d"))
+
+
 @query
 def silhouette_mixed(spark, root):
     """Silhouette of customers over all features, categories, numbers and lists."""
