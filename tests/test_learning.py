@@ -5,10 +5,12 @@ from __future__ import annotations
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tradewind.operators import learning as ln
+from tradewind.operators import logistic as lg
 from tradewind.operators import recommending as rc
 from tradewind.operators import windows as wn
 
@@ -127,13 +129,43 @@ def test_als_keeps_factors_and_scores_what_is_asked(spark):
 
 def test_logistic_factors_tell_liked_from_not(spark):
     ratings = spark.createDataFrame(taste(4), RATED)
-    scored = rc.logistic_mf(ratings, factors=4, iters=100)
+    scored = rc.logistic_mf(ratings, factors=4)
     assert scored.count() == ratings.count()
     both = scored.withColumnRenamed("rating", "score").join(ratings, ["cluster", "customer_num", "srp_2_desc"])
     means = {r.liked: r.m for r in both.groupBy((F.col("rating") > 0).alias("liked")).agg(F.avg("score").alias("m")).collect()}
     assert means[True] > means[False]
 
 
+@pytest.mark.parametrize("cells,most", [(1_000_000, 200_000), (150, 1)])
+def test_logistic_factors_predict_held_out_pairs(spark, monkeypatch, cells, most):
+    """Log-loss of pairs left out of the fit is below that of the constant, however customers and clusters are dealt."""
+    monkeypatch.setattr(lg, "CELLS", cells)
+    monkeypatch.setattr(lg, "MOST", most)
+    draw = np.random.default_rng(6)
+    rows = []
+    for cluster in (1, 2):
+        people, goods = draw.normal(0, 1, (120, 3)), draw.normal(0, 1, (25, 3))
+        liked = draw.uniform(0, 1, (120, 25)) < 1 / (1 + np.exp(-2 * people @ goods.T))
+        rows += [(cluster, f"c{cluster}-{u}", f"p{i}", 1.0 if liked[u, i] else -1.0) for u in range(120) for i in range(25)]
+    ratings = spark.createDataFrame(rows, RATED)
+    held = F.pmod(F.xxhash64("customer_num", "srp_2_desc"), F.lit(5)) == 0
+    test = ratings.where(held)
+    found = lg.logistic_factors(ratings.where(~held), factors=3).rate(test).withColumnRenamed("rating", "odds").join(test, ["cluster", "customer_num", "srp_2_desc"]).collect()
+    share = np.mean([r.rating > 0 for r in found])
+    loss = np.mean([np.log1p(np.exp(-r.odds if r.rating > 0 else r.odds)) for r in found])
+    constant = -(share * np.log(share) + (1 - share) * np.log(1 - share))
+    assert len(found) == test.count() and loss < 0.85 * constant, (loss, constant)
+
+
+def test_logistic_factors_of_strangers(spark):
+    ratings = spark.createDataFrame([(1, "a", "p", 1.0), (1, "a", "p", -1.0), (1, None, "p", 1.0), (1, "b", "q", -1.0)], RATED)
+    fitted = lg.logistic_factors(ratings, factors=2, iters=2)
+    asked = spark.createDataFrame([(1, "z", "p", 0.0), (2, "a", "p", 0.0)], RATED)
+    assert [r.rating for r in fitted.rate(asked).collect()] == [0.0, 0.0] and fitted.customers.count() == 2
+    with pytest.raises(ValueError):
+        lg.logistic_factors(ratings.limit(0))
+
+
 def test_factor_counts(spark):
     sweep = spark.createDataFrame([(2, 0.9), (4, 0.5), (8, 0.4)], "factors int, rmse double")
     assert {r.factors: r.delta for r in wn.rmse_delta(sweep).collect()} == {2: None, 4: pytest.approx(0.4), 8: pytest.approx(0.1)}

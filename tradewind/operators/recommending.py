@@ -7,10 +7,6 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.ml import Pipeline
-from pyspark.ml.classification import FMClassifier
-from pyspark.ml.feature import OneHotEncoder, VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.ml.recommendation import ALS
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,11 +15,12 @@ from pyspark.sql import types as T
 from ..functions import scoring
 from ..settings import CUSTOMER, PAIR, PRODUCT
 from ..sources.stages import materialize, scan_matrix, shared_folder, write_partitioned_matrix
-from .aggregates import category_codes, numbered
+from .aggregates import numbered
 from .cleaning import isin_filter, rating_from_probability, remark_labels, truncate_decimals
 from .distance import SMALLEST, agreement_keys, agreements, per_set, with_profile
 from .joins import drop_unowned_services, enrich_left
 from .learning import Classifier, batch_predict
+from .logistic import logistic_factors
 from .sets import top_k_products
 
 
@@ -105,22 +102,10 @@ def als_fill(ratings: DataFrame, rank: int = 50, iters: int = 30, seed: int = 0,
     return Factors({c: m for c, m in models.items() if m is not None}, customers, products)
 
 
-def logistic_mf(ratings: DataFrame, factors: int = 8, iters: int = 50, seed: int = 0) -> DataFrame:
-    """``[cluster, customer, product, rating]``: log-odds that a rated pair is liked, by a logistic factorisation.
-
-    A factorisation machine over one-hot customers and one-hot products of their cluster; products of different
-    clusters have factors of their own.  The fitted factors are the model that MLlib keeps on the driver."""
-    rows = ratings.withColumn("shelf", F.concat_ws("|", F.col("cluster").cast("string"), PRODUCT))
-    users = category_codes(rows, CUSTOMER).withColumnRenamed("code", "user")
-    items = category_codes(rows, "shelf").withColumnRenamed("code", "item")
-    coded = materialize(rows.join(users, CUSTOMER).join(items, "shelf").select("cluster", *PAIR, "user", "item", (F.col("rating") > 0).cast("double").alias("liked")))
-    stages = [
-        OneHotEncoder(inputCols=["user", "item"], outputCols=["user_hot", "item_hot"], dropLast=False),
-        VectorAssembler(inputCols=["user_hot", "item_hot"], outputCol="features"),
-        FMClassifier(featuresCol="features", labelCol="liked", factorSize=factors, maxIter=iters, stepSize=0.1, seed=seed),
-    ]
-    scored = Pipeline(stages=stages).fit(coded).transform(coded)
-    return scored.select("cluster", *PAIR, vector_to_array("rawPrediction")[1].alias("rating"))
+def logistic_mf(ratings: DataFrame, factors: int = 8, iters: int = 8, seed: int = 0) -> DataFrame:
+    """``[cluster, customer, product, rating]``: log-odds that a rated pair is liked, by a logistic factorisation whose
+    customers' factors never leave their blocks (``logistic_factors``)."""
+    return logistic_factors(ratings, factors, iters, seed).rate(ratings)
 
 
 def factorisation_rmse(predicted: DataFrame, actual: DataFrame) -> DataFrame:
