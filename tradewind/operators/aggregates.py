@@ -136,6 +136,28 @@ def dataset_stats(df: DataFrame, name: str) -> DataFrame:
     )
 
 
+#: The sketched counts; two to the power of this many registers; the relative error that estimates keep (over four standard errors).
+SKETCHED, REGISTERS, SKETCH_ERROR = ("n_customers", "n_products", "n_pairs"), 14, 0.035
+
+
+def dataset_sketches(df: DataFrame, name: str) -> DataFrame:
+    """``[name, n_rows, n_customers, n_products, n_pairs]``: the rows of a run, and sketches of what ``dataset_stats`` counts.
+
+    A sketch has a fixed size, so it is kept in a table of statistics and added to those of other runs without a re-read."""
+    keys = {"n_customers": F.xxhash64(CUSTOMER), "n_products": F.xxhash64(PRODUCT), "n_pairs": F.xxhash64(*PAIR)}
+    return df.agg(F.count(F.lit(1)).alias("n_rows"), *[F.hll_sketch_agg(k, F.lit(REGISTERS)).alias(c) for c, k in keys.items()]).select(F.lit(name).alias("name"), "n_rows", *SKETCHED)
+
+
+def merge_sketches(runs: DataFrame) -> DataFrame:
+    """One row per name, as if all its runs had been one."""
+    return runs.groupBy("name").agg(F.sum("n_rows").alias("n_rows"), *[F.hll_union_agg(c).alias(c) for c in SKETCHED])
+
+
+def sketched_stats(sketches: DataFrame) -> DataFrame:
+    """Sketches as estimated counts."""
+    return sketches.select("name", "n_rows", *[F.hll_sketch_estimate(c).alias(c) for c in SKETCHED])
+
+
 def mean_by_group(df: DataFrame, by: str, val: str) -> DataFrame:
     return df.groupBy(by).agg(F.avg(val).alias(f"mean_{val}"))
 

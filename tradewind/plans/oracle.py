@@ -334,6 +334,7 @@ RELATIONAL = {
     "mean_rating": "SELECT customer_num, srp_2_desc, round(avg(rating), 6) AS rating FROM f_signed GROUP BY ALL",
     "dataset_stats": """SELECT 'customer sales' AS name, count(*) AS n_rows, CAST(22 AS BIGINT) AS n_cols, count(DISTINCT customer_num) AS n_customers,
         count(DISTINCT srp_2_desc) AS n_products, count(DISTINCT row(customer_num, srp_2_desc)) AS n_pairs FROM f_sales""",
+    "merged_sketches": """SELECT 'customer sales' AS name, count(*) AS n_rows, TRUE AS n_customers_near, TRUE AS n_products_near, TRUE AS n_pairs_near FROM f_sales""",
     "mean_by_group": "SELECT srp_2_desc, round(avg(reciprocal_rank), 6) AS mean_reciprocal_rank FROM f_mrr GROUP BY 1",
     "rank_histogram": "SELECT location, CAST(rank AS DOUBLE) AS rank, count(*) AS n FROM f_mrr GROUP BY ALL",
     "value_histogram": """SELECT CAST(least(floor((reciprocal_rank - lo) * 10 / (hi - lo)), 9) AS BIGINT) AS bin, count(*) AS n

@@ -62,7 +62,9 @@ def scan_parquet(spark, root):
 @query
 def write_stage(spark, root):
     before = fr.sales_before(spark, root).select(*PAIR, "dtl_invoice_num", "dtl_invoice_dt", "dtl_qty_ordered")
-    return stages.scan_parquet(spark, stages.write_stage(before, stages.shared_folder(spark), "V1", "BEFORE_CUTOFF"))
+    folder = stages.shared_folder(spark)
+    stages.write_stage(before, folder, "V1", "BEFORE_CUTOFF")
+    return stages.read_stage(spark, folder, "V1", "BEFORE_CUTOFF")
 
 
 def _cluster_ratings(spark, root):
@@ -462,6 +464,17 @@ def dataset_stats(spark, root):
     return agg.dataset_stats(t.sales(spark, root, geography=True), "customer sales")
 
 
+@query
+def merged_sketches(spark, root):
+    """Statistics of the sales, added up from the sketches of both sides of the cutoff, and whether they are near the exact ones."""
+    sales = t.sales(spark, root)
+    runs = agg.dataset_sketches(fr.sales_before(spark, root), "customer sales").unionByName(agg.dataset_sketches(fr.sales_after(spark, root), "customer sales"))
+    estimates, exact = agg.sketched_stats(agg.merge_sketches(runs)), agg.dataset_stats(sales, "customer sales")
+    both = estimates.join(exact.select("name", *[F.col(c).alias(f"exact_{c}") for c in agg.SKETCHED]), "name")
+    near = [(F.abs(F.col(c) - F.col(f"exact_{c}")) <= agg.SKETCH_ERROR * F.col(f"exact_{c}")).alias(f"{c}_near") for c in agg.SKETCHED]
+    return both.select("name", "n_rows", *near)
+
+
 def _located_ranks(spark, root):
     from ..operators.ranking import mrr_rows
 

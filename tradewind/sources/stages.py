@@ -51,9 +51,29 @@ def scan_parquet(spark: SparkSession, path: str, cols: list[str] | None = None)
 
 
 def write_stage(df: DataFrame, root: str, version: str, stage: str) -> str:
-    path = f"{root}/{stage}/data_version={version}"
-    df.write.mode("overwrite").parquet(path)
-    return path
+    """Write a stage and publish it: the folder of its files.
+
+    Files go to a new folder; a row of the stage's manifest, appended after they are all there, makes them the newest of
+    ``version``. A write that dies midway leaves no row, so readers keep the former files, which are never overwritten."""
+    files = f"files-{uuid.uuid4().hex}"
+    df.write.parquet(f"{root}/{stage}/{files}")
+    row = df.sparkSession.createDataFrame([(version, files)], "version string, files string")
+    row.coalesce(1).withColumn("published", F.current_timestamp()).write.mode("append").parquet(f"{root}/{stage}/manifest")
+    return f"{root}/{stage}/{files}"
+
+
+def stage_versions(spark: SparkSession, root: str, stage: str) -> DataFrame:
+    """``[version, files, published]``: a row for every complete write of a stage."""
+    return spark.read.schema("version string, files string, published timestamp").parquet(f"{root}/{stage}/manifest")
+
+
+def read_stage(spark: SparkSession, root: str, version: str, stage: str, cols: list[str] | None = None) -> DataFrame:
+    """What was published last as ``version`` of a stage."""
+    own = stage_versions(spark, root, stage).where(F.col("version") == version)
+    newest = own.orderBy(F.desc("published"), F.desc("files")).first()
+    if newest is None:
+        raise FileNotFoundError(f"{stage} has no version {version}")
+    return scan_parquet(spark, f"{root}/{stage}/{newest.files}", cols)
 
 
 #: Rows of a file of a partitioned matrix, about.
