@@ -102,8 +102,53 @@ def test_a_group_over_a_shard_is_divided(spark):
     rows = [(i, hot) for i in range(200)] + [(1000 + i, brute.words_text(i, 10)) for i in range(200)]
     load = check_shards(spark.createDataFrame(rows, "doc_id long, text string"), 8, [zlib.crc32(hot.encode())])
     assert max(load) - min(load) < 0.1 * sum(load) / 8
-    by_capacity = S.shard(spark.createDataFrame(rows, "doc_id long, text string"), None, capacity=5000)
-    assert by_capacity.select("shard").distinct().count() == -(-sum(load) // 5000)
+
+
+def check_capacity(docs, capacity):
+    rows = [(r.doc_id, r.text or "") for r in docs.select("doc_id", "text").collect()]
+    got = S.shard_by_capacity(docs, capacity).collect()
+    assert Counter((r.doc_id, r.size, r.text_crc32) for r in got) == Counter((i, len(t.encode()) + 8, zlib.crc32(t.encode())) for i, t in rows)
+    held, homes, sizes = defaultdict(list), defaultdict(set), Counter()
+    for r in got:
+        held[r.shard].append(r)
+        homes[r.text_crc32].add(r.shard)
+        sizes[r.text_crc32] += r.size
+    assert sorted(held) == list(range(len(held)))
+    for own in held.values():
+        assert sum(r.size for r in own) <= capacity or len(own) == 1
+        assert sorted(r.slot for r in own) == list(range(len(own)))
+    assert all(len(homes[k]) == 1 for k in homes if sizes[k] <= capacity)
+    return held, sizes
+
+
+def test_no_shard_is_over_its_capacity(spark, awkward, nothing, monkeypatch):
+    ten = [(i, brute.words_text(i, 400)[:592]) for i in range(10)]
+    held, _ = check_capacity(spark.createDataFrame(ten, "doc_id long, text string"), 1000)
+    assert len(held) == 10
+    hot = [(i, "h" * 92) for i in range(205)] + [(1000 + i, brute.words_text(i, 3 + i % 60)) for i in range(600)]
+    docs = spark.createDataFrame(hot, "doc_id long, text string")
+    for shards_in_a_cell in (64, 4):
+        monkeypatch.setattr(S, "OPEN", shards_in_a_cell)
+        held, sizes = check_capacity(docs, 5000)
+        assert len(held) <= 1.2 * sum(sizes.values()) / 5000 + 1
+    for capacity in (1, 500, 10**9):
+        check_capacity(awkward, capacity)
+    assert S.shard_by_capacity(nothing, 1000).count() == 0
+
+
+def test_best_fit_opens_a_shard_where_none_has_room():
+    draw = random.Random(3)
+    for n in (0, 1, 10, 400):
+        sizes = sorted((draw.randrange(1, 1200) for _ in range(n)), reverse=True)
+        rooms, want = [], []
+        for size in sizes:
+            fits = [(room, k) for k, room in enumerate(rooms) if room >= size]
+            if not fits:
+                rooms.append(1000)
+            k = min(fits)[1] if fits else len(rooms) - 1
+            rooms[k] -= size
+            want.append(k)
+        assert S.best_fit_opening(sizes, 1000) == want
 
 
 def test_mixing_against_brute_force(spark, awkward, monkeypatch):

@@ -47,6 +47,54 @@ def test_quality_agrees_with_labels(spark, small_root):
     assert (got["kept"] == (got["quality"] == 1)).mean() > 0.95
 
 
+def test_lines_of_one_page_differ(spark, small_root):
+    """Footers and headers of boilerplate planted in good pages are told from their bodies, line by line."""
+    docs, labels = (spark.read.parquet(f"{small_root}/{t}.parquet") for t in ("documents", "labels"))
+    field = Q.fit(docs, labels)
+    good = docs.join(labels.where("quality = 1"), "doc_id").orderBy("doc_id").select("text").toPandas()["text"]
+    bodies = ["\n".join([x for x in t.split("\n") if len(x.split()) > 12][:6]) for t in good]
+    bodies = [b for b in bodies if b.count("\n") >= 3][:60]
+    junk = ["Home | About | Login | Terms | Help", "SHARE!! TWEET!! LIKE!! SUBSCRIBE!! NOW!!", "*** click*** here### for$$$ more%%% &&& ***", "Back | Next | Top | Print | Mail"]
+    rows, want = [], {}
+    for i, body in enumerate(bodies):
+        n, k = body.count("\n") + 1, 2 + i % 3
+        foot = "\n".join((junk * 2)[i % 4 : i % 4 + k])
+        rows.append((i, body + "\n" + foot if i % 2 else foot + "\n" + body))
+        want[i] = "C" * n + "B" * k if i % 2 else "B" * k + "C" * n
+    assert len(rows) > 20
+    got = {r.doc_id: r.line_labels for r in Q.judge(spark.createDataFrame(rows, "doc_id long, text string"), field).collect()}
+    pairs = [(a, b) for i in want for a, b in zip(want[i], got[i], strict=True)]
+    assert sum(a == b for a, b in pairs) > 0.9 * len(pairs)
+    for y in "BC":
+        assert sum(a == b == y for a, b in pairs) > 0.8 * sum(a == y for a, _ in pairs)
+    whole = [r.line_labels for r in Q.judge(docs, field).collect()]
+    assert any("C" in x and "B" in x for x in whole)
+
+
+def test_training_on_awkward_rows(awkward, spark):
+    ids = [r.doc_id for r in awkward.select("doc_id").collect() if r.doc_id is not None]
+    labels = spark.createDataFrame([(i, k % 2) for k, i in enumerate(sorted(set(ids)))] * 2 + [(None, 1), (10**9, 0)], "doc_id long, quality int")
+    field = Q.fit(awkward, labels)
+    assert np.isfinite(field.bins).all() and np.isfinite(field.steps).all() and np.isfinite(field.start).all()
+    assert Q.judge(awkward, field).count() == awkward.count()
+
+
+def test_expected_labels_against_all_paths():
+    rng = np.random.default_rng(8)
+    field = Q.Field(rng.normal(size=(int(Q._SHIFT[-1]), 2)), rng.normal(size=(2, 2)), rng.normal(size=2))
+    sizes = [1, 4, 3]
+    unary, there = rng.normal(size=(3, 4, 2)), np.arange(4) < np.array(sizes)[:, None]
+    single, pairs = Q._expected(unary, field, there)
+    for i, n in enumerate(sizes):
+        paths = list(itertools.product((0, 1), repeat=n))
+        weight = np.array([np.exp(field.start[p[0]] + sum(unary[i, t, y] for t, y in enumerate(p)) + sum(field.steps[a, b] for a, b in itertools.pairwise(p))) for p in paths])
+        weight /= weight.sum()
+        for t in range(n):
+            assert np.isclose(single[i, t, 1], sum(w for w, p in zip(weight, paths, strict=True) if p[t]))
+        for a, b in itertools.product((0, 1), repeat=2):
+            assert np.isclose(pairs[i, a, b], sum(w * sum(s == (a, b) for s in itertools.pairwise(p)) for w, p in zip(weight, paths, strict=True)))
+
+
 def test_quality_without_labels(awkward, spark):
     assert Q.fit(awkward, spark.createDataFrame([], "doc_id long, quality int")) is Q.NO_FIELD
 

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradewind.llm import buffers as B
-from tradewind.llm.tables import id_back, keyed
+from tradewind.llm.tables import by_id, id_back
 from tradewind.sources.stages import materialize
 
 LEAST_BLOCK, SIGNATURE, WINDOW, RUN = 3, 64, 7, 4
@@ -167,12 +167,15 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
     """[doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next] for every row.
 
     The edited text is the text with its last quarter of characters replaced by the beginning of the next document.
-    Texts are shuffled once, by ranges of doc_id; only the two documents at a range's ends meet across ranges."""
-    ordered = keyed(docs).repartitionByRange("d").sortWithinPartitions("d", "text")
+    Texts are shuffled once, by ranges of doc_id; only the two documents at a range's ends meet across ranges, by a join
+    of range numbers. Documents with one doc_id (or none) follow each other by text, and the beginnings of their texts
+    divide them among ranges."""
+    ordered = by_id(docs)
     walked = materialize(ordered.mapInArrow(_walk, ROW + ", part int, edge int, text string"))
-    along = Window.orderBy("part", "edge")
-    ends = walked.where("edge > 0").select("d", "part", "edge", "text", "fingerprint")
-    for name, source in (("after", "text"), ("after_mark", "fingerprint")):
-        ends = ends.withColumn(name, F.coalesce(F.lead(source).over(along), F.first(source).over(along)))
-    last = ends.where("edge = 2").select("d", "text", "after", "fingerprint", "after_mark").mapInArrow(_edges, ROW)
+    heads = walked.where("edge = 1").select(F.col("part").alias("next"), F.col("text").alias("after"), F.col("fingerprint").alias("after_mark"))
+    along = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)  # numbers of ranges only
+    parts = heads.select(F.col("next").alias("part"))
+    following = parts.select("part", F.coalesce(F.lead("part").over(Window.orderBy("part")), F.first("part").over(along)).alias("next"))
+    ends = walked.where("edge = 2").select("d", "part", "text", "fingerprint").join(following, "part").join(heads, "next")
+    last = ends.select("d", "text", "after", "fingerprint", "after_mark").mapInArrow(_edges, ROW)
     return walked.where("edge = 0").select(*last.columns).union(last).withColumn("doc_id", id_back("d")).select("doc_id", *last.columns[1:])

@@ -21,14 +21,15 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tradewind.llm import buffers as B
+from tradewind.llm.tables import drawn_ids
 from tradewind.sources.stages import materialize
 
-GRAM, SLOTS, PROBES, PER_LANGUAGE, RARE = 4, 1 << 20, 3, 1000, 0.2
+GRAM, SLOTS, PROBES, PER_LANGUAGE, RARE = 4, 1 << 20, 3, 2000, 0.2
 _letters: list[np.ndarray] = []
 
 
@@ -100,8 +101,7 @@ class Model:
 def fit(docs: DataFrame, gram: int = GRAM, slots: int = SLOTS, probes: int = PROBES, per_language: int = PER_LANGUAGE) -> Model:
     """Learn from ``docs`` [doc_id, text, lang]; rows without a language are not used."""
     known = docs.select("doc_id", "lang").where("doc_id is not null and lang is not null")
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = materialize(known.withColumn("r", F.row_number().over(order)).where(F.col("r") <= per_language).select("doc_id").distinct())
+    chosen = materialize(drawn_ids(known, "lang", per_language).select("doc_id").distinct())
     sample = docs.select("doc_id", "text", "lang").where("text is not null and lang is not null").join(chosen, "doc_id", "left_semi")
     counts = sample.select("text", "lang").mapInArrow(partial(_learn, gram=gram), "g long, lang string, k long").groupBy("g", "lang").agg(F.sum("k").alias("k"))
     counts = counts.toPandas()  # bounded by the sample

@@ -6,11 +6,13 @@ labels content and boilerplate for a document's lines; a document is kept if at
 content lines and it passes the base rules.
 
 The field is trained on a bounded sample: at most ``sample`` labelled documents of each quality (by a hash of the
-id), of each the first ``TRAIN_LINES`` lines; a line counts as content if its document's quality is 1.
-Decoding reads every line of every text.
+id), of each at most ``TRAIN_LINES`` neighbouring lines from a drawn place. Labels of lines are not given. A
+document's quality only says that a line agrees with it with a probability of ``AGREE`` before its features are seen;
+which lines do is inferred, so a page of one quality can hold lines of the other. Decoding reads every line of every text.
 
 Rows: a null or empty text has no words and fails the base rules. Repeated rows are judged alike; a null doc_id is
-judged like any other but not trained on. Without labels of both kinds all lines are content."""
+judged like any other but not trained on. Without labels of both kinds all lines are content. Very long texts are
+read whole, one after another; an empty table gives no rows; other columns are not read, whatever their names."""
 
 from __future__ import annotations
 
@@ -20,13 +22,14 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradewind.llm import buffers as B
+from tradewind.llm.tables import drawn_ids
 from tradewind.sources.stages import materialize
 
-SAMPLE, TRAIN_LINES, LEAST_CONTENT = 1000, 100, 0.5
+SAMPLE, TRAIN_LINES, AGREE, LEAST_CONTENT = 1500, 100, 0.8, 0.5
 LEAST_WORDS, MOST_REPEATED = 50, 50
 #: The counted symbols.
 SYMBOLS = b"#*$%&|<>"
@@ -164,9 +167,47 @@ class Field:
 NO_FIELD = Field(np.tile([0.0, 1.0], (int(_SHIFT[-1]), 1)), np.zeros((2, 2)), np.zeros(2))
 
 
-def train(sequences: list[np.ndarray], labels: list[int], rounds: int = 150, rate: float = 0.5, ridge: float = 1e-3) -> Field:
-    """Maximum likelihood by gradient steps (with momentum-free adaptive rates); a sequence has one label throughout."""
-    size = np.array([len(s) for s in sequences])
+def _expected(unary: np.ndarray, field: Field, there: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Forward-backward: probabilities of each line's labels, and sums over all lines but the last of those of neighbouring pairs."""
+    n, longest, _ = unary.shape
+    ahead, behind = np.zeros((n, longest, 2)), np.zeros((n, longest, 2))
+    ahead[:, 0] = field.start + unary[:, 0]
+    for t in range(1, longest):
+        step = np.logaddexp(ahead[:, t - 1, None, 0] + field.steps[0], ahead[:, t - 1, None, 1] + field.steps[1]) + unary[:, t]
+        ahead[:, t] = np.where(there[:, t, None], step, ahead[:, t - 1])
+    for t in range(longest - 2, -1, -1):
+        after = unary[:, t + 1] + behind[:, t + 1]
+        step = np.logaddexp(field.steps[:, 0] + after[:, None, 0], field.steps[:, 1] + after[:, None, 1])
+        behind[:, t] = np.where(there[:, t + 1, None], step, 0)
+    norm = np.logaddexp(ahead[:, -1, 0], ahead[:, -1, 1])
+    single = np.exp(ahead + behind - norm[:, None, None])
+    pairs = np.zeros((n, 2, 2))
+    for a in (0, 1):
+        for b in (0, 1):
+            pair = np.exp(ahead[:, :-1, a] + field.steps[a, b] + unary[:, 1:, b] + behind[:, 1:, b] - norm[:, None])
+            pairs[:, a, b] = (pair * there[:, 1:]).sum(1)
+    return single, pairs
+
+
+class _Climb:
+    """Gradient steps with a rate for each parameter."""
+
+    def __init__(self, param: np.ndarray, rate: float, ridge: float):
+        self.param, self.rate, self.ridge, self.square = param, rate, ridge, 0.0
+
+    def step(self, gradient: np.ndarray) -> None:
+        gradient = gradient - self.ridge * self.param
+        self.square = 0.9 * self.square + 0.1 * gradient**2
+        self.param += self.rate * gradient / (np.sqrt(self.square) + 1e-3)
+
+
+def train(sequences: list[np.ndarray], labels: list[int], agree: float = AGREE, rounds: int = 150, rate: float = 0.05, ridge: float = 1e-3) -> Field:
+    """Likelihood of the documents' labels with the lines' labels latent, piece by piece: first what a line's own
+    features say, then with these weights fixed the transitions and the start.
+
+    Each step moves towards the labels expected when the document's label is known (every line leans to it by
+    the odds of ``agree``) and away from those expected when it is not."""
+    size, sides = np.array([len(s) for s in sequences]), np.array(labels)
     longest, n = int(size.max()), len(sequences)
     bins = np.zeros((n, longest, len(BINS)), np.int64)
     for i, s in enumerate(sequences):
@@ -174,52 +215,43 @@ def train(sequences: list[np.ndarray], labels: list[int], rounds: int = 150, rat
     there = np.arange(longest) < size[:, None]
     weight = np.zeros(n)
     for y in (0, 1):
-        own = np.array(labels) == y
-        weight[own] = 0.5 / max(size[own].sum(), 1)
+        weight[sides == y] = 0.5 / max(size[sides == y].sum(), 1)
+    lean = np.zeros((n, 1, 2))
+    lean[np.arange(n), 0, sides] = np.log(agree / (1 - agree))
     field = Field(np.zeros((int(_SHIFT[-1]), 2)), np.zeros((2, 2)), np.zeros(2))
-    target = np.zeros((n, longest, 2))
-    target[np.arange(n), :, labels] = 1
-    params, squares = [field.bins, field.steps, field.start], [0.0, 0.0, 0.0]
+
+    lines, side, per_line = bins[there], np.repeat(lean[:, 0], size, 0), np.repeat(weight, size)
+    climb = _Climb(field.bins, rate, ridge)
+    for _ in range(rounds):
+        unary = field.bins[lines].sum(1)
+        known, free = (1 / (1 + np.exp(-(u[:, 1] - u[:, 0]))) for u in (unary + side, unary))
+        off = np.repeat((known - free) * per_line, len(BINS))
+        toward = np.bincount(lines.reshape(-1), off, minlength=len(field.bins))
+        climb.step(np.stack([-toward, toward], 1))
+
+    unary = field.bins[bins].sum(2)
+    climbs = _Climb(field.steps, rate, ridge), _Climb(field.start, rate, ridge)
     for _ in range(rounds):
-        unary = field.bins[bins].sum(2)
-        ahead, behind = np.zeros((n, longest, 2)), np.zeros((n, longest, 2))
-        ahead[:, 0] = field.start + unary[:, 0]
-        for t in range(1, longest):
-            step = np.logaddexp(ahead[:, t - 1, None, 0] + field.steps[0], ahead[:, t - 1, None, 1] + field.steps[1]) + unary[:, t]
-            ahead[:, t] = np.where(there[:, t, None], step, ahead[:, t - 1])
-        for t in range(longest - 2, -1, -1):
-            after = unary[:, t + 1] + behind[:, t + 1]
-            step = np.logaddexp(field.steps[:, 0] + after[:, None, 0], field.steps[:, 1] + after[:, None, 1])
-            behind[:, t] = np.where(there[:, t + 1, None], step, 0)
-        norm = np.logaddexp(ahead[:, -1, 0], ahead[:, -1, 1])
-        single = np.exp(ahead + behind - norm[:, None, None])
-        off = (target - single) * there[:, :, None] * weight[:, None, None]
-        bins_gradient = np.stack([np.bincount(bins.reshape(-1), np.repeat(off[:, :, y].reshape(-1), len(BINS)), minlength=len(field.bins)) for y in (0, 1)], 1)
-        steps_gradient = np.zeros((2, 2))
-        for a in (0, 1):
-            for b in (0, 1):
-                pair = np.exp(ahead[:, :-1, a] + field.steps[a, b] + unary[:, 1:, b] + behind[:, 1:, b] - norm[:, None])
-                wanted = target[:, :-1, a] * target[:, 1:, b]
-                steps_gradient[a, b] = ((wanted - pair) * there[:, 1:] * weight[:, None]).sum()
-        for k, gradient in enumerate((bins_gradient, steps_gradient, off[:, 0].sum(0))):
-            gradient = gradient - ridge * params[k]
-            squares[k] = 0.9 * squares[k] + 0.1 * gradient**2
-            params[k] += rate * gradient / (np.sqrt(squares[k]) + 1e-3) * 0.1
+        (known, known_pairs), (free, free_pairs) = (_expected(u, field, there) for u in (unary + lean, unary))
+        climbs[0].step(((known_pairs - free_pairs) * weight[:, None, None]).sum(0))
+        climbs[1].step(((known[:, 0] - free[:, 0]) * weight[:, None]).sum(0))
     return field
 
 
 def _sampled(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
     for rows, data, offsets in B.slices(batches):
         lines = read_lines(data, offsets)
-        parts = [lines.bins[a : min(b, a + most)] for a, b in zip(lines.bounds[:-1], lines.bounds[1:], strict=True)]
+        n = np.diff(lines.bounds)
+        drawn = B.mixed(rows.column("doc_id").to_numpy().astype(np.int64).view(np.uint64), 51) % np.maximum(n - most + 1, 1).astype(np.uint64)
+        first = lines.bounds[:-1] + drawn.astype(np.int64)
+        parts = [lines.bins[a : a + k] for a, k in zip(first, np.minimum(n, most), strict=True)]
         yield pa.record_batch([rows.column("doc_id"), rows.column("quality"), pa.array([p.reshape(-1).tolist() for p in parts], pa.list_(pa.int32()))], names=["doc_id", "quality", "bins"])
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Field:
     """Train on ``docs`` [doc_id, text] whose ``labels`` [doc_id, quality] are drawn."""
-    order = Window.partitionBy("quality").orderBy(F.xxhash64("doc_id"), "doc_id")
     known = labels.where("doc_id is not null and quality in (0, 1)").groupBy("doc_id").agg(F.min("quality").cast("int").alias("quality"))
-    drawn = materialize(known.withColumn("r", F.row_number().over(order)).where(F.col("r") <= sample).drop("r"))
+    drawn = materialize(drawn_ids(known, "quality", sample))
     rows = docs.select("doc_id", "text").where("text is not null").join(drawn, "doc_id")
     read = rows.mapInArrow(partial(_sampled, most=TRAIN_LINES), "doc_id long, quality int, bins array<int>").where("size(bins) > 0")
     table = read.toPandas().sort_values("doc_id")  # bounded by the sample

@@ -9,8 +9,14 @@ shard, so they fit in the driver. The others are dealt at random into cells of a
 cell fills its part of every shard's room on its own, one task per cell. Only a group that is larger than a whole
 shard is divided, into as few parts as fit.
 
+Law ``capacity``: shards of a fixed capacity, as few as best-fit decreasing opens; a shard is opened when no open one
+has room, so none is over its capacity but one that holds a single row larger than that. Groups of less than
+1 / ``HEAVY`` of a shard go together in bundles by hash. Groups and bundles are dealt into cells of about ``OPEN``
+shards that are packed on their own; a cell leaves at most its last few shards partly empty.
+
 Rows: a null text counts as empty and stands with the empty texts. Repeated rows are rows of one group, each with
-a slot of its own; a null doc_id is placed like any other. Ties go by hash of the text."""
+a slot of its own; a null doc_id is placed like any other. Ties go by hash of the text. Texts are read for their sizes and hashes only,
+however long; an empty table gives no rows; other columns are not read, whatever their names."""
 
 from __future__ import annotations
 
@@ -28,10 +34,12 @@ from tradewind.llm.grouped import whole_groups
 from tradewind.llm.tables import id_back, id_key
 from tradewind.sources.stages import materialize
 
-SHARDS, HEAVY, CELL = 24, 64, 20_000
+SHARDS, HEAVY, CELL, OPEN = 24, 64, 20_000, 64
 #: Rows numbered together.
 PER_BUCKET = 10_000
 GROUP = ["k1", "k2", "size"]
+#: What is put into a shard of fixed capacity: a bundle of groups, or (bundle -1) a part of one group.
+ITEM = ["bundle", "k1", "k2", "size", "part"]
 
 
 class RoomTree:
@@ -104,6 +112,20 @@ def best_fit_decreasing(sizes: list[float], rooms: list[float]) -> tuple[list[in
     return out, left
 
 
+def best_fit_opening(sizes: list[int], capacity: int) -> list[int]:
+    """A shard for each of ``sizes`` (in decreasing order); a new one is opened where none has room."""
+    tree, shards, out = RoomTree([]), 0, []
+    for size in sizes:
+        room, shard = tree.tightest(size) if shards else (-1, -1)
+        if room >= size:
+            tree.remove((room, shard))
+        else:
+            room, shard, shards = capacity, shards, shards + 1
+        tree.add(room - size, shard)
+        out.append(shard)
+    return out
+
+
 def numbered(rows: DataFrame, by: list[str], order: list[str], name: str) -> DataFrame:
     """Number the rows of each ``by`` from 0 without gaps; no task holds more than one hash bucket of them."""
     buckets = max(1, math.ceil(rows.count() / PER_BUCKET))
@@ -129,10 +151,20 @@ def _fill_cells(batches: Iterator[pa.RecordBatch], rooms: list[float]) -> Iterat
             yield from own.drop_columns(["bytes"]).append_column("shard", pa.array(shards)).combine_chunks().to_batches()
 
 
-def shard(docs: DataFrame, shards: int | None = SHARDS, capacity: int | None = None) -> DataFrame:
-    """[doc_id, size, text_crc32, law, shard, slot, grown_shard] for every row of ``docs`` [doc_id, text].
+def _open_cells(batches: Iterator[pa.RecordBatch], capacity: int) -> Iterator[pa.RecordBatch]:
+    """Best-fit decreasing into shards of the cell's own."""
+    for table, starts in whole_groups(batches, ["cell"]):
+        for first, last in zip(starts[:-1], starts[1:], strict=True):
+            own = table.slice(first, last - first)
+            *keys, weight = (own.column(c).to_numpy() for c in (*ITEM, "bytes"))
+            order = np.lexsort((*keys, -weight))
+            inside = np.zeros(len(order), np.int32)
+            inside[order] = best_fit_opening(weight[order].tolist(), capacity)
+            yield from own.append_column("inside", pa.array(inside)).combine_chunks().to_batches()
+
 
-    Either the number of shards is given, or their capacity in bytes, of which the least number is taken."""
+def _read(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Size and hashes of every row, and the groups of equal texts."""
     text = F.coalesce("text", F.lit(""))
     rows = materialize(
         docs.select(
@@ -143,9 +175,52 @@ def shard(docs: DataFrame, shards: int | None = SHARDS, capacity: int | None = N
             F.xxhash64(F.lit("second"), text, F.octet_length(text)).alias("k2"),
         )
     )
-    groups = materialize(rows.groupBy(*GROUP).agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("bytes")))
+    return rows, materialize(rows.groupBy(*GROUP).agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("bytes")))
+
+
+def _slotted(placed: DataFrame, law: str) -> DataFrame:
+    slotted = numbered(materialize(placed.select("d", "size", "text_crc32", "shard")), ["shard"], ["d", "text_crc32", "size"], "slot")
+    return slotted.select(id_back("d").alias("doc_id"), "size", "text_crc32", F.lit(law).alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def shard_by_capacity(docs: DataFrame, capacity: int) -> DataFrame:
+    """As ``shard``, for every row of ``docs`` [doc_id, text], into shards of ``capacity`` bytes (law ``capacity``).
+
+    Only a group larger than a shard is divided, and then by whole rows."""
+    rows, groups = _read(docs)
+    total = groups.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
+    bundles, cells = max(1, -(-total * 2 * HEAVY // capacity)), max(1, total // (capacity * OPEN))
+    per = F.when(F.col("bytes") > capacity, F.greatest(F.lit(1), F.floor(F.lit(capacity) / F.col("size")))).otherwise(F.col("n"))
+    bundle = F.when(F.col("bytes") <= capacity / HEAVY, F.pmod(F.xxhash64("k2", "k1"), F.lit(bundles)))
+    measured = groups.withColumn("per", per.cast("long")).withColumn("bundle", F.coalesce(bundle, F.lit(-1)).cast("long"))
+    filled = measured.where("bundle >= 0").groupBy("bundle").agg(F.sum("bytes").alias("filled"))
+    small = filled.where(F.col("filled") <= capacity / 8)  # any other bundle is taken apart
+    measured = materialize(measured.join(small.select("bundle", F.lit(True).alias("whole")), "bundle", "left").withColumn("bundle", F.when(F.col("whole"), F.col("bundle")).otherwise(F.lit(-1))).drop("whole"))
+    none = F.lit(0).cast("long")
+    own = measured.where("bundle < 0").withColumn("part", F.explode(F.sequence(none, F.ceil(F.col("n") / F.col("per")) - 1)))
+    items = own.select(*ITEM, (F.least(F.col("per"), F.col("n") - F.col("part") * F.col("per")) * F.col("size")).alias("bytes"))
+    together = measured.where("bundle >= 0").groupBy("bundle").agg(F.sum("bytes").alias("bytes"))
+    items = items.unionByName(together.select("bundle", *(none.alias(c) for c in ITEM[1:]), "bytes"))
+    dealt = items.withColumn("cell", F.pmod(F.xxhash64(*ITEM), F.lit(cells)))
+    schema = ", ".join(f"{c} long" for c in (*ITEM, "bytes", "cell")) + ", inside int"
+    packed = materialize(dealt.repartition("cell").sortWithinPartitions("cell").mapInArrow(partial(_open_cells, capacity=capacity), schema))
+    opened = packed.groupBy("cell").agg((F.max("inside") + 1).alias("opened"))
+    before = Window.orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)  # one row per cell
+    offsets = opened.select("cell", F.coalesce(F.sum("opened").over(before), F.lit(0)).alias("before"))
+    homes = packed.join(offsets, "cell").select(*ITEM, (F.col("before") + F.col("inside")).cast("int").alias("shard"))
+    in_bundles = measured.where("bundle >= 0").select(*GROUP, "bundle").join(homes.where("bundle >= 0").select("bundle", "shard"), "bundle")
+    alone = measured.where("bundle < 0 and per >= n").select(*GROUP).join(homes.where("bundle < 0"), GROUP)
+    out = rows.join(in_bundles.select(*GROUP, "shard").unionByName(alone.select(*GROUP, "shard")), GROUP)
+    divided = measured.where("bundle < 0 and per < n").select(*GROUP, "per")
+    parts = numbered(rows.join(divided.select(*GROUP), GROUP, "left_semi"), GROUP, ["d"], "number").join(divided, GROUP)
+    parts = parts.withColumn("part", F.floor(F.col("number") / F.col("per"))).join(homes.where("bundle < 0").drop("bundle"), [*GROUP, "part"])
+    return _slotted(out.unionByName(parts.select(*out.columns)), "capacity")
+
+
+def shard(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
+    """[doc_id, size, text_crc32, law, shard, slot, grown_shard] for every row of ``docs`` [doc_id, text] (law ``bytes``)."""
+    rows, groups = _read(docs)
     total, many = groups.agg(F.coalesce(F.sum("bytes"), F.lit(0)), F.count(F.lit(1))).first()
-    shards = shards or max(1, -(-total // capacity))
     share = total / shards
     heavy = groups.where(F.col("bytes") > share / HEAVY)
     placed = [(*(r[c] for c in GROUP), r["n"], p, parts, r["bytes"] / parts) for r in heavy.collect() for parts in (max(1, math.ceil(r["bytes"] / share)),) for p in range(parts)]
@@ -165,5 +240,4 @@ def shard(docs: DataFrame, shards: int | None = SHARDS, capacity: int | None = N
         own = numbered(rows.join(parts.select(*GROUP).distinct(), GROUP, "left_semi"), GROUP, ["d"], "number")
         own = own.join(parts.select(*GROUP, "n", "parts").distinct(), GROUP).withColumn("part", F.floor(F.col("number") * F.col("parts") / F.col("n")))
         out = out.unionByName(own.join(parts.select(*GROUP, "part", "shard"), [*GROUP, "part"]).select(*out.columns))
-    slotted = numbered(materialize(out.select("d", "size", "text_crc32", "shard")), ["shard"], ["d", "text_crc32", "size"], "slot")
-    return slotted.select(id_back("d").alias("doc_id"), "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+    return _slotted(out, "bytes")
