@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -198,9 +199,24 @@ def test_repetitive_ids_are_coded_short_and_damage_is_found():
         C.read_frame(frame[:-50] + bytes([frame[-50] ^ 255]) + frame[-49:])
 
 
-@pytest.mark.parametrize("options", [{}, {"block": 64, "frame": 500}])
+def test_ids_are_coded_below_their_order_0_entropy(small_root):
+    texts = pq.read_table(f"{small_root}/documents.parquet", columns=["doc_id", "text"]).sort_by("doc_id").column("text").to_pylist()
+    ids = np.concatenate(whole_ids(T.VOCABULARY, [t or "" for t in texts[:600]], 0))[: 1 << 17].astype(np.uint32)
+    share = np.unique(ids, return_counts=True)[1] / len(ids)
+    coded = C.encode_blocks([ids[i : i + T.BLOCK] for i in range(0, len(ids), T.BLOCK)])
+    assert 8 * sum(map(len, coded)) < -(share * np.log2(share)).sum() * len(ids)
+
+
+def test_checksums_of_pieces_join():
+    draw = random.Random(4)
+    for sizes in ([], [0], [5], [3, 0, 1000, 77], [1, 70_000]):
+        parts = [draw.randbytes(n) for n in sizes]
+        assert T.joined_crc32([(zlib.crc32(p), len(p)) for p in parts]) == zlib.crc32(b"".join(parts))
+
+
+@pytest.mark.parametrize("options", [{}, {"block": 256, "frame": 4096}])
 def test_token_files_of_awkward_rows(awkward, options):
-    docs = awkward.where("doc_id is null or doc_id <> 4")
+    docs = awkward
     low = -(2**63)
     rows = sorted((low if r.doc_id is None else r.doc_id, r.text or "") for r in docs.select("doc_id", "text").collect())
     want, at = Counter(), 0
@@ -215,3 +231,5 @@ def test_read_back_ids(spark, tmp_path):
     T.write_token_files(docs, f"{tmp_path}/files")
     got = T.read_token_files(spark, f"{tmp_path}/files", with_ids=True).orderBy(F.col("start")).collect()
     assert [r.ids for r in got] == [x.tobytes() for x in whole_ids(T.VOCABULARY, ["first", "second text"], 0)]
+    T.write_token_files(docs, f"{tmp_path}/cut", block=2, frame=1)
+    assert T.read_token_files(spark, f"{tmp_path}/cut", with_ids=True).orderBy("start").collect() == got
