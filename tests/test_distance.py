@@ -140,6 +140,42 @@ def test_ward_equals_sequential_merging(spark, seed, t):
     assert {frozenset(g) for g in groups.values()} == sequential_ward(m, t)
 
 
+def ward_rows(n_profiles, seed, missing=False):
+    """Profiles of three features, each held by another number of customers, so that no two heights are equal."""
+    draw = random.Random(seed)
+    chosen = draw.sample(list(itertools.product("ab", "cde", "fghi")), n_profiles)
+    held = draw.sample(range(1, 24), n_profiles)
+    rows = [p for p, n in zip(chosen, held) for _ in range(n)]
+    if missing:
+        rows += [(None, "c", "f"), ("a", None, None)]
+    return [(f"c{i:03d}", *p) for i, p in enumerate(rows)]
+
+
+@pytest.mark.parametrize("t,missing", [(0.5, True), (2.9, False), (2.9, True), (50.0, False)])
+def test_ward_of_customers_equals_sequential_merging(spark, t, missing):
+    w = {"f": 1.0, "g": 1.37, "h": 2.91}
+    rows = ward_rows(14, 5, missing)
+    differ = lambda x, y: 0.0 if x is not None and x == y else 1.0
+    d = np.array([[sum(v * differ(a[i], b[i]) for i, v in enumerate(w.values(), 1)) / sum(w.values()) for b in rows] for a in rows])
+    df = spark.createDataFrame([*rows, (None, "a", "c", "f")], "id string, f string, g string, h string")
+    groups = {}
+    for r in cu.ward_by_profile(df, "id", w, t).collect():
+        groups.setdefault(r.cluster, set()).add(int(r.id[1:]))
+    assert {frozenset(g) for g in groups.values()} == sequential_ward(d, t)
+
+
+def test_ward_of_customers_at_the_edges(spark):
+    w = {"f": 1.0}
+    none = spark.createDataFrame([], "id string, f string, cluster string")
+    assert cu.ward_by_profile(none, "id", w, 1.0).count() == 0
+    same = spark.createDataFrame([("a", "x", "z"), ("b", "x", "z"), ("b", "x", "z")], "id string, f string, cluster string")
+    assert [tuple(r) for r in cu.ward_by_profile(same, "id", w, 1.0).orderBy("id").collect()] == [("a", 1), ("b", 1), ("b", 1)]
+    clash = spark.createDataFrame([("a", "x"), ("b", "y")], "profile string, n string")
+    assert [tuple(r) for r in cu.ward_by_profile(clash, "profile", {"n": 1.0}, 0.5).orderBy("id").collect()] == [("a", 1), ("b", 2)]
+    with pytest.raises(ValueError, match="distinct profiles"):
+        cu.ward_by_profile(spark.range(5).selectExpr("string(id) AS id", "string(id) AS f"), "id", w, 1.0, most=4)
+
+
 def test_wcss_and_silhouette_by_hand(spark):
     pairs = pair_frame(spark, ["a", "b", "c"], lambda a, b: 1.0)
     together = spark.createDataFrame([(i, 1) for i in "abc"], "id string, cluster int")
@@ -169,6 +205,46 @@ def test_selection_and_search(spark):
     assert best["h"] == pytest.approx((best["f"] + best["g"]) / 2)
 
 
+def best_of_search(value, proposals, n_trials, seed):
+    draw, done = random.Random(seed), []
+    while len(done) < n_trials:
+        w = proposals(done, ["f", "g", "h"], draw) if len(done) >= 5 else cu.random_weights(["f", "g", "h"], draw)
+        done.append((w, value(w)))
+    assert all(1 <= x <= 10 for w, _ in done for x in w.values())
+    return min(v for _, v in done)
+
+
+def test_proposals_beat_chance():
+    """The same first five trials, then 25 by density ratio or by chance, on a bowl, over 20 seeds."""
+    bowl = lambda w: (w["f"] - 9) ** 2 + (w["g"] - 2) ** 2 + (w["h"] - 5) ** 2
+    adaptive = [best_of_search(bowl, cu.propose_weights, 30, seed) for seed in range(20)]
+    chance = [best_of_search(bowl, lambda done, features, draw: cu.random_weights(features, draw), 30, seed) for seed in range(20)]
+    assert sum(adaptive) < 0.6 * sum(chance)
+
+
+@pytest.mark.parametrize("n_trials", [12, 30])
+def test_search_beats_chance_on_average(n_trials):
+    """Sums of squares of Ward clusters, over 20 seeds: the mean is lower, a single seed may be worse."""
+    m = np.random.default_rng(8).uniform(0, 1, (3, 8, 8))
+    m = (m + m.transpose(0, 2, 1)) / 2
+
+    def value(w):
+        d = np.tensordot([w[f] for f in "fgh"], m, 1) / sum(w.values())
+        return sum(sum(d[a, b] ** 2 for a, b in itertools.combinations(g, 2)) / len(g) for g in sequential_ward(d, 0.6))
+
+    adaptive = [best_of_search(value, cu.propose_weights, n_trials, seed) for seed in range(20)]
+    chance = [best_of_search(value, lambda done, features, draw: cu.random_weights(features, draw), n_trials, seed) for seed in range(20)]
+    assert sum(adaptive) < sum(chance)
+
+
+def test_search_tries_new_weights(spark):
+    rng = np.random.default_rng(8)
+    rows = [(a, b, *map(float, rng.uniform(0, 1, 3))) for a, b in itertools.combinations("abcdefgh", 2)]
+    pairs = spark.createDataFrame(rows, "id_i string, id_j string, f double, g double, h double")
+    runs = cu.weight_search(pairs, ["f", "g", "h"], 0.6, n_trials=7, seed=1).collect()
+    assert len({tuple(sorted(r.weights.items())) for r in runs}) == len(runs) == 7
+
+
 def test_many_distinct_profiles(spark):
     """30,000 customers that all differ: no pair of them is ever made."""
     n = 30_000

@@ -199,6 +199,12 @@ def ward_cutoff(spark, root):
     return cu.ward_cutoff(product_distances(spark, root), 0.7)
 
 
+@query
+def ward_by_profile(spark, root):
+    """All baseline customers."""
+    return cu.ward_by_profile(t.baseline(spark, root), CUSTOMER, CUSTOMER_WEIGHTS, 2.0)
+
+
 @query
 def forward_feature_selection(spark, root):
     return cu.forward_feature_selection(product_pairs(spark, root), list(PRODUCT_WEIGHTS), 0.7)
