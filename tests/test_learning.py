@@ -115,6 +115,16 @@ def taste(seed):
 RATED = "cluster int, customer_num string, srp_2_desc string, rating double"
 
 
+def test_ratings_that_cancel_out_are_exactly_zero(spark):
+    """Sums of doubles give 1e-17 or so for these, above or below zero by the order of the rows."""
+    given = [0.8, -0.4, 0.3999999999999999, -0.8, -0.3999999999999999, 0.4]
+    rows = [("a", "p", r) for r in (0.8, -0.4, -0.3999999999999999)] + [("b", "p", r) for r in (-0.8, 0.3999999999999999, 0.3999999999999999)]
+    rows += [("c", "p", r) for r in given]
+    labels = spark.createDataFrame([(c, 1) for c in "abc"], "customer_num string, cluster int")
+    got = rc.cluster_ratings(spark.createDataFrame(rows, PAIRS + ", rating double"), labels).collect()
+    assert sorted((r.customer_num, r.rating) for r in got) == [("a", 0.0), ("b", 0.0), ("c", 0.0)]
+
+
 def test_als_keeps_factors_and_scores_what_is_asked(spark):
     ratings = spark.createDataFrame(taste(2), RATED)
     fitted = rc.als_fill(ratings, rank=6, iters=5)
