@@ -195,3 +195,16 @@ def test_results_do_not_depend_on_partitioning(spark, small_root):
         seen.append(got)
     spark.conf.set("spark.sql.shuffle.partitions", before)
     assert seen[0] == seen[1]
+
+
+def test_presence_folds_each_source_without_sorting_its_rows(spark):
+    """Rows are folded by their columns before the smallest name is looked for, a text that Spark finds by sorting."""
+    named = spark.range(1000).select((F.col("id") % 3).cast("string").alias("customer_num"), F.concat(F.lit("n"), (F.col("id") % 2).cast("string")).alias("customer_name"))
+    other = named.select("customer_num")
+    hospitals = spark.createDataFrame([("9", "h")], "definitive_id string, customer_name string")
+    links = other.select("customer_num", F.col("customer_num").alias("definitive_id")).distinct()
+    presence = jn.presence_full_outer({"CBD": named, "CSD": named, "CWD": links, "EDD": hospitals, "RSD": other, "SFD": other})
+    assert sorted((r.customer_num, r.name_CSD, r.IN_SFD) for r in presence.collect()) == [("", None, False), ("0", "n0", True), ("1", "n0", True), ("2", "n0", True)]
+    plan = presence._jdf.queryExecution().optimizedPlan().toString()
+    union = plan[plan.index("Union") :]
+    assert union.count("Aggregate [") >= 5
