@@ -208,3 +208,29 @@ def test_presence_folds_each_source_without_sorting_its_rows(spark):
     plan = presence._jdf.queryExecution().optimizedPlan().toString()
     union = plan[plan.index("Union") :]
     assert union.count("Aggregate [") >= 5
+
+
+def test_first_per_key_carries_one_row_where_nothing_is_missing(spark):
+    """Each column's first value that is not null, nulls in the order included; and the plan holds one row per key, not one per column."""
+    draw = random.Random(5)
+    some = lambda v: None if draw.random() < 0.4 else v
+    rows = [(f"k{draw.randint(0, 5)}", some(draw.randint(0, 3)), some(f"a{draw.randint(0, 9)}"), some(draw.random())) for _ in range(300)]
+    rows += [("none", 1, None, None), ("late", 1, None, 0.5), ("late", 2, "x", None)]
+    df = spark.createDataFrame(rows, "k string, n int, a string, b double")
+    low = lambda v: (v is not None, v if v is not None else 0)
+    want = {}
+    for key in {r[0] for r in rows}:
+        own = sorted([r for r in rows if r[0] == key], key=lambda r: (low(r[1]), (r[2] is not None, r[2] or ""), low(r[3])))
+        want[key] = tuple(next((r[i] for r in own if r[i] is not None), None) for i in (2, 3))
+    firsts = agg.first_per_key(df, ["k"], ["a", "b"], ["n", "a", "b"])
+    assert {r.k: (r.a, r.b) for r in firsts.collect()} == want
+    assert "min_by" not in firsts._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_group_fill_joins_only_rows_that_lack_something(spark):
+    rows = [("1", "a", "p", "x", None), ("2", "a", "p", None, 5), ("3", "a", "q", None, None), ("4", "b", "q", "z", 7), ("5", "c", None, None, 1), ("6", None, "p", None, None)]
+    df = spark.createDataFrame(rows, "place string, c string, p string, u string, v int")
+    filled = jn.group_fill(df, {"c": ["u"], "p": ["v"]}, "place")
+    assert {r.place: (r.u, r.v) for r in filled.collect()} == {"1": ("x", 5), "2": ("x", 5), "3": ("x", 7), "4": ("z", 7), "5": (None, 1), "6": (None, 5)}
+    plan = filled._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" in plan and "Aggregate" not in plan
