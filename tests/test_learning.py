@@ -112,6 +112,37 @@ def taste(seed):
     return rows + [(0, "sad", f"p{j}", -1.0) for j in range(8)]
 
 
+def test_permutation_importance_scores_all_features_in_one_pass(spark):
+    """The model is asked twice however many features there are; equal to permuting the given columns one by one."""
+    rows = training_rows(spark, 300)
+    features = ["customer_num", "kind", "size", "noise"]
+    model = ln.win_model(rows, features, iterations=3)
+    assert sorted(model.encoder.places().items(), key=lambda x: x[1]) == [("kind", 0), ("customer_num", 1), ("size", 2), ("noise", 3)]
+
+    class Counted:
+        calls = 0
+
+        def transform(self, frame):
+            Counted.calls += 1
+            return model.model.transform(frame)
+
+    counted = ln.Classifier(model.encoder, Counted())
+    got = ln.permutation_importance(counted, rows, F.col("iswon") == "True", features, F.col("i").cast("string"), n=2, per_bucket=1000)
+    got = {r.feature: r.score for r in got.collect()}
+    assert Counted.calls == 2 and set(got) == set(features)
+    base = ln.accuracy(ln.batch_predict(model, rows).withColumn("label", (F.col("iswon") == "True").cast("int"))).first().accuracy
+    given = rows.toPandas()
+    for feature in features:
+        moved = []
+        for rep in (1, 2):
+            order = [r.i for r in rows.select("i", F.md5(F.concat_ws("|", F.col("i").cast("string"), F.lit(str(rep)))).alias("d")).orderBy("d").collect()]
+            other = given.set_index("i").loc[order[1:] + order[:1], feature].tolist()
+            part = given.set_index("i").loc[order].reset_index()
+            part[feature] = other
+            moved.append(ln.batch_predict(model, spark.createDataFrame(part)).withColumn("label", (F.col("iswon") == "True").cast("int")))
+        assert got[feature] == pytest.approx(base - ln.accuracy(moved[0].unionByName(moved[1])).first().accuracy)
+
+
 RATED = "cluster int, customer_num string, srp_2_desc string, rating double"
 
 
