@@ -322,16 +322,17 @@ def impute_predict(requests: DataFrame, scored: DataFrame, near_customers: DataF
     products and known pairs.  The most frequent value of "customer or product" is one that the customer has, or the
     product's own most frequent one.  A row carries one count per distinct value, of which predictions have few."""
     counts = materialize(scored.groupBy(*PAIR, F.col("predicted").alias("v")).agg(F.count(F.lit(1)).alias("n")))
-    held = lambda by, name: counts.groupBy(*by, "v").agg(F.sum("n").alias("n")).groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("v", "n"))).alias(name))
+    entries = lambda df, by, name: df.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("v", "n"))).alias(name))
+    held = lambda by, name: entries(counts.groupBy(by, "v").agg(F.sum("n").alias("n")), [by], name)
 
     def resolved(table: DataFrame, key: str, name: str, near: DataFrame) -> DataFrame:
         """``[key, id, name]`` of trained ids, and of those with a trained neighbour."""
         linked = near.select(F.col("id").alias("asked"), F.col("nearest").alias(key)).join(table.select(key), F.col("asked") == table[key], "left_anti").join(table, key)
         return table.select(F.col(key).alias("asked"), key, name).unionByName(linked.select("asked", key, name)).withColumnRenamed(key, f"{name}_id").withColumnRenamed("asked", key)
 
-    by_c = resolved(held([CUSTOMER], "of_c"), CUSTOMER, "of_c", near_customers)
-    by_p = resolved(held([PRODUCT], "of_p"), PRODUCT, "of_p", near_products)
-    by_pair = held(PAIR, "of_pair").select(F.col(CUSTOMER).alias("of_c_id"), F.col(PRODUCT).alias("of_p_id"), "of_pair")
+    by_c = resolved(held(CUSTOMER, "of_c"), CUSTOMER, "of_c", near_customers)
+    by_p = resolved(held(PRODUCT, "of_p"), PRODUCT, "of_p", near_products)
+    by_pair = entries(counts, PAIR, "of_pair").select(F.col(CUSTOMER).alias("of_c_id"), F.col(PRODUCT).alias("of_p_id"), "of_pair")
     asked = requests.select(*PAIR).join(by_c, CUSTOMER, "left").join(by_p, PRODUCT, "left").join(by_pair, ["of_c_id", "of_p_id"], "left")
 
     def most(entries: Column) -> Column:
