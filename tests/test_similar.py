@@ -63,3 +63,23 @@ def test_few_entities(spark):
     assert similar.approx_similar_pairs(one, "customer_num").collect() == []
     two = spark.createDataFrame([("a", "x"), ("b", "x"), ("b", "y")], SCHEMA)
     assert sorted(map(tuple, similar.approx_similar_pairs(two, "customer_num").collect())) == [("a", "b", 0.5, 1), ("b", "a", 0.5, 1)]
+
+
+def test_equal_lists_are_compared_once(spark, monkeypatch):
+    """Copies do not add to the pairs that are compared, and each entity still gets its own nearest others."""
+    seen = []
+    rows = [(f"{c}{i:02d}", str(x)) for c, own in {"a": range(6), "b": range(1, 7), "c": range(20, 30)}.items() for i in range(40) for x in own]
+    signed = similar.signatures
+
+    def counted(lists, key, size):
+        seen.append(lists.count())
+        return signed(lists, key, size)
+
+    monkeypatch.setattr(similar, "signatures", counted)
+    got = similar.approx_similar_pairs(spark.createDataFrame(rows, SCHEMA), "customer_num", k=5).collect()
+    assert seen == [3] and len(got) == 600
+    assert sorted((r["rank"], r.other, r.d) for r in got if r.id == "a02") == [(1, "a00", 0.0), (2, "a01", 0.0), (3, "a03", 0.0), (4, "a04", 0.0), (5, "a05", 0.0)]
+    few = [r for r in rows if r[0] in ("a00", "a01", "b00", "b01", "b02", "b03")]
+    got = similar.approx_similar_pairs(spark.createDataFrame(few, SCHEMA), "customer_num", k=4).collect()
+    mine = sorted((r["rank"], r.other) for r in got if r.id == "a01")
+    assert mine == [(1, "a00"), (2, "b00"), (3, "b01"), (4, "b02")]
