@@ -7,9 +7,6 @@ from dataclasses import dataclass, field
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
-    GBTClassifier,
-    LinearSVC,
-    LogisticRegression,
     NaiveBayes,
     RandomForestClassifier,
 )
@@ -24,6 +21,7 @@ from ..settings import CUSTOMER, PAIR, PRODUCT
 from ..sources.stages import materialize
 from .aggregates import category_codes
 from .boosting import BoostedTrees, Boosting
+from .folds import FoldBoosting, FoldLinear
 from .forest import Forest, ForestModel
 from .neighbours import nearest_rows
 
@@ -392,14 +390,15 @@ def permutation_importance(
 
 
 def default_models() -> dict:
+    """Estimators of MLlib, and models that are fitted on all folds at once."""
     shared = {"featuresCol": "features", "labelCol": LABEL}
     return {
-        "LR": LogisticRegression(**shared, maxIter=100),
+        "LR": FoldLinear("logistic"),
         "NB": NaiveBayes(**shared, modelType="gaussian"),
         "RF": RandomForestClassifier(**shared, numTrees=100, seed=0),
-        "SVC": LinearSVC(**shared, maxIter=100),
+        "SVC": FoldLinear("hinge"),
         "DT": DecisionTreeClassifier(**shared, seed=0),
-        "GBT": GBTClassifier(**shared, maxIter=20, seed=0),
+        "GBT": FoldBoosting(),
     }
 
 
@@ -409,6 +408,9 @@ def model_comparison(df: DataFrame, label: Column, features: list[str], key: Col
     encoded = materialize(encode_features(data, LABEL, only=features).transform(data).select("features", LABEL, "fold"))
     results = []
     for name, estimator in (models or default_models()).items():
+        if isinstance(estimator, FoldLinear | FoldBoosting):
+            results += [(name, fold + 1, right) for fold, right in enumerate(estimator.accuracies(encoded, k))]
+            continue
         for fold in range(k):
             fitted = estimator.fit(encoded.where(F.col("fold") != fold))
             tested = fitted.transform(encoded.where(F.col("fold") == fold)).select(LABEL, F.col("prediction").alias("predicted"))
