@@ -21,3 +21,21 @@ def test_sales_are_joined_once(spark, small_root, monkeypatch, name):
     products = len(calls)
     assert not modelling.QUERIES[name](spark, small_root).isEmpty()
     assert len(calls) - products == products + 1
+
+
+def test_two_values_are_imputed_by_the_same_joins(spark, small_root, monkeypatch):
+    calls, whole = [], modelling.ln.impute_predict
+
+    def kept(*args, **options):
+        calls.append((args, options))
+        return whole(*args, **options)
+
+    monkeypatch.setattr(modelling.ln, "impute_predict", kept)
+    assert not modelling.QUERIES["propensity_lookup"](spark, small_root).isEmpty()
+    assert len(calls) == 1
+    (requests, scored, *near), options = calls[0]
+    both = whole(requests, scored, *near, **options)
+    for value in options["values"]:
+        single = whole(requests, scored.select("customer_num", "srp_2_desc", scored[value].alias("predicted")), *near)
+        found = both.select("customer_num", "srp_2_desc", both[value].alias("outcome"), "imputed")
+        assert found.count() == single.count() and found.exceptAll(single).isEmpty()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
@@ -309,8 +310,11 @@ def classification_report(df: DataFrame) -> DataFrame:
 # scoring any pair
 
 
-def impute_predict(requests: DataFrame, scored: DataFrame, near_customers: DataFrame, near_products: DataFrame) -> DataFrame:
-    """``[customer, product, outcome, imputed]`` for any requested pair.
+def impute_predict(
+    requests: DataFrame, scored: DataFrame, near_customers: DataFrame, near_products: DataFrame, values: tuple[str, ...] = ("predicted",)
+) -> DataFrame:
+    """``[customer, product, outcome, imputed]`` for any requested pair; with several ``values`` to impute, one outcome under each
+    one's name, from the same joins.
 
     ``scored`` holds the training rows with their ``predicted`` value; ``near_*`` give the closest
     trained id (``[id, nearest]``) of ids that are not trained on.  A trained pair gets the most
@@ -322,18 +326,26 @@ def impute_predict(requests: DataFrame, scored: DataFrame, near_customers: DataF
     is resolved once, with its counts per value attached, so the requests meet three tables: customers,
     products and known pairs.  The most frequent value of "customer or product" is one that the customer has, or the
     product's own most frequent one.  A row carries one count per distinct value, of which predictions have few."""
-    counts = materialize(scored.groupBy(*PAIR, F.col("predicted").alias("v")).agg(F.count(F.lit(1)).alias("n")))
-    entries = lambda df, by, name: df.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("v", "n"))).alias(name))
-    held = lambda by, name: entries(counts.groupBy(by, "v").agg(F.sum("n").alias("n")), [by], name)
+    counts = materialize(scored.groupBy(*PAIR, *values).agg(F.count(F.lit(1)).alias("n")))
+    places = range(len(values))
+
+    def held(by: list[str], name: str) -> DataFrame:
+        """``[by, name]``: for each of ``values`` a map from it to its number of rows."""
+        tables = []
+        for i, v in enumerate(values):
+            sums = counts.groupBy(*by, F.col(v).alias("v")).agg(F.sum("n").alias("n"))
+            tables.append(sums.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("v", "n"))).alias(f"_{i}")))
+        joined = reduce(lambda one, other: one.join(other, by), tables)
+        return joined.select(*by, F.struct(*[f"_{i}" for i in places]).alias(name))
 
     def resolved(table: DataFrame, key: str, name: str, near: DataFrame) -> DataFrame:
         """``[key, id, name]`` of trained ids, and of those with a trained neighbour."""
         linked = near.select(F.col("id").alias("asked"), F.col("nearest").alias(key)).join(table.select(key), F.col("asked") == table[key], "left_anti").join(table, key)
         return table.select(F.col(key).alias("asked"), key, name).unionByName(linked.select("asked", key, name)).withColumnRenamed(key, f"{name}_id").withColumnRenamed("asked", key)
 
-    by_c = resolved(held(CUSTOMER, "of_c"), CUSTOMER, "of_c", near_customers)
-    by_p = resolved(held(PRODUCT, "of_p"), PRODUCT, "of_p", near_products)
-    by_pair = entries(counts, PAIR, "of_pair").select(F.col(CUSTOMER).alias("of_c_id"), F.col(PRODUCT).alias("of_p_id"), "of_pair")
+    by_c = resolved(held([CUSTOMER], "of_c"), CUSTOMER, "of_c", near_customers)
+    by_p = resolved(held([PRODUCT], "of_p"), PRODUCT, "of_p", near_products)
+    by_pair = held(PAIR, "of_pair").select(F.col(CUSTOMER).alias("of_c_id"), F.col(PRODUCT).alias("of_p_id"), "of_pair")
     asked = requests.select(*PAIR).join(by_c, CUSTOMER, "left").join(by_p, PRODUCT, "left").join(by_pair, ["of_c_id", "of_p_id"], "left")
 
     def most(entries: Column) -> Column:
@@ -341,16 +353,21 @@ def impute_predict(requests: DataFrame, scored: DataFrame, near_customers: DataF
         return F.array_min(F.transform(entries, lambda e: F.struct((-e["value"]).alias("neg"), e["key"].alias("v"))))["v"]
 
     zero = F.lit(0).cast("bigint")
-    top_p = most(F.map_entries("of_p"))
-    values = F.array_union(F.map_keys("of_c"), F.array(top_p))
-    count = lambda name, v: F.coalesce(F.try_element_at(F.col(name), v), zero)
-    either = F.transform(values, lambda v: F.struct(v.alias("key"), (count("of_c", v) + count("of_p", v) - count("of_pair", v)).alias("value")))
     known_c, known_p = F.col("of_c").isNotNull(), F.col("of_p").isNotNull()
     own = F.col("of_pair").isNotNull() & (F.col("of_c_id") == F.col(CUSTOMER)) & (F.col("of_p_id") == F.col(PRODUCT))
     unknown = F.when(known_c, 0).otherwise(-1) + F.when(known_p, 0).otherwise(-2)
+
+    def outcome(i: int) -> Column:
+        of_c, of_p, of_pair = (F.col(f"{name}._{i}") for name in ("of_c", "of_p", "of_pair"))
+        count = lambda entries, v: F.coalesce(F.try_element_at(entries, v), zero)
+        asked_for = F.array_union(F.map_keys(of_c), F.array(most(F.map_entries(of_p))))
+        either = F.transform(asked_for, lambda v: F.struct(v.alias("key"), (count(of_c, v) + count(of_p, v) - count(of_pair, v)).alias("value")))
+        return F.when(own, most(F.map_entries(of_pair))).when(known_c & known_p, most(either)).otherwise(unknown)
+
+    names = values if len(values) > 1 else ("outcome",)
     return asked.select(
         *PAIR,
-        F.when(own, most(F.map_entries("of_pair"))).when(known_c & known_p, most(either)).otherwise(unknown).alias("outcome"),
+        *[outcome(i).alias(name) for i, name in enumerate(names)],
         F.when(own, 0).when(known_c & known_p, 1).otherwise(-1).alias("imputed"),
     )
 
