@@ -52,6 +52,24 @@ def test_sums_by_pairs_are_those_of_single_features(width, level, counted):
     assert got == pytest.approx(want if counted else want[1:])
 
 
+def test_swapped_cells_are_scored_as_whole_rows_are(spark):
+    """Rows of boosted trees travel as bins and are not repeated per feature; a model that is asked with vectors says the same."""
+    rows = training_rows(spark, 300)
+    features = ["customer_num", "kind", "size", "noise"]
+    model = ln.win_model(rows, features, iterations=9)
+
+    class Plain:
+        def transform(self, frame):
+            return model.model.transform(frame)
+
+    given = (rows, F.when(F.col("i") % 7 > 0, F.col("iswon") == "True"), features, F.col("i").cast("string"))
+    want = {r.feature: r.score for r in ln.permutation_importance(ln.Classifier(model.encoder, Plain()), *given, n=3, per_bucket=70).collect()}
+    asked, whole = [], model.model.transform
+    model.model.transform = lambda frame: asked.append(frame) or whole(frame)
+    got = {r.feature: r.score for r in ln.permutation_importance(model, *given, n=3, per_bucket=70).collect()}
+    assert got == pytest.approx(want) and set(got) == set(features) and not asked
+
+
 def test_other_columns_are_fitted_without_a_join_of_codes(spark, monkeypatch):
     rows = training_rows(spark, 120).withColumn("customer_num", F.when(F.col("i") % 5 > 0, F.col("customer_num")))
     data = rows.select("customer_num", "kind", "size", (F.col("iswon") == "True").cast("double").alias("label"))
