@@ -1,4 +1,4 @@
-"""Sums by pairs of features, places in several trees at once, and cells swapped between rows."""
+"""Counts by pairs of features, places in trees, and cells swapped between rows."""
 
 from __future__ import annotations
 
@@ -38,7 +38,7 @@ def test_rows_go_down_all_trees(depth):
 
 
 @pytest.mark.parametrize("width,level,counted", [(5, 2, True), (4, 1, True), (5, 0, False), (1, 0, True)])
-def test_sums_by_pairs_are_those_of_single_features(width, level, counted):
+def test_counts_by_pairs_are_those_of_single_features(width, level, counted):
     draw, x, trees = drawn(1, width)
     y, f = draw.choice([-1, 1], x.shape[1]).astype(np.int8), draw.normal(size=x.shape[1])
     blocks = [pa.record_batch([pa.array([c.tobytes()], pa.binary()) for c in (x, y, f)], names=["x", "y", "f"])] * 2
